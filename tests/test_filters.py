@@ -1,0 +1,107 @@
+import pytest
+
+from marquee.functions import year_ranges
+from marquee.operators.filters import (
+    TitleFilter,
+    assign_year_range,
+    filter_offers,
+    filter_titles,
+    selected_names,
+    titles_on_services,
+)
+from rows import genre, ids, node, offer, staging
+
+
+@pytest.fixture(scope="module")
+def titles(spark):
+    return staging(
+        spark,
+        node("a", 1990, genres=[genre("d"), genre("c")], countries=["US"], cert="PG",
+             offers=[offer("1", "Hulu"), offer("2", "Max")]),
+        node("b", 1991, kind="SHOW", genres=None, countries=None, cert="R", offers=None),
+        node("c", None, genres=[], countries=[], offers=[]),
+        node("d", 2000, kind="SHOW", genres=[None, genre("h")], countries=["FR", None],
+             offers=[None, offer("3", "Max")]),
+    )
+
+
+CASES = [
+    (TitleFilter(), "abcd"),
+    (TitleFilter(years=(1990, 1991)), "ab"),
+    (TitleFilter(years=(1991, 2000)), "bd"),
+    (TitleFilter(services=("Hulu",)), "a"),
+    (TitleFilter(services=("Max", "Other")), "ad"),
+    (TitleFilter(genres=("c", "h")), "ad"),
+    (TitleFilter(exclude_genres=("c",)), "bcd"),
+    (TitleFilter(exclude_genres=("h",)), "abc"),
+    (TitleFilter(countries=("US", "FR")), "ad"),
+    (TitleFilter(exclude_countries=("FR",)), "abc"),
+    (TitleFilter(exclude_countries=("DE",)), "abcd"),
+    (TitleFilter(object_types=("SHOW",)), "bd"),
+    (TitleFilter(age_certifications=("PG", "R")), "ab"),
+    (TitleFilter(years=(1990, 2000), object_types=("SHOW",), services=("Max",)), "d"),
+]
+
+
+@pytest.mark.parametrize("wanted,expected", CASES)
+def test_filter_titles(titles, wanted, expected):
+    assert ids(filter_titles(titles, wanted)) == list(expected)
+
+
+def test_one_string_is_not_a_list():
+    with pytest.raises(TypeError):
+        TitleFilter(genres="drama")
+
+
+def test_titles_on_service_table(spark, titles):
+    services = spark.createDataFrame([("Max",), ("Max",), (None,)], "clear_name string")
+    assert ids(titles_on_services(titles, services)) == ["a", "d"]
+
+
+def test_service_table_keeps_all_records_of_a_hit(spark):
+    df = staging(
+        spark, node("a", offers=[offer("1", "Hulu")]), node("a", offers=[offer("2", "Max")]),
+        node("b", offers=[offer("3", "Max")]),
+    )
+    services = spark.createDataFrame([("Hulu",)], "clear_name string")
+    assert ids(titles_on_services(df, services)) == ["a", "a"]
+
+
+def test_filter_offers(titles):
+    kept = {
+        r.id: None if r.offers is None else [o.id for o in r.offers]
+        for r in filter_offers(titles, ("Max",)).collect()
+    }
+    assert kept == {"a": ["2"], "b": None, "c": [], "d": ["3"]}
+    assert filter_offers(titles, ()) is titles
+
+
+def test_selection():
+    names = selected_names()
+    assert len(names) == 14 and "Netflix" in names
+
+
+def test_year_ranges():
+    ranges = year_ranges()
+    assert len(ranges) == 11
+    assert ranges[0] == (1900, 1950) and ranges[-1] == (2021, 2023)
+    covered = [y for low, high in ranges for y in range(low, high + 1)]
+    assert covered == list(range(1900, 2024))
+    for bad in ((1,), (2, 2), (3, 1)):
+        with pytest.raises(ValueError):
+            year_ranges(bad)
+
+
+def test_assign_year_range(spark):
+    years = [1899, 1900, 1950, 1951, 2023, 2024, None]
+    df = staging(spark, *[node(str(y), y) for y in years])
+    found = {r.id: (r.year_min, r.year_max) for r in assign_year_range(df).collect()}
+    assert found == {
+        "1900": (1900, 1950), "1950": (1900, 1950), "1951": (1951, 1980), "2023": (2021, 2023),
+    }
+
+
+def test_ranges_with_a_gap(spark):
+    df = staging(spark, *[node(str(y), y) for y in (2000, 2005, 2010)])
+    out = assign_year_range(df, ranges=[(2000, 2001), (2010, 2011)])
+    assert ids(out) == ["2000", "2010"]
