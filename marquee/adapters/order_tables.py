@@ -16,7 +16,7 @@ from __future__ import annotations
 
 from collections.abc import Collection
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marquee.constants import PAGE_SIZE, SHOW
@@ -56,10 +56,7 @@ def _title_sets(spark: SparkSession, sf_dir: str, fields: Collection[str]) -> Da
     if "genres" in fields:
         parts = _read(spark, sf_dir, "part").select("p_partkey", "p_type")
         lines = lines.join(parts, F.col("l_partkey") == F.col("p_partkey"), "left")
-        genre = F.struct(
-            F.col("p_type").alias("id"), F.lower("p_type").alias("translation")
-        )
-        found.append(F.collect_set(F.when(F.col("p_partkey").isNotNull(), genre)).alias("genres"))
+        found.append(F.collect_set("p_type").alias("genres"))
     if "countries" in fields:
         nations = _read(spark, sf_dir, "nation").select("n_nationkey", "n_name")
         lines = _with_supplier(lines, spark, sf_dir).join(
@@ -112,16 +109,8 @@ def _records(
             frame = frame.join(big, "key", "left").withColumn(
                 PART, F.explode(F.sequence(F.lit(0), last))
             )
-        offer = F.struct(
-            F.concat(F.lit("o"), F.col("key"), F.lit("-"), F.col("l_linenumber")).alias("id"),
-            F.concat(F.lit("/u/"), F.col("l_linenumber")).alias("standardWebURL"),
-            F.struct(
-                F.col("s_suppkey").cast("int").alias("packageId"),
-                F.col("s_name").alias("clearName"),
-                F.lower("s_name").alias("slug"),
-                F.concat(F.lit("/i/"), F.col("s_suppkey")).alias("icon"),
-            ).alias("package"),
-        )
+        # Only what tells offers apart is shuffled; their texts are spelt out afterwards.
+        offer = F.struct("l_linenumber", "s_suppkey", "s_name")
         offers = (
             _with_supplier(lines, spark, sf_dir)
             .groupBy(*on)
@@ -141,7 +130,9 @@ def _records(
     if "countries" in fields:
         content["productionCountries"] = F.col("countries")
     if "genres" in fields:
-        content["genres"] = F.col("genres")
+        content["genres"] = F.transform(
+            "genres", lambda g: F.struct(g.alias("id"), F.lower(g).alias("translation"))
+        )
     scoring = {
         "imdbScore": F.when(status != "F", price),
         "imdbVotes": F.when(F.col("o_custkey") % 2 != 0, F.col("o_custkey").cast("double")),
@@ -156,7 +147,7 @@ def _records(
         "content": F.struct(*[v.alias(k) for k, v in content.items()]),
     }
     if "offers" in fields:
-        record["offers"] = F.col("offers")
+        record["offers"] = F.transform("offers", lambda offer: _offer(F.col("key"), offer))
     if "seasons" in fields:
         record["totalSeasonCount"] = F.when(
             is_show, F.coalesce(F.col("line_count"), F.lit(0.0))
@@ -164,6 +155,21 @@ def _records(
     return frame.select(PART, *[v.alias(k) for k, v in record.items()])
 
 
+def _offer(key: Column, offer: Column) -> Column:
+    number, supplier, name = offer["l_linenumber"], offer["s_suppkey"], offer["s_name"]
+    package = F.struct(
+        supplier.cast("int").alias("packageId"),
+        name.alias("clearName"),
+        F.lower(name).alias("slug"),
+        F.concat(F.lit("/i/"), supplier).alias("icon"),
+    )
+    return F.struct(
+        F.concat(F.lit("o"), key, F.lit("-"), number).alias("id"),
+        F.concat(F.lit("/u/"), number).alias("standardWebURL"),
+        package.alias("package"),
+    )
+
+
 def nested_titles(
     spark: SparkSession,
     sf_dir: str,

@@ -24,9 +24,10 @@ def range_bounds(year: Column, ranges: Sequence[YearRange]) -> tuple[Column, Col
 
     A CASE expression on the row itself, so no join and no shuffle.
     """
-    lower = upper = F.lit(None).cast("int")
-    for low, high in ranges:
-        inside = year.between(low, high)
-        lower = F.when(inside, F.lit(low)).otherwise(lower)
-        upper = F.when(inside, F.lit(high)).otherwise(upper)
-    return lower, upper
+    def case(end: int) -> Column:
+        column = F
+        for bounds in ranges:
+            column = column.when(year.between(*bounds), F.lit(bounds[end]))
+        return column
+
+    return case(0), case(1)

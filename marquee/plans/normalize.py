@@ -2,8 +2,8 @@
 
 Each is one projection, at most one explode, and a distinct over all output columns.
 Distinct is a partial and a final hash aggregate around one exchange on all columns, so
-copies collapse on the map side and no single key decides where rows go. The plain
-explode lets the Parquet scan read just the nested fields that are projected.
+copies collapse on the map side and no single key decides where rows go. The Parquet scan
+reads just the nested fields that are projected.
 
 Because every output is a set of full rows, the result does not depend on how a title's
 arrays are spread over staging records.
@@ -50,11 +50,11 @@ def genres(staging: DataFrame) -> DataFrame:
 
 
 def streaming_services(staging: DataFrame) -> DataFrame:
-    rows = staging.select(F.explode("offers").alias("offer")).select(
-        F.col("offer.package.packageId").alias("streaming_service_id"),
-        F.col("offer.package.clearName").alias("clear_name"),
-        F.col("offer.package.slug").alias("slug"),
-        F.col("offer.package.icon").alias("icon"),
+    rows = staging.select(F.explode("offers.package").alias("package")).select(
+        F.col("package.packageId").alias("streaming_service_id"),
+        F.col("package.clearName").alias("clear_name"),
+        F.col("package.slug").alias("slug"),
+        F.col("package.icon").alias("icon"),
     )
     return schemas.DIM_STREAMING_SERVICES.conform(rows).dropDuplicates()
 
@@ -75,13 +75,14 @@ def titles_production_countries(staging: DataFrame) -> DataFrame:
 
 
 def titles_streaming_services(staging: DataFrame) -> DataFrame:
-    rows = staging.select(
-        F.col("id").alias("title_id"), F.explode("offers").alias("offer")
-    ).select(
+    # Spark prunes an exploded struct array to one field at most. Zipping the three leaves
+    # that are needed keeps the other fields of the package out of the scan.
+    leaves = F.arrays_zip("offers.id", "offers.standardWebURL", "offers.package.packageId")
+    rows = staging.select(F.col("id").alias("title_id"), F.explode(leaves).alias("offer")).select(
         F.col("offer.id").alias("title_streaming_service_id"),
         F.col("offer.standardWebURL").alias("standard_web_url"),
         "title_id",
-        F.col("offer.package.packageId").alias("streaming_service_id"),
+        F.col("offer.packageId").alias("streaming_service_id"),
     )
     return schemas.DIM_TITLES_STREAMING_SERVICES.conform(rows).dropDuplicates()
 

@@ -91,7 +91,8 @@ def stage_pages(
     """
     refuse_overlap(pages_path, staging_path)
     ranges = year_ranges() if ranges is None else tuple(ranges)
+    outlines = of_ranges(read_pages(spark, pages_path, multi_line, titles=False), ranges)
+    require_sound(outlines, errors_path, complete)
     pages = of_ranges(read_pages(spark, pages_path, multi_line), ranges)
-    require_sound(pages, errors_path, complete)
     rows = staging_rows(pages, wanted, offer_services, ranges)
     write_staging(rows, staging_path, fmt, ranges, rebalance)

@@ -51,27 +51,35 @@ NODE = _struct(
     totalSeasonCount=DOUBLE,
 )
 
+
+def _page(edge: T.StructType) -> T.StructType:
+    return _struct(
+        page_no=INT,
+        cursor_sent=STRING,
+        status=INT,
+        data=_struct(
+            popularTitles=_struct(
+                totalCount=BIGINT,
+                pageInfo=_struct(endCursor=STRING, hasNextPage=BOOLEAN),
+                edges=T.ArrayType(edge),
+            )
+        ),
+        errors=T.ArrayType(
+            _struct(
+                message=STRING,
+                locations=T.ArrayType(_struct(line=INT, column=INT)),
+                extensions=T.MapType(STRING, STRING),
+            )
+        ),
+    )
+
+
 # One landed response: an envelope written by the crawler around the response body.
 # The requested year range comes from the directory names min=<year>/max=<year>.
-PAGE = _struct(
-    page_no=INT,
-    cursor_sent=STRING,
-    status=INT,
-    data=_struct(
-        popularTitles=_struct(
-            totalCount=BIGINT,
-            pageInfo=_struct(endCursor=STRING, hasNextPage=BOOLEAN),
-            edges=T.ArrayType(_struct(cursor=STRING, node=NODE)),
-        )
-    ),
-    errors=T.ArrayType(
-        _struct(
-            message=STRING,
-            locations=T.ArrayType(_struct(line=INT, column=INT)),
-            extensions=T.MapType(STRING, STRING),
-        )
-    ),
-)
+PAGE = _page(_struct(cursor=STRING, node=NODE))
+# The same without the titles: JSON sources prune no nested fields by themselves, so a
+# reader that only counts edges has to ask for less.
+PAGE_OUTLINE = _page(_struct(cursor=STRING))
 PAGE_RANGE = _struct(min=INT, max=INT)
 
 # A title flattened with "_", arrays left whole.

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
@@ -22,6 +23,17 @@ def refuse_overlap(source: str, target: str) -> None:
         raise ValueError(f"source {source} and target {target} overlap")
 
 
+def _has_files(like: DataFrame, path: str, fmt: str) -> bool:
+    """Whether a path exists; the reader checks it when it lists the files."""
+    try:
+        like.sparkSession.read.schema(like.schema).format(fmt).load(path)
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return False
+        raise
+    return True
+
+
 def write_staging(
     df: DataFrame,
     path: str,
@@ -31,8 +43,8 @@ def write_staging(
 ) -> None:
     """Replace the year ranges present in ``df`` and leave all others alone.
 
-    ``ranges`` names the ranges this run stands for. One that turns out to have no title
-    is replaced too, by an empty file, so that no titles of an earlier run stay behind.
+    ``ranges`` names the ranges this run stands for. If one turns out to have no title,
+    what an earlier run left for it is replaced by an empty file.
     The write itself counts the rows per range, so this takes no second pass.
 
     There is no shuffle unless ``rebalance`` asks for one: titles arrive range by range,
@@ -65,8 +77,8 @@ def write_staging(
     rows = seen.get
     nothing = df.sparkSession.createDataFrame([], df.drop(*keys).schema)
     for low, high in ranges:
-        if not rows[f"{low}_{high}"]:
-            unit = f"{path.rstrip('/')}/year_min={low}/year_max={high}"
+        unit = f"{path.rstrip('/')}/year_min={low}/year_max={high}"
+        if not rows[f"{low}_{high}"] and _has_files(nothing, unit, fmt):
             nothing.write.mode("overwrite").format(fmt).save(unit)
 
 

@@ -5,17 +5,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from marquee.schemas import PAGE, PAGE_RANGE
+from marquee.schemas import PAGE, PAGE_OUTLINE, PAGE_RANGE
 
 
-def read_pages(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+def read_pages(
+    spark: SparkSession, path: str, multi_line: bool = True, titles: bool = True
+) -> DataFrame:
     """Pages below ``path/min=<year>/max=<year>/``.
 
     ``multi_line=True``: one document per file, in any layout. Such a file is one page and
     so one small task input. ``multi_line=False``: one document per line; large files are
-    split. A document that does not fit the schema fails the read.
+    split. ``titles=False`` skips the titles inside the edges, which saves most of the
+    parsing. A document that does not fit the schema fails the read.
     """
-    schema = T.StructType([*PAGE.fields, *PAGE_RANGE.fields])
+    schema = T.StructType([*(PAGE if titles else PAGE_OUTLINE).fields, *PAGE_RANGE.fields])
     return (
         spark.read.schema(schema)
         .option("basePath", path)

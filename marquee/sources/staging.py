@@ -8,6 +8,15 @@ from pyspark.sql import types as T
 
 from marquee.schemas import STAGING, STAGING_RANGE
 
+_WHOLE = (T.ShortType, T.IntegerType, T.LongType)
+
+
+def _whole_number(field: T.StructField):
+    value = F.col(f"r.{field.name}")
+    fits = value.isNull() | (value % 1 == 0)
+    message = F.concat(F.lit(f"{field.name} is not a whole number: "), value.cast("string"))
+    return F.when(fits, value.cast(field.dataType)).otherwise(F.raise_error(message))
+
 
 def read_staging(spark: SparkSession, source: str, fmt: str = "parquet") -> DataFrame:
     """All year ranges of a staging directory (``parquet`` or ``json``) as one table, or a
@@ -34,12 +43,25 @@ def read_concatenated_json(
     closing brace ends a record and nothing else does. It serves as the record separator
     of the text reader, which splits large files at it. Each record then lacks its closing
     brace, except the last one of a file without a final line break.
+
+    The files were written from nullable number columns, which turn whole numbers into
+    ``90.0``. Whole-number columns are therefore parsed as exact decimals and cast.
     """
+    parsed = T.StructType(
+        [
+            T.StructField(f.name, T.DecimalType(38, 10) if isinstance(f.dataType, _WHOLE) else f.dataType)
+            for f in schema
+        ]
+    )
+    columns = [
+        (_whole_number(f) if isinstance(f.dataType, _WHOLE) else F.col(f"r.{f.name}")).alias(f.name)
+        for f in schema
+    ]
     body = F.regexp_replace("value", r"\n    \}\s*$", "")
     return (
         spark.read.option("lineSep", "\n    }\n")
         .text(path)
         .where(F.trim(F.translate("value", "\r\n\t", "   ")) != "")
-        .select(F.from_json(F.concat(body, F.lit("}")), schema, {"mode": "FAILFAST"}).alias("r"))
-        .select("r.*")
+        .select(F.from_json(F.concat(body, F.lit("}")), parsed, {"mode": "FAILFAST"}).alias("r"))
+        .select(*columns)
     )
