@@ -23,11 +23,12 @@ from marquee.constants import PAGE_SIZE, SHOW
 from marquee.operators.filters import assign_year_range
 from marquee.operators.flatten import flatten
 from marquee.operators.ranking import RANGE, number_pages
-from marquee.session import shared_dir
+from marquee.session import written
 
 ALL = ("genres", "countries", "offers", "seasons")
 MAX_OFFERS = 1_000
 BROADCAST_ROWS = 1_000_000  # two numbers per row: about 16 MB
+SALTS = 64
 PART = "_part"
 
 
@@ -69,19 +70,32 @@ def _title_sets(spark: SparkSession, sf_dir: str, fields: Collection[str]) -> Da
 def _oversize(spark: SparkSession, sf_dir: str, max_offers: int) -> tuple[DataFrame | None, bool]:
     """Orders that need more than one record, with their number of records, and whether
     that table is small enough to broadcast. None when there is no such order."""
-    shared_dir(spark)
-    big = (
+    big = written(
         _lines(spark, sf_dir)
         .groupBy("key")
         .count()
         .where(F.col("count") > max_offers)
-        .select("key", F.ceil(F.col("count") / max_offers).cast("int").alias("parts"))
-        .checkpoint()
+        .select("key", F.ceil(F.col("count") / max_offers).cast("int").alias("parts")),
+        "oversize",
     )
     rows = big.count()
     return (big, rows <= BROADCAST_ROWS) if rows else (None, True)
 
 
+def _with_parts(lines: DataFrame, big: DataFrame, small: bool) -> DataFrame:
+    """Line items with the number of records of their order; null for ordinary orders.
+
+    A table too large to broadcast is joined with a salt: each line item takes the salt of
+    its input split and finds its order's row under every salt, so that the line items of
+    one hot order meet that row in many tasks.
+    """
+    if small:
+        return lines.join(F.broadcast(big), "key", "left")
+    salted = big.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    salt = F.pmod(F.spark_partition_id(), F.lit(SALTS))
+    return lines.withColumn("salt", salt).join(salted, ["key", "salt"], "left").drop("salt")
+
+
 def _records(
     spark: SparkSession, sf_dir: str, fields: Collection[str], max_offers: int
 ) -> DataFrame:
@@ -100,9 +114,8 @@ def _records(
             frame = frame.withColumn(PART, F.lit(0))
         else:
             on = ["key", PART]
-            big = F.broadcast(big) if small else big
             share = F.pmod(F.xxhash64("l_partkey", "l_suppkey", "l_linenumber"), F.col("parts"))
-            lines = lines.join(big, "key", "left").withColumn(
+            lines = _with_parts(lines, big, small).withColumn(
                 PART, F.coalesce(share, F.lit(0)).cast("int")
             )
             last = F.coalesce(F.col("parts"), F.lit(1)) - 1

@@ -128,3 +128,8 @@ def assign_year_range(
         .select("*", low.alias("year_min"), high.alias("year_max"))
         .where(F.col("year_min").isNotNull())
     )
+
+
+def count_per_range(df: DataFrame) -> DataFrame:
+    """Number of titles per year range: the total a complete set of pages must reach."""
+    return df.groupBy("year_min", "year_max").agg(F.count("*").alias("title_count"))

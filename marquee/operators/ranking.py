@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from marquee.constants import PAGE_SIZE
-from marquee.session import shared_dir
+from marquee.session import written
 
 POPULARITY = "content_scoring_tmdbPopularity"
 RANGE = ("year_min", "year_max")
@@ -83,17 +83,16 @@ def number_pages(
     the number of rows of its group in the blocks before.
 
     Positions must not move between the pass that counts the blocks and the pass that
-    adds the offsets, so the sorted keys are written once with a reliable checkpoint. The
-    offset table has at most (number of sorted blocks + number of groups) rows; with the
-    fixed set of year ranges that bound allows the broadcast.
+    adds the offsets, so the sorted keys are written to a scratch table once. The offset
+    table has at most (number of sorted blocks + number of groups) rows; with the fixed
+    set of year ranges that bound allows the broadcast.
     """
-    shared_dir(df.sparkSession)
     keys = [*groups, popularity, *ties]
-    placed = (
+    placed = written(
         df.select(*keys)
         .orderBy(*groups, *_order(popularity, ties))
-        .withColumn("position", F.monotonically_increasing_id())
-        .checkpoint()
+        .withColumn("position", F.monotonically_increasing_id()),
+        "ranked",
     )
     block = F.shiftright("position", _ROW_BITS)
     before = Window.partitionBy(*groups).orderBy("block").rowsBetween(

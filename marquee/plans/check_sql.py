@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from marquee.constants import FLAG_PATTERN, PAGE_SIZE
 from marquee.functions import year_ranges
-from marquee.plans.checks import COUNTRIES, GENRES, NEEDS, SERVICES
+from marquee.plans.checks import CODES, COUNTRIES, GENRES, NEEDS, SERVICES
 
 
 def _in(values) -> str:
@@ -159,6 +159,10 @@ SELECT o_orderkey, CAST(500 AS INTEGER),
         "SELECT 's' || s_suppkey AS code, s_name AS streaming_name, "
         "lower(s_name) AS lcase_name FROM supplier"
     ),
+    "services_by_code": (
+        "SELECT 's' || s_suppkey AS code, s_name AS clear_name FROM supplier "
+        f"WHERE 's' || s_suppkey IN {_in(CODES)}"
+    ),
     "country_table_scan": f"""
 SELECT n_name AS name, 'N' || n_nationkey AS alpha2_code, 'NN' || n_nationkey AS alpha3_code,
     replace('{FLAG_PATTERN}', '%s', 'NN' || n_nationkey) AS flag

@@ -40,6 +40,7 @@ from marquee.sources import (
     read_service_catalogue,
     read_service_selection,
     read_staging,
+    services_by_code,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -54,6 +55,7 @@ NEEDS = {
     "dim_titles_streaming_services": ("offers",),
 }
 SERVICES = tuple(f"Supplier#{n:09d}" for n in (1, 3, 5, 7))
+CODES = ("s1", "s3", "s5", "s7")
 GENRES = ("PROMO", "ECONOMY")
 COUNTRIES = ("NATION_3", "NATION_20")
 SCALARS = (
@@ -97,16 +99,11 @@ def _unwrap_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _titles_by_year_range(spark: SparkSession, sf_dir: str) -> DataFrame:
-    titles = filters.assign_year_range(staging_titles(spark, sf_dir, ()))
-    return titles.groupBy("year_min", "year_max").agg(F.count("*").alias("title_count"))
+    return filters.count_per_range(filters.assign_year_range(staging_titles(spark, sf_dir, ())))
 
 
 def _titles_on_service_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    services = (
-        spark.read.parquet(f"{sf_dir}/supplier.parquet")
-        .where("s_nationkey < 10")
-        .select(F.col("s_name").alias("clear_name"))
-    )
+    services = _service_selection_scan(spark, sf_dir, "s_nationkey < 10")
     titles = staging_titles(spark, sf_dir, ("offers",))
     return filters.titles_on_services(titles, services).select(*TITLE).distinct()
 
@@ -193,9 +190,11 @@ def _page_error_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.page_errors(order_responses(spark, sf_dir))
 
 
-def _service_selection_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _service_selection_scan(
+    spark: SparkSession, sf_dir: str, which: str = "true"
+) -> DataFrame:
     path = scratch_path(spark, "selection")
-    suppliers = spark.read.parquet(f"{sf_dir}/supplier.parquet")
+    suppliers = spark.read.parquet(f"{sf_dir}/supplier.parquet").where(which)
     suppliers.select(
         F.concat(F.lit("s"), "s_suppkey").alias("code"), F.col("s_name").alias("clear_name")
     ).write.json(path)
@@ -213,6 +212,10 @@ def _service_catalogue_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_service_catalogue(spark, path)
 
 
+def _services_by_code(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return services_by_code(_service_catalogue_scan(spark, sf_dir), CODES)
+
+
 def _country_table_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     place = scratch_path(spark, "warehouse")
     db = place.rsplit("/", 1)[1].replace("-", "_")
@@ -271,6 +274,7 @@ QUERIES: dict[str, Query] = {
     "page_error_rows": _page_error_rows,
     "service_selection_scan": _service_selection_scan,
     "service_catalogue_scan": _service_catalogue_scan,
+    "services_by_code": _services_by_code,
     "country_table_scan": _country_table_scan,
     **{f"published_{name}": _published(name) for name in NEEDS},
 }

@@ -1,11 +1,11 @@
-"""Session set-up and the shared scratch folder."""
+"""Session set-up and scratch tables in the shared folder."""
 
 from __future__ import annotations
 
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings the results or the plans rely on. Partition counts and memory stay with the
 # cluster; AQE sizes the shuffles from what the map side really wrote.
@@ -48,3 +48,14 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new path below the shared folder; nothing is created yet."""
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame, label: str) -> DataFrame:
+    """The rows of ``df`` fixed as a scratch table, and its lineage cut there.
+
+    Every later use reads the same rows, also when executors get lost in between. Parquet
+    instead of a plain checkpoint lets each use read only the columns it needs.
+    """
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

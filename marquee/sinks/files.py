@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
@@ -23,17 +24,6 @@ def refuse_overlap(source: str, target: str) -> None:
         raise ValueError(f"source {source} and target {target} overlap")
 
 
-def _has_files(like: DataFrame, path: str, fmt: str) -> bool:
-    """Whether a path exists; the reader checks it when it lists the files."""
-    try:
-        like.sparkSession.read.schema(like.schema).format(fmt).load(path)
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return False
-        raise
-    return True
-
-
 def write_staging(
     df: DataFrame,
     path: str,
@@ -75,11 +65,17 @@ def write_staging(
     if not ranges:
         return
     rows = seen.get
-    nothing = df.sparkSession.createDataFrame([], df.drop(*keys).schema)
-    for low, high in ranges:
+    bare = [r for r in ranges if not rows[f"{r[0]}_{r[1]}"]]
+    if not bare:
+        return
+    # Reads the partition columns of the bare ranges only, so at most what is stale.
+    spark, schema = df.sparkSession, df.schema
+    is_bare = reduce(or_, [(columns[0] == low) & (columns[1] == high) for low, high in bare])
+    stale = spark.read.schema(schema).format(fmt).load(path).where(is_bare)
+    nothing = spark.createDataFrame([], df.drop(*keys).schema)
+    for low, high in stale.select(*keys).distinct().collect():
         unit = f"{path.rstrip('/')}/year_min={low}/year_max={high}"
-        if not rows[f"{low}_{high}"] and _has_files(nothing, unit, fmt):
-            nothing.write.mode("overwrite").format(fmt).save(unit)
+        nothing.write.mode("overwrite").format(fmt).save(unit)
 
 
 def write_table(df: DataFrame, contract: TableContract, root: str) -> str:

@@ -1,7 +1,11 @@
 """Readers. Every one has an explicit schema."""
 
 from marquee.sources.pages import read_pages
-from marquee.sources.services import read_service_catalogue, read_service_selection
+from marquee.sources.services import (
+    read_service_catalogue,
+    read_service_selection,
+    services_by_code,
+)
 from marquee.sources.staging import read_concatenated_json, read_staging
 
 __all__ = [
@@ -10,4 +14,5 @@ __all__ = [
     "read_service_catalogue",
     "read_service_selection",
     "read_staging",
+    "services_by_code",
 ]

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from marquee.schemas import SERVICE_CATALOGUE, SERVICE_SELECTION
 
@@ -24,3 +27,10 @@ def read_service_catalogue(spark: SparkSession, path: str) -> DataFrame:
         .option("mode", "FAILFAST")
         .csv(path)
     )
+
+
+def services_by_code(catalogue: DataFrame, codes: Sequence[str]) -> DataFrame:
+    """Selection (``code``, ``clear_name``) of the catalogue's services with these codes."""
+    return catalogue.where(F.col("code").isin(*codes)).select(
+        "code", F.col("streaming_name").alias("clear_name")
+    )
