@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession
 
 from marquee.plans.normalize import JOBS
@@ -18,24 +21,32 @@ from marquee.sources import read_staging
 
 
 def run_jobs(
-    spark: SparkSession, staging: str, root: str, fmt: str = "parquet", only: tuple[str, ...] = ()
+    spark: SparkSession,
+    staging: str,
+    root: str,
+    fmt: str = "parquet",
+    only: Sequence[str] = (),
+    at_once: int = len(JOBS),
 ) -> list[str]:
     """Write the published tables (all, or those named in ``only``); returns their names.
 
-    The jobs do not depend on each other. Each is one action over one pruned scan.
+    Each job is one action over one pruned scan of the staging files, which are listed
+    once for all. The jobs do not depend on each other; up to ``at_once`` are submitted
+    together, so the small last stages of one leave the cluster to the others.
     """
     unknown = set(only) - {contract.name for contract, _ in JOBS}
     if unknown:
         raise ValueError(f"unknown table(s): {', '.join(sorted(unknown))}")
-    done = []
-    for contract, job in JOBS:
-        if only and contract.name not in only:
-            continue
-        if fmt != "table":
+    chosen = [(c, job) for c, job in JOBS if not only or c.name in only]
+    if fmt != "table":
+        for contract, _ in chosen:
             refuse_overlap(staging, table_path(contract, root))
-        write_table(job(read_staging(spark, staging, fmt)), contract, root)
-        done.append(contract.name)
-    return done
+    rows = read_staging(spark, staging, fmt)
+    with ThreadPoolExecutor(at_once) as pool:
+        running = [pool.submit(write_table, job(rows), contract, root) for contract, job in chosen]
+    for done in running:
+        done.result()
+    return [contract.name for contract, _ in chosen]
 
 
 def publish(

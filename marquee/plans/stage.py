@@ -19,7 +19,7 @@ from marquee.operators.filters import (
 from marquee.operators.flatten import flatten, seasons_of_shows
 from marquee.operators.pages import audit_pages, page_errors, unwrap_edges
 from marquee.sinks.files import refuse_overlap, write_staging
-from marquee.sources import read_pages
+from marquee.sources import read_concatenated_json, read_pages
 
 _SHOWN = 20
 
@@ -51,8 +51,9 @@ def of_ranges(pages: DataFrame, ranges: Sequence[YearRange]) -> DataFrame:
 
 def require_sound(
     pages: DataFrame, errors_path: str | None = None, complete: bool = True
-) -> None:
-    """Raise unless every page succeeded and, if asked, every range is complete.
+) -> list[YearRange]:
+    """Raise unless every page succeeded and, if asked, every range is complete. Returns
+    the year ranges the pages were requested for.
 
     One pass sums up the pages per requested range, so the driver sees a handful of rows.
     All error rows go to ``errors_path`` when given; the message shows the first few.
@@ -66,9 +67,33 @@ def require_sound(
             errors = errors.sparkSession.read.schema(errors.schema).parquet(errors_path)
         texts = [row["error_text"] for row in errors.select("error_text").limit(_SHOWN).collect()]
         raise PagesRejected(f"{failed} failed page(s):\n" + "\n".join(texts))
-    broken = [f"{row['min']}-{row['max']}" for row in report if not row["complete"]]
-    if complete and broken:
-        raise PagesRejected(f"incomplete year range(s): {', '.join(broken)}")
+    if complete:
+        _reject("incomplete", [(r["min"], r["max"]) for r in report if not r["complete"]])
+    return [(row["min"], row["max"]) for row in report]
+
+
+def _reject(reason: str, ranges: Sequence[YearRange]) -> None:
+    if ranges:
+        names = ", ".join(f"{low}-{high}" for low, high in ranges)
+        raise PagesRejected(f"{reason} year range(s): {names}")
+
+
+def landed_ranges(
+    requested: Sequence[YearRange], ranges: Sequence[YearRange] | None, complete: bool
+) -> tuple[YearRange, ...]:
+    """The staging ranges a run stands for, given what the pages were requested for.
+
+    Ranges no page was requested for must keep what is staged for them. By default they
+    are left out; a range that was asked for by name must be there. A range that is landed
+    in part would be replaced by less than the whole, so it counts as incomplete.
+    """
+    years = {year for low, high in requested for year in range(low, high + 1)}
+    asked = year_ranges() if ranges is None else tuple(ranges)
+    found = {r: years.intersection(range(r[0], r[1] + 1)) for r in asked}
+    if complete:
+        _reject("incomplete", [r for r in asked if 0 < len(found[r]) <= r[1] - r[0]])
+        _reject("missing", [r for r in asked if ranges is not None and not found[r]])
+    return tuple(r for r in asked if found[r])
 
 
 def stage_pages(
@@ -84,15 +109,32 @@ def stage_pages(
     errors_path: str | None = None,
     fmt: str = "parquet",
     rebalance: bool = False,
-) -> None:
-    """Check the landed pages, then replace the given year ranges of the staging table.
+) -> tuple[YearRange, ...]:
+    """Check the landed pages, then replace their year ranges in the staging table.
 
+    ``ranges`` limits the run to some year ranges. Returns the ranges that were replaced.
     Nothing is written to staging when a page failed or a range is incomplete.
     """
     refuse_overlap(pages_path, staging_path)
-    ranges = year_ranges() if ranges is None else tuple(ranges)
-    outlines = of_ranges(read_pages(spark, pages_path, multi_line, titles=False), ranges)
-    require_sound(outlines, errors_path, complete)
-    pages = of_ranges(read_pages(spark, pages_path, multi_line), ranges)
-    rows = staging_rows(pages, wanted, offer_services, ranges)
-    write_staging(rows, staging_path, fmt, ranges, rebalance)
+    reach = year_ranges() if ranges is None else ranges
+    outlines = of_ranges(read_pages(spark, pages_path, multi_line, titles=False), reach)
+    requested = require_sound(outlines, errors_path, complete)
+    replaced = landed_ranges(requested, ranges, complete)
+    if not replaced:
+        raise PagesRejected(f"no page of the wanted year ranges in {pages_path}")
+    pages = of_ranges(read_pages(spark, pages_path, multi_line), replaced)
+    rows = staging_rows(pages, wanted, offer_services, replaced)
+    write_staging(rows, staging_path, fmt, replaced, rebalance)
+    return replaced
+
+
+def stage_legacy(
+    spark: SparkSession, legacy_path: str, staging_path: str, rebalance: bool = False
+) -> None:
+    """Convert legacy staging files once, so that the jobs read pruned Parquet columns.
+
+    Year ranges come from the titles; ranges without a title in the files stay as staged.
+    """
+    refuse_overlap(legacy_path, staging_path)
+    rows = assign_year_range(read_concatenated_json(spark, legacy_path))
+    write_staging(rows, staging_path, rebalance=rebalance)

@@ -4,6 +4,7 @@ from marquee.sources.pages import read_pages
 from marquee.sources.services import (
     read_service_catalogue,
     read_service_selection,
+    service_names,
     services_by_code,
 )
 from marquee.sources.staging import read_concatenated_json, read_staging
@@ -14,5 +15,6 @@ __all__ = [
     "read_service_catalogue",
     "read_service_selection",
     "read_staging",
+    "service_names",
     "services_by_code",
 ]

@@ -34,3 +34,15 @@ def services_by_code(catalogue: DataFrame, codes: Sequence[str]) -> DataFrame:
     return catalogue.where(F.col("code").isin(*codes)).select(
         "code", F.col("streaming_name").alias("clear_name")
     )
+
+
+def service_names(selection: DataFrame, limit: int = 1_000) -> tuple[str, ...]:
+    """Clear names of a short selection, for use inside filter expressions.
+
+    A longer selection is no list to carry in an expression: join it with
+    ``operators.filters.titles_on_services`` instead.
+    """
+    rows = selection.select("clear_name").distinct().limit(limit + 1).collect()
+    if len(rows) > limit:
+        raise ValueError(f"more than {limit} services selected; use titles_on_services")
+    return tuple(sorted(row["clear_name"] for row in rows if row["clear_name"] is not None))

@@ -19,14 +19,16 @@ def _whole_number(field: T.StructField):
 
 
 def read_staging(spark: SparkSession, source: str, fmt: str = "parquet") -> DataFrame:
-    """All year ranges of a staging directory (``parquet`` or ``json``) as one table, or a
-    catalogue table when ``fmt`` is ``table``.
+    """All files of a staging directory as one table: ``parquet``, ``json`` (one object per
+    line) or ``legacy`` (indented objects). With ``fmt="table"`` a catalogue table.
 
     Parquet is the format to keep staging in: each job then reads only the columns and
     nested fields it uses.
     """
     if fmt == "table":
         return spark.table(source)
+    if fmt == "legacy":
+        return read_concatenated_json(spark, source)
     schema = T.StructType([*STAGING.fields, *STAGING_RANGE.fields])
     reader = spark.read.schema(schema)
     if fmt == "json":
@@ -57,11 +59,14 @@ def read_concatenated_json(
         (_whole_number(f) if isinstance(f.dataType, _WHOLE) else F.col(f"r.{f.name}")).alias(f.name)
         for f in schema
     ]
-    body = F.regexp_replace("value", r"\n    \}\s*$", "")
+    # Predicates may be evaluated in any order, so the parser itself must not see blank rows.
+    filled = F.trim(F.translate("value", "\r\n\t", "   ")) != ""
+    body = F.concat(F.regexp_replace("value", r"\n    \}\s*$", ""), F.lit("}"))
+    record = F.from_json(F.when(filled, body), parsed, {"mode": "FAILFAST"})
     return (
         spark.read.option("lineSep", "\n    }\n")
         .text(path)
-        .where(F.trim(F.translate("value", "\r\n\t", "   ")) != "")
-        .select(F.from_json(F.concat(body, F.lit("}")), parsed, {"mode": "FAILFAST"}).alias("r"))
+        .where(filled)
+        .select(record.alias("r"))
         .select(*columns)
     )

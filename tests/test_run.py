@@ -1,11 +1,13 @@
 import pytest
 
+from marquee.__main__ import main
 from marquee.operators.filters import TitleFilter
-from marquee.plans.publish import run_all
-from marquee.plans.stage import PagesRejected, of_ranges, stage_pages
-from marquee.sources import read_pages, read_staging
+from marquee.plans.publish import run_all, run_jobs
+from marquee.plans.stage import PagesRejected, of_ranges, stage_legacy, stage_pages
+from marquee.schemas import TITLE_TABLES
+from marquee.sources import read_pages, read_staging, service_names
 from rows import bag, error, ids, node, offer, page
-from test_sources import land
+from test_sources import land, legacy
 
 SERVICES = ("Hulu", "Max")
 
@@ -99,3 +101,78 @@ def test_whole_run_twice(spark, tmp_path, landed):
         assert read("dim_titles_production_countries") == [("a", "US"), ("c", "US")]
         assert read("dim_genres") == [("drm", "drm")]
         assert len(read("dim_countries")) == 1
+
+
+def test_ranges_without_pages_keep_their_staging(spark, tmp_path, landed):
+    """A run over some landed ranges must not empty the others."""
+    staged = str(tmp_path / "s")
+    assert stage_pages(spark, str(landed), staged) == ((1991, 2000), (2001, 2010), (2011, 2012))
+    later = tmp_path / "later"
+    land(later, page(1, [node("d", 2005), node("stray", 1995)], low=2001, high=2010))
+    assert stage_pages(spark, str(later), staged) == ((2001, 2010),)
+    assert ids(read_staging(spark, staged)) == ["a", "b", "d"]
+
+
+def test_asked_range_must_be_landed(spark, tmp_path, landed):
+    with pytest.raises(PagesRejected, match="missing year range.*2013-2014"):
+        stage_pages(spark, str(landed), str(tmp_path / "s"), ranges=[(1991, 2000), (2013, 2014)])
+    with pytest.raises(PagesRejected, match="no page"):
+        stage_pages(spark, str(landed), str(tmp_path / "s"), ranges=[(2013, 2014)], complete=False)
+
+
+def test_partly_landed_range_is_incomplete(spark, tmp_path):
+    root, staged = tmp_path / "pages", str(tmp_path / "s")
+    land(root, page(1, [node("a", 1992)], low=1991, high=1995))
+    with pytest.raises(PagesRejected, match="incomplete year range.*1991-2000"):
+        stage_pages(spark, str(root), staged)
+    land(root, page(1, [node("b", 1999)], low=1996, high=2000))
+    assert stage_pages(spark, str(root), staged) == ((1991, 2000),)
+    assert ids(read_staging(spark, staged)) == ["a", "b"]
+
+
+def test_legacy_staging(spark, tmp_path):
+    (tmp_path / "old").mkdir()
+    legacy(tmp_path / "old" / "titles_1991_2000.json", [node("a", 1995), node("b", 1996)])
+    legacy(tmp_path / "old" / "titles_2001_2010.json", [node("c", 2005, runtime=None)])
+    stage_legacy(spark, str(tmp_path / "old"), str(tmp_path / "s"))
+    assert ids(read_staging(spark, str(tmp_path / "s"))) == ["a", "b", "c"]
+    run_jobs(spark, str(tmp_path / "old"), str(tmp_path / "x"), "legacy")
+    run_jobs(spark, str(tmp_path / "s"), str(tmp_path / "y"), at_once=1)
+    for contract in TITLE_TABLES:
+        read = lambda root: bag(spark.read.parquet(str(tmp_path / root / contract.folder)))  # noqa: E731,B023
+        assert read("x") == read("y") != []
+
+
+def test_failing_job_is_reported(spark, tmp_path):
+    (tmp_path / "old").mkdir()
+    legacy(tmp_path / "old" / "f.json", [node("a", 40000)])
+    with pytest.raises(Exception, match="CAST_OVERFLOW"):
+        run_jobs(spark, str(tmp_path / "old"), str(tmp_path / "x"), "legacy")
+    assert spark.read.parquet(str(tmp_path / "x" / "genres")).count() == 1
+
+
+def test_command_line(spark, tmp_path, landed):
+    (tmp_path / "services.json").write_text('{"code":"oth", "clear_name":"Other"}\n')
+    (tmp_path / "countries.csv").write_text("name,alpha2_code,alpha3_code\nÅland,AX,ALA\n", "utf-8")
+    places = ["--pages", str(landed), "--staging", str(tmp_path / "s")]
+    root = ["--root", str(tmp_path / "out")]
+    main(["all", *places, *root, "--db", "cli", "--countries", str(tmp_path / "countries.csv")], spark)
+    # The default selection keeps Hulu only.
+    assert bag(spark.table("cli.dim_streaming_services")) == [(7, "Hulu", "Hulu", "/i")]
+    assert spark.table("cli.dim_countries").first().flag.endswith("/ALA.png")
+
+    main(["stage", *places, "--services", str(tmp_path / "services.json"), "--range", "1991-2000"], spark)
+    main(["jobs", "--staging", str(tmp_path / "s"), *root, "--table", "dim_streaming_services"], spark)
+    main(["publish", *root, "--db", "cli"], spark)
+    assert {r.clear_name for r in spark.table("cli.dim_streaming_services").collect()} == {"Hulu", "Other"}
+    assert spark.table("cli.dim_countries").count() == 1
+
+    main(["stage", *places, "--all-services"], spark)
+    assert ids(read_staging(spark, str(tmp_path / "s"))) == ["a", "b", "c"]
+
+
+def test_long_selection_is_no_expression(spark):
+    many = spark.range(30).selectExpr("cast(id as string) as clear_name")
+    assert len(service_names(many)) == 30
+    with pytest.raises(ValueError, match="titles_on_services"):
+        service_names(many, limit=20)
