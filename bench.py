@@ -1,7 +1,7 @@
 """Time the headline work; prints one JSON line.
 
 Landed pages are derived from the tables first (not timed). Timed are: pages to staging,
-the six table jobs from staging to written tables, filters and numbering on the staging
+the six table jobs from staging to written tables (one by one, then together), filters and numbering on the staging
 table, and registered queries straight from the flat tables. Every figure is the median of
 three runs after one warm-up.
 
@@ -67,6 +67,7 @@ def main() -> None:
             spark, staged, root, only=(name,)
         )
     work_items |= {
+        "all_tables": lambda: run_jobs(spark, staged, root),
         "filter_years": filtered(years=(1996, 1998)),
         "filter_services": filtered(services=SERVICES),
         "filter_genres": filtered(genres=GENRES, exclude_countries=COUNTRIES),

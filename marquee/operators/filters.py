@@ -98,7 +98,7 @@ def titles_on_services(df: DataFrame, services: DataFrame) -> DataFrame:
     """
     hits = (
         df.select("id", F.explode(SERVICE_NAMES).alias("clear_name"))
-        .join(services.select("clear_name").distinct(), "clear_name", "left_semi")
+        .join(services.select("clear_name"), "clear_name", "left_semi")
         .select("id")
         .distinct()
     )

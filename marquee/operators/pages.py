@@ -57,6 +57,7 @@ def _struct(**fields: Column) -> Column:
 def audit_pages(pages: DataFrame) -> DataFrame:
     """One row per requested year range: what was landed, and whether it is complete.
 
+    A page failed if its status is not 200 or its body holds no result.
     Complete means: no failed page; page numbers without gap or copy; the lowest page is
     the only one asked for without a cursor; every other page was asked for with the end
     cursor of the page before; exactly the highest page says there is no next one; and
@@ -75,7 +76,7 @@ def audit_pages(pages: DataFrame) -> DataFrame:
         asked=asked,
         promised=F.lit(None).cast("string"),
         here=F.lit(1),
-        failed=F.when(ok, 0).otherwise(1),
+        failed=F.when(ok & F.col(popular).isNotNull(), 0).otherwise(1),
         is_last=~F.coalesce(F.col(f"{popular}.pageInfo.hasNextPage"), F.lit(True)),
         edges=F.coalesce(F.size(F.col(f"{popular}.edges")), F.lit(0)),
         total=F.col(f"{popular}.totalCount"),

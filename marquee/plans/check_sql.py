@@ -134,7 +134,7 @@ SELECT {TITLE}, {YEAR_MIN} AS year_min, {YEAR_MAX} AS year_max FROM orders WHERE
     **{
         f"staging_{fmt}_round_trip": f"""
 SELECT {SCALARS}, {YEAR_MIN} AS year_min, {YEAR_MAX} AS year_max,
-    CAST(genre_count AS INTEGER) AS genre_count
+    CAST(coalesce(genre_count, -1) AS INTEGER) AS genre_count
 FROM {ORDERS} LEFT JOIN (SELECT l_orderkey AS k, count(DISTINCT p_type) AS genre_count
     FROM {GENRE_LINES} GROUP BY 1) ON k = o_orderkey
 WHERE {COVERED}"""

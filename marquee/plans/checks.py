@@ -154,9 +154,9 @@ def _staging_round_trip(fmt: str) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         path = _stage(spark, sf_dir, ("genres", "seasons"), fmt)
         titles = read_staging(spark, path, fmt)
-        return titles.select(
-            *SCALARS, "year_min", "year_max", F.size("content_genres").alias("genre_count")
-        )
+        # -1 tells a missing array from an empty one.
+        genre_count = F.coalesce(F.size("content_genres"), F.lit(-1)).alias("genre_count")
+        return titles.select(*SCALARS, "year_min", "year_max", genre_count)
 
     return query
 

@@ -20,24 +20,28 @@ from marquee import schemas
 from marquee.schemas import TableContract
 
 
+# Column of the title facts, and the staging column it is taken from.
+FACTS = {
+    "title_id": "id",
+    "object_type": "objectType",
+    "title": "content_title",
+    "short_description": "content_shortDescription",
+    "release_year": "content_originalReleaseYear",
+    "age_dertification": "content_ageCertification",
+    "runtime": "content_runtime",
+    "full_path": "content_fullPath",
+    "imdb_score": "content_scoring_imdbScore",
+    "imdb_votes": "content_scoring_imdbVotes",
+    "tmdb_popolarity": "content_scoring_tmdbPopularity",
+    "tmbd_score": "content_scoring_tmdbScore",
+    "season_count": "totalSeasonCount",
+}
+
+
 def titles(staging: DataFrame) -> DataFrame:
     """Title facts. Missing numbers become 0 before the distinct, so titles that differ
     only in null against 0 are one row."""
-    facts = staging.select(
-        F.col("id").alias("title_id"),
-        F.col("objectType").alias("object_type"),
-        F.col("content_title").alias("title"),
-        F.col("content_shortDescription").alias("short_description"),
-        F.col("content_originalReleaseYear").alias("release_year"),
-        F.col("content_ageCertification").alias("age_dertification"),
-        F.col("content_runtime").alias("runtime"),
-        F.col("content_fullPath").alias("full_path"),
-        F.col("content_scoring_imdbScore").alias("imdb_score"),
-        F.col("content_scoring_imdbVotes").alias("imdb_votes"),
-        F.col("content_scoring_tmdbPopularity").alias("tmdb_popolarity"),
-        F.col("content_scoring_tmdbScore").alias("tmbd_score"),
-        F.col("totalSeasonCount").alias("season_count"),
-    )
+    facts = staging.select([F.col(source).alias(name) for name, source in FACTS.items()])
     return schemas.FCT_TITLES.conform(facts).na.fill(0).dropDuplicates()
 
 

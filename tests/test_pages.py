@@ -68,6 +68,13 @@ def test_incomplete(spark, records):
     assert verdict(spark, *records) == {1991: False}
 
 
+def test_page_without_result_failed(spark):
+    empty = [{**GOOD[0], "data": None}, {**GOOD[0], "data": {"popularTitles": None}}]
+    for record in empty:
+        (row,) = audit_pages(pages(spark, record)).collect()
+        assert (row.failed, row.complete) == (1, False)
+
+
 def test_ranges_are_judged_apart(spark):
     other = [page(1, [A], total=2, low=2001, high=2010)]
     assert verdict(spark, *GOOD, *other) == {1991: True, 2001: False}
