@@ -41,6 +41,8 @@ class TitleFilter:
             if isinstance(value, str):
                 raise TypeError(f"{field.name} takes a sequence of values, not one string")
             object.__setattr__(self, field.name, tuple(value))
+        if self.years and (len(self.years) != 2 or self.years[0] > self.years[1]):
+            raise ValueError("years takes a first and a last year")
 
 
 def selected_names(services: Sequence[tuple[str, str]] = SELECTED_SERVICES) -> tuple[str, ...]:

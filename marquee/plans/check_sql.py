@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from marquee.constants import FLAG_PATTERN, PAGE_SIZE
 from marquee.functions import year_ranges
-from marquee.plans.checks import CODES, COUNTRIES, GENRES, NEEDS, SERVICES
+from marquee.plans.checks import CODES, COUNTRIES, GENRES, NEEDS, REPLACED, SERVICES
 
 
 def _in(values) -> str:
@@ -140,12 +140,21 @@ FROM {ORDERS} LEFT JOIN (SELECT l_orderkey AS k, count(DISTINCT p_type) AS genre
 WHERE {COVERED}"""
         for fmt in ("parquet", "json")
     },
+    "staging_range_replaced": f"""
+SELECT {TITLE}, {OBJECT_TYPE} AS "objectType", {YEAR_MIN} AS year_min, {YEAR_MAX} AS year_max
+FROM orders WHERE {COVERED} AND (o_orderstatus = 'O'
+    OR year(o_orderdate) NOT BETWEEN {REPLACED[0]} AND {REPLACED[1]})""",
     "legacy_staging_scan": f"SELECT {SCALARS} FROM {ORDERS}",
     "pages_to_staging": f"{OFFERS} WHERE s_name IN {_in(SERVICES)} AND {COVERED}",
     "page_completeness": f"""
 SELECT {YEAR_MIN} AS min, {YEAR_MAX} AS max,
     CAST(ceil(count(*) / {PAGE_SIZE}.0) AS BIGINT) AS pages, CAST(0 AS BIGINT) AS failed,
     count(*) AS titles, count(*) AS total_count, true AS complete
+FROM orders WHERE {COVERED} GROUP BY 1, 2""",
+    "page_chain_broken": f"""
+SELECT {YEAR_MIN} AS min, {YEAR_MAX} AS max,
+    CAST(ceil(count(*) / {PAGE_SIZE}.0) AS BIGINT) AS pages, count(*) AS titles,
+    count(*) <= {PAGE_SIZE} AS complete
 FROM orders WHERE {COVERED} GROUP BY 1, 2""",
     "page_error_rows": f"""
 SELECT o_orderkey AS page_no, CAST(500 AS INTEGER) AS status,
@@ -172,3 +181,4 @@ FROM nation""",
 # The published tables come through staging, which holds the covered years only.
 for _name in NEEDS:
     SQL[f"published_{_name}"] += f" WHERE {COVERED}"
+SQL["whole_run_fct_titles"] = SQL["published_fct_titles"]

@@ -24,7 +24,7 @@ from marquee.operators import filters, pages, ranking
 from marquee.operators.filters import TitleFilter
 from marquee.operators.flatten import flatten
 from marquee.plans import normalize
-from marquee.plans.publish import run_jobs
+from marquee.plans.publish import run_all, run_jobs
 from marquee.plans.stage import stage_pages
 from marquee.schemas import DIM_COUNTRIES, TITLE_TABLES
 from marquee.session import scratch_path
@@ -58,6 +58,7 @@ SERVICES = tuple(f"Supplier#{n:09d}" for n in (1, 3, 5, 7))
 CODES = ("s1", "s3", "s5", "s7")
 GENRES = ("PROMO", "ECONOMY")
 COUNTRIES = ("NATION_3", "NATION_20")
+REPLACED = (1991, 2000)
 SCALARS = (
     "id",
     "objectType",
@@ -83,8 +84,9 @@ def _job(name: str) -> Query:
 
 def _filtered(needs: tuple[str, ...], wanted: TitleFilter) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        titles = filters.filter_titles(staging_titles(spark, sf_dir, needs), wanted)
-        return titles.select(*TITLE).distinct()
+        titles = filters.filter_titles(staging_titles(spark, sf_dir, needs), wanted).select(*TITLE)
+        # Only offers can be spread over several records of a title.
+        return titles.distinct() if "offers" in needs else titles
 
     return query
 
@@ -161,6 +163,15 @@ def _staging_round_trip(fmt: str) -> Query:
     return query
 
 
+def _staging_range_replaced(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Staged once whole, then one year range again with shows only."""
+    path = _stage(spark, sf_dir, (), "parquet")
+    titles = filters.assign_year_range(staging_titles(spark, sf_dir, ()), ranges=[REPLACED])
+    shows = filters.filter_titles(titles, TitleFilter(object_types=("SHOW",)))
+    write_staging(shows, path, ranges=[REPLACED])
+    return read_staging(spark, path).select(*TITLE, "objectType", "year_min", "year_max")
+
+
 def _legacy_staging_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Staging records as indented objects in text files, read back."""
     record = F.to_json(F.struct(*SCALARS))
@@ -186,6 +197,13 @@ def _page_completeness(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.audit_pages(landed_pages(spark, sf_dir, ()))
 
 
+def _page_chain_broken(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Page 2 of every range was asked for with a wrong cursor."""
+    wrong = F.when(F.col("page_no") == 2, F.lit("wrong")).otherwise(F.col("cursor_sent"))
+    audit = pages.audit_pages(landed_pages(spark, sf_dir, ()).withColumn("cursor_sent", wrong))
+    return audit.select("min", "max", "pages", "titles", "complete")
+
+
 def _page_error_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.page_errors(order_responses(spark, sf_dir))
 
@@ -216,17 +234,20 @@ def _services_by_code(spark: SparkSession, sf_dir: str) -> DataFrame:
     return services_by_code(_service_catalogue_scan(spark, sf_dir), CODES)
 
 
+def _countries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/nation.parquet").select(
+        F.col("n_name").alias("name"),
+        F.concat(F.lit("N"), "n_nationkey").alias("alpha2_code"),
+        F.concat(F.lit("NN"), "n_nationkey").alias("alpha3_code"),
+    )
+
+
 def _country_table_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     place = scratch_path(spark, "warehouse")
     db = place.rsplit("/", 1)[1].replace("-", "_")
     create_database(spark, db, place)
     table = create_country_table(spark, db)
-    nations = spark.read.parquet(f"{sf_dir}/nation.parquet").select(
-        F.col("n_name").alias("name"),
-        F.concat(F.lit("N"), "n_nationkey").alias("alpha2_code"),
-        F.concat(F.lit("NN"), "n_nationkey").alias("alpha3_code"),
-    )
-    load_countries(spark, nations, db)
+    load_countries(spark, _countries(spark, sf_dir), db)
     return spark.table(table).select(*DIM_COUNTRIES.columns)
 
 
@@ -246,6 +267,17 @@ def _published(name: str) -> Query:
     return query
 
 
+def _whole_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages to staging to all tables to the catalogue; the title facts read by name."""
+    landed, staged = scratch_path(spark, "pages"), scratch_path(spark, "staging")
+    root = scratch_path(spark, "run")
+    db = root.rsplit("/", 1)[1].replace("-", "_")
+    landed_pages(spark, sf_dir).write.partitionBy("min", "max").json(landed)
+    countries = _countries(spark, sf_dir)
+    run_all(spark, landed, staged, root, db, countries, f"{root}/{db}", multi_line=False)
+    return spark.table(f"{db}.fct_titles")
+
+
 QUERIES: dict[str, Query] = {
     **{name: _job(name) for name in NEEDS},
     "flatten_titles": _flatten_titles,
@@ -268,13 +300,16 @@ QUERIES: dict[str, Query] = {
     "union_ranges": _union_ranges,
     "staging_parquet_round_trip": _staging_round_trip("parquet"),
     "staging_json_round_trip": _staging_round_trip("json"),
+    "staging_range_replaced": _staging_range_replaced,
     "legacy_staging_scan": _legacy_staging_scan,
     "pages_to_staging": _pages_to_staging,
     "page_completeness": _page_completeness,
+    "page_chain_broken": _page_chain_broken,
     "page_error_rows": _page_error_rows,
     "service_selection_scan": _service_selection_scan,
     "service_catalogue_scan": _service_catalogue_scan,
     "services_by_code": _services_by_code,
     "country_table_scan": _country_table_scan,
     **{f"published_{name}": _published(name) for name in NEEDS},
+    "whole_run_fct_titles": _whole_run,
 }

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -11,11 +11,31 @@ from marquee.schemas import STAGING, STAGING_RANGE
 _WHOLE = (T.ShortType, T.IntegerType, T.LongType)
 
 
-def _whole_number(field: T.StructField):
-    value = F.col(f"r.{field.name}")
-    fits = value.isNull() | (value % 1 == 0)
-    message = F.concat(F.lit(f"{field.name} is not a whole number: "), value.cast("string"))
-    return F.when(fits, value.cast(field.dataType)).otherwise(F.raise_error(message))
+def _parsed(schema: T.StructType) -> T.StructType:
+    """Schema to parse JSON staging with.
+
+    Such files may come from nullable number columns, which turn whole numbers into
+    ``90.0``. Whole-number columns are therefore parsed as exact decimals.
+    """
+    return T.StructType(
+        [
+            T.StructField(f.name, T.DecimalType(38, 10) if isinstance(f.dataType, _WHOLE) else f.dataType)
+            for f in schema
+        ]
+    )
+
+
+def _restored(schema: T.StructType, parent: str = "") -> list[Column]:
+    """The parsed columns with their proper types; a broken number fails."""
+    columns = []
+    for field in schema:
+        value = F.col(parent + field.name)
+        if isinstance(field.dataType, _WHOLE):
+            fits = value.isNull() | (value % 1 == 0)
+            message = F.concat(F.lit(f"{field.name} is not a whole number: "), value.cast("string"))
+            value = F.when(fits, value.cast(field.dataType)).otherwise(F.raise_error(message))
+        columns.append(value.alias(field.name))
+    return columns
 
 
 def read_staging(spark: SparkSession, source: str, fmt: str = "parquet") -> DataFrame:
@@ -29,11 +49,12 @@ def read_staging(spark: SparkSession, source: str, fmt: str = "parquet") -> Data
         return spark.table(source)
     if fmt == "legacy":
         return read_concatenated_json(spark, source)
-    schema = T.StructType([*STAGING.fields, *STAGING_RANGE.fields])
-    reader = spark.read.schema(schema)
     if fmt == "json":
-        reader = reader.option("mode", "FAILFAST")
-    return reader.format(fmt).load(source)
+        schema = T.StructType([*_parsed(STAGING).fields, *STAGING_RANGE.fields])
+        rows = spark.read.schema(schema).option("mode", "FAILFAST").json(source)
+        return rows.select(*_restored(STAGING), *STAGING_RANGE.names)
+    schema = T.StructType([*STAGING.fields, *STAGING_RANGE.fields])
+    return spark.read.schema(schema).format(fmt).load(source)
 
 
 def read_concatenated_json(
@@ -45,28 +66,15 @@ def read_concatenated_json(
     closing brace ends a record and nothing else does. It serves as the record separator
     of the text reader, which splits large files at it. Each record then lacks its closing
     brace, except the last one of a file without a final line break.
-
-    The files were written from nullable number columns, which turn whole numbers into
-    ``90.0``. Whole-number columns are therefore parsed as exact decimals and cast.
     """
-    parsed = T.StructType(
-        [
-            T.StructField(f.name, T.DecimalType(38, 10) if isinstance(f.dataType, _WHOLE) else f.dataType)
-            for f in schema
-        ]
-    )
-    columns = [
-        (_whole_number(f) if isinstance(f.dataType, _WHOLE) else F.col(f"r.{f.name}")).alias(f.name)
-        for f in schema
-    ]
     # Predicates may be evaluated in any order, so the parser itself must not see blank rows.
     filled = F.trim(F.translate("value", "\r\n\t", "   ")) != ""
     body = F.concat(F.regexp_replace("value", r"\n    \}\s*$", ""), F.lit("}"))
-    record = F.from_json(F.when(filled, body), parsed, {"mode": "FAILFAST"})
+    record = F.from_json(F.when(filled, body), _parsed(schema), {"mode": "FAILFAST"})
     return (
         spark.read.option("lineSep", "\n    }\n")
         .text(path)
         .where(filled)
         .select(record.alias("r"))
-        .select(*columns)
+        .select(*_restored(schema, "r."))
     )

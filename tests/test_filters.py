@@ -51,6 +51,9 @@ def test_filter_titles(titles, wanted, expected):
 def test_one_string_is_not_a_list():
     with pytest.raises(TypeError):
         TitleFilter(genres="drama")
+    for years in ((2000,), (2001, 2000)):
+        with pytest.raises(ValueError):
+            TitleFilter(years=years)
 
 
 def test_titles_on_service_table(spark, titles):

@@ -9,6 +9,7 @@ from marquee.sources import (
     read_pages,
     read_service_catalogue,
     read_service_selection,
+    read_staging,
 )
 from rows import bag, ids, node, page
 
@@ -98,6 +99,16 @@ def test_legacy_whole_numbers_with_a_point(spark, tmp_path):
         read_concatenated_json(spark, str(tmp_path)).collect()
 
 
+def test_json_lines_staging_with_float_numbers(spark, tmp_path):
+    folder = tmp_path / "year_min=1991" / "year_max=2000"
+    folder.mkdir(parents=True)
+    legacy(folder / "f.json", [node("a", 1995), node("b", None, runtime=None)], indent=None)
+    df = read_staging(spark, str(tmp_path), "json")
+    assert df.schema[: len(STAGING)] == STAGING
+    got = bag(df.select("id", "content_runtime", "content_originalReleaseYear", "year_min"))
+    assert got == [("a", 90, 1995, 1991), ("b", None, None, 1991)]
+
+
 @pytest.mark.parametrize("end", ["", "\n", "\n\n", "  \r\n"])
 def test_legacy_file_endings(spark, tmp_path, end):
     legacy(tmp_path / "f.json", [node("a"), node("b")])
