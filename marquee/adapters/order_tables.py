@@ -213,33 +213,30 @@ def landed_pages(
 ) -> DataFrame:
     """The records as response pages per year range, most popular first.
 
-    A page collects at most ``size`` records of bounded length. The ranking runs over the
-    thin sort keys only; the records join it by their unique key. Links between pages come
+    A page collects at most ``size`` records of bounded length. Links between pages come
     from the ranking too: the record at the end of page n is the cursor sent for n + 1.
     """
     records = _records(spark, sf_dir, fields, max_offers)
-    thin = assign_year_range(
-        records.select(
-            "id",
-            PART,
-            F.col("content.originalReleaseYear").alias("year"),
-            F.col("content.scoring.tmdbPopularity").alias("popularity"),
-        ),
-        "year",
+    node = F.struct(*[c for c in records.columns if c != PART])
+    titles = records.select(
+        "id",
+        PART,
+        F.col("content.originalReleaseYear").alias("year"),
+        F.col("content.scoring.tmdbPopularity").alias("popularity"),
+        node.alias("node"),
+    )
+    ranked = number_pages(
+        assign_year_range(titles, "year"), size, "popularity", ("id", PART), keep=("node",)
     )
-    ranked = number_pages(thin, size, "popularity", ("id", PART))
     cursor = F.concat_ws("/", "id", PART)
     totals = ranked.groupBy(*RANGE).agg(F.count("*").alias("total"))
     sent = ranked.where(F.col("rank") % size == 0).select(
         *RANGE, (F.col("page_no") + 1).alias("page_no"), cursor.alias("cursor_sent")
     )
-    edge = F.struct(
-        "rank", cursor.alias("cursor"), F.struct(*[c for c in records.columns if c != PART]).alias("node")
-    )
+    edge = F.struct("rank", cursor.alias("cursor"), "node")
     # The totals have one row per year range, a fixed number.
     pages = (
-        records.join(ranked.select(*RANGE, "rank", "page_no", "id", PART), ["id", PART])
-        .groupBy(*RANGE, "page_no")
+        ranked.groupBy(*RANGE, "page_no")
         .agg(F.array_sort(F.collect_list(edge)).alias("ranked"))
         .join(F.broadcast(totals), list(RANGE))
         .join(sent, [*RANGE, "page_no"], "left")

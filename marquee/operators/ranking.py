@@ -72,26 +72,30 @@ def number_pages(
     popularity: str = POPULARITY,
     ties: Sequence[str] = ("id",),
     groups: Sequence[str] = RANGE,
+    keep: Sequence[str] = (),
 ) -> DataFrame:
     """Rank the titles of each group by popularity and cut the ranking into pages.
 
-    Returns the group, popularity and tie columns with ``rank`` and ``page_no``.
+    Returns the group, popularity, tie and ``keep`` columns with ``rank`` and ``page_no``.
+    Columns that are kept travel through the sort: joining them back by id would multiply
+    the copies of a title with each other.
 
     A window per year range would sort a whole range, easily a third of all titles, in
-    one task. Instead all titles are sorted globally, which range-partitions them evenly
-    (the ties make keys unique), and a rank is the row's offset in its sorted block plus
-    the number of rows of its group in the blocks before.
+    one task. Instead all titles are sorted globally, which range-partitions them evenly,
+    and a rank is the row's offset in its sorted block plus the number of rows of its group
+    in the blocks before. The ties tell titles apart; copies of one title are told apart by
+    the input partition they come from, so that they too spread over several blocks.
 
     Positions must not move between the pass that counts the blocks and the pass that
     adds the offsets, so the sorted keys are written to a scratch table once. The offset
     table has at most (number of sorted blocks + number of groups) rows; with the fixed
     set of year ranges that bound allows the broadcast.
     """
-    keys = [*groups, popularity, *ties]
+    keys = [*groups, popularity, *ties, *keep]
     placed = written(
-        df.select(*keys)
-        .orderBy(*groups, *_order(popularity, ties))
-        .withColumn("position", F.monotonically_increasing_id()),
+        df.select(*keys, F.spark_partition_id().alias("source"))
+        .orderBy(*groups, *_order(popularity, ties), "source")
+        .select(*keys, F.monotonically_increasing_id().alias("position")),
         "ranked",
     )
     block = F.shiftright("position", _ROW_BITS)

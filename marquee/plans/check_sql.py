@@ -91,6 +91,10 @@ FROM orders JOIN {COUNTRY_LINES} ON l_orderkey = o_orderkey""",
 
 
 def _titles(where: str) -> str:
+    return f"SELECT {TITLE} FROM orders WHERE {where}"
+
+
+def _distinct_titles(where: str) -> str:
     return f"SELECT DISTINCT {TITLE} FROM orders WHERE {where}"
 
 
@@ -110,8 +114,8 @@ SQL: dict[str, str] = {
 SELECT {YEAR_MIN} AS year_min, {YEAR_MAX} AS year_max, count(*) AS title_count
 FROM orders WHERE {COVERED} GROUP BY 1, 2""",
     "titles_in_years": _titles("year(o_orderdate) BETWEEN 1996 AND 1998"),
-    "titles_on_services": _titles(_exists(OFFER_LINES, f"s_name IN {_in(SERVICES)}")),
-    "titles_on_service_table": _titles(_exists(OFFER_LINES, "s_nationkey < 10")),
+    "titles_on_services": _distinct_titles(_exists(OFFER_LINES, f"s_name IN {_in(SERVICES)}")),
+    "titles_on_service_table": _distinct_titles(_exists(OFFER_LINES, "s_nationkey < 10")),
     "offers_on_services": f"{OFFERS} WHERE s_name IN {_in(SERVICES)}",
     "titles_genre_any": _titles(_GENRE_HIT),
     "titles_genre_none": _titles(f"NOT {_GENRE_HIT}"),

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from marquee.operators import ranking
 from marquee.operators.ranking import POPULARITY
+from marquee.session import written
 
 
 def frame(spark, rows, parts=5):
@@ -64,21 +65,37 @@ def test_page_numbers_equal_a_plain_ranking(spark, parts):
     assert got == want
 
 
-def test_numbering_spreads_a_hot_range(spark):
-    """One range only: its ranking must still be sorted by several tasks."""
-    rows = [(f"t{i:05d}", float(i % 3), 1991, 2000) for i in range(4000)]
+@pytest.mark.parametrize(
+    "rows",
+    [
+        [(f"t{i:05d}", float(i % 3), 1991, 2000) for i in range(4000)],
+        [("copy", 1.0, 1991, 2000)] * 4000,
+    ],
+    ids=["one range", "copies of one title"],
+)
+def test_numbering_spreads_hot_groups(spark, monkeypatch, rows):
+    blocks = []
+
+    def spy(df, label):
+        kept = written(df, label)
+        blocks.append(kept.groupBy(F.shiftright("position", 33)).count().collect())
+        return kept
+
+    monkeypatch.setattr(ranking, "written", spy)
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
-        df = frame(spark, rows, 4)
-        numbered = ranking.number_pages(df)
-        assert numbered.select("rank").distinct().count() == 4000
-        sizes = (
-            df.orderBy(F.col(POPULARITY).desc_nulls_last(), "id")
-            .groupBy(F.spark_partition_id()).count().collect()
-        )
-        assert len(sizes) > 1 and max(r["count"] for r in sizes) < 2000
+        numbered = ranking.number_pages(frame(spark, rows, 16), size=10)
+        assert sorted(r["rank"] for r in numbered.collect()) == list(range(1, 4001))
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    sizes = [r["count"] for r in blocks[0]]
+    assert len(sizes) > 2 and max(sizes) < 2000
+
+
+def test_kept_columns_travel_along(spark):
+    df = frame(spark, titles(50)).withColumn("more", F.struct("id", F.lit(1)))
+    numbered = ranking.number_pages(df, keep=("more",))
+    assert numbered.where("more.id = id").count() == 50
 
 
 def test_empty(spark):

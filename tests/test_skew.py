@@ -19,8 +19,9 @@ LINES = 9_000
 @pytest.fixture(scope="module")
 def skewed(tmp_path_factory):
     """Order 7 has a third of all line items, all different; order 9 has a third, all
-    copies of one; one part and one supplier hold a third as well. Most orders fall into
-    one year range and share one price."""
+    copies of one; one part and one supplier hold a third as well. A third of all rows of
+    the orders are copies of one order. Most orders fall into one year range and share one
+    price."""
     rng = random.Random(5)
     root = tmp_path_factory.mktemp("skewed")
     lines = []
@@ -31,7 +32,7 @@ def skewed(tmp_path_factory):
             row = (9, 4, 4, 1)
         else:
             # Orders 180 to 199 have no line item; parts and suppliers 30, 20 do not exist.
-            row = (rng.randrange(180), rng.randrange(31), rng.randrange(21), rng.randrange(7))
+            row = (rng.choice([*range(180), 200]), rng.randrange(31), rng.randrange(21), rng.randrange(7))
         lines.append(row)
     tables = {
         "lineitem": pd.DataFrame(
@@ -47,7 +48,8 @@ def skewed(tmp_path_factory):
                     rng.choice(["1-URGENT", "2-HIGH", "5-LOW"]),
                 )
                 for k in range(200)
-            ],
+            ]
+            + [(200, 3, "O", 55.5, datetime.datetime(1996, 5, 1), "2-HIGH")] * 100,
             columns=["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate",
                      "o_orderpriority"],
         ),
