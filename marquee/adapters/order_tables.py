@@ -21,8 +21,8 @@ from pyspark.sql import functions as F
 
 from marquee.constants import PAGE_SIZE, SHOW
 from marquee.operators.filters import assign_year_range
-from marquee.operators.flatten import flatten
-from marquee.operators.ranking import RANGE, number_pages
+from marquee.operators.ranking import POPULARITY, RANGE, number_pages
+from marquee.schemas import STAGING
 from marquee.session import written
 
 ALL = ("genres", "countries", "offers", "seasons")
@@ -99,7 +99,7 @@ def _with_parts(lines: DataFrame, big: DataFrame, small: bool) -> DataFrame:
 def _records(
     spark: SparkSession, sf_dir: str, fields: Collection[str], max_offers: int
 ) -> DataFrame:
-    """One row per title record: NODE columns for the wanted fields, and the part number."""
+    """One row per title record: staging columns for the wanted fields, and the part number."""
     orders = _read(spark, sf_dir, "orders")
     frame = orders.withColumnRenamed("o_orderkey", "key")
     if {"genres", "countries", "seasons"} & set(fields):
@@ -132,40 +132,34 @@ def _records(
         frame = frame.join(offers, on, "left")
 
     status, priority, price = F.col("o_orderstatus"), F.col("o_orderpriority"), F.col("o_totalprice")
-    content = {
-        "title": F.concat(F.lit("Title "), F.col("key")),
-        "shortDescription": priority,
-        "originalReleaseYear": F.year("o_orderdate"),
-        "ageCertification": F.when(status != "P", priority),
-        "runtime": F.col("o_custkey") % 180,
-        "fullPath": F.concat(F.lit("/title/"), F.col("key")),
+    is_show = status == "O"
+    values = {
+        "id": F.concat(F.lit("tt"), F.col("key")),
+        "objectType": F.when(is_show, F.lit(SHOW)).otherwise(F.lit("MOVIE")),
+        "content_title": F.concat(F.lit("Title "), F.col("key")),
+        "content_shortDescription": priority,
+        "content_originalReleaseYear": F.year("o_orderdate"),
+        "content_ageCertification": F.when(status != "P", priority),
+        "content_runtime": F.col("o_custkey") % 180,
+        "content_fullPath": F.concat(F.lit("/title/"), F.col("key")),
+        "content_scoring_imdbScore": F.when(status != "F", price),
+        "content_scoring_imdbVotes": F.when(
+            F.col("o_custkey") % 2 != 0, F.col("o_custkey").cast("double")
+        ),
+        "content_scoring_tmdbPopularity": price,
+        "content_scoring_tmdbScore": F.when(priority != "5-LOW", price / 100000),
     }
     if "countries" in fields:
-        content["productionCountries"] = F.col("countries")
+        values["content_productionCountries"] = F.col("countries")
     if "genres" in fields:
-        content["genres"] = F.transform(
+        values["content_genres"] = F.transform(
             "genres", lambda g: F.struct(g.alias("id"), F.lower(g).alias("translation"))
         )
-    scoring = {
-        "imdbScore": F.when(status != "F", price),
-        "imdbVotes": F.when(F.col("o_custkey") % 2 != 0, F.col("o_custkey").cast("double")),
-        "tmdbPopularity": price,
-        "tmdbScore": F.when(priority != "5-LOW", price / 100000),
-    }
-    content["scoring"] = F.struct(*[v.alias(k) for k, v in scoring.items()])
-    is_show = status == "O"
-    record = {
-        "id": F.concat(F.lit("tt"), F.col("key")),
-        "objectType": F.when(is_show, F.lit(SHOW)).otherwise(F.lit("MOVIE")),
-        "content": F.struct(*[v.alias(k) for k, v in content.items()]),
-    }
     if "offers" in fields:
-        record["offers"] = F.transform("offers", lambda offer: _offer(F.col("key"), offer))
+        values["offers"] = F.transform("offers", lambda offer: _offer(F.col("key"), offer))
     if "seasons" in fields:
-        record["totalSeasonCount"] = F.when(
-            is_show, F.coalesce(F.col("line_count"), F.lit(0.0))
-        )
-    return frame.select(PART, *[v.alias(k) for k, v in record.items()])
+        values["totalSeasonCount"] = F.when(is_show, F.coalesce(F.col("line_count"), F.lit(0.0)))
+    return frame.select(PART, *[values[n].alias(n) for n in STAGING.names if n in values])
 
 
 def _offer(key: Column, offer: Column) -> Column:
@@ -183,25 +177,40 @@ def _offer(key: Column, offer: Column) -> Column:
     )
 
 
-def nested_titles(
+def _node(columns: Collection[str]) -> list[Column]:
+    """The flat columns as the fields of a title record."""
+
+    def gather(prefix: str) -> list[Column]:
+        depth = prefix.count("_")
+        names = [c for c in columns if c.startswith(prefix) and c.count("_") == depth]
+        return [F.col(c).alias(c[len(prefix) :]) for c in names]
+
+    scoring = F.struct(*gather("content_scoring_")).alias("scoring")
+    content = F.struct(*gather("content_"), scoring).alias("content")
+    last = [c for c in ("offers", "totalSeasonCount") if c in columns]
+    return [F.col("id"), F.col("objectType"), content, *[F.col(c) for c in last]]
+
+
+def staging_titles(
     spark: SparkSession,
     sf_dir: str,
     fields: Collection[str] = ALL,
     max_offers: int = MAX_OFFERS,
 ) -> DataFrame:
-    """Title records. ``fields`` names the parts that need line items; parts left out are
-    absent from the record, and the tables behind them are not read."""
+    """Titles as flat staging columns. ``fields`` names the columns that need line items;
+    columns left out are absent, and the tables behind them are not read."""
     return _records(spark, sf_dir, fields, max_offers).drop(PART)
 
 
-def staging_titles(
+def nested_titles(
     spark: SparkSession,
     sf_dir: str,
     fields: Collection[str] = ALL,
     max_offers: int = MAX_OFFERS,
 ) -> DataFrame:
-    """The same records as flat staging columns."""
-    return flatten(nested_titles(spark, sf_dir, fields, max_offers))
+    """The same titles as nested records."""
+    flat = staging_titles(spark, sf_dir, fields, max_offers)
+    return flat.select(_node(flat.columns))
 
 
 def landed_pages(
@@ -216,29 +225,23 @@ def landed_pages(
     A page collects at most ``size`` records of bounded length. Links between pages come
     from the ranking too: the record at the end of page n is the cursor sent for n + 1.
     """
-    records = _records(spark, sf_dir, fields, max_offers)
-    node = F.struct(*[c for c in records.columns if c != PART])
+    records = assign_year_range(_records(spark, sf_dir, fields, max_offers))
     titles = records.select(
+        *RANGE,
         "id",
         PART,
-        F.col("content.originalReleaseYear").alias("year"),
-        F.col("content.scoring.tmdbPopularity").alias("popularity"),
-        node.alias("node"),
-    )
-    ranked = number_pages(
-        assign_year_range(titles, "year"), size, "popularity", ("id", PART), keep=("node",)
+        F.col(POPULARITY).alias("popularity"),
+        F.struct(*_node(records.columns)).alias("node"),
     )
+    ranked = number_pages(titles, size, "popularity", ("id", PART), keep=("node",))
     cursor = F.concat_ws("/", "id", PART)
-    totals = ranked.groupBy(*RANGE).agg(F.count("*").alias("total"))
     sent = ranked.where(F.col("rank") % size == 0).select(
         *RANGE, (F.col("page_no") + 1).alias("page_no"), cursor.alias("cursor_sent")
     )
     edge = F.struct("rank", cursor.alias("cursor"), "node")
-    # The totals have one row per year range, a fixed number.
     pages = (
         ranked.groupBy(*RANGE, "page_no")
-        .agg(F.array_sort(F.collect_list(edge)).alias("ranked"))
-        .join(F.broadcast(totals), list(RANGE))
+        .agg(F.array_sort(F.collect_list(edge)).alias("ranked"), F.max("total").alias("total"))
         .join(sent, [*RANGE, "page_no"], "left")
     )
     last = F.element_at("ranked", -1)

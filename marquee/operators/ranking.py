@@ -76,9 +76,9 @@ def number_pages(
 ) -> DataFrame:
     """Rank the titles of each group by popularity and cut the ranking into pages.
 
-    Returns the group, popularity, tie and ``keep`` columns with ``rank`` and ``page_no``.
-    Columns that are kept travel through the sort: joining them back by id would multiply
-    the copies of a title with each other.
+    Returns the group, popularity, tie and ``keep`` columns with ``rank``, ``page_no`` and
+    ``total``, the number of titles of the group. Columns that are kept travel through the
+    sort: joining them back by id would multiply the copies of a title with each other.
 
     A window per year range would sort a whole range, easily a third of all titles, in
     one task. Instead all titles are sorted globally, which range-partitions them evenly,
@@ -99,6 +99,7 @@ def number_pages(
         "ranked",
     )
     block = F.shiftright("position", _ROW_BITS)
+    # Both windows run over the few rows of the offset table.
     before = Window.partitionBy(*groups).orderBy("block").rowsBetween(
         Window.unboundedPreceding, -1
     )
@@ -110,6 +111,7 @@ def number_pages(
             "block",
             "start",
             F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("ahead"),
+            F.sum("rows").over(Window.partitionBy(*groups)).alias("total"),
         )
     )
     same_group = [F.col(g).eqNullSafe(F.col(f"g{i}")) for i, g in enumerate(groups)]
@@ -118,6 +120,6 @@ def number_pages(
         placed.withColumn("block", block)
         .join(F.broadcast(offsets.withColumnRenamed("block", "at")),
               [F.col("block") == F.col("at"), *same_group])
-        .select(*keys, rank.alias("rank"))
+        .select(*keys, rank.alias("rank"), "total")
         .select("*", F.expr(f"cast((rank - 1) div {int(size)} + 1 as int)").alias("page_no"))
     )

@@ -6,14 +6,16 @@ import re
 
 import pytest
 
-from marquee.adapters.order_tables import landed_pages
+from marquee.adapters.order_tables import landed_pages, nested_titles, staging_titles
 from marquee.operators import filters, pages, ranking
 from marquee.operators.filters import TitleFilter
+from marquee.operators.flatten import flatten
 from marquee.plans import normalize
-from marquee.schemas import STAGING
+from marquee.plans.checks import QUERIES
+from marquee.schemas import NODE, STAGING
 from marquee.sinks import write_staging
 from marquee.sources import read_staging
-from rows import node, staging as staging_rows
+from rows import bag, node, staging as staging_rows
 
 
 def plan(df):
@@ -128,3 +130,16 @@ def test_audit_has_no_window_and_no_join(spark, sf_dir, tmp_path):
     landed_pages(spark, sf_dir).write.parquet(str(tmp_path / "p"))
     text = plan(pages.audit_pages(spark.read.parquet(str(tmp_path / "p"))))
     assert "Window" not in text and "Join" not in text
+
+
+def test_adapter_records_match_the_schemas(spark, sf_dir):
+    flat, nested = staging_titles(spark, sf_dir), nested_titles(spark, sf_dir)
+    assert flat.schema.simpleString() == STAGING.simpleString()
+    assert nested.schema.simpleString() == NODE.simpleString()
+    assert bag(flatten(nested)) == bag(flat)
+
+
+def test_adapter_reads_only_what_a_query_uses(spark, sf_dir):
+    schemas = read_schemas(QUERIES["titles_country_none"](spark, sf_dir))
+    assert "struct<o_orderkey:bigint,o_orderdate:timestamp_ntz>" in schemas
+    assert "struct<l_orderkey:bigint,l_suppkey:bigint>" in schemas
