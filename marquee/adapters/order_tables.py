@@ -27,7 +27,7 @@ from marquee.session import written
 
 ALL = ("genres", "countries", "offers", "seasons")
 MAX_OFFERS = 1_000
-BROADCAST_ROWS = 1_000_000  # two numbers per row: about 16 MB
+BROADCAST_ROWS = 1_000_000  # two numbers per row: well below 100 MB as a hash table
 SALTS = 64
 PART = "_part"
 
