@@ -29,6 +29,7 @@ ALL = ("genres", "countries", "offers", "seasons")
 MAX_OFFERS = 1_000
 BROADCAST_ROWS = 1_000_000  # two numbers per row: well below 100 MB as a hash table
 SALTS = 64
+CHUNK = 1_000
 PART = "_part"
 
 
@@ -96,6 +97,27 @@ def _with_parts(lines: DataFrame, big: DataFrame, small: bool) -> DataFrame:
     return lines.withColumn("salt", salt).join(salted, ["key", "salt"], "left").drop("salt")
 
 
+def _heads(frame: DataFrame, big: DataFrame) -> DataFrame:
+    """One row per record an order needs, its part numbers counting from 0.
+
+    Numbered in two steps with a shuffle between, so that no array and no task has to hold
+    all the records of one hot order.
+    """
+    last = F.coalesce(F.col("parts"), F.lit(1)) - 1
+    first = F.col("chunk") * CHUNK
+    return (
+        frame.join(big, "key", "left")
+        .withColumn("last", last)
+        .withColumn("chunk", F.explode(F.sequence(F.lit(0), F.floor(F.col("last") / CHUNK))))
+        .repartition("key", "chunk")
+        .withColumn(
+            PART, F.explode(F.sequence(first, F.least(F.col("last"), first + CHUNK - 1)))
+        )
+        .withColumn(PART, F.col(PART).cast("int"))
+        .drop("parts", "last", "chunk")
+    )
+
+
 def _records(
     spark: SparkSession, sf_dir: str, fields: Collection[str], max_offers: int
 ) -> DataFrame:
@@ -118,10 +140,7 @@ def _records(
             lines = _with_parts(lines, big, small).withColumn(
                 PART, F.coalesce(share, F.lit(0)).cast("int")
             )
-            last = F.coalesce(F.col("parts"), F.lit(1)) - 1
-            frame = frame.join(big, "key", "left").withColumn(
-                PART, F.explode(F.sequence(F.lit(0), last))
-            )
+            frame = _heads(frame, big)
         # Only what tells offers apart is shuffled; their texts are spelt out afterwards.
         offer = F.struct("l_linenumber", "s_suppkey", "s_name")
         offers = (
