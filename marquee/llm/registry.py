@@ -2,12 +2,21 @@
 
 from __future__ import annotations
 
-from marquee.llm import exact_dedup, quality_rules, secret_scans, url_filters
+from marquee.llm import (
+    exact_dedup,
+    packing,
+    quality_rules,
+    secret_scans,
+    token_shards,
+    url_filters,
+)
 
 QUERIES = {
     "op1_exact_dedup": exact_dedup.op1_exact_dedup,
+    "op3_token_shards": token_shards.op3_token_shards,
     "op4_quality_rules": quality_rules.op4_quality_rules,
     "op6_secret_scans": secret_scans.op6_secret_scans,
+    "op8_packing": packing.op8_packing,
     "op10_url_filters": url_filters.op10_url_filters,
 }
 
