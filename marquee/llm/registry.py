@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from marquee.llm import (
     exact_dedup,
+    ngram_join,
     packing,
     quality_rules,
     secret_scans,
@@ -15,6 +16,7 @@ QUERIES = {
     "op1_exact_dedup": exact_dedup.op1_exact_dedup,
     "op3_token_shards": token_shards.op3_token_shards,
     "op4_quality_rules": quality_rules.op4_quality_rules,
+    "op5_ngram_join": ngram_join.op5_ngram_join,
     "op6_secret_scans": secret_scans.op6_secret_scans,
     "op8_packing": packing.op8_packing,
     "op10_url_filters": url_filters.op10_url_filters,
@@ -23,5 +25,6 @@ QUERIES = {
 SQL = {
     "op1_exact_dedup": exact_dedup.ORACLE,
     "op4_quality_rules": quality_rules.ORACLE,
+    "op5_ngram_join": ngram_join.ORACLE,
     "op10_url_filters": url_filters.ORACLE,
 }
