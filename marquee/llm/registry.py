@@ -8,12 +8,14 @@ from marquee.llm import (
     packing,
     quality_rules,
     secret_scans,
+    substring_dedup,
     token_shards,
     url_filters,
 )
 
 QUERIES = {
     "op1_exact_dedup": exact_dedup.op1_exact_dedup,
+    "op2_substring_dedup": substring_dedup.op2_substring_dedup,
     "op3_token_shards": token_shards.op3_token_shards,
     "op4_quality_rules": quality_rules.op4_quality_rules,
     "op5_ngram_join": ngram_join.op5_ngram_join,
