@@ -6,6 +6,7 @@ from marquee.llm import (
     exact_dedup,
     ngram_join,
     packing,
+    piece_transducer,
     quality_classifier,
     quality_rules,
     secret_scans,
@@ -21,6 +22,7 @@ QUERIES = {
     "op4_quality_rules": quality_rules.op4_quality_rules,
     "op5_ngram_join": ngram_join.op5_ngram_join,
     "op6_secret_scans": secret_scans.op6_secret_scans,
+    "op7_sentencepiece": piece_transducer.op7_sentencepiece,
     "op8_packing": packing.op8_packing,
     "op9_quality_classifier": quality_classifier.op9_quality_classifier,
     "op10_url_filters": url_filters.op10_url_filters,

@@ -46,26 +46,30 @@ def default_path() -> str:
     return public_tokenizers.path(VOCABULARY)
 
 
-class Encoder:
-    """Encodes slices of text bytes; made once per task."""
+class PieceTable:
+    """Ids of pieces of text, remembered by hash; subclasses say where texts may be cut and
+    give the ids of pieces not met before. Made once per task."""
 
-    def __init__(self, path: str):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
-        vocabulary = self.tokenizer.get_vocab()
-        self.blank_first = np.zeros(max(vocabulary.values()) + 1, bool)
-        self.blank_first[[i for t, i in vocabulary.items() if t[0] == "Ġ"]] = True
+    def __init__(self, kind: type = np.uint16):
+        self.kind = kind
         self.clear()
 
+    def cuts(self, ends: np.ndarray, data: np.ndarray) -> np.ndarray:
+        """For every byte (and one more) whether a piece may begin there."""
+        raise NotImplementedError
+
+    def _new(
+        self, data: np.ndarray, starts: np.ndarray, stops: np.ndarray
+    ) -> tuple[np.ndarray, np.ndarray]:
+        """Places in the pool and numbers of ids of pieces not met before."""
+        raise NotImplementedError
+
     def clear(self) -> None:
         self.keys = np.zeros(SLOTS, np.uint64)
         self.firsts = np.zeros(SLOTS, np.int32)
         self.counts = np.zeros(SLOTS, np.int16)
         self.sizes = np.zeros(SLOTS, np.int16)  # 0: nothing here
-        self.pool = np.zeros(1 << 16, np.uint16 if len(self.blank_first) <= 1 << 16 else np.uint32)
+        self.pool = np.zeros(1 << 16, self.kind)
         self.used = 0
 
     def _store(self, ids: np.ndarray) -> int:
@@ -75,48 +79,11 @@ class Encoder:
         self.used += len(ids)
         return self.used - len(ids)
 
-    def _ids(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def _new(
-        self, data: np.ndarray, starts: np.ndarray, stops: np.ndarray, odd: np.ndarray
-    ) -> tuple[np.ndarray, np.ndarray]:
-        """Places in the pool and numbers of ids of pieces not met before. ``odd`` counts
-        the bytes before each place that may be or begin white space other than a blank."""
-        firsts, counts = np.zeros(len(starts), np.int32), np.zeros(len(starts), np.int32)
-        # Pieces of one blank and visible characters can be encoded in one string: each
-        # begins with the only id in it that starts with a blank.
-        plain = (data[starts] == 0x20) & (odd[stops] == odd[starts + 1])
-        joined = np.flatnonzero(plain)
-        if len(joined):
-            sizes = stops[joined] - starts[joined]
-            ends = np.cumsum(sizes)
-            raw = data[np.repeat(starts[joined] - (ends - sizes), sizes) + np.arange(ends[-1])].tobytes()
-            cuts = [0, *ends[TOGETHER - 1 :: TOGETHER].tolist(), int(ends[-1])]
-            texts = [raw[i:j].decode("utf-8") for i, j in zip(cuts, cuts[1:]) if i < j]
-            ids = np.concatenate([np.array(x, np.uint32) for x in self._ids(texts)])
-            at = np.flatnonzero(self.blank_first[ids])
-            if len(at) != len(joined):
-                raise AssertionError("a piece was not cut where it begins")
-            firsts[joined] = self._store(ids) + at
-            counts[joined] = np.diff(np.append(at, len(ids)))
-        rest = np.flatnonzero(~plain)
-        texts = [data[starts[i] : stops[i]].tobytes().decode("utf-8") for i in rest]
-        for i, ids in zip(rest, self._ids(texts), strict=True):
-            counts[i] = len(ids)
-            firsts[i] = self._store(np.array(ids, np.uint32))
-        return firsts, counts
-
     def encode(self, ends: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, and the place of each text's first id (one more at the end)."""
         if self.used > POOL:
             self.clear()
-        cut = np.zeros(len(data) + 1, bool)
-        before, here = data[:-1], data[1:]
-        cut[1:-1] |= (_LETTER[before] & _POINT[here]) | (_ASCII[before] & (here == 0x0A))
-        line = (before == 0x0A) & _VISIBLE[here]  # a piece of its own
-        cut[1:-1] |= line
-        cut[:-2] |= line | ((before == 0x20) & _VISIBLE[here])
+        cut = self.cuts(ends, data)
         # The last blank of a text and the first character of the next are no neighbours.
         cut[np.maximum(ends - 1, 0)] = False
         cut[ends] = True
@@ -137,9 +104,7 @@ class Encoder:
         if len(missed):
             _, one, back = np.unique(hashes[missed], return_index=True, return_inverse=True)
             at = missed[one]
-            odd = np.zeros(len(data) + 1, np.int32)
-            np.cumsum(~_PLAIN[data], out=odd[1:])
-            new_firsts, new_counts = self._new(data, starts[at], stops[at], odd)
+            new_firsts, new_counts = self._new(data, starts[at], stops[at])
             firsts[missed], counts[missed] = new_firsts[back], new_counts[back]
             keep = sizes[at] <= LONGEST
             at, new_firsts, new_counts = at[keep], new_firsts[keep], new_counts[keep]
@@ -153,6 +118,62 @@ class Encoder:
         return ids, places[np.searchsorted(starts, ends)]
 
 
+class Encoder(PieceTable):
+    """Encodes slices of text bytes with a byte-level BPE of the tokenizers library."""
+
+    def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer.encode_special_tokens = True
+        vocabulary = self.tokenizer.get_vocab()
+        self.blank_first = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.blank_first[[i for t, i in vocabulary.items() if t[0] == "Ġ"]] = True
+        super().__init__(np.uint16 if len(self.blank_first) <= 1 << 16 else np.uint32)
+
+    def _ids(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _new(
+        self, data: np.ndarray, starts: np.ndarray, stops: np.ndarray
+    ) -> tuple[np.ndarray, np.ndarray]:
+        # Bytes before each place that may be or begin white space other than a blank.
+        odd = np.zeros(len(data) + 1, np.int32)
+        np.cumsum(~_PLAIN[data], out=odd[1:])
+        firsts, counts = np.zeros(len(starts), np.int32), np.zeros(len(starts), np.int32)
+        # Pieces of one blank and visible characters can be encoded in one string: each
+        # begins with the only id in it that starts with a blank.
+        plain = (data[starts] == 0x20) & (odd[stops] == odd[starts + 1])
+        joined = np.flatnonzero(plain)
+        if len(joined):
+            sizes = stops[joined] - starts[joined]
+            ends = np.cumsum(sizes)
+            raw = data[np.repeat(starts[joined] - (ends - sizes), sizes) + np.arange(ends[-1])].tobytes()
+            cuts = [0, *ends[TOGETHER - 1 :: TOGETHER].tolist(), int(ends[-1])]
+            texts = [raw[i:j].decode("utf-8") for i, j in zip(cuts, cuts[1:]) if i < j]
+            ids = np.concatenate([np.array(x, np.uint32) for x in self._ids(texts)])
+            at = np.flatnonzero(self.blank_first[ids])
+            if len(at) != len(joined):
+                raise AssertionError("a piece was not cut where it begins")
+            firsts[joined] = self._store(ids) + at
+            counts[joined] = np.diff(np.append(at, len(ids)))
+        rest = np.flatnonzero(~plain)
+        texts = [data[starts[i] : stops[i]].tobytes().decode("utf-8") for i in rest]
+        for i, ids in zip(rest, self._ids(texts), strict=True):
+            counts[i] = len(ids)
+            firsts[i] = self._store(np.array(ids, np.uint32))
+        return firsts, counts
+
+    def cuts(self, ends: np.ndarray, data: np.ndarray) -> np.ndarray:
+        cut = np.zeros(len(data) + 1, bool)
+        before, here = data[:-1], data[1:]
+        cut[1:-1] |= (_LETTER[before] & _POINT[here]) | (_ASCII[before] & (here == 0x0A))
+        line = (before == 0x0A) & _VISIBLE[here]  # a piece of its own
+        cut[1:-1] |= line
+        cut[:-2] |= line | ((before == 0x20) & _VISIBLE[here])
+        return cut
+
 def crc32(ids: np.ndarray) -> int:
     """Of the ids as little-endian unsigned 32-bit integers."""
     return zlib.crc32(np.ascontiguousarray(ids, "<u4"))
