@@ -18,6 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -224,6 +225,23 @@ def classify(docs: DataFrame, model: dict | None, doc_id: str = "doc_id", text:
     return rows.mapInArrow(run, f"doc_id {kind}, score double")
 
 
+def keep_good(docs: DataFrame, model: dict | None, text: str = "text") -> DataFrame:
+    """The rows of ``docs``, with all their columns, that the model does not reject: each is
+    judged where it stands, so nothing is joined."""
+    place = docs.columns.index(text)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            column = pc.fill_null(batch.column(place), "")
+            good = np.ones(len(column), bool)
+            for first, ends, data in slices(column) if model else ():
+                x, bounds = passages(ends, data)
+                good[first : first + len(bounds) - 1] = score(model, x, bounds) >= 0.5
+            yield batch.filter(pa.array(good))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def score_documents(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "quality") -> DataFrame:
     """One row per row of ``docs``: doc_id, held_out, score, predicted.
 

@@ -35,6 +35,7 @@ KINDS = ("assign", "access", "hex", "live")
 
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_-]{20,}")
 LEAST_BITS = 3.5
+_ROW, _SPANS = "__row", "__spans"
 
 
 def base_spans(text: str) -> list[tuple[int, int, str, str]]:
@@ -157,6 +158,56 @@ def scan_secrets(
     )
 
 
+def redact(
+    docs: DataFrame,
+    text: str = "text",
+    owner: str = "source",
+    repo: str = "lang",
+    example_owners: int = 2,
+) -> DataFrame:
+    """``docs`` with every secret in the text replaced by its kind in angle brackets.
+
+    Base spans are replaced whatever their owners; of the candidates only those that fewer
+    than ``example_owners`` owners carry. Overlapping spans become one, named by the first.
+    The live values are found first and joined back by hash; a row without any candidate
+    takes part in no join. All other columns, null texts and repeated rows stay.
+    """
+    keyed = docs.select("*").withColumn(_ROW, F.monotonically_increasing_id())
+    # Numbered and written once, so that both passes see the same rows.
+    keyed = written(keyed, "numbered")
+    found = found_spans(keyed, _ROW, text, owner, repo)
+    live = (
+        found.select(F.col("doc_id").alias(_ROW), F.explode("spans").alias("span"))
+        .where("span.kind = 'live'")
+        .select(_ROW, "span.value", "span.start", "span.end")
+        .join(ownership(found).where(F.col("owners") < example_owners), "value")
+        .select(_ROW, F.struct("start", "end", F.lit("live").alias("kind")).alias("s"))
+    )
+    base = found.select(F.col("doc_id").alias(_ROW), F.explode("spans").alias("span")).where(
+        "span.kind <> 'live'"
+    ).select(_ROW, F.struct("span.start", "span.end", "span.kind").alias("s"))
+    spans = base.union(live).groupBy(_ROW).agg(F.sort_array(F.collect_list("s")).alias(_SPANS))
+    place = 1 + docs.columns.index(text)  # behind the row number
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            batch.isetitem(place, [masked(t, s) for t, s in zip(batch.iloc[:, place], batch[_SPANS], strict=True)])
+            yield batch.drop(columns=[_SPANS])
+
+    hit = keyed.join(spans, _ROW).mapInPandas(run, keyed.select(_ROW, *docs.columns).schema)
+    clean = keyed.join(spans.select(_ROW), _ROW, "left_anti")
+    return clean.unionByName(hit).select(*docs.columns)
+
+
+def masked(text: str, spans: list[dict]) -> str:
+    parts, place = [], 0
+    for span in spans:  # by start
+        if span["start"] >= place:
+            parts += [text[place : span["start"]], f"<{span['kind']}>"]
+        place = max(place, span["end"])
+    return "".join([*parts, text[place:]])
+
+
 def report(scanned: DataFrame) -> DataFrame:
     """Counts, digest of the base spans and text of all spans of each row."""
     order = "array_position(array('assign', 'access', 'hex', 'live'), kind)"
