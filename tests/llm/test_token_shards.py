@@ -1,0 +1,76 @@
+import random
+import zlib
+
+import numpy as np
+import pyarrow as pa
+import pytest
+
+from marquee.llm.token_shards import WaveletMatrix, pack_shard, token_shards, unpack_shard
+from marquee.llm.tokens import Encoder, default_path, encoded
+
+
+@pytest.fixture(scope="module")
+def encoder():
+    return Encoder(default_path())
+
+
+def plain(encoder, texts):
+    batch = encoder.tokenizer.encode_batch([t or "" for t in texts], add_special_tokens=False)
+    return [e.ids for e in batch]
+
+
+def test_encoder_equals_the_library(encoder):
+    rng = random.Random(1)
+    letters = list(" \n\t\r'sab1é  日!_ ½² \u0085\x1c.,()\"") + ["<|endoftext|>", "  ", "\n\n", " it's"]
+    texts = ["".join(rng.choices(letters, k=rng.randint(0, 40))) for _ in range(3000)]
+    texts += ["", " ", "\n", "a" * 5000, "ab " * 3000, "é" * 300]
+    for limit in (1, 300, 1 << 20):
+        found = []
+        from marquee.llm import textbytes
+
+        for first, ends, data in textbytes.slices(pa.array(texts), limit):
+            ids, places = encoder.encode(ends, data)
+            found += [ids[s:e].tolist() for s, e in zip(places, places[1:])]
+        assert found == plain(encoder, texts)
+
+
+def expected(encoder, rows):
+    order = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, (r[1] or "").encode()))
+    out, start = [], 0
+    for (doc_id, _), ids in zip(order, plain(encoder, [t for _, t in order])):
+        ids = [*ids, 0]
+        out.append((doc_id, start, len(ids), zlib.crc32(np.array(ids, "<u4"))))
+        start += len(ids)
+    return sorted(out, key=repr)
+
+
+@pytest.mark.parametrize("shard_ids", [1, 500, 1 << 21])
+def test_odd_rows(make_docs, odd_rows, encoder, shard_ids):
+    found = token_shards(make_docs(*odd_rows), shard_ids=shard_ids).collect()
+    assert sorted(map(tuple, found), key=repr) == expected(encoder, odd_rows)
+
+
+def test_empty_table(make_docs):
+    assert token_shards(make_docs((1, "x")).where("false")).count() == 0
+
+
+def test_wavelet_matrix():
+    rng = np.random.default_rng(2)
+    for n, top in ((0, 3), (1, 1), (7, 2), (513, 9), (5000, 50_000)):
+        ids = rng.integers(0, top, n)
+        matrix = WaveletMatrix.build(ids, 16)
+        assert matrix.decode().tolist() == ids.tolist()
+        content = pack_shard(ids, [1, None], [n, 0], 3, 4, 16)
+        part, before, docs, counts, again = unpack_shard(content)
+        assert (part, before, docs, counts.tolist()) == (3, 4, [1, None], [n, 0])
+        for m in (matrix, again):
+            for i in rng.integers(0, max(n, 1), 20 if n else 0).tolist():
+                symbol = int(ids[i])
+                where = np.flatnonzero(ids == symbol)
+                assert m.access(i) == symbol
+                assert m.rank(symbol, i) == (where < i).sum()
+                assert m.select(symbol, len(where) - 1) == where[-1]
+                assert m.select(symbol, len(where)) == -1
+            if n:
+                assert m.occurrences(int(ids[0])) == np.flatnonzero(ids == ids[0]).tolist()
+            assert m.rank(1 << 17, n) == 0
