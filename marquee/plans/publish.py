@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+import warnings
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 
@@ -56,11 +58,14 @@ def publish(
     countries: DataFrame | None = None,
     db_location: str | None = None,
 ) -> None:
-    """Make the published tables and the country table readable by name."""
+    """Make the published tables and the country table readable by name. Countries given
+    replace those there; an empty country table is reported by a warning."""
     create_database(spark, db, db_location)
-    create_country_table(spark, db)
+    table = create_country_table(spark, db)
     if countries is not None:
         load_countries(spark, countries, db, overwrite=True)
+    if spark.table(table).isEmpty():
+        warnings.warn(f"{table} has no rows: publish was given no countries", stacklevel=2)
     register_tables(spark, db, root)
 
 
@@ -74,7 +79,13 @@ def run_all(
     db_location: str | None = None,
     **stage_options,
 ) -> None:
-    """Pages, staging, tables, catalogue, in that order."""
+    """Pages, staging, tables, catalogue, in that order.
+
+    The tables of a run go to a folder of their own below ``root``. Only when all six are
+    there are the registered tables pointed at it, so a job that fails leaves readers with
+    the tables of the run before. Folders of earlier runs are left for their readers.
+    """
     stage_pages(spark, pages_path, staging_path, **stage_options)
-    run_jobs(spark, staging_path, root, stage_options.get("fmt", "parquet"))
-    publish(spark, db, root, countries, db_location)
+    run = f"{root.rstrip('/')}/run-{uuid.uuid4().hex}"
+    run_jobs(spark, staging_path, run, stage_options.get("fmt", "parquet"))
+    publish(spark, db, run, countries, db_location)

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -45,9 +47,32 @@ def shared_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+_SCOPES: list[list[str]] = []
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Deletes, at its end, the scratch tables made inside it.
+
+    Use it around work whose results are written or collected inside. A frame that is only
+    read later must be made outside: it may stand on such a table.
+    """
+    _SCOPES.append([])
+    try:
+        yield
+    finally:
+        hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+        for path in map(hadoop.Path, _SCOPES.pop()):
+            path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A new path below the shared folder; nothing is created yet."""
-    return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    """A new path below the shared folder; nothing is created yet. The innermost
+    ``scratch_scope`` owns it."""
+    path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    if _SCOPES:
+        _SCOPES[-1].append(path)
+    return path
 
 
 def written(df: DataFrame, label: str) -> DataFrame:

@@ -39,14 +39,21 @@ def register_tables(
 ) -> None:
     """Expose published Parquet folders as external tables with declared columns.
 
-    Registering again is harmless; files written since are picked up by the refresh.
+    Registering again is harmless: files written since are picked up, and a table that
+    points elsewhere is moved to the new folder. A table of that name with other columns
+    is left alone and refused, before any table is touched.
     """
+    known = [c for c in contracts if spark.catalog.tableExists(qualified(db, c))]
+    for contract in known:
+        found = [(f.name, f.dataType) for f in spark.table(qualified(db, contract)).schema]
+        if found != [(f.name, f.dataType) for f in contract.schema]:
+            raise ValueError(f"table {qualified(db, contract)} has other columns: {found}")
     for contract in contracts:
-        table = qualified(db, contract)
-        spark.sql(
-            f"CREATE TABLE IF NOT EXISTS {table} ({_columns(contract)}) "
-            f"USING PARQUET LOCATION {_text(table_path(contract, root))}"
-        )
+        table, place = qualified(db, contract), _text(table_path(contract, root))
+        if contract in known:
+            spark.sql(f"ALTER TABLE {table} SET LOCATION {place}")
+        else:
+            spark.sql(f"CREATE TABLE {table} ({_columns(contract)}) USING PARQUET LOCATION {place}")
         spark.sql(f"REFRESH TABLE {table}")
 
 
