@@ -5,8 +5,9 @@
     python -m marquee publish --root R --db D [--countries CSV]
     python -m marquee all     (the options of the three together)
 
-``--services`` names a JSON Lines selection. Without it the default selection is used;
-``--all-services`` switches the service filter off.
+``--services`` names a JSON Lines selection of any length; ``--default-services`` takes the
+built-in one. Without either no title and no offer is filtered: the request has done that,
+and a service spelt differently in the answers would lose its titles.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ from marquee.plans.publish import publish, run_jobs
 from marquee.plans.stage import stage_pages
 from marquee.schemas import TITLE_TABLES
 from marquee.session import build_session
-from marquee.sources import read_service_selection, service_names
+from marquee.sources import read_service_selection
 
 
 def _year_range(text: str) -> YearRange:
@@ -38,7 +39,8 @@ def parser() -> argparse.ArgumentParser:
     stage.add_argument("--errors", help="table for the errors of failed pages")
     which = stage.add_mutually_exclusive_group()
     which.add_argument("--services", help="service selection, JSON Lines")
-    which.add_argument("--all-services", action="store_true")
+    which.add_argument("--default-services", action="store_true")
+    which.add_argument("--all-services", action="store_true", help="as without the option")
 
     staging = argparse.ArgumentParser(add_help=False)
     staging.add_argument("--staging", required=True)
@@ -51,7 +53,7 @@ def parser() -> argparse.ArgumentParser:
     shown = argparse.ArgumentParser(add_help=False)
     shown.add_argument("--db", required=True)
     shown.add_argument("--db-location")
-    shown.add_argument("--countries", help="CSV with header: name, alpha2_code, alpha3_code")
+    shown.add_argument("--countries", help="CSV with header: name, alpha2_code, alpha3_code and, if wanted, flag")
 
     top = argparse.ArgumentParser(prog="marquee")
     steps = top.add_subparsers(dest="step", required=True)
@@ -66,19 +68,16 @@ def main(arguments: list[str] | None = None, spark: SparkSession | None = None)
     args = parser().parse_args(arguments)
     spark = spark or build_session()
     if args.step in ("stage", "all"):
-        if args.all_services:
-            names: tuple[str, ...] = ()
-        elif args.services:
-            names = service_names(read_service_selection(spark, args.services))
-        else:
-            names = selected_names()
+        names = selected_names() if args.default_services else ()
+        services = read_service_selection(spark, args.services) if args.services else None
         stage_pages(
             spark,
             args.pages,
             args.staging,
             ranges=args.range,
             wanted=TitleFilter(services=names),
-            offer_services=names,
+            offer_services=names if services is None else services,
+            services=services,
             multi_line=not args.json_lines,
             complete=not args.allow_incomplete,
             errors_path=args.errors,
@@ -88,9 +87,9 @@ def main(arguments: list[str] | None = None, spark: SparkSession | None = None)
     elif args.step == "all":
         run_jobs(spark, args.staging, args.root)
     if args.step in ("publish", "all"):
-        countries = args.countries and spark.read.schema(
-            "name string, alpha2_code string, alpha3_code string"
-        ).csv(args.countries, header=True, enforceSchema=False, mode="FAILFAST")
+        countries = args.countries and spark.read.csv(
+            args.countries, header=True, inferSchema=False, mode="FAILFAST"
+        )
         publish(spark, args.db, args.root, countries or None, args.db_location)
 
 

@@ -5,11 +5,12 @@ countries (nation of the supplier) and the offers (line item with its supplier).
 
 Sizes. Genres and countries of a title are sets over small domains (part types, nations),
 collected with map-side aggregation, so even an order with a third of all line items ends
-up with a short array. Offers have no such bound. An order with more than ``max_offers``
-line items is therefore split: its line items are hashed over several records, each of
-which repeats the title's other columns and holds its own share of the offers. No offer
-is dropped, no record grows with the order, and copies of a line item collapse in the
-set. The table jobs give the same result for split and whole titles.
+up with a short array. Offers have no such bound. In staging frames an order with more than
+``max_offers`` line items is therefore split: its line items are hashed over several
+records, each of which repeats the title's other columns, holds its own share of the offers
+and carries its number. No offer is dropped, no record grows with the order, and copies of
+a line item collapse in the set. Table jobs give the same result for split and whole
+titles, and operators that count or rank titles look at the first record of each.
 """
 
 from __future__ import annotations
@@ -20,17 +21,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marquee.constants import PAGE_SIZE, SHOW
-from marquee.operators.filters import assign_year_range
+from marquee.operators.filters import PART, assign_year_range
+from marquee.operators.flatten import seasons_of_shows
 from marquee.operators.ranking import POPULARITY, RANGE, number_pages
 from marquee.schemas import STAGING
-from marquee.session import written
 
 ALL = ("genres", "countries", "offers", "seasons")
 MAX_OFFERS = 1_000
-BROADCAST_ROWS = 1_000_000  # two numbers per row: well below 100 MB as a hash table
-SALTS = 64
 CHUNK = 1_000
-PART = "_part"
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -68,33 +66,14 @@ def _title_sets(spark: SparkSession, sf_dir: str, fields: Collection[str]) -> Da
     return lines.groupBy("key").agg(*found)
 
 
-def _oversize(spark: SparkSession, sf_dir: str, max_offers: int) -> tuple[DataFrame | None, bool]:
-    """Orders that need more than one record, with their number of records, and whether
-    that table is small enough to broadcast. None when there is no such order."""
-    big = written(
-        _lines(spark, sf_dir)
-        .groupBy("key")
+def _oversize(lines: DataFrame, max_offers: int) -> DataFrame:
+    """Orders that need more than one record, with their number of records."""
+    return (
+        lines.groupBy("key")
         .count()
         .where(F.col("count") > max_offers)
-        .select("key", F.ceil(F.col("count") / max_offers).cast("int").alias("parts")),
-        "oversize",
+        .select("key", F.ceil(F.col("count") / max_offers).cast("int").alias("parts"))
     )
-    rows = big.count()
-    return (big, rows <= BROADCAST_ROWS) if rows else (None, True)
-
-
-def _with_parts(lines: DataFrame, big: DataFrame, small: bool) -> DataFrame:
-    """Line items with the number of records of their order; null for ordinary orders.
-
-    A table too large to broadcast is joined with a salt: each line item takes the salt of
-    its input split and finds its order's row under every salt, so that the line items of
-    one hot order meet that row in many tasks.
-    """
-    if small:
-        return lines.join(F.broadcast(big), "key", "left")
-    salted = big.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    salt = F.pmod(F.spark_partition_id(), F.lit(SALTS))
-    return lines.withColumn("salt", salt).join(salted, ["key", "salt"], "left").drop("salt")
 
 
 def _heads(frame: DataFrame, big: DataFrame) -> DataFrame:
@@ -119,7 +98,7 @@ def _heads(frame: DataFrame, big: DataFrame) -> DataFrame:
 
 
 def _records(
-    spark: SparkSession, sf_dir: str, fields: Collection[str], max_offers: int
+    spark: SparkSession, sf_dir: str, fields: Collection[str], max_offers: int | None
 ) -> DataFrame:
     """One row per title record: staging columns for the wanted fields, and the part number."""
     orders = _read(spark, sf_dir, "orders")
@@ -129,15 +108,14 @@ def _records(
     if "offers" not in fields:
         frame = frame.withColumn(PART, F.lit(0))
     else:
-        lines = _lines(spark, sf_dir)
-        big, small = _oversize(spark, sf_dir, max_offers)
-        if big is None:
-            on = ["key"]
+        lines, on = _lines(spark, sf_dir), ["key"]
+        if max_offers is None:
             frame = frame.withColumn(PART, F.lit(0))
         else:
             on = ["key", PART]
+            big = _oversize(lines, max_offers)
             share = F.pmod(F.xxhash64("l_partkey", "l_suppkey", "l_linenumber"), F.col("parts"))
-            lines = _with_parts(lines, big, small).withColumn(
+            lines = lines.join(big, "key", "left").withColumn(
                 PART, F.coalesce(share, F.lit(0)).cast("int")
             )
             frame = _heads(frame, big)
@@ -177,7 +155,8 @@ def _records(
     if "offers" in fields:
         values["offers"] = F.transform("offers", lambda offer: _offer(F.col("key"), offer))
     if "seasons" in fields:
-        values["totalSeasonCount"] = F.when(is_show, F.coalesce(F.col("line_count"), F.lit(0.0)))
+        # Of movies too: staging keeps the count of shows only.
+        values["totalSeasonCount"] = F.coalesce(F.col("line_count"), F.lit(0.0))
     return frame.select(PART, *[values[n].alias(n) for n in STAGING.names if n in values])
 
 
@@ -214,21 +193,25 @@ def staging_titles(
     spark: SparkSession,
     sf_dir: str,
     fields: Collection[str] = ALL,
-    max_offers: int = MAX_OFFERS,
+    max_offers: int | None = MAX_OFFERS,
 ) -> DataFrame:
-    """Titles as flat staging columns. ``fields`` names the columns that need line items;
-    columns left out are absent, and the tables behind them are not read."""
-    return _records(spark, sf_dir, fields, max_offers).drop(PART)
+    """Titles as flat staging columns, with the number of the record where a title may be
+    spread over several. ``fields`` names the columns that need line items; columns left out
+    are absent, and the tables behind them are not read."""
+    titles = _records(spark, sf_dir, fields, max_offers)
+    if "seasons" in fields:
+        titles = seasons_of_shows(titles)
+    return titles if "offers" in fields and max_offers is not None else titles.drop(PART)
 
 
 def nested_titles(
     spark: SparkSession,
     sf_dir: str,
     fields: Collection[str] = ALL,
-    max_offers: int = MAX_OFFERS,
+    max_offers: int | None = None,
 ) -> DataFrame:
-    """The same titles as nested records."""
-    flat = staging_titles(spark, sf_dir, fields, max_offers)
+    """The same titles as nested records, by default one per title."""
+    flat = _records(spark, sf_dir, fields, max_offers)
     return flat.select(_node(flat.columns))
 
 
@@ -236,24 +219,31 @@ def landed_pages(
     spark: SparkSession,
     sf_dir: str,
     fields: Collection[str] = ALL,
-    max_offers: int = MAX_OFFERS,
     size: int = PAGE_SIZE,
+    by: Column | None = None,
 ) -> DataFrame:
-    """The records as response pages per year range, most popular first.
+    """The titles as response pages per year range, most popular first.
 
-    A page collects at most ``size`` records of bounded length. Links between pages come
-    from the ranking too: the record at the end of page n is the cursor sent for n + 1.
+    A response holds one edge per title with all of its offers, so titles are not spread
+    here: a title's record is the set of its line items, which has as many elements as one
+    API answer would. Links between pages come from the ranking too: the title at the end of
+    page n is the cursor sent for n + 1. ``by`` is the year a title is requested under, by
+    default its own.
     """
-    records = assign_year_range(_records(spark, sf_dir, fields, max_offers))
+    records = _records(spark, sf_dir, fields, None).drop(PART)
+    if by is None:
+        records = assign_year_range(records)
+    else:
+        records = assign_year_range(records.withColumn("_by", by), "_by").drop("_by")
     titles = records.select(
         *RANGE,
         "id",
-        PART,
         F.col(POPULARITY).alias("popularity"),
         F.struct(*_node(records.columns)).alias("node"),
     )
-    ranked = number_pages(titles, size, "popularity", ("id", PART), keep=("node",))
-    cursor = F.concat_ws("/", "id", PART)
+    ranked = number_pages(titles, size, "popularity", ("id",), keep=("node",))
+    # Copies of a title have the same id; the rank tells their cursors apart.
+    cursor = F.concat_ws("/", "id", "rank")
     sent = ranked.where(F.col("rank") % size == 0).select(
         *RANGE, (F.col("page_no") + 1).alias("page_no"), cursor.alias("cursor_sent")
     )
@@ -286,9 +276,13 @@ def landed_pages(
 
 
 def order_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One response per order: pending orders failed with two errors, the others are fine."""
+    """One response per order: pending orders failed with two errors, every third finished
+    order answered nothing without saying why, every fifth open one has errors beside its
+    result, the others are fine."""
     orders = _read(spark, sf_dir, "orders")
     failed = F.col("o_orderstatus") == "P"
+    silent = (F.col("o_orderstatus") == "F") & (F.col("o_orderkey") % 3 == 0)
+    beside = (F.col("o_orderstatus") == "O") & (F.col("o_orderkey") % 5 == 0)
 
     def error(message, line, column):
         return F.struct(
@@ -306,5 +300,8 @@ def order_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return orders.select(
         F.col("o_orderkey").alias("page_no"),
         F.when(failed, F.lit(500)).otherwise(F.lit(200)).alias("status"),
-        F.when(failed, errors).alias("errors"),
+        F.when(failed | beside, errors).alias("errors"),
+        F.when(
+            ~failed & ~silent, F.struct(F.struct(F.lit(1).cast("bigint").alias("totalCount")).alias("popularTitles"))
+        ).alias("data"),
     )

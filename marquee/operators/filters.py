@@ -15,11 +15,15 @@ from pyspark.sql import functions as F
 from marquee.constants import SELECTED_SERVICES
 from marquee.functions import range_bounds, year_ranges
 from marquee.functions.years import YearRange
+from marquee.session import written
 
 YEAR = "content_originalReleaseYear"
 GENRE_IDS = "content_genres.id"
 COUNTRIES = "content_productionCountries"
 SERVICE_NAMES = "offers.package.clearName"
+# Number of a record among those of one title, from 0; only where titles are spread.
+PART = "part"
+_ROW, _HIT, _PLACE, _KEPT, _NAME = "_row", "_hit", "_place", "_kept", "_service"
 
 
 @dataclass(frozen=True)
@@ -63,15 +67,14 @@ def _none_of(array: str, values: Sequence[str]) -> Column:
 def filter_titles(df: DataFrame, wanted: TitleFilter) -> DataFrame:
     """Staging titles that satisfy every restriction.
 
-    All predicates look at one row, so nothing is shuffled. When the frame carries the
-    year-range partition columns, the year restriction also prunes partitions.
+    All predicates look at one row, so nothing is shuffled. The year restriction is on the
+    title's own year: a title may be staged under another range than its year, so partitions
+    are only skipped by ``of_staging_ranges``.
     """
     tests: list[Column] = []
     if wanted.years:
         low, high = wanted.years
         tests.append(F.col(YEAR).between(low, high))
-        if {"year_min", "year_max"} <= set(df.columns):
-            tests += [F.col("year_max") >= low, F.col("year_min") <= high]
     if wanted.object_types:
         tests.append(F.col("objectType").isin(*wanted.object_types))
     if wanted.age_certifications:
@@ -91,6 +94,15 @@ def filter_titles(df: DataFrame, wanted: TitleFilter) -> DataFrame:
     return df
 
 
+def of_staging_ranges(df: DataFrame, ranges: Sequence[YearRange]) -> DataFrame:
+    """Titles staged under one of ``ranges``, whatever their own year; other partitions are
+    not read."""
+    wanted = F.lit(False)
+    for low, high in ranges:
+        wanted = wanted | ((F.col("year_min") == low) & (F.col("year_max") == high))
+    return df.where(wanted)
+
+
 def titles_on_services(df: DataFrame, services: DataFrame) -> DataFrame:
     """Titles with an offer of a service in ``services(clear_name)``, a table of any size.
 
@@ -107,14 +119,67 @@ def titles_on_services(df: DataFrame, services: DataFrame) -> DataFrame:
     return df.join(hits, "id", "left_semi")
 
 
-def filter_offers(df: DataFrame, services: Sequence[str]) -> DataFrame:
-    """Keep only offers of the named services inside each title; the title itself stays."""
+def filter_offers(df: DataFrame, services: Sequence[str] | DataFrame) -> DataFrame:
+    """Keep only offers of the given services inside each title; the title itself stays.
+
+    A short list is tested inside the row. A table ``services(clear_name)`` of any size is
+    joined: rows are numbered and written once, only offers travel to the services and back
+    to the number of their row, and an array keeps its order. A null array stays null.
+    """
+    if isinstance(services, DataFrame):
+        return _offers_on_service_table(df, services)
     if not services:
         return df
     kept = F.filter("offers", lambda offer: offer["package"]["clearName"].isin(*services))
     return df.withColumn("offers", kept)
 
 
+def _offers_on_service_table(df: DataFrame, services: DataFrame) -> DataFrame:
+    numbered = written(df.withColumn(_ROW, F.monotonically_increasing_id()), "numbered")
+    names = services.select(F.col("clear_name").alias(_NAME)).where(F.col(_NAME).isNotNull()).distinct()
+    kept = (
+        numbered.select(_ROW, F.posexplode("offers").alias(_PLACE, "offer"))
+        .join(names, F.col("offer.package.clearName") == F.col(_NAME), "left_semi")
+        .groupBy(F.col(_ROW).alias(_HIT))
+        .agg(F.sort_array(F.collect_list(F.struct(_PLACE, "offer"))).alias(_KEPT))
+    )
+    offers = F.when(
+        F.col("offers").isNotNull(),
+        F.coalesce(F.col(f"{_KEPT}.offer"), F.slice("offers", 1, 0)),
+    )
+    joined = numbered.join(kept, F.col(_ROW) == F.col(_HIT), "left").withColumn("offers", offers)
+    return joined.select(*df.columns)
+
+
+def _clipped(year: Column) -> Column:
+    """A title's year, moved into the range it was requested for; null years to its start."""
+    return F.coalesce(F.least(F.greatest(year, F.col("min")), F.col("max")), F.col("min"))
+
+
+def assign_requested_range(
+    df: DataFrame, year: str = YEAR, ranges: Sequence[YearRange] | None = None
+) -> DataFrame:
+    """Replace the requested ``min`` and ``max`` by the staging range they belong to.
+
+    A title belongs where it was asked for, whatever its own year says. Only a request that
+    spans several staging ranges needs the year to tell them apart. Titles of ranges that
+    are not in ``ranges`` are not part of the run.
+    """
+    ranges = year_ranges() if ranges is None else tuple(ranges)
+    low, high = range_bounds(_clipped(F.col(year)), ranges)
+    return (
+        df.select("*", low.alias("year_min"), high.alias("year_max"))
+        .where(F.col("year_min").isNotNull())
+        .drop("min", "max")
+    )
+
+
+def per_title(df: DataFrame) -> DataFrame:
+    """One record per title: the first of those that a title with very many offers is
+    spread over. Frames without a part number hold whole titles."""
+    return df.where(F.col(PART) == 0) if PART in df.columns else df
+
+
 def assign_year_range(
     df: DataFrame, year: str = YEAR, ranges: Sequence[YearRange] | None = None
 ) -> DataFrame:
@@ -134,4 +199,4 @@ def assign_year_range(
 
 def count_per_range(df: DataFrame) -> DataFrame:
     """Number of titles per year range: the total a complete set of pages must reach."""
-    return df.groupBy("year_min", "year_max").agg(F.count("*").alias("title_count"))
+    return per_title(df).groupBy("year_min", "year_max").agg(F.count("*").alias("title_count"))

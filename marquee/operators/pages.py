@@ -10,38 +10,57 @@ from pyspark.sql import functions as F
 from marquee.functions import error_text
 
 OK = 200
+REQUESTED = ("min", "max")
+NO_ERROR_LISTED = "failed without a listed error"
+
+
+def _answered() -> Column:
+    """A page answered if its status is 200 and its body holds a result."""
+    return F.col("status").eqNullSafe(OK) & F.col("data.popularTitles").isNotNull()
 
 
 def ok_pages(pages: DataFrame) -> DataFrame:
-    return pages.where(F.col("status") == OK)
+    return pages.where(_answered())
 
 
 def failed_pages(pages: DataFrame) -> DataFrame:
-    """Pages whose status is anything but 200; a missing status counts as failed."""
-    return pages.where(~F.col("status").eqNullSafe(OK))
+    """Pages that did not answer: a status other than 200, none at all, or no result."""
+    return pages.where(~_answered())
 
 
 def page_errors(pages: DataFrame) -> DataFrame:
-    """One row per error of a failed page, all of them. A failed page that lists no error
-    gives no row here; the audit still counts it."""
+    """One row per listed error of any page, and one with a fixed text for a failed page
+    that lists none. ``answered`` tells errors beside a result from errors instead of one."""
     carried = [c for c in ("min", "max", "page_no", "status") if c in pages.columns]
     return (
-        failed_pages(pages)
-        .select(*carried, F.explode("errors").alias("error"))
-        .select(*carried, error_text("error").alias("error_text"))
+        pages.select(
+            *carried,
+            (_answered() if "data" in pages.columns else F.col("status").eqNullSafe(OK)).alias("answered"),
+            F.explode_outer("errors").alias("error"),
+        )
+        .where("error IS NOT NULL OR NOT answered")
+        .select(
+            *carried,
+            "answered",
+            F.when(F.col("error").isNull(), F.lit(NO_ERROR_LISTED))
+            .otherwise(error_text("error"))
+            .alias("error_text"),
+        )
     )
 
 
 def unwrap_edges(pages: DataFrame) -> DataFrame:
-    """One row per title: the edges of every good page, without their cursors.
+    """One row per title: the edges of every good page, without their cursors, and the
+    year range the page was requested for (``min``, ``max``) when the pages carry it.
 
     The exploded array is the node field alone, so a columnar page table is read without
     the cursors and with only those node fields that are used later.
     """
+    requested = [c for c in REQUESTED if c in pages.columns]
     return (
         ok_pages(pages)
-        .select(F.explode("data.popularTitles.edges.node").alias("node"))
-        .select("node.*")
+        .select(*requested, F.explode("data.popularTitles.edges.node").alias("node"))
+        .select("node.*", *requested)
     )
 
 
@@ -57,7 +76,7 @@ def _struct(**fields: Column) -> Column:
 def audit_pages(pages: DataFrame) -> DataFrame:
     """One row per requested year range: what was landed, and whether it is complete.
 
-    A page failed if its status is not 200 or its body holds no result.
+    A page failed as ``failed_pages`` says.
     Complete means: no failed page; page numbers without gap or copy; the lowest page is
     the only one asked for without a cursor; every other page was asked for with the end
     cursor of the page before; exactly the highest page says there is no next one; and
@@ -69,14 +88,13 @@ def audit_pages(pages: DataFrame) -> DataFrame:
     of a page could blow up, no window that would put a whole range into one task.
     """
     popular = "data.popularTitles"
-    ok = F.col("status").eqNullSafe(OK)
     asked = F.coalesce(F.col("cursor_sent"), F.lit(""))
     arrival = _struct(
         slot=F.col("page_no"),
         asked=asked,
         promised=F.lit(None).cast("string"),
         here=F.lit(1),
-        failed=F.when(ok & F.col(popular).isNotNull(), 0).otherwise(1),
+        failed=F.when(_answered(), 0).otherwise(1),
         is_last=~F.coalesce(F.col(f"{popular}.pageInfo.hasNextPage"), F.lit(True)),
         edges=F.coalesce(F.size(F.col(f"{popular}.edges")), F.lit(0)),
         total=F.col(f"{popular}.totalCount"),

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from marquee.constants import PAGE_SIZE
+from marquee.operators.filters import per_title
 from marquee.session import written
 
 POPULARITY = "content_scoring_tmdbPopularity"
@@ -35,7 +36,7 @@ def by_popularity(df: DataFrame, popularity: str = POPULARITY) -> DataFrame:
 
 def first_page(df: DataFrame, size: int = PAGE_SIZE, popularity: str = POPULARITY) -> DataFrame:
     """Top ``size`` titles: each task keeps its own top rows, no full sort."""
-    return by_popularity(df, popularity).limit(size)
+    return by_popularity(per_title(df), popularity).limit(size)
 
 
 def end_cursor(page: DataFrame, popularity: str = POPULARITY) -> Cursor | None:
@@ -88,9 +89,10 @@ def number_pages(
 
     Positions must not move between the pass that counts the blocks and the pass that
     adds the offsets, so the sorted keys are written to a scratch table once. The offset
-    table has at most (number of sorted blocks + number of groups) rows; with the fixed
-    set of year ranges that bound allows the broadcast.
+    table has at most (number of sorted blocks + number of groups) rows; whether it is
+    broadcast is left to Spark, which knows its size.
     """
+    df = per_title(df)
     keys = [*groups, popularity, *ties, *keep]
     placed = written(
         df.select(*keys, F.spark_partition_id().alias("source"))
@@ -118,7 +120,7 @@ def number_pages(
     rank = F.col("position") - F.col("start") + F.col("ahead") + 1
     return (
         placed.withColumn("block", block)
-        .join(F.broadcast(offsets.withColumnRenamed("block", "at")),
+        .join(offsets.withColumnRenamed("block", "at"),
               [F.col("block") == F.col("at"), *same_group])
         .select(*keys, rank.alias("rank"), "total")
         .select("*", F.expr(f"cast((rank - 1) div {int(size)} + 1 as int)").alias("page_no"))

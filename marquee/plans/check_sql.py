@@ -4,20 +4,21 @@ from __future__ import annotations
 
 from marquee.constants import FLAG_PATTERN, PAGE_SIZE
 from marquee.functions import year_ranges
-from marquee.plans.checks import CODES, COUNTRIES, GENRES, NEEDS, REPLACED, SERVICES
+from marquee.plans.checks import ASKED_FROM, ASKED_YEARS, CODES, COUNTRIES, GENRES, NEEDS, REPLACED, SERVICES
 
 
 def _in(values) -> str:
     return "(" + ", ".join(f"'{v}'" for v in values) + ")"
 
 
-def _case(end: int) -> str:
+def _case(end: int, year: str = "year(o_orderdate)") -> str:
     arms = " ".join(
-        f"WHEN year(o_orderdate) BETWEEN {r[0]} AND {r[1]} THEN {r[end]}" for r in year_ranges()
+        f"WHEN {year} BETWEEN {r[0]} AND {r[1]} THEN {r[end]}" for r in year_ranges()
     )
     return f"CAST(CASE {arms} END AS INTEGER)"
 
 
+ASKED = f"(o_orderkey % {ASKED_YEARS} + {ASKED_FROM})"
 YEAR_MIN, YEAR_MAX = _case(0), _case(1)
 COVERED = f"year(o_orderdate) BETWEEN {year_ranges()[0][0]} AND {year_ranges()[-1][1]}"
 OBJECT_TYPE = "CASE WHEN o_orderstatus = 'O' THEN 'SHOW' ELSE 'MOVIE' END"
@@ -50,6 +51,36 @@ SCALARS = f"""
 GENRE_LINES = "lineitem JOIN part ON p_partkey = l_partkey"
 OFFER_LINES = "lineitem JOIN supplier ON s_suppkey = l_suppkey"
 COUNTRY_LINES = f"{OFFER_LINES} JOIN nation ON n_nationkey = s_nationkey"
+
+
+def _gathered(key: str, lines: str, text: str) -> str:
+    return (
+        f"LEFT JOIN (SELECT l_orderkey AS {key}_key, coalesce(array_to_string(list_sort("
+        f"list(DISTINCT {text}) FILTER ({text} IS NOT NULL)), ','), '') AS {key} "
+        f"FROM {lines} GROUP BY 1) ON {key}_key = o_orderkey"
+    )
+
+
+OFFER_TEXT = (
+    "'o' || l_orderkey || '-' || l_linenumber || '|/u/' || l_linenumber || '|' || s_suppkey || '|' "
+    "|| s_name || '|' || lower(s_name) || '|/i/' || s_suppkey"
+)
+WHOLE = (
+    f"{SCALARS.rstrip()}, coalesce(genres, '-') AS genres, coalesce(countries, '-') AS countries, "
+    "coalesce(offer_texts, '-') AS offer_texts"
+)
+WHOLE_ORDERS = " ".join(
+    [
+        ORDERS,
+        _gathered("genres", "lineitem LEFT JOIN part ON p_partkey = l_partkey", "p_type || '/' || lower(p_type)"),
+        _gathered(
+            "countries",
+            "lineitem LEFT JOIN supplier ON s_suppkey = l_suppkey LEFT JOIN nation ON n_nationkey = s_nationkey",
+            "n_name",
+        ),
+        _gathered("offer_texts", "lineitem LEFT JOIN supplier ON s_suppkey = l_suppkey", OFFER_TEXT),
+    ]
+)
 OFFERS = f"""
 SELECT DISTINCT 'o' || l_orderkey || '-' || l_linenumber AS title_streaming_service_id,
     '/u/' || l_linenumber AS standard_web_url, 'tt' || o_orderkey AS title_id,
@@ -104,12 +135,13 @@ def _exists(lines: str, where: str) -> str:
 
 _GENRE_HIT = _exists(GENRE_LINES, f"p_type IN {_in(GENRES)}")
 _COUNTRY_HIT = _exists(COUNTRY_LINES, f"n_name IN {_in(COUNTRIES)}")
-_FAILED = "FROM orders WHERE o_orderstatus = 'P'"
+_LISTED = "FROM orders WHERE o_orderstatus = 'P' OR (o_orderstatus = 'O' AND o_orderkey % 5 = 0)"
+_STATUS = "CAST(CASE WHEN o_orderstatus = 'P' THEN 500 ELSE 200 END AS INTEGER)"
 
 SQL: dict[str, str] = {
     **TABLES,
-    "flatten_titles": f"SELECT {SCALARS} FROM {ORDERS}",
-    "unwrap_edges": f"SELECT {TITLE} FROM orders WHERE {COVERED}",
+    "flatten_titles": f"SELECT {WHOLE} FROM {WHOLE_ORDERS}",
+    "unwrap_edges": f"SELECT {WHOLE}, {YEAR_MIN} AS min, {YEAR_MAX} AS max FROM {WHOLE_ORDERS} WHERE {COVERED}",
     "titles_by_year_range": f"""
 SELECT {YEAR_MIN} AS year_min, {YEAR_MAX} AS year_max, count(*) AS title_count
 FROM orders WHERE {COVERED} GROUP BY 1, 2""",
@@ -137,18 +169,19 @@ FROM (SELECT 'tt' || o_orderkey AS id, {YEAR_MIN} AS year_min, {YEAR_MAX} AS yea
 SELECT {TITLE}, {YEAR_MIN} AS year_min, {YEAR_MAX} AS year_max FROM orders WHERE {COVERED}""",
     **{
         f"staging_{fmt}_round_trip": f"""
-SELECT {SCALARS}, {YEAR_MIN} AS year_min, {YEAR_MAX} AS year_max,
-    CAST(coalesce(genre_count, -1) AS INTEGER) AS genre_count
-FROM {ORDERS} LEFT JOIN (SELECT l_orderkey AS k, count(DISTINCT p_type) AS genre_count
-    FROM {GENRE_LINES} GROUP BY 1) ON k = o_orderkey
-WHERE {COVERED}"""
+SELECT {WHOLE}, {YEAR_MIN} AS year_min, {YEAR_MAX} AS year_max FROM {WHOLE_ORDERS} WHERE {COVERED}"""
         for fmt in ("parquet", "json")
     },
     "staging_range_replaced": f"""
 SELECT {TITLE}, {OBJECT_TYPE} AS "objectType", {YEAR_MIN} AS year_min, {YEAR_MAX} AS year_max
 FROM orders WHERE {COVERED} AND (o_orderstatus = 'O'
     OR year(o_orderdate) NOT BETWEEN {REPLACED[0]} AND {REPLACED[1]})""",
-    "legacy_staging_scan": f"SELECT {SCALARS} FROM {ORDERS}",
+    "legacy_staging_scan": f"SELECT {WHOLE} FROM {WHOLE_ORDERS}",
+    "staging_table_scan": f"{TABLES['dim_titles_genres']} WHERE {COVERED}",
+    "requested_range_kept": f"""
+SELECT {TITLE}, {_case(0, ASKED)} AS year_min, {_case(1, ASKED)} AS year_max FROM orders""",
+    "republished_at_new_root": TABLES["dim_titles_genres"],
+    "offers_on_service_table": f"{OFFERS} WHERE s_nationkey < 10",
     "pages_to_staging": f"{OFFERS} WHERE s_name IN {_in(SERVICES)} AND {COVERED}",
     "page_completeness": f"""
 SELECT {YEAR_MIN} AS min, {YEAR_MAX} AS max,
@@ -161,12 +194,15 @@ SELECT {YEAR_MIN} AS min, {YEAR_MAX} AS max,
     count(*) <= {PAGE_SIZE} AS complete
 FROM orders WHERE {COVERED} GROUP BY 1, 2""",
     "page_error_rows": f"""
-SELECT o_orderkey AS page_no, CAST(500 AS INTEGER) AS status,
-    '{{"code":"P"}} : [{{"line":' || (o_custkey % 100) || ',"column":' || (o_orderkey % 10)
-    || '}}] : ' || o_orderpriority AS error_text {_FAILED}
+SELECT o_orderkey AS page_no, {_STATUS} AS status, o_orderstatus = 'O' AS answered,
+    '{{"code":"' || o_orderstatus || '"}} : [{{"line":' || (o_custkey % 100) || ',"column":'
+    || (o_orderkey % 10) || '}}] : ' || o_orderpriority AS error_text {_LISTED}
+UNION ALL
+SELECT o_orderkey, {_STATUS}, o_orderstatus = 'O',
+    '{{"code":"' || o_orderstatus || '"}} : [{{"line":1,"column":2}}] : order ' || o_orderkey {_LISTED}
 UNION ALL
-SELECT o_orderkey, CAST(500 AS INTEGER),
-    '{{"code":"P"}} : [{{"line":1,"column":2}}] : order ' || o_orderkey {_FAILED}""",
+SELECT o_orderkey, CAST(200 AS INTEGER), false, 'failed without a listed error'
+FROM orders WHERE o_orderstatus = 'F' AND o_orderkey % 3 = 0""",
     "service_selection_scan": "SELECT 's' || s_suppkey AS code, s_name AS clear_name FROM supplier",
     "service_catalogue_scan": (
         "SELECT 's' || s_suppkey AS code, s_name AS streaming_name, "
@@ -185,4 +221,7 @@ FROM nation""",
 # The published tables come through staging, which holds the covered years only.
 for _name in NEEDS:
     SQL[f"published_{_name}"] += f" WHERE {COVERED}"
-SQL["whole_run_fct_titles"] = SQL["published_fct_titles"]
+    SQL[f"whole_run_{_name}"] = SQL[f"published_{_name}"]
+SQL["whole_run_dim_countries"] = SQL["country_table_scan"]
+for _name in ("titles_by_year_range", "popular_first_page", "popular_next_page", "popular_page_numbers", "page_completeness"):
+    SQL[f"{_name}_with_offers"] = SQL[_name]

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marquee.adapters.order_tables import (
@@ -22,11 +22,11 @@ from marquee.adapters.order_tables import (
 from marquee.functions import year_ranges
 from marquee.operators import filters, pages, ranking
 from marquee.operators.filters import TitleFilter
-from marquee.operators.flatten import flatten
+from marquee.operators.flatten import flatten, seasons_of_shows
 from marquee.plans import normalize
 from marquee.plans.publish import run_all, run_jobs
 from marquee.plans.stage import stage_pages
-from marquee.schemas import DIM_COUNTRIES, TITLE_TABLES
+from marquee.schemas import DIM_COUNTRIES, STAGING, STAGING_RANGE, TITLE_TABLES
 from marquee.session import scratch_path
 from marquee.sinks import (
     create_country_table,
@@ -34,6 +34,7 @@ from marquee.sinks import (
     load_countries,
     register_tables,
     write_staging,
+    write_table,
 )
 from marquee.sources import (
     read_concatenated_json,
@@ -59,6 +60,7 @@ CODES = ("s1", "s3", "s5", "s7")
 GENRES = ("PROMO", "ECONOMY")
 COUNTRIES = ("NATION_3", "NATION_20")
 REPLACED = (1991, 2000)
+ASKED_FROM, ASKED_YEARS = 1900, 124
 SCALARS = (
     "id",
     "objectType",
@@ -91,17 +93,42 @@ def _filtered(needs: tuple[str, ...], wanted: TitleFilter) -> Query:
     return query
 
 
+def _text(array: str, element) -> Column:
+    """An array as sorted text; a missing array reads ``-``."""
+    elements = F.array_sort(F.transform(array, element))
+    return F.coalesce(F.array_join(elements, ","), F.lit("-"))
+
+
+def _whole(titles: DataFrame, *more: str) -> DataFrame:
+    """Every staging column, arrays as text."""
+    return titles.select(
+        *SCALARS,
+        *more,
+        _text("content_genres", lambda g: F.concat_ws("/", g["id"], g["translation"])).alias("genres"),
+        _text("content_productionCountries", lambda c: c).alias("countries"),
+        _text(
+            "offers",
+            lambda o: F.concat_ws(
+                "|", o["id"], o["standardWebURL"], o["package"]["packageId"],
+                o["package"]["clearName"], o["package"]["slug"], o["package"]["icon"],
+            ),
+        ).alias("offer_texts"),
+    )
+
+
 def _flatten_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return flatten(nested_titles(spark, sf_dir, ("seasons",))).select(*SCALARS)
+    return _whole(flatten(seasons_of_shows(nested_titles(spark, sf_dir))))
 
 
 def _unwrap_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
-    titles = flatten(pages.unwrap_edges(landed_pages(spark, sf_dir, ("genres",))))
-    return titles.select(*TITLE)
+    titles = flatten(seasons_of_shows(pages.unwrap_edges(landed_pages(spark, sf_dir))))
+    return _whole(titles, "min", "max")
 
 
-def _titles_by_year_range(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return filters.count_per_range(filters.assign_year_range(staging_titles(spark, sf_dir, ())))
+def _titles_by_year_range(fields: tuple[str, ...]) -> Query:
+    return lambda spark, sf_dir: filters.count_per_range(
+        filters.assign_year_range(staging_titles(spark, sf_dir, fields))
+    )
 
 
 def _titles_on_service_table(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -115,9 +142,17 @@ def _offers_on_services(spark: SparkSession, sf_dir: str) -> DataFrame:
     return normalize.titles_streaming_services(titles)
 
 
-def _popular(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return staging_titles(spark, sf_dir, ()).select(
-        "id", "content_title", ranking.POPULARITY, filters.YEAR
+def _offers_on_service_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    services = _service_selection_scan(spark, sf_dir, "s_nationkey < 10")
+    titles = filters.filter_offers(staging_titles(spark, sf_dir, ("offers",)), services)
+    return normalize.titles_streaming_services(titles)
+
+
+def _popular(spark: SparkSession, sf_dir: str, fields: tuple[str, ...] = ()) -> DataFrame:
+    titles = staging_titles(spark, sf_dir, fields)
+    return titles.select(
+        "id", "content_title", ranking.POPULARITY, filters.YEAR,
+        *[c for c in ("offers", filters.PART) if c in titles.columns],
     )
 
 
@@ -125,6 +160,21 @@ def _popular_first_page(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranking.first_page(_popular(spark, sf_dir))
 
 
+def _popular_first_page_with_offers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranking.first_page(_popular(spark, sf_dir, ("offers",))).drop("offers", filters.PART)
+
+
+def _popular_next_page_with_offers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    titles = _popular(spark, sf_dir, ("offers",))
+    after = ranking.end_cursor(ranking.first_page(titles))
+    return ranking.next_page(titles, after).drop("offers", filters.PART)
+
+
+def _popular_page_numbers_with_offers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    titles = filters.assign_year_range(_popular(spark, sf_dir, ("offers",)))
+    return ranking.number_pages(titles).select("id", "year_min", "year_max", "rank", "page_no")
+
+
 def _popular_next_page(spark: SparkSession, sf_dir: str) -> DataFrame:
     titles = _popular(spark, sf_dir)
     return ranking.next_page(titles, ranking.end_cursor(ranking.first_page(titles)))
@@ -146,19 +196,16 @@ def _stage(spark: SparkSession, sf_dir: str, needs: tuple[str, ...], fmt: str) -
 def _union_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ranges read one by one from the staging table; each reads its own directory only."""
     staging = read_staging(spark, _stage(spark, sf_dir, (), "parquet"))
-    parts = [
-        filters.filter_titles(staging, TitleFilter(years=years)) for years in year_ranges()
-    ]
+    parts = [filters.of_staging_ranges(staging, [years]) for years in year_ranges()]
     return pages.union_all(parts).select(*TITLE, "year_min", "year_max")
 
 
 def _staging_round_trip(fmt: str) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        path = _stage(spark, sf_dir, ("genres", "seasons"), fmt)
-        titles = read_staging(spark, path, fmt)
-        # -1 tells a missing array from an empty one.
-        genre_count = F.coalesce(F.size("content_genres"), F.lit(-1)).alias("genre_count")
-        return titles.select(*SCALARS, "year_min", "year_max", genre_count)
+        path = scratch_path(spark, "staging")
+        titles = filters.assign_year_range(staging_titles(spark, sf_dir, max_offers=None))
+        write_staging(titles, path, fmt, year_ranges())
+        return _whole(read_staging(spark, path, fmt), "year_min", "year_max")
 
     return query
 
@@ -174,13 +221,52 @@ def _staging_range_replaced(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _legacy_staging_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Staging records as indented objects in text files, read back."""
-    record = F.to_json(F.struct(*SCALARS))
+    record = F.to_json(F.struct(*STAGING.names))
     fields = F.substring(record, 2, 1_000_000_000)
     body = F.concat(F.lit("    {\n        "), F.regexp_replace(fields, r"\}$", "\n    }\n"))
     path = scratch_path(spark, "legacy")
-    titles = staging_titles(spark, sf_dir, ("seasons",))
+    titles = staging_titles(spark, sf_dir, max_offers=None)
     titles.select(body.alias("value")).write.text(path)
-    return read_concatenated_json(spark, path).select(*SCALARS)
+    return _whole(read_concatenated_json(spark, path))
+
+
+def _staging_table_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Staging as a catalogue table, read by name by a table job."""
+    path = _stage(spark, sf_dir, ("genres",), "parquet")
+    db = scratch_path(spark, "catalogue").rsplit("/", 1)[1].replace("-", "_")
+    create_database(spark, db, f"{path}-{db}")
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in [*STAGING, *STAGING_RANGE])
+    spark.sql(
+        f"CREATE TABLE {db}.staging ({columns}) USING PARQUET "
+        f"PARTITIONED BY ({', '.join(STAGING_RANGE.names)}) LOCATION '{path}'"
+    )
+    spark.sql(f"MSCK REPAIR TABLE {db}.staging")
+    return normalize.titles_genres(read_staging(spark, f"{db}.staging", "table"))
+
+
+def _requested_range_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages requested for years that have nothing to do with the titles' own: every title
+    is staged, and under the range it was requested for."""
+    landed, staged = scratch_path(spark, "pages"), scratch_path(spark, "staging")
+    asked = (F.substring("id", 3, 20).cast("bigint") % ASKED_YEARS + ASKED_FROM).cast("int")
+    landed_pages(spark, sf_dir, (), by=asked).write.partitionBy("min", "max").json(landed)
+    stage_pages(spark, landed, staged, multi_line=False)
+    return read_staging(spark, staged).select(*TITLE, "year_min", "year_max")
+
+
+def _republished_at_new_root(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Published at one root from shows only, then at another from all titles."""
+    titles = staging_titles(spark, sf_dir, ("genres",))
+    shows = filters.filter_titles(titles, TitleFilter(object_types=("SHOW",)))
+    contract = next(c for c in TITLE_TABLES if c.name == "dim_titles_genres")
+    db = scratch_path(spark, "republished").rsplit("/", 1)[1].replace("-", "_")
+    create_database(spark, db, scratch_path(spark, "warehouse"))
+    for rows in (shows, titles):
+        root = scratch_path(spark, "root")
+        write_table(normalize.titles_genres(rows), contract, root)
+        register_tables(spark, db, root, (contract,))
+        spark.table(f"{db}.{contract.name}").count()
+    return spark.table(f"{db}.{contract.name}")
 
 
 def _pages_to_staging(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -193,8 +279,8 @@ def _pages_to_staging(spark: SparkSession, sf_dir: str) -> DataFrame:
     return normalize.titles_streaming_services(read_staging(spark, staged))
 
 
-def _page_completeness(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pages.audit_pages(landed_pages(spark, sf_dir, ()))
+def _page_completeness(fields: tuple[str, ...]) -> Query:
+    return lambda spark, sf_dir: pages.audit_pages(landed_pages(spark, sf_dir, fields))
 
 
 def _page_chain_broken(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -267,26 +353,32 @@ def _published(name: str) -> Query:
     return query
 
 
-def _whole_run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pages to staging to all tables to the catalogue; the title facts read by name."""
+def _whole_run(name: str) -> Query:
+    """Pages to staging to all tables to the catalogue; one table read by name."""
+    return lambda spark, sf_dir: spark.table(f"{_run_database(spark, sf_dir)}.{name}")
+
+
+def _run_database(spark: SparkSession, sf_dir: str) -> str:
     landed, staged = scratch_path(spark, "pages"), scratch_path(spark, "staging")
     root = scratch_path(spark, "run")
     db = root.rsplit("/", 1)[1].replace("-", "_")
     landed_pages(spark, sf_dir).write.partitionBy("min", "max").json(landed)
     countries = _countries(spark, sf_dir)
     run_all(spark, landed, staged, root, db, countries, f"{root}/{db}", multi_line=False)
-    return spark.table(f"{db}.fct_titles")
+    return db
 
 
 QUERIES: dict[str, Query] = {
     **{name: _job(name) for name in NEEDS},
     "flatten_titles": _flatten_titles,
     "unwrap_edges": _unwrap_edges,
-    "titles_by_year_range": _titles_by_year_range,
+    "titles_by_year_range": _titles_by_year_range(()),
+    "titles_by_year_range_with_offers": _titles_by_year_range(("offers",)),
     "titles_in_years": _filtered((), TitleFilter(years=(1996, 1998))),
     "titles_on_services": _filtered(("offers",), TitleFilter(services=SERVICES)),
     "titles_on_service_table": _titles_on_service_table,
     "offers_on_services": _offers_on_services,
+    "offers_on_service_table": _offers_on_service_table,
     "titles_genre_any": _filtered(("genres",), TitleFilter(genres=GENRES)),
     "titles_genre_none": _filtered(("genres",), TitleFilter(exclude_genres=GENRES)),
     "titles_country_any": _filtered(("countries",), TitleFilter(countries=COUNTRIES)),
@@ -297,13 +389,20 @@ QUERIES: dict[str, Query] = {
     "popular_first_page": _popular_first_page,
     "popular_next_page": _popular_next_page,
     "popular_page_numbers": _popular_page_numbers,
+    "popular_first_page_with_offers": _popular_first_page_with_offers,
+    "popular_next_page_with_offers": _popular_next_page_with_offers,
+    "popular_page_numbers_with_offers": _popular_page_numbers_with_offers,
     "union_ranges": _union_ranges,
     "staging_parquet_round_trip": _staging_round_trip("parquet"),
     "staging_json_round_trip": _staging_round_trip("json"),
     "staging_range_replaced": _staging_range_replaced,
     "legacy_staging_scan": _legacy_staging_scan,
+    "staging_table_scan": _staging_table_scan,
+    "requested_range_kept": _requested_range_kept,
+    "republished_at_new_root": _republished_at_new_root,
     "pages_to_staging": _pages_to_staging,
-    "page_completeness": _page_completeness,
+    "page_completeness": _page_completeness(()),
+    "page_completeness_with_offers": _page_completeness(("offers",)),
     "page_chain_broken": _page_chain_broken,
     "page_error_rows": _page_error_rows,
     "service_selection_scan": _service_selection_scan,
@@ -311,5 +410,5 @@ QUERIES: dict[str, Query] = {
     "services_by_code": _services_by_code,
     "country_table_scan": _country_table_scan,
     **{f"published_{name}": _published(name) for name in NEEDS},
-    "whole_run_fct_titles": _whole_run,
+    **{f"whole_run_{name}": _whole_run(name) for name in (*NEEDS, "dim_countries")},
 }

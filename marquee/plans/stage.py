@@ -12,16 +12,18 @@ from marquee.functions.years import YearRange
 from marquee.operators.filters import (
     YEAR,
     TitleFilter,
-    assign_year_range,
+    assign_requested_range,
     filter_offers,
     filter_titles,
+    titles_on_services,
 )
 from marquee.operators.flatten import flatten, seasons_of_shows
 from marquee.operators.pages import audit_pages, page_errors, unwrap_edges
+from marquee.session import scratch_path, scratch_scope
 from marquee.sinks.files import refuse_overlap, write_staging
 from marquee.sources import read_concatenated_json, read_pages
 
-_SHOWN = 20
+_SHOWN = 20  # in a message; the table of errors has all
 
 
 class PagesRejected(RuntimeError):
@@ -31,13 +33,18 @@ class PagesRejected(RuntimeError):
 def staging_rows(
     pages: DataFrame,
     wanted: TitleFilter = TitleFilter(),
-    offer_services: Sequence[str] = (),
+    offer_services: Sequence[str] | DataFrame = (),
     ranges: Sequence[YearRange] | None = None,
+    services: DataFrame | None = None,
 ) -> DataFrame:
-    """Titles of good pages, flattened, filtered and assigned to their year range."""
+    """Titles of good pages, flattened, filtered and assigned to the staging range they
+    were requested for. ``services(clear_name)`` restricts titles to those on a service of
+    the table, beside what ``wanted`` asks."""
     rows = flatten(seasons_of_shows(unwrap_edges(pages)))
-    rows = filter_offers(filter_titles(rows, wanted), offer_services)
-    return assign_year_range(rows, YEAR, ranges)
+    rows = filter_titles(rows, wanted)
+    if services is not None:
+        rows = titles_on_services(rows, services)
+    return assign_requested_range(filter_offers(rows, offer_services), YEAR, ranges)
 
 
 def of_ranges(pages: DataFrame, ranges: Sequence[YearRange]) -> DataFrame:
@@ -50,23 +57,29 @@ def of_ranges(pages: DataFrame, ranges: Sequence[YearRange]) -> DataFrame:
 
 
 def require_sound(
-    pages: DataFrame, errors_path: str | None = None, complete: bool = True
+    pages: DataFrame, errors_path: str, complete: bool = True, partial: bool = True
 ) -> list[YearRange]:
-    """Raise unless every page succeeded and, if asked, every range is complete. Returns
+    """Raise unless every page answered and, if asked, every range is complete. Returns
     the year ranges the pages were requested for.
 
     One pass sums up the pages per requested range, so the driver sees a handful of rows.
-    All error rows go to ``errors_path`` when given; the message shows the first few.
+    All error rows, also those beside a result, are written to ``errors_path``; the message
+    shows the first few in a fixed order. With ``partial=False`` errors beside a result
+    stop the run too.
     """
     report = audit_pages(pages).orderBy("min", "max").collect()
+    errors = page_errors(pages)
+    errors.write.mode("overwrite").parquet(errors_path)
+    errors = errors.sparkSession.read.schema(errors.schema).parquet(errors_path)
     failed = sum(row["failed"] for row in report)
-    if failed:
-        errors = page_errors(pages)
-        if errors_path:
-            errors.write.mode("overwrite").parquet(errors_path)
-            errors = errors.sparkSession.read.schema(errors.schema).parquet(errors_path)
-        texts = [row["error_text"] for row in errors.select("error_text").limit(_SHOWN).collect()]
-        raise PagesRejected(f"{failed} failed page(s):\n" + "\n".join(texts))
+    beside = 0 if partial else errors.where("answered").count()
+    if failed or beside:
+        kept = [c for c in ("min", "max", "page_no") if c in errors.columns]
+        shown = errors.where("NOT answered") if partial else errors
+        texts = [row["error_text"] for row in shown.orderBy(*kept, "error_text").limit(_SHOWN).collect()]
+        raise PagesRejected(
+            f"{failed} failed page(s), all errors in {errors_path}:\n" + "\n".join(texts)
+        )
     if complete:
         _reject("incomplete", [(r["min"], r["max"]) for r in report if not r["complete"]])
     return [(row["min"], row["max"]) for row in report]
@@ -96,6 +109,14 @@ def landed_ranges(
     return tuple(r for r in asked if found[r])
 
 
+def parsed_once(pages: DataFrame) -> DataFrame:
+    """The pages as a columnar scratch table by requested range. Landed JSON is parsed this
+    one time; audit, errors and titles then read the columns they need."""
+    path = scratch_path(pages.sparkSession, "parsed-pages")
+    pages.write.partitionBy("min", "max").parquet(path)
+    return pages.sparkSession.read.schema(pages.schema).parquet(path)
+
+
 def stage_pages(
     spark: SparkSession,
     pages_path: str,
@@ -103,9 +124,11 @@ def stage_pages(
     *,
     ranges: Sequence[YearRange] | None = None,
     wanted: TitleFilter = TitleFilter(),
-    offer_services: Sequence[str] = (),
+    offer_services: Sequence[str] | DataFrame = (),
+    services: DataFrame | None = None,
     multi_line: bool = True,
     complete: bool = True,
+    partial: bool = True,
     errors_path: str | None = None,
     fmt: str = "parquet",
     rebalance: bool = False,
@@ -113,18 +136,21 @@ def stage_pages(
     """Check the landed pages, then replace their year ranges in the staging table.
 
     ``ranges`` limits the run to some year ranges. Returns the ranges that were replaced.
-    Nothing is written to staging when a page failed or a range is incomplete.
+    Nothing is written to staging when a page failed or a range is incomplete. All errors
+    of all pages are written to ``errors_path``, by default ``<staging_path>-errors``.
     """
     refuse_overlap(pages_path, staging_path)
+    errors_path = errors_path or staging_path.rstrip("/") + "-errors"
+    refuse_overlap(pages_path, errors_path)
     reach = year_ranges() if ranges is None else ranges
-    outlines = of_ranges(read_pages(spark, pages_path, multi_line, titles=False), reach)
-    requested = require_sound(outlines, errors_path, complete)
-    replaced = landed_ranges(requested, ranges, complete)
-    if not replaced:
-        raise PagesRejected(f"no page of the wanted year ranges in {pages_path}")
-    pages = of_ranges(read_pages(spark, pages_path, multi_line), replaced)
-    rows = staging_rows(pages, wanted, offer_services, replaced)
-    write_staging(rows, staging_path, fmt, replaced, rebalance)
+    with scratch_scope(spark):
+        pages = parsed_once(of_ranges(read_pages(spark, pages_path, multi_line), reach))
+        requested = require_sound(pages, errors_path, complete, partial)
+        replaced = landed_ranges(requested, ranges, complete)
+        if not replaced:
+            raise PagesRejected(f"no page of the wanted year ranges in {pages_path}")
+        rows = staging_rows(of_ranges(pages, replaced), wanted, offer_services, replaced, services)
+        write_staging(rows, staging_path, fmt, replaced, rebalance)
     return replaced
 
 
@@ -133,8 +159,18 @@ def stage_legacy(
 ) -> None:
     """Convert legacy staging files once, so that the jobs read pruned Parquet columns.
 
-    Year ranges come from the titles; ranges without a title in the files stay as staged.
+    The name of a file tells the year range its titles were requested for; a title of a file
+    without a range in its name goes by its own year, and one that has none either fails.
+    Ranges without a title in the files stay as staged.
     """
     refuse_overlap(legacy_path, staging_path)
-    rows = assign_year_range(read_concatenated_json(spark, legacy_path))
-    write_staging(rows, staging_path, rebalance=rebalance)
+    rows = read_concatenated_json(spark, legacy_path, requested=True)
+    nowhere = F.raise_error(F.concat(F.lit("no year range for title "), "id")).cast("int")
+    known = rows.select(
+        "*",
+        # The reader's blank rows may get here before they are filtered out; they have no id.
+        F.coalesce("min", F.col(YEAR), F.when(F.col("id").isNotNull(), nowhere)).alias("low"),
+        F.coalesce("max", F.col(YEAR)).alias("high"),
+    ).drop("min", "max")
+    known = known.withColumnsRenamed({"low": "min", "high": "max"})
+    write_staging(assign_requested_range(known), staging_path, rebalance=rebalance)

@@ -36,13 +36,11 @@ def services_by_code(catalogue: DataFrame, codes: Sequence[str]) -> DataFrame:
     )
 
 
-def service_names(selection: DataFrame, limit: int = 1_000) -> tuple[str, ...]:
+def service_names(selection: DataFrame) -> tuple[str, ...]:
     """Clear names of a short selection, for use inside filter expressions.
 
-    A longer selection is no list to carry in an expression: join it with
-    ``operators.filters.titles_on_services`` instead.
+    A long selection is better left a table: ``operators.filters.titles_on_services`` and
+    ``filter_offers`` join one of any size.
     """
-    rows = selection.select("clear_name").distinct().limit(limit + 1).collect()
-    if len(rows) > limit:
-        raise ValueError(f"more than {limit} services selected; use titles_on_services")
+    rows = selection.select("clear_name").distinct().collect()
     return tuple(sorted(row["clear_name"] for row in rows if row["clear_name"] is not None))

@@ -57,24 +57,32 @@ def read_staging(spark: SparkSession, source: str, fmt: str = "parquet") -> Data
     return spark.read.schema(schema).format(fmt).load(source)
 
 
+def _year_of_name(place: int) -> Column:
+    """First or second year of a file name like ``titles_1991_2000.json``; null without."""
+    year = F.regexp_extract("_metadata.file_name", r"_(\d{4})_(\d{4})\.json$", place)
+    return F.when(year != "", year.cast("int"))
+
+
 def read_concatenated_json(
-    spark: SparkSession, path: str, schema: T.StructType = STAGING
+    spark: SparkSession, path: str, schema: T.StructType = STAGING, requested: bool = False
 ) -> DataFrame:
     """Legacy staging files: indented JSON objects one after another.
 
     JSON escapes line breaks inside strings, so a line holding just four blanks and a
     closing brace ends a record and nothing else does. It serves as the record separator
     of the text reader, which splits large files at it. Each record then lacks its closing
-    brace, except the last one of a file without a final line break.
+    brace, except the last one of a file without a final line break. With ``requested`` the
+    year range in the name of the file is added as ``min`` and ``max``.
     """
     # Predicates may be evaluated in any order, so the parser itself must not see blank rows.
     filled = F.trim(F.translate("value", "\r\n\t", "   ")) != ""
     body = F.concat(F.regexp_replace("value", r"\n    \}\s*$", ""), F.lit("}"))
     record = F.from_json(F.when(filled, body), _parsed(schema), {"mode": "FAILFAST"})
+    names = [_year_of_name(1).alias("min"), _year_of_name(2).alias("max")] if requested else []
     return (
         spark.read.option("lineSep", "\n    }\n")
         .text(path)
         .where(filled)
-        .select(record.alias("r"))
-        .select(*_restored(schema, "r."))
+        .select(record.alias("r"), *names)
+        .select(*_restored(schema, "r."), *(["min", "max"] if requested else []))
     )

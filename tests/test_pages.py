@@ -101,19 +101,25 @@ def test_errors(spark):
         page(2, [], status=500, errors=[error("first"), error("second", "E2")]),
         page(3, [], status=404, errors=[bare]),
         page(4, [], status=500, errors=None),
+        page(5, [A], errors=[error("beside")]),
     )
     assert bag(page_errors(df).select("page_no", "error_text")) == [
         (2, '{"code":"E1"} : [{"line":3,"column":4}] : first'),
         (2, '{"code":"E2"} : [{"line":3,"column":4}] : second'),
         (3, "null : null : plain"),
+        (4, "failed without a listed error"),
+        (5, '{"code":"E1"} : [{"line":3,"column":4}] : beside'),
     ]
+    assert bag(page_errors(df).where("answered").select("page_no")) == [(5,)]
 
 
 def test_unwrap_edges(spark):
     df = pages(spark, page(1, [A, B]), page(2, []), page(3, [C], status=500), page(4, [A]))
     out = unwrap_edges(df)
     assert ids(out) == ["a", "a", "b"]
-    assert out.columns == ["id", "objectType", "content", "offers", "totalSeasonCount"]
+    names = ["id", "objectType", "content", "offers", "totalSeasonCount"]
+    assert out.columns == [*names, "min", "max"]
+    assert unwrap_edges(df.drop("min", "max")).columns == names
 
 
 def test_union_keeps_copies_and_fills_columns(spark):

@@ -9,12 +9,12 @@ import pytest
 from marquee.adapters.order_tables import landed_pages, nested_titles, staging_titles
 from marquee.operators import filters, pages, ranking
 from marquee.operators.filters import TitleFilter
-from marquee.operators.flatten import flatten
-from marquee.plans import normalize
+from marquee.operators.flatten import flatten, seasons_of_shows
+from marquee.plans import normalize, stage
 from marquee.plans.checks import QUERIES
 from marquee.schemas import NODE, STAGING
 from marquee.sinks import write_staging
-from marquee.sources import read_staging
+from marquee.sources import read_pages, read_staging
 from rows import bag, node, staging as staging_rows
 
 
@@ -82,16 +82,25 @@ def test_filters_stay_in_the_scan_stage(staging):
     pushed = re.search(r"PushedFilters: (.*)", text).group(1)
     assert "EqualTo(objectType,MOVIE)" in pushed
     assert "GreaterThanOrEqual(content_originalReleaseYear,1995)" in pushed
-    partitions = re.search(r"PartitionFilters: (.*)", text).group(1)
-    assert "year_min" in partitions and "year_max" in partitions
 
 
-def test_year_filter_prunes_partitions(spark, staging):
-    hit = filters.filter_titles(staging, TitleFilter(years=(1995, 2000)))
+def test_staging_ranges_prune_partitions(spark, staging):
+    hit = filters.of_staging_ranges(staging, [(1991, 2000)])
     files = {f for (f,) in hit.selectExpr("_metadata.file_path").distinct().collect()}
     assert files and all("year_min=1991" in f for f in files)
 
 
+def test_landed_pages_are_parsed_once(spark, sf_dir, tmp_path, monkeypatch):
+    landed_pages(spark, sf_dir, ()).write.partitionBy("min", "max").json(str(tmp_path / "p"))
+    reads = []
+    monkeypatch.setattr(stage, "read_pages", lambda *a, **k: reads.append(a) or read_pages(*a, **k))
+    scans = []
+    original = stage.parsed_once
+    monkeypatch.setattr(stage, "parsed_once", lambda p: scans.append(plan(out := original(p))) or out)
+    stage.stage_pages(spark, str(tmp_path / "p"), str(tmp_path / "s"), multi_line=False)
+    assert len(reads) == 1 and "Scan parquet" in scans[0] and "Scan json" not in scans[0]
+
+
 def test_year_bounds_reach_the_scan(staging):
     df = filters.assign_year_range(staging.drop("year_min", "year_max")).select("id")
     pushed = re.search(r"PushedFilters: (.*)", plan(df)).group(1)
@@ -133,10 +142,10 @@ def test_audit_has_no_window_and_no_join(spark, sf_dir, tmp_path):
 
 
 def test_adapter_records_match_the_schemas(spark, sf_dir):
-    flat, nested = staging_titles(spark, sf_dir), nested_titles(spark, sf_dir)
+    flat, nested = staging_titles(spark, sf_dir, max_offers=None), nested_titles(spark, sf_dir)
     assert flat.schema.simpleString() == STAGING.simpleString()
     assert nested.schema.simpleString() == NODE.simpleString()
-    assert bag(flatten(nested)) == bag(flat)
+    assert bag(flatten(seasons_of_shows(nested))) == bag(flat)
 
 
 def test_adapter_reads_only_what_a_query_uses(spark, sf_dir):

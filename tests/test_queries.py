@@ -2,6 +2,8 @@ import pytest
 
 import __spark_entry__ as entry
 from compare import connect, difference
+from marquee.plans.check_sql import SQL
+from marquee.plans.checks import QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -10,12 +12,13 @@ def con(sf_dir):
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(entry.queries()) and set(SQL) <= set(entry.oracle_sql())
 
 
-@pytest.mark.parametrize("name", entry.queries())
+@pytest.mark.parametrize("name", QUERIES)
 def test_query_equals_sql(spark, sf_dir, con, name):
-    assert difference(entry.queries()[name](spark, sf_dir), con, entry.oracle_sql()[name]) is None
+    assert difference(QUERIES[name](spark, sf_dir), con, SQL[name]) is None
 
 
 def test_entry(spark):

@@ -1,12 +1,15 @@
+import pathlib
+
 import pytest
 
 from marquee.__main__ import main
-from marquee.operators.filters import TitleFilter
-from marquee.plans.publish import run_all, run_jobs
+from marquee.operators.filters import TitleFilter, filter_offers
+from marquee.plans.publish import publish, run_all, run_jobs
 from marquee.plans.stage import PagesRejected, of_ranges, stage_legacy, stage_pages
 from marquee.schemas import TITLE_TABLES
-from marquee.sources import read_pages, read_staging, service_names
-from rows import bag, error, ids, node, offer, page
+from marquee.session import scratch_path, scratch_scope, written
+from marquee.sources import read_pages, read_service_selection, read_staging, service_names
+from rows import bag, error, ids, node, offer, page, staging
 from test_sources import land, legacy
 
 SERVICES = ("Hulu", "Max")
@@ -110,7 +113,88 @@ def test_ranges_without_pages_keep_their_staging(spark, tmp_path, landed):
     later = tmp_path / "later"
     land(later, page(1, [node("d", 2005), node("stray", 1995)], low=2001, high=2010))
     assert stage_pages(spark, str(later), staged) == ((2001, 2010),)
-    assert ids(read_staging(spark, staged)) == ["a", "b", "d"]
+    assert ids(read_staging(spark, staged)) == ["a", "b", "d", "stray"]
+
+
+def test_titles_stay_in_the_range_they_were_requested_for(spark, tmp_path):
+    root, staged = tmp_path / "pages", str(tmp_path / "s")
+    titles = [node("in", 1995), node("null", None), node("before", 1900), node("after", 2050)]
+    land(root, page(1, titles, low=1991, high=2000))
+    stage_pages(spark, str(root), staged)
+    rows = read_staging(spark, staged)
+    assert ids(rows) == ["after", "before", "in", "null"]
+    assert {(r.year_min, r.year_max) for r in rows.collect()} == {(1991, 2000)}
+    # A request over several staging ranges is told apart by the year, strays by its ends.
+    land(tmp_path / "wide", page(1, titles, low=1991, high=2010))
+    stage_pages(spark, str(tmp_path / "wide"), staged)
+    assert {r.id: r.year_min for r in read_staging(spark, staged).collect()} == {
+        "in": 1991, "null": 1991, "before": 1991, "after": 2001
+    }
+
+
+def test_all_errors_are_kept(spark, tmp_path):
+    root, staged = tmp_path / "pages", str(tmp_path / "s")
+    many = [error(f"e{i:02}") for i in range(50)]
+    land(root, page(1, [], status=500, errors=many))
+    with pytest.raises(PagesRejected, match="1 failed page"):
+        stage_pages(spark, str(root), staged)
+    assert spark.read.parquet(f"{staged}-errors").count() == 50
+
+
+def test_answers_with_errors(spark, tmp_path):
+    root, staged = tmp_path / "pages", str(tmp_path / "s")
+    land(root, page(1, [node("a", 1995)], errors=[error("beside")]))
+    stage_pages(spark, str(root), staged)
+    assert ids(read_staging(spark, staged)) == ["a"]
+    assert [r.answered for r in spark.read.parquet(f"{staged}-errors").collect()] == [True]
+    with pytest.raises(PagesRejected, match="beside"):
+        stage_pages(spark, str(root), staged, partial=False)
+    empty = page(1, [], errors=[error("instead")])
+    empty["data"] = None
+    land(tmp_path / "empty", empty)
+    with pytest.raises(PagesRejected, match="instead"):
+        stage_pages(spark, str(tmp_path / "empty"), staged)
+
+
+def test_tables_follow_a_new_root_and_refuse_other_columns(spark, tmp_path, landed):
+    stage_pages(spark, str(landed), str(tmp_path / "s"))
+    for root in ("r1", "r2"):
+        rows = str(tmp_path / "s")
+        run_jobs(spark, rows, str(tmp_path / root))
+        publish(spark, "moved", str(tmp_path / root))
+        where = spark.table("moved.dim_genres").inputFiles()
+        assert where and all(f"/{root}/" in f for f in where)
+    spark.sql("DROP TABLE moved.dim_genres")
+    spark.sql("CREATE TABLE moved.dim_genres (other INT) USING PARQUET")
+    with pytest.raises(ValueError, match="other columns"):
+        publish(spark, "moved", str(tmp_path / "r1"))
+    assert all("/r2/" in f for f in spark.table("moved.fct_titles").inputFiles())
+
+
+def test_failing_run_leaves_the_tables(spark, tmp_path, landed):
+    out = (str(tmp_path / "s"), str(tmp_path / "out"), "steady")
+    run_all(spark, str(landed), *out)
+    before = {c.name: bag(spark.table(f"steady.{c.name}")) for c in TITLE_TABLES}
+    land(tmp_path / "bad", page(1, [node("z", 40000)], low=1991, high=2000))
+    with pytest.raises(Exception, match="CAST_OVERFLOW"):
+        run_all(spark, str(tmp_path / "bad"), *out)
+    assert before == {c.name: bag(spark.table(f"steady.{c.name}")) for c in TITLE_TABLES}
+
+
+def test_missing_countries_are_reported(spark, tmp_path, landed):
+    stage_pages(spark, str(landed), str(tmp_path / "s"))
+    run_jobs(spark, str(tmp_path / "s"), str(tmp_path / "out"))
+    with pytest.warns(UserWarning, match="no countries"):
+        publish(spark, "bare", str(tmp_path / "out"))
+
+
+def test_scratch_scope_cleans_up(spark, tmp_path):
+    with scratch_scope(spark):
+        written(spark.range(3).toDF("x"), "kept")
+        place = pathlib.Path(scratch_path(spark, "other").removeprefix("file:"))
+        made = list(place.parent.glob("kept-*"))
+        assert made
+    assert not any(m.exists() for m in made)
 
 
 def test_asked_range_must_be_landed(spark, tmp_path, landed):
@@ -132,10 +216,12 @@ def test_partly_landed_range_is_incomplete(spark, tmp_path):
 
 def test_legacy_staging(spark, tmp_path):
     (tmp_path / "old").mkdir()
-    legacy(tmp_path / "old" / "titles_1991_2000.json", [node("a", 1995), node("b", 1996)])
-    legacy(tmp_path / "old" / "titles_2001_2010.json", [node("c", 2005, runtime=None)])
+    legacy(tmp_path / "old" / "titles_1991_2000.json", [node("a", 1995), node("b", 1996), node("n", None)])
+    legacy(tmp_path / "old" / "titles_2001_2010.json", [node("c", 2005, runtime=None), node("s", 1920)])
+    legacy(tmp_path / "old" / "more.json", [node("d", 2015)])
     stage_legacy(spark, str(tmp_path / "old"), str(tmp_path / "s"))
-    assert ids(read_staging(spark, str(tmp_path / "s"))) == ["a", "b", "c"]
+    rows = {r.id: r.year_min for r in read_staging(spark, str(tmp_path / "s")).collect()}
+    assert rows == {"a": 1991, "b": 1991, "n": 1991, "c": 2001, "s": 2001, "d": 2015}
     run_jobs(spark, str(tmp_path / "old"), str(tmp_path / "x"), "legacy")
     run_jobs(spark, str(tmp_path / "s"), str(tmp_path / "y"), at_once=1)
     for contract in TITLE_TABLES:
@@ -157,8 +243,8 @@ def test_command_line(spark, tmp_path, landed):
     places = ["--pages", str(landed), "--staging", str(tmp_path / "s")]
     root = ["--root", str(tmp_path / "out")]
     main(["all", *places, *root, "--db", "cli", "--countries", str(tmp_path / "countries.csv")], spark)
-    # The default selection keeps Hulu only.
-    assert bag(spark.table("cli.dim_streaming_services")) == [(7, "Hulu", "Hulu", "/i")]
+    # Nothing is filtered unless asked for.
+    assert bag(spark.table("cli.dim_streaming_services")) == [(7, "Hulu", "Hulu", "/i"), (8, "Other", "Other", "/i")]
     assert spark.table("cli.dim_countries").first().flag.endswith("/ALA.png")
 
     main(["stage", *places, "--services", str(tmp_path / "services.json"), "--range", "1991-2000"], spark)
@@ -166,13 +252,28 @@ def test_command_line(spark, tmp_path, landed):
     main(["publish", *root, "--db", "cli"], spark)
     assert {r.clear_name for r in spark.table("cli.dim_streaming_services").collect()} == {"Hulu", "Other"}
     assert spark.table("cli.dim_countries").count() == 1
+    (tmp_path / "flags.csv").write_text("name,alpha2_code,alpha3_code,flag\nX,XX,XXX,own\n")
+    main(["publish", *root, "--db", "cli", "--countries", str(tmp_path / "flags.csv")], spark)
+    assert spark.table("cli.dim_countries").first().flag == "own"
+    main(["stage", *places, "--default-services"], spark)
+    assert ids(read_staging(spark, str(tmp_path / "s"))) == ["a", "c"]
 
     main(["stage", *places, "--all-services"], spark)
     assert ids(read_staging(spark, str(tmp_path / "s"))) == ["a", "b", "c"]
 
 
-def test_long_selection_is_no_expression(spark):
-    many = spark.range(30).selectExpr("cast(id as string) as clear_name")
-    assert len(service_names(many)) == 30
-    with pytest.raises(ValueError, match="titles_on_services"):
-        service_names(many, limit=20)
+def test_long_selection(spark, tmp_path, landed):
+    lines = "".join(f'{{"code":"c{i}", "clear_name":"S{i}"}}\n' for i in range(2000))
+    (tmp_path / "many.json").write_text(lines + '{"code":"o", "clear_name":"Other"}\n')
+    main(["stage", "--pages", str(landed), "--staging", str(tmp_path / "s"), "--services", str(tmp_path / "many.json")], spark)
+    got = bag(read_staging(spark, str(tmp_path / "s")).selectExpr("id", "offers.package.clearName"))
+    assert got == [("a", ["Other"]), ("b", ["Other"])]
+    assert len(service_names(read_service_selection(spark, str(tmp_path / "many.json")))) == 2001
+
+
+def test_offers_by_service_table_keep_order_and_null_arrays(spark):
+    services = spark.createDataFrame([("Hulu",), ("Hulu",), (None,)], "clear_name string")
+    hulu, other = offer("1", "Hulu"), offer("2", "Other")
+    titles = staging(spark, node("a", offers=[other, hulu, hulu]), node("b", offers=None), node("c", offers=[]), node("d", offers=[other]))
+    found = {r.id: r.offers if r.offers is None else [o.id for o in r.offers] for r in filter_offers(titles, services).collect()}
+    assert found == {"a": ["1", "1"], "b": None, "c": [], "d": []}

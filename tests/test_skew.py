@@ -7,11 +7,10 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-import __spark_entry__ as entry
 from compare import connect, difference
-from marquee.adapters.order_tables import _oversize, nested_titles, staging_titles
-from marquee.plans.normalize import JOBS
-from rows import bag
+from marquee.adapters.order_tables import staging_titles
+from marquee.plans.check_sql import SQL
+from marquee.plans.checks import QUERIES
 
 LINES = 9_000
 
@@ -75,33 +74,27 @@ def con(skewed):
     return connect(skewed)
 
 
-@pytest.mark.parametrize("name", entry.queries())
+@pytest.mark.parametrize("name", QUERIES)
 def test_query_equals_sql(spark, skewed, con, name):
-    assert difference(entry.queries()[name](spark, skewed), con, entry.oracle_sql()[name]) is None
+    assert difference(QUERIES[name](spark, skewed), con, SQL[name]) is None
+
+
+# Queries that see titles with their offers spread over several records.
+SPREAD = [n for n in QUERIES if "offer" in n or "service" in n and not n.startswith(("service", "whole"))]
 
 
 @pytest.mark.parametrize("limit", [1, 4, 50, 10_000])
-def test_table_jobs_do_not_depend_on_the_split(spark, skewed, limit):
-    small = staging_titles(spark, skewed, max_offers=limit)
-    for _, job in JOBS:
-        assert bag(job(small)) == bag(job(staging_titles(spark, skewed)))
+def test_queries_do_not_depend_on_the_split(spark, skewed, con, limit, monkeypatch):
+    defaults = staging_titles.__defaults__
+    monkeypatch.setattr(staging_titles, "__defaults__", (*defaults[:-1], limit))
+    assert staging_titles(spark, skewed, ("offers",)).where("part > 0").isEmpty() == (limit == 10_000)
+    for name in SPREAD:
+        assert difference(QUERIES[name](spark, skewed), con, SQL[name]) is None, name
 
 
-def test_no_record_grows_with_its_order(spark, skewed):
-    records = nested_titles(spark, skewed, ("offers",), max_offers=100)
+def test_no_staging_record_grows_with_its_order(spark, skewed):
+    records = staging_titles(spark, skewed, ("offers",), max_offers=100)
     sizes = records.select("id", F.size("offers").alias("n"))
     assert sizes.agg(F.max("n")).first()[0] < 200
     assert sizes.where("id = 'tt7'").count() > 25
 
-
-def test_large_split_table_is_joined_without_broadcast(spark, skewed, monkeypatch):
-    from marquee.adapters import order_tables
-
-    big, small = _oversize(spark, skewed, 1)
-    assert small and big.count() > 100
-    plain = bag(staging_titles(spark, skewed, ("offers",), 10).selectExpr("id", "explode(offers) o"))
-    monkeypatch.setattr(order_tables, "BROADCAST_ROWS", 0)
-    assert not _oversize(spark, skewed, 1)[1]
-    assert plain == bag(
-        staging_titles(spark, skewed, ("offers",), 10).selectExpr("id", "explode(offers) o")
-    )
