@@ -173,10 +173,16 @@ WITH docs AS (
     SELECT *, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS w,
            [x FOR x IN string_split(text, chr(10)) IF regexp_matches(x, '[^\x20\x09-\x0D]')] AS l
     FROM docs
+), places AS (
+    SELECT r, unnest(w) AS word, generate_subscripts(w, 1) AS i FROM words
 ), grams AS (
-    SELECT r, unnest(range(1, len(w) - 3)) AS i, w FROM words WHERE len(w) >= 5
+    SELECT * FROM (
+        SELECT r, i, word || ' ' || lead(word, 1) OVER s || ' ' || lead(word, 2) OVER s || ' '
+            || lead(word, 3) OVER s || ' ' || lead(word, 4) OVER s AS gram
+        FROM places WINDOW s AS (PARTITION BY r ORDER BY i)
+    ) WHERE gram IS NOT NULL
 ), counted AS (
-    SELECT r, i, count(*) OVER (PARTITION BY r, array_to_string(w[i:i + 4], ' ')) AS n FROM grams
+    SELECT r, i, count(*) OVER (PARTITION BY r, gram) AS n FROM grams
 ), covered AS (
     SELECT r, sum(least(5, coalesce(next - i, 5))) AS n
     FROM (SELECT r, i, lead(i) OVER (PARTITION BY r ORDER BY i) AS next FROM counted WHERE n > 1)
