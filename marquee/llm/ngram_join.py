@@ -9,9 +9,12 @@ reaches ``similarity``. The join is exact and runs in three steps.
    another set sends too; a set with fewer than its least possible l has no partner. That
    removes documents which share a passage only. A shingle that many texts of a slice
    carry is counted in the slice and sent on as one entry, so it makes no hot group.
-2. Families. The sets left send their plain prefixes; all sets with a shingle in common are
-   tied to one of them, and connected components over these ties hold every pair that can
-   link. Texts of these sets alone are read again for their whole sets.
+2. Families. Texts of the sets left are read again for their whole sets. These send their
+   plain prefixes, now with the shingles that step 1 found in many sets put last (any order
+   will do, as long as it is the same for all), so that a passage ties only those together
+   that hold little else. All sets with a prefix shingle in common are tied to one of them,
+   slice by slice and then over all, and connected components over these ties hold every
+   pair that can link.
 3. R-tree. In a family every set becomes a point: its shingles hashed into ``GROUPS`` groups
    and counted. Points are packed into leaves of an R-tree by size and position. For a query
    set the sum of coordinate minima with a node's maxima bounds the overlap with all sets
@@ -44,6 +47,9 @@ GROUPS = 64
 LEAF = 16
 BLOCK_SHINGLES = 2_000_000  # shingles of the sets of a block
 COMMON = 16  # texts of a slice with a shingle, from which it is counted there
+FREQUENT = 4  # sets with a shingle, from which it is put last
+MOST_FREQUENT = 200_000  # shingles put last at most, the most frequent ones: 1.6 MB
+DOCUMENT, SUPPORT, OFTEN = 0, 1, 2  # kinds of rows between the passes
 ENTRY = np.dtype([("key", "<u8"), ("owner", "<i8")])
 
 
@@ -75,6 +81,7 @@ def _prefixes(docs: DataFrame, similarity: tuple[int, int], width: int, buckets:
                         pa.array([d[0] for d in digests], pa.int64()),
                         pa.array([d[1] for d in digests], pa.int64()),
                         pa.nulls(rows, pa.binary()),
+                        pa.nulls(rows, pa.binary()),
                     ],
                     names,
                 )
@@ -98,6 +105,8 @@ def _prefixes(docs: DataFrame, similarity: tuple[int, int], width: int, buckets:
                 # Certainly shared: told to the owner's own bucket, as key 0.
                 told = entries[common]
                 told["key"] = 0
+                marks = np.empty((count >= COMMON).sum(), ENTRY)
+                marks["key"], marks["owner"] = entries["key"][start[count >= COMMON]], count[count >= COMMON]
                 goal = np.concatenate(
                     (
                         (entries["key"][~common] >> np.uint64(11)) % np.uint64(buckets),
@@ -105,61 +114,85 @@ def _prefixes(docs: DataFrame, similarity: tuple[int, int], width: int, buckets:
                     )
                 ).astype(np.int64)
                 entries = np.concatenate((entries[~common], told))
-                order = np.argsort(goal, kind="stable")
-                entries, goal = entries[order], goal[order]
-                at = np.flatnonzero(np.concatenate(([True], goal[1:] != goal[:-1])))
-                blobs = [e.tobytes() for e in np.split(entries, at[1:])]
-                rows = len(blobs)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(goal[at], pa.int32()),
-                        pa.nulls(rows, keys.type),
-                        *[pa.nulls(rows, pa.int64())] * 3,
-                        pa.array(blobs, pa.binary()),
-                    ],
-                    names,
-                )
+                for column, packed, spot in (
+                    (0, entries, goal),
+                    (1, marks, ((marks["key"] >> np.uint64(11)) % np.uint64(buckets)).astype(np.int64)),
+                ):
+                    at, blobs = by_bucket(packed, spot)
+                    rows = len(blobs)
+                    blobs = [pa.array(blobs, pa.binary()), pa.nulls(rows, pa.binary())]
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            pa.array(at, pa.int32()),
+                            pa.nulls(rows, keys.type),
+                            *[pa.nulls(rows, pa.int64())] * 3,
+                            blobs[column],
+                            blobs[1 - column],
+                        ],
+                        names,
+                    )
 
-    names = ["bucket", "doc_id", "n", "a", "b", "entries"]
+    names = ["bucket", "doc_id", "n", "a", "b", "entries", "marks"]
     return docs.mapInArrow(
-        run, f"bucket int, doc_id {kind}, n bigint, a bigint, b bigint, entries binary"
+        run, f"bucket int, doc_id {kind}, n bigint, a bigint, b bigint, entries binary, marks binary"
     )
 
 
+def by_bucket(entries: np.ndarray, goal: np.ndarray) -> tuple[np.ndarray, list[bytes]]:
+    """Buckets and the packed entries of each."""
+    order = np.argsort(goal, kind="stable")
+    entries, goal = entries[order], goal[order]
+    at = np.flatnonzero(np.concatenate(([True], goal[1:] != goal[:-1]))) if len(goal) else goal
+    return goal[at], [e.tobytes() for e in np.split(entries, at[1:])] if len(goal) else []
+
+
 def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Entries of whole buckets, bucket after bucket, to (owner, number of shared shingles)
-    rows; rows of documents pass through."""
+    """Entries of whole buckets, bucket after bucket, to rows of owners with the number of
+    their shared shingles and of frequent shingles; rows of documents pass through."""
 
-    def count(blobs: list[bytes]) -> pa.RecordBatch:
+    def count(blobs: list[bytes], marked: list[bytes]) -> pa.RecordBatch:
         entries = np.frombuffer(b"".join(blobs), ENTRY)
         told = entries["owner"][entries["key"] == 0]
         entries = np.unique(entries[entries["key"] != 0])
-        same = entries["key"][1:] == entries["key"][:-1]
-        shared = np.concatenate((same, [False])) | np.concatenate(([False], same)) if len(entries) else []
-        owners, counts = np.unique(np.concatenate((entries["owner"][shared], told)), return_counts=True)
+        keys, back, times = np.unique(entries["key"], return_inverse=True, return_counts=True)
+        owners, counts = np.unique(
+            np.concatenate((entries["owner"][times[back] > 1], told)), return_counts=True
+        )
+        marks = np.frombuffer(b"".join(marked), ENTRY)
+        np.add.at(times, np.searchsorted(keys, marks["key"]), marks["owner"])
+        often = times >= FREQUENT
+        rows = len(owners) + int(often.sum())
         return pa.RecordBatch.from_arrays(
-            [batch.column(0).slice(0, 0).take(pa.array([None] * len(owners), pa.int32())), pa.array(counts, pa.int64()), pa.array(owners, pa.int64()), pa.nulls(len(owners), pa.int64()), pa.array([True] * len(owners))],
+            [
+                pa.nulls(rows, kind),
+                pa.array(np.concatenate((counts, times[often]))),
+                pa.array(np.concatenate((owners, keys[often].view(np.int64)))),
+                pa.nulls(rows, pa.int64()),
+                pa.array(np.repeat([SUPPORT, OFTEN], [len(owners), rows - len(owners)]), pa.int32()),
+            ],
             names,
         )
 
-    names = ["doc_id", "n", "a", "b", "entry"]
-    now, blobs = None, []
+    names = ["doc_id", "n", "a", "b", "kind"]
+    now, blobs, marked, kind = None, [], [], None
     for batch in batches:
-        batch = pa.RecordBatch.from_arrays(batch.columns[1:] + batch.columns[:1], ["doc_id", "n", "a", "b", "entries", "bucket"])
-        buckets = batch.column(5)
-        docs = batch.filter(buckets.is_null())
+        kind = batch.schema.field(1).type
+        docs = batch.filter(batch.column(0).is_null())
         if len(docs):
-            yield pa.RecordBatch.from_arrays([*docs.columns[:4], pa.array([False] * len(docs))], names)
-        for bucket, blob in zip(buckets.to_pylist(), batch.column(4), strict=True):
+            yield pa.RecordBatch.from_arrays(
+                [*docs.columns[1:5], pa.array(np.full(len(docs), DOCUMENT), pa.int32())], names
+            )
+        for bucket, blob, mark in zip(batch.column(0).to_pylist(), batch.column(5), batch.column(6), strict=True):
             if bucket is None:
                 continue
             if bucket != now and blobs:
-                yield count(blobs)
-                blobs = []
+                yield count(blobs, marked)
+                blobs, marked = [], []
             now = bucket
-            blobs.append(blob.as_py())
+            blobs.append(blob.as_py() or b"")
+            marked.append(mark.as_py() or b"")
     if blobs:
-        yield count(blobs)
+        yield count(blobs, marked)
 
 
 def _whole_sets(docs: DataFrame, width: int) -> DataFrame:
@@ -315,10 +348,10 @@ def near_duplicates(
     counted = written(
         sent.repartition(buckets, spot)
         .sortWithinPartitions("bucket")
-        .mapInArrow(_shared, f"doc_id {kind}, n bigint, a bigint, b bigint, entry boolean"),
+        .mapInArrow(_shared, f"doc_id {kind}, n bigint, a bigint, b bigint, kind int"),
         "shared",
     )
-    members = counted.where("NOT entry").select("doc_id", "n", "a", "b")
+    members = counted.where(F.col("kind") == DOCUMENT).select("doc_id", "n", "a", "b")
     groups = written(
         members.where("n > 0").groupBy("a", "b", "n").agg(F.min("doc_id").alias("first"), F.count("*").alias("copies")),
         "sets",
@@ -327,7 +360,7 @@ def near_duplicates(
     # The least support of a set and its smallest possible partner.
     partner = F.expr(f"cast(ceil(n * {top} / {bottom}) AS bigint)")
     least = F.greatest(F.lit(1), F.floor(partner / 10)).cast("bigint")
-    shared = counted.where("entry").groupBy("a").agg(F.sum("n").alias("shared"))
+    shared = counted.where(F.col("kind") == SUPPORT).groupBy("a").agg(F.sum("n").alias("shared"))
     eligible = groups.join(shared, "a").where(F.col("shared") >= least).select("a", "b", "n", "first")
     bodies = _compressed(rows).join(eligible.select(F.col("first").alias("doc_id")).distinct(), "doc_id", "left_semi")
     whole = _whole_sets(bodies, width).where("n > 0")
@@ -335,7 +368,12 @@ def near_duplicates(
     # does no harm. Equal sets are left once.
     sets = written(whole.dropDuplicates(["a", "b"]), "whole-sets")
 
-    families = connected(_ties(sets, similarity))
+    # A bounded list, whatever the corpus holds: the most frequent shingles.
+    often = (
+        counted.where(F.col("kind") == OFTEN).orderBy(F.desc("n"), "a").limit(MOST_FREQUENT).select("a").toArrow()
+    )
+    last = np.sort(np.array(often.column(0), np.int64).view(np.uint64))
+    families = connected(_ties(sets, similarity, last, buckets))
     placed = sets.join(families, sets["a"] == families["node"]).select(
         F.col("root").alias("family"), "a", "n", "own"
     )
@@ -358,30 +396,80 @@ def near_duplicates(
     )
 
 
-def _ties(sets: DataFrame, similarity: tuple[int, int]) -> DataFrame:
-    """u, v: the smallest set that has a prefix shingle, and every other set that has it."""
+def _ties(sets: DataFrame, similarity: tuple[int, int], last: np.ndarray, buckets: int) -> DataFrame:
+    """u, v: the smallest set that has a prefix shingle, and every other set that has it.
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            heads = [
-                own[: len(own) - least_overlap(len(own), similarity) + 1]
-                for own in (np.frombuffer(o, np.uint64) for o in batch["own"])
+    A task ties the sets of a slice to the smallest of them and sends only that one on, so
+    a shingle of very many sets is a few rows by the time they meet.
+    """
+
+    def prefix_of(own: np.ndarray) -> np.ndarray:
+        n = len(own) - least_overlap(len(own), similarity) + 1
+        if not len(last):
+            return own[:n]
+        common = last[np.minimum(np.searchsorted(last, own), len(last) - 1)] == own
+        return np.concatenate((own[~common], own[common]))[:n]
+
+    def stars(entries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Entries of the smallest owner of each key, and distinct (smallest, other) pairs."""
+        entries = np.unique(entries)  # by key, then by owner
+        fresh = np.concatenate(([True], entries["key"][1:] != entries["key"][:-1]))
+        low = entries["owner"][fresh][np.cumsum(fresh) - 1]
+        pairs = np.stack((low[~fresh], entries["owner"][~fresh]), axis=1)
+        return entries[fresh], np.unique(pairs, axis=0)
+
+    def rows(pairs: np.ndarray, at: np.ndarray, blobs: list[bytes]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(
+            [
+                pa.concat_arrays([pa.array(pairs[:, i]), pa.nulls(len(at), pa.int64())])
+                for i in range(2)
             ]
-            if heads:
-                yield pd.DataFrame(
-                    {
-                        "shingle": np.concatenate(heads).astype(np.int64),
-                        "a": np.repeat(batch["a"].to_numpy(), [len(h) for h in heads]),
-                    }
-                )
+            + [
+                pa.concat_arrays([pa.nulls(len(pairs), pa.int32()), pa.array(at, pa.int32())]),
+                pa.concat_arrays([pa.nulls(len(pairs), pa.binary()), pa.array(blobs, pa.binary())]),
+            ],
+            ["u", "v", "bucket", "entries"],
+        )
 
-    heads = written(sets.select("a", "own").mapInPandas(run, "shingle bigint, a bigint"), "prefixes")
-    low = heads.groupBy("shingle").agg(F.min("a").alias("low"), F.count("*").alias("owners"))
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not len(batch):
+                continue
+            heads = [prefix_of(np.frombuffer(o.as_buffer(), np.uint64)) for o in batch.column(1)]
+            entries = np.empty(sum(map(len, heads)), ENTRY)
+            entries["key"] = np.concatenate(heads)
+            entries["owner"] = np.repeat(np.array(batch.column(0)), [len(h) for h in heads])
+            lowest, pairs = stars(entries)
+            goal = ((lowest["key"] >> np.uint64(11)) % np.uint64(buckets)).astype(np.int64)
+            yield rows(pairs, *by_bucket(lowest, goal))
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def solve(blobs: list[bytes]) -> pa.RecordBatch:
+            pairs = stars(np.frombuffer(b"".join(blobs), ENTRY))[1]
+            return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["u", "v"])
+
+        now, blobs = None, []
+        for batch in batches:
+            ready = batch.filter(batch.column(2).is_null())
+            yield pa.RecordBatch.from_arrays(ready.columns[:2], ["u", "v"])
+            for bucket, blob in zip(batch.column(2).to_pylist(), batch.column(3), strict=True):
+                if bucket is None:
+                    continue
+                if bucket != now and blobs:
+                    yield solve(blobs)
+                    blobs = []
+                now = bucket
+                blobs.append(blob.as_py())
+        if blobs:
+            yield solve(blobs)
+
+    spot = F.coalesce("bucket", F.pmod(F.xxhash64("u", "v"), F.lit(buckets)).cast("int"))
     return (
-        heads.join(low.where("owners > 1").select("shingle", "low"), "shingle")
-        .where("a <> low")
-        .select(F.col("low").alias("u"), F.col("a").alias("v"))
-        .distinct()
+        sets.select("a", "own")
+        .mapInArrow(send, "u bigint, v bigint, bucket int, entries binary")
+        .repartition(buckets, spot)
+        .sortWithinPartitions("bucket")
+        .mapInArrow(meet, "u bigint, v bigint")
     )
 
 
@@ -427,9 +515,16 @@ WITH RECURSIVE words AS (
     SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
            'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
     FROM documents
+), places AS (
+    SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS i FROM words
 ), shingles AS (
-    SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS s
-    FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 2))) AS i FROM words WHERE len(w) > 0)
+    SELECT DISTINCT doc_id, s FROM (
+        SELECT doc_id, word || ' ' || lead(word, 1) OVER p || ' ' || lead(word, 2) OVER p || ' '
+            || lead(word, 3) OVER p || ' ' || lead(word, 4) OVER p AS s
+        FROM places WINDOW p AS (PARTITION BY doc_id ORDER BY i)
+    ) WHERE s IS NOT NULL
+    UNION ALL
+    SELECT doc_id, array_to_string(w, ' ') FROM words WHERE len(w) BETWEEN 1 AND 4
 ), sizes AS (
     SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
 ), pairs AS (
