@@ -7,25 +7,31 @@ import numpy as np
 
 def suffix_order(text: np.ndarray, depth: int) -> np.ndarray:
     """Positions of ``text`` sorted by at least their first ``depth`` symbols (prefix
-    doubling, stable)."""
+    tripling); in which order equal ones come does not matter for shorter strings."""
     n = len(text)
-    padded = np.concatenate((text.astype(np.uint64), np.zeros(7, np.uint64)))
+    codes = np.cumsum(np.bincount(text) > 0).astype(np.uint64)[text]
+    bits = int(codes.max()).bit_length()
+    reach = 63 // bits
+    padded = np.concatenate((codes, np.zeros(reach, np.uint64)))
     keys = np.zeros(n, np.uint64)
-    for k in range(7):  # symbols are below 512: nine bits each
-        keys = keys << np.uint64(9) | padded[k : k + n]
-    reach = 7
+    for k in range(reach):
+        keys = keys << np.uint64(bits) | padded[k : k + n]
+    # As many ranks as fit are put together: three in tasks of the usual size.
+    width = (n + 1).bit_length()
+    times = 3 if 3 * width <= 64 else 2
     while True:
-        order = np.argsort(keys, kind="stable")
+        order = np.argsort(keys)
         ordered = keys[order]
+        fresh = np.concatenate(([1], ordered[1:] != ordered[:-1]))
         rank = np.empty(n, np.uint64)
-        fresh = np.concatenate(([0], (ordered[1:] != ordered[:-1]).astype(np.uint64)))
-        rank[order] = np.cumsum(fresh, dtype=np.uint64) + np.uint64(1)
+        rank[order] = np.cumsum(fresh, dtype=np.uint64)
         if reach >= depth or int(rank[order[-1]]) == n:
             return order
-        after = np.zeros(n, np.uint64)
-        after[: max(n - reach, 0)] = rank[reach:]
-        keys = rank << np.uint64(32) | after
-        reach *= 2
+        keys = rank.copy()
+        for k in range(1, times):
+            keys <<= np.uint64(width)
+            keys[: max(n - k * reach, 0)] |= rank[k * reach :]
+        reach *= times
 
 
 def common_groups(text: np.ndarray, order: np.ndarray, depth: int) -> np.ndarray:

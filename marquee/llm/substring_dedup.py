@@ -242,13 +242,14 @@ def _text(body: bytes, size: int) -> bytes:
 
 def _strings(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
+        rows = []
         for body, size, wanted in zip(batch["body"], batch["size"], batch["wanted"], strict=True):
             text = _text(body, size)
-            rows = [
+            rows += [
                 (w["h"], w["ctx"], w["cnt"], w["hot"], text[w["start"] : w["start"] + w["size"]])
                 for w in wanted
             ]
-            yield pd.DataFrame(rows, columns=["h", "ctx", "cnt", "hot", "string"])
+        yield pd.DataFrame(rows, columns=["h", "ctx", "cnt", "hot", "string"])
 
 
 def _ranges(starts: np.ndarray) -> list[int]:
