@@ -28,7 +28,7 @@ from marquee.plans.checks import COUNTRIES, GENRES, QUERIES, SERVICES  # noqa: E
 from marquee.plans.publish import run_jobs  # noqa: E402
 from marquee.plans.stage import stage_pages  # noqa: E402
 from marquee.schemas import TITLE_TABLES  # noqa: E402
-from marquee.session import build_session  # noqa: E402
+from marquee.session import build_session, scratch_scope  # noqa: E402
 from marquee.sources import read_staging  # noqa: E402
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
@@ -54,6 +54,13 @@ def main() -> None:
     def drain(df) -> None:
         df.write.format("noop").mode("overwrite").save()
 
+    def drained(query):
+        def work() -> None:
+            with scratch_scope(spark):
+                drain(query(spark, SF_DIR))
+
+        return work
+
     def filtered(**wanted):
         return lambda: drain(
             filters.filter_titles(read_staging(spark, staged), TitleFilter(**wanted)).select(
@@ -76,7 +83,7 @@ def main() -> None:
         "number_pages": lambda: drain(ranking.number_pages(read_staging(spark, staged))),
     }
     for name in ("dim_titles_streaming_services", "titles_on_service_table", "page_completeness"):
-        work_items[f"from_tables_{name}"] = lambda q=QUERIES[name]: drain(q(spark, SF_DIR))
+        work_items[f"from_tables_{name}"] = drained(QUERIES[name])
 
     seconds = {}
     for name, action in work_items.items():

@@ -30,7 +30,7 @@ OFFERS = T.ArrayType(
     )
 )
 
-# One title as the catalogue API returns it.
+# One title as the catalogue API returns it.
 NODE = _struct(
     id=STRING,
     objectType=STRING,
@@ -82,7 +82,7 @@ PAGE = _page(_struct(cursor=STRING, node=NODE))
 PAGE_OUTLINE = _page(_struct(cursor=STRING))
 PAGE_RANGE = _struct(min=INT, max=INT)
 
-# A title flattened with "_", arrays left whole.
+# A title flattened with "_", arrays left whole.
 STAGING = _struct(
     id=STRING,
     objectType=STRING,
@@ -127,6 +127,7 @@ class TableContract:
         return df.select([F.col(f.name).cast(f.dataType).alias(f.name) for f in self.schema])
 
 
+# Names, folders and columns of the published tables.
 # The misspelt names age_dertification, tmdb_popolarity and tmbd_score are part of the
 # published contract.
 FCT_TITLES = TableContract(
