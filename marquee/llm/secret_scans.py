@@ -17,8 +17,10 @@ from collections import Counter
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from marquee.llm.tables import id_and_text, table
 from marquee.session import written
@@ -35,7 +37,7 @@ KINDS = ("assign", "access", "hex", "live")
 
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_-]{20,}")
 LEAST_BITS = 3.5
-_ROW, _SPANS = "__row", "__spans"
+_ROW, _SPANS, _FINAL = "__row", "__spans", "__final"
 
 
 def base_spans(text: str) -> list[tuple[int, int, str, str]]:
@@ -169,34 +171,61 @@ def redact(
 
     Base spans are replaced whatever their owners; of the candidates only those that fewer
     than ``example_owners`` owners carry. Overlapping spans become one, named by the first.
-    The live values are found first and joined back by hash; a row without any candidate
-    takes part in no join. All other columns, null texts and repeated rows stay.
+    A text without candidates is done where it stands. Only the few texts with candidates
+    are numbered and written, and only the hashes of these travel to the ownership counts.
+    All other columns, null texts and repeated rows stay.
     """
-    keyed = docs.select("*").withColumn(_ROW, F.monotonically_increasing_id())
-    # Numbered and written once, so that both passes see the same rows.
-    keyed = written(keyed, "numbered")
-    found = found_spans(keyed, _ROW, text, owner, repo)
-    live = (
-        found.select(F.col("doc_id").alias(_ROW), F.explode("spans").alias("span"))
-        .where("span.kind = 'live'")
-        .select(_ROW, "span.value", "span.start", "span.end")
-        .join(ownership(found).where(F.col("owners") < example_owners), "value")
-        .select(_ROW, F.struct("start", "end", F.lit("live").alias("kind")).alias("s"))
+    owners = ownership(
+        found_spans(docs.select(F.lit(0).alias("doc_id"), docs[text].alias("text"), docs[owner].alias("owner"), docs[repo].alias("repo")), "doc_id", "text", "owner", "repo")
     )
-    base = found.select(F.col("doc_id").alias(_ROW), F.explode("spans").alias("span")).where(
-        "span.kind <> 'live'"
-    ).select(_ROW, F.struct("span.start", "span.end", "span.kind").alias("s"))
-    spans = base.union(live).groupBy(_ROW).agg(F.sort_array(F.collect_list("s")).alias(_SPANS))
-    place = 1 + docs.columns.index(text)  # behind the row number
+    place = docs.columns.index(text)
+    span = T.StructType.fromDDL("start int, end int, kind string, value bigint")
+    with_spans = T.StructType([*docs.schema.fields, T.StructField(_SPANS, T.ArrayType(span))])
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def replaced(batch: pa.RecordBatch, texts: list) -> pa.RecordBatch:
+        return batch.set_column(place, batch.schema.field(place), pa.array(texts, batch.schema.field(place).type))
+
+    def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts, waiting = batch.column(place).to_pylist(), []
+            for i, plain in enumerate(texts):
+                base = base_spans(plain or "")
+                more = candidates(plain or "", base)
+                if more:
+                    waiting.append([dict(zip(span.names, (*s[:3], _hash(s[3])), strict=True)) for s in base + more])
+                else:
+                    waiting.append(None)
+                    texts[i] = masked(plain, [dict(zip(span.names, s, strict=True)) for s in base]) if base else plain
+            kinds = [pa.int32(), pa.int32(), pa.string(), pa.int64()]
+            kind = pa.list_(pa.struct(list(zip(span.names, kinds, strict=True))))
+            batch = replaced(batch, texts)
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array(waiting, kind)], [*batch.schema.names, _SPANS]
+            )
+
+    scanned = docs.mapInArrow(first, with_spans)
+    clean = scanned.where(F.col(_SPANS).isNull()).select(*docs.columns)
+    hit = written(
+        scanned.where(F.col(_SPANS).isNotNull()).withColumn(_ROW, F.monotonically_increasing_id()),
+        "candidates",
+    )
+    spans = hit.select(_ROW, F.explode(_SPANS).alias("s")).select(_ROW, "s.*")
+    live = spans.where("kind = 'live'").join(owners.where(F.col("owners") < example_owners), "value")
+    final = (
+        spans.where("kind <> 'live'").select(_ROW, "start", "end", "kind")
+        .union(live.select(_ROW, "start", "end", "kind"))
+        .groupBy(_ROW)
+        .agg(F.sort_array(F.collect_list(F.struct("start", "end", "kind"))).alias(_FINAL))
+    )
+
+    def second(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            batch.isetitem(place, [masked(t, s) for t, s in zip(batch.iloc[:, place], batch[_SPANS], strict=True)])
-            yield batch.drop(columns=[_SPANS])
+            texts, found = batch.column(place).to_pylist(), batch.column(len(batch.columns) - 1).to_pylist()
+            done = [masked(t, s) if s else t for t, s in zip(texts, found, strict=True)]
+            yield replaced(batch, done).select(list(range(len(batch.columns) - 1)))
 
-    hit = keyed.join(spans, _ROW).mapInPandas(run, keyed.select(_ROW, *docs.columns).schema)
-    clean = keyed.join(spans.select(_ROW), _ROW, "left_anti")
-    return clean.unionByName(hit).select(*docs.columns)
+    waiting = hit.join(final, _ROW, "left").select(*docs.columns, _FINAL)
+    return clean.unionByName(waiting.mapInArrow(second, docs.schema))
 
 
 def masked(text: str, spans: list[dict]) -> str:
