@@ -27,7 +27,7 @@ from marquee.llm.tokens import Encoder, crc32, default_path, encoded
 
 WINDOW = 2048
 END_ID = 1
-BLOCK_IDS = 8 << 20  # ids held by a task at once
+BLOCK_IDS = 4 << 20  # ids held by a task at once
 TRIPLES = 4  # combinations of three lengths tried for each largest length
 COPIES = 7  # copies of one length in a combination at most
 STEPS = 200

@@ -186,7 +186,7 @@ def redact(
         return batch.set_column(place, batch.schema.field(place), pa.array(texts, batch.schema.field(place).type))
 
     def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in in_parts(batches):
             texts, waiting = batch.column(place).to_pylist(), []
             for i, plain in enumerate(texts):
                 base = base_spans(plain or "")
@@ -219,7 +219,7 @@ def redact(
     )
 
     def second(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in in_parts(batches):
             texts, found = batch.column(place).to_pylist(), batch.column(len(batch.columns) - 1).to_pylist()
             done = [masked(t, s) if s else t for t, s in zip(texts, found, strict=True)]
             yield replaced(batch, done).select(list(range(len(batch.columns) - 1)))
@@ -228,6 +228,14 @@ def redact(
     return clean.unionByName(waiting.mapInArrow(second, docs.schema))
 
 
+def in_parts(batches: Iterator[pa.RecordBatch], rows: int = 250) -> Iterator[pa.RecordBatch]:
+    """Batches in small parts: their texts are held several times over while they change."""
+    for batch in batches:
+        for start in range(0, len(batch), rows):
+            yield batch.slice(start, rows)
+        pa.default_memory_pool().release_unused()
+
+
 def masked(text: str, spans: list[dict]) -> str:
     parts, place = [], 0
     for span in spans:  # by start

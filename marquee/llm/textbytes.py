@@ -40,7 +40,7 @@ def slices(column: pa.Array, limit: int = SLICE) -> Iterator[tuple[int, np.ndarr
 def _powers(base: int, n: int) -> np.ndarray:
     have = _POWERS.get(base)
     if have is None or len(have) < n:
-        steps = np.full(max(n, SLICE + 1), base, np.uint64)
+        steps = np.full(n + n // 4, base, np.uint64)
         steps[0] = 1
         have = _POWERS[base] = np.cumprod(steps)
     return have[:n]

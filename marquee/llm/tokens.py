@@ -23,6 +23,7 @@ VOCABULARY = "byte_bpe_50k.json"
 SLOTS = 1 << 21
 POOL = 16 << 20  # ids remembered at most
 LONGEST = 256  # bytes of a piece that is remembered
+AT_ONCE = 1 << 19  # bytes of text encoded at once, beyond whole texts
 TOGETHER = 256  # pieces encoded as one string
 
 # Bytes that surely are or begin a visible character (_VISIBLE), and bytes that surely
@@ -181,5 +182,5 @@ def crc32(ids: np.ndarray) -> int:
 
 def encoded(column: pa.Array, encoder: Encoder) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """First row, ids and places of ids for each slice of a string column without nulls."""
-    for first, ends, data in slices(column):
+    for first, ends, data in slices(column, AT_ONCE):
         yield first, *encoder.encode(ends, data)
