@@ -155,11 +155,13 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         told = entries["owner"][entries["key"] == 0]
         entries = np.unique(entries[entries["key"] != 0])
         keys, back, times = np.unique(entries["key"], return_inverse=True, return_counts=True)
+        # A mark tells that the other holders of a shingle lie in the slice of its one entry:
+        # it comes before owners are picked, so that the owner of that entry counts too.
+        marks = np.frombuffer(b"".join(marked), ENTRY)
+        np.add.at(times, np.searchsorted(keys, marks["key"]), marks["owner"])
         owners, counts = np.unique(
             np.concatenate((entries["owner"][times[back] > 1], told)), return_counts=True
         )
-        marks = np.frombuffer(b"".join(marked), ENTRY)
-        np.add.at(times, np.searchsorted(keys, marks["key"]), marks["owner"])
         often = times >= FREQUENT
         rows = len(owners) + int(often.sum())
         return pa.RecordBatch.from_arrays(

@@ -83,5 +83,14 @@ def test_chain_is_one_component(make_docs):
     assert found == {e[2] for e in expected(rows)} == {0}
 
 
+def test_many_near_copies_in_one_slice(make_docs):
+    """Every common shingle of the first copy is held in its own slice alone."""
+    words = [f"v{i}" for i in range(120)]
+    rows = [(0, " ".join(words))]
+    rows += [(i, " ".join([*words[: 4 * i], "other", *words[4 * i + 1 :]])) for i in range(1, 30)]
+    assert got(N.near_duplicates(make_docs(*rows).orderBy("doc_id").coalesce(1))) == expected(rows)
+    assert {e[2] for e in expected(rows)} == {0}
+
+
 def test_empty_table(make_docs):
     assert N.near_duplicates(make_docs((1, "x")).where("false")).count() == 0
