@@ -5,7 +5,8 @@ character comes next, nor a letter with a full stop after it, nor a line end wit
 stands around it: texts are cut there. The ids of a piece are the same wherever it
 stands, so every piece that is new to a task is encoded once, by the tokenizers library,
 and remembered in a table of fixed size by its hash; a text's ids are put together from
-there.
+there. Added tokens that stand in a text, such as ``<|endoftext|>``, get their own id, as
+the library gives them; no text is cut in them or right before the white space they follow.
 """
 
 from __future__ import annotations
@@ -127,7 +128,7 @@ class Encoder(PieceTable):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.marks = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
         vocabulary = self.tokenizer.get_vocab()
         self.blank_first = np.zeros(max(vocabulary.values()) + 1, bool)
         self.blank_first[[i for t, i in vocabulary.items() if t[0] == "Ġ"]] = True
@@ -173,8 +174,17 @@ class Encoder(PieceTable):
         line = (before == 0x0A) & _VISIBLE[here]  # a piece of its own
         cut[1:-1] |= line
         cut[:-2] |= line | ((before == 0x20) & _VISIBLE[here])
+        # The library takes added tokens out first. A mark is never cut, and white space
+        # before it ends a text of its own: the last of it goes with the rest.
+        raw = data.tobytes() if self.marks else b""
+        for mark in self.marks:
+            at = raw.find(mark)
+            while at >= 0:
+                cut[max(at - 1, 0) : at + len(mark)] = False
+                at = raw.find(mark, at + 1)
         return cut
 
+
 def crc32(ids: np.ndarray) -> int:
     """Of the ids as little-endian unsigned 32-bit integers."""
     return zlib.crc32(np.ascontiguousarray(ids, "<u4"))

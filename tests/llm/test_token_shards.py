@@ -34,6 +34,21 @@ def test_encoder_equals_the_library(encoder):
         assert found == plain(encoder, texts)
 
 
+def test_added_tokens_get_the_ids_of_a_fresh_library(encoder):
+    from tokenizers import Tokenizer
+
+    library, rng, mark = Tokenizer.from_file(default_path()), random.Random(3), "<|endoftext|>"
+    around = ["", " ", "  ", "\n", "\n\n", " \n", "\n ", "a", "it's", ".", "a.", "<", "|", "é", "\u3000", "<|endo"]
+    texts = [f"{x}{mark}{y}" for x in around for y in around] + [f"ab{x}{mark}{mark}{x}cd" for x in around]
+    texts += ["".join(rng.choices([*around, mark, " b", "word "], k=12)) for _ in range(2000)] + ["ftext|> x"]
+    assert library.encode(f"a{mark}b", add_special_tokens=False).ids == [64, 50256, 65]
+    for _ in range(2):  # not met before, then remembered
+        found = []
+        for _, ids, places in encoded(pa.array(texts), encoder):
+            found += [ids[s:e].tolist() for s, e in zip(places, places[1:])]
+        assert found == [library.encode(t, add_special_tokens=False).ids for t in texts]
+
+
 def expected(encoder, rows):
     order = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, (r[1] or "").encode()))
     out, start = [], 0
