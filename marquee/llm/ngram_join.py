@@ -28,6 +28,7 @@ Equal sets travel once; their documents are brought back by the digest of the se
 
 from __future__ import annotations
 
+import hashlib
 import math
 from collections.abc import Iterator
 
@@ -64,7 +65,7 @@ def support(n: int) -> int:
 
 
 def _prefixes(docs: DataFrame, similarity: tuple[int, int], width: int, buckets: int) -> DataFrame:
-    """Rows of documents (bucket null, doc_id, n, a, b) and of packed prefix entries."""
+    """Rows of documents (bucket null, doc_id, n, a, b, text_key) and of packed prefix entries."""
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -82,6 +83,7 @@ def _prefixes(docs: DataFrame, similarity: tuple[int, int], width: int, buckets:
                         pa.array([d[1] for d in digests], pa.int64()),
                         pa.nulls(rows, pa.binary()),
                         pa.nulls(rows, pa.binary()),
+                        batch.column(2).slice(first, rows),
                     ],
                     names,
                 )
@@ -128,13 +130,15 @@ def _prefixes(docs: DataFrame, similarity: tuple[int, int], width: int, buckets:
                             *[pa.nulls(rows, pa.int64())] * 3,
                             blobs[column],
                             blobs[1 - column],
+                            pa.nulls(rows, pa.int64()),
                         ],
                         names,
                     )
 
-    names = ["bucket", "doc_id", "n", "a", "b", "entries", "marks"]
+    names = ["bucket", "doc_id", "n", "a", "b", "entries", "marks", "text_key"]
     return docs.mapInArrow(
-        run, f"bucket int, doc_id {kind}, n bigint, a bigint, b bigint, entries binary, marks binary"
+        run,
+        f"bucket int, doc_id {kind}, n bigint, a bigint, b bigint, entries binary, marks binary, text_key bigint",
     )
 
 
@@ -171,18 +175,19 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 pa.array(np.concatenate((owners, keys[often].view(np.int64)))),
                 pa.nulls(rows, pa.int64()),
                 pa.array(np.repeat([SUPPORT, OFTEN], [len(owners), rows - len(owners)]), pa.int32()),
+                pa.nulls(rows, pa.int64()),
             ],
             names,
         )
 
-    names = ["doc_id", "n", "a", "b", "kind"]
+    names = ["doc_id", "n", "a", "b", "kind", "text_key"]
     now, blobs, marked, kind = None, [], [], None
     for batch in batches:
         kind = batch.schema.field(1).type
         docs = batch.filter(batch.column(0).is_null())
         if len(docs):
             yield pa.RecordBatch.from_arrays(
-                [*docs.columns[1:5], pa.array(np.full(len(docs), DOCUMENT), pa.int32())], names
+                [*docs.columns[1:5], pa.array(np.full(len(docs), DOCUMENT), pa.int32()), docs.column(7)], names
             )
         for bucket, blob, mark in zip(batch.column(0).to_pylist(), batch.column(5), batch.column(6), strict=True):
             if bucket is None:
@@ -222,23 +227,34 @@ def _whole_sets(docs: DataFrame, width: int) -> DataFrame:
 
 
 def _compressed(docs: DataFrame) -> DataFrame:
-    """doc_id, size and zstd body of the texts: a third of the bytes to shuffle."""
+    """doc_id, text_key, size and zstd body of the texts: a third of the bytes to shuffle. Of
+    equal texts without an identifier a task sends one, so that they make no hot group."""
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = pa.Codec("zstd", compression_level=1)
+        sent = set()
         for batch in batches:
+            nameless = batch.column(0).is_null().to_numpy(zero_copy_only=False)
+            if nameless.any():
+                keep = ~nameless
+                for i in np.flatnonzero(nameless):
+                    digest = hashlib.blake2b(batch.column(1)[i].as_buffer(), digest_size=16).digest()
+                    keep[i] = digest not in sent
+                    sent.add(digest)
+                batch = batch.filter(pa.array(keep))
             plain = [t.as_buffer() for t in batch.column(1)]
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
+                    batch.column(2),
                     pa.array([len(p) for p in plain], pa.int64()),
                     pa.array([codec.compress(p, asbytes=True) for p in plain], pa.binary()),
                 ],
-                ["doc_id", "size", "body"],
+                ["doc_id", "text_key", "size", "body"],
             )
 
-    return docs.mapInArrow(run, f"doc_id {kind}, size bigint, body binary")
+    return docs.mapInArrow(run, f"doc_id {kind}, text_key bigint, size bigint, body binary")
 
 
 class CountTree:
@@ -341,7 +357,10 @@ def near_duplicates(
     and is the component only of rows without another. An empty table gives no rows.
     """
     spark = docs.sparkSession
-    rows = id_and_text(docs, doc_id, text)
+    # A text without an identifier is found again by its hash.
+    rows = id_and_text(docs, doc_id, text).withColumn(
+        "text_key", F.when(F.col("doc_id").isNull(), F.xxhash64("text"))
+    )
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
     buckets = max(64, 4 * tasks)
     kind = rows.schema["doc_id"].dataType.simpleString()
@@ -350,12 +369,14 @@ def near_duplicates(
     counted = written(
         sent.repartition(buckets, spot)
         .sortWithinPartitions("bucket")
-        .mapInArrow(_shared, f"doc_id {kind}, n bigint, a bigint, b bigint, kind int"),
+        .mapInArrow(_shared, f"doc_id {kind}, n bigint, a bigint, b bigint, kind int, text_key bigint"),
         "shared",
     )
-    members = counted.where(F.col("kind") == DOCUMENT).select("doc_id", "n", "a", "b")
+    members = counted.where(F.col("kind") == DOCUMENT).select("doc_id", "n", "a", "b", "text_key")
     groups = written(
-        members.where("n > 0").groupBy("a", "b", "n").agg(F.min("doc_id").alias("first"), F.count("*").alias("copies")),
+        members.where("n > 0")
+        .groupBy("a", "b", "n")
+        .agg(F.min("doc_id").alias("first"), F.min("text_key").alias("text_key"), F.count("*").alias("copies")),
         "sets",
     )
     top, bottom = similarity
@@ -363,11 +384,17 @@ def near_duplicates(
     partner = F.expr(f"cast(ceil(n * {top} / {bottom}) AS bigint)")
     least = F.greatest(F.lit(1), F.floor(partner / 10)).cast("bigint")
     shared = counted.where(F.col("kind") == SUPPORT).groupBy("a").agg(F.sum("n").alias("shared"))
-    eligible = groups.join(shared, "a").where(F.col("shared") >= least).select("a", "b", "n", "first")
-    bodies = _compressed(rows).join(eligible.select(F.col("first").alias("doc_id")).distinct(), "doc_id", "left_semi")
+    eligible = groups.join(shared, "a").where(F.col("shared") >= least).select(
+        F.col("first").alias("wanted"), F.when(F.col("first").isNull(), F.col("text_key")).alias("wanted_key")
+    )
+    bodies = _compressed(rows).join(
+        eligible.distinct(),
+        F.col("doc_id").eqNullSafe(F.col("wanted")) & F.col("text_key").eqNullSafe(F.col("wanted_key")),
+        "left_semi",
+    )
     whole = _whole_sets(bodies, width).where("n > 0")
-    # A row that repeats the identifier with another text brings a set nobody asked for; it
-    # does no harm. Equal sets are left once.
+    # A row that repeats the identifier (or the hash) with another text brings a set nobody
+    # asked for; it does no harm. Equal sets are left once.
     sets = written(whole.dropDuplicates(["a", "b"]), "whole-sets")
 
     # A bounded list, whatever the corpus holds: the most frequent shingles.

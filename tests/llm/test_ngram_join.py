@@ -92,5 +92,14 @@ def test_many_near_copies_in_one_slice(make_docs):
     assert {e[2] for e in expected(rows)} == {0}
 
 
+def test_null_identifier_is_a_near_copy_and_a_bridge(make_docs):
+    words = [f"v{i}" for i in range(400)]
+    rows = [(1, " ".join(words[:80])), (None, " ".join(words[8:88])), (2, " ".join(words[16:96]))]
+    rows += [(3, " ".join(words[200:280])), *[(None, " ".join(words[202:282]))] * 3]
+    rows += [(None, " ".join(words[300:360])), (None, " ".join(words[301:361]))]
+    assert got(N.near_duplicates(make_docs(*rows))) == expected(rows)
+    assert (2, 76, 1) in expected(rows) and (None, 76, 3) in expected(rows) and (None, 56, None) in expected(rows)
+
+
 def test_empty_table(make_docs):
     assert N.near_duplicates(make_docs((1, "x")).where("false")).count() == 0
