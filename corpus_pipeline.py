@@ -7,9 +7,10 @@
     packing              the texts as pieces of sequences of 2048 tokens
 
 Every stage takes what its predecessor kept, as a table with the columns of documents, and
-returns such a table, but for the last, which returns the pieces. Rows with a null
-identifier go through all stages; where an operator's verdict is by identifier, rows that
-repeat an identifier share it.
+returns such a table, but for the last, which returns the pieces with their token ids. The
+two stages that remove copies number their rows first and decide by row: rows without an
+identifier or with a repeated one are rows like any other. Of copies the row with the
+smallest identifier stays, a missing one being the largest, and of equal identifiers any one.
 """
 
 from __future__ import annotations
@@ -32,18 +33,26 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     return keep_good(docs, train(docs, labels)).select(*COLUMNS)
 
 
-def _without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
-    """Rows whose identifier is not in ``dropped(doc_id)``, a table of any size."""
-    return docs.join(dropped.distinct(), "doc_id", "left_anti").select(*COLUMNS)
+def _numbered(docs: DataFrame) -> DataFrame:
+    """Adds ``key``, the identifier with a number of the row: never null, never twice, in the
+    order of the identifiers. Written, so that every pass meets the same numbers."""
+    key = F.struct(F.col("doc_id").isNull().alias("missing"), "doc_id", F.monotonically_increasing_id().alias("row"))
+    return written(docs.select(*COLUMNS, key.alias("key")), "numbered")
+
+
+def _without(numbered: DataFrame, dropped: DataFrame) -> DataFrame:
+    """Rows whose number is not in ``dropped(row)``, a table of any size."""
+    return numbered.withColumn("row", F.col("key.row")).join(dropped, "row", "left_anti").select(*COLUMNS)
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return _without(docs, exact_dedup(docs).where("NOT kept").select("doc_id"))
+    rows = _numbered(docs)
+    return _without(rows, exact_dedup(rows, "key").where("NOT kept").select("doc_id.row"))
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = near_duplicates(docs).where("doc_id <> component_id").select("doc_id")
-    return _without(docs, found)
+    rows = _numbered(docs)
+    return _without(rows, near_duplicates(rows, "key").where("doc_id <> component_id").select("doc_id.row"))
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

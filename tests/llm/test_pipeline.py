@@ -47,6 +47,22 @@ def test_stages_against_plain_versions(spark, sf_dir):
     assert sum(r.length for r in whole) == sum(r.length for r in packed)
 
 
+def test_copies_go_row_by_row(spark, make_docs):
+    words = [f"v{i}" for i in range(90)]
+    base, close, other = " ".join(words), " ".join(words[1:]), " ".join(f"u{i}" for i in range(90))
+    nameless, last = "one text of no identifier at all", "a text that stands in two equal rows"
+    rows = [(5, base), (None, base), (None, close), (None, nameless), (None, nameless), (7, base), (7, other), (8, close)]
+    rows += [(9, last), (9, last)]
+    single = [(5, base), (7, other), (8, close), (9, last), (None, nameless)]
+
+    def left(stage, frame):
+        return sorted(((r.doc_id, r.text) for r in stage(spark, frame, "").collect()), key=repr)
+
+    docs = make_docs(*rows).select(*P.COLUMNS)
+    assert left(P.exact, docs) == sorted(single, key=repr)
+    assert left(P.near, docs) == sorted([r for r in single if r != (8, close)], key=repr)
+
+
 def test_nulls_and_empty_table(spark, make_docs, odd_rows, sf_dir):
     for docs in (make_docs(*odd_rows), make_docs((1, "x")).where("false")):
         out = docs.select(*P.COLUMNS)
