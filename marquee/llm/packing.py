@@ -96,7 +96,7 @@ def plan_windows(pieces: list[int], window: int) -> tuple[list[list[int]], list[
 
 class _Packer:
     """Packs one task's documents; gives rows (doc_id, start, length, crc, doc_tokens,
-    sequence_id, offset)."""
+    sequence_id, offset, ids)."""
 
     def __init__(self, part: int, window: int):
         self.sequence, self.window = part << 32, window
@@ -106,7 +106,7 @@ class _Packer:
     def _put(self, placed: list[tuple[np.ndarray, tuple, int]]) -> None:
         offset = 0
         for ids, (doc_id, tokens), start in placed:
-            self.rows.append((doc_id, start, len(ids), crc32(ids), tokens, self.sequence, offset))
+            self.rows.append((doc_id, start, len(ids), crc32(ids), tokens, self.sequence, offset, ids))
             offset += len(ids)
         self.sequence += 1
 
@@ -162,6 +162,7 @@ class _Packer:
 
 
 COLUMNS = ("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
+BATCH_IDS = 1 << 20  # ids of the pieces given out at once, beyond whole pieces
 
 
 def pack(
@@ -172,9 +173,12 @@ def pack(
     end_id: int = END_ID,
     window: int = WINDOW,
 ) -> DataFrame:
-    """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset.
+    """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset,
+    ids.
 
-    Every id of every document lies in one piece. A null text counts as empty: the document
+    ``ids`` are the token ids of the piece: the pieces of a sequence in the order of their
+    offsets are the sequence, and those of a document in the order of their starts are the
+    document. Every id of every document lies in one piece. A null text counts as empty: the document
     is its end id. Repeated rows are packed one by one; a null identifier is kept. Sequence
     numbers are unique, not consecutive: each task counts in a range of its own. An empty
     table gives no rows.
@@ -182,19 +186,25 @@ def pack(
     path = tokenizer or default_path()
     rows = id_and_text(docs, doc_id, text)
     kind = rows.schema["doc_id"].dataType.simpleString()
-    names = ", ".join(f"{c} {kind if c == 'doc_id' else 'bigint'}" for c in COLUMNS)
+    names = ", ".join(f"{c} {kind if c == 'doc_id' else 'bigint'}" for c in COLUMNS) + ", ids array<int>"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, packer = Encoder(path), _Packer(TaskContext.get().partitionId(), window)
         block, held, key_type = [], 0, None
 
-        def rows_so_far() -> pa.RecordBatch:
-            columns = list(zip(*packer.rows, strict=True))
-            packer.rows = []
+        def rows_so_far() -> Iterator[pa.RecordBatch]:
+            rows, packer.rows = packer.rows, []
             kinds = [key_type, *[pa.int64()] * (len(COLUMNS) - 1)]
-            return pa.RecordBatch.from_arrays(
-                [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], COLUMNS
-            )
+            groups = np.cumsum([len(row[-1]) for row in rows]) // BATCH_IDS
+            for part in np.split(np.arange(len(rows)), np.flatnonzero(np.diff(groups)) + 1):
+                *columns, ids = zip(*rows[part[0] : part[-1] + 1], strict=True)
+                places = np.cumsum([0, *map(len, ids)]).astype(np.int32)
+                flat = pa.array(np.concatenate(ids).astype(np.int32))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)]
+                    + [pa.ListArray.from_arrays(pa.array(places), flat)],
+                    [*COLUMNS, "ids"],
+                )
 
         for batch in batches:
             key_type, keys = batch.schema.field(0).type, batch.column(0).to_pylist()
@@ -207,14 +217,15 @@ def pack(
                     packer.add(block)
                     block, held = [], 0
                     if packer.rows:
-                        yield rows_so_far()
+                        yield from rows_so_far()
         packer.add(block)
         packer.finish()
         if packer.rows:
-            yield rows_so_far()
+            yield from rows_so_far()
 
     return rows.mapInArrow(run, names)
 
 
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pack(table(spark, sf_dir, "documents"))
+    """The pieces without their ids, which their checksums stand for."""
+    return pack(table(spark, sf_dir, "documents")).select(*COLUMNS)

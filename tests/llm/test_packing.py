@@ -43,6 +43,17 @@ def test_odd_rows(make_docs, odd_rows, window):
     check(rows, ids_of, window)
 
 
+def test_texts_come_back_from_the_pieces(make_docs, odd_rows):
+    library = Encoder(default_path()).tokenizer
+    docs = [(i, t) for i, (_, t) in enumerate(odd_rows)] + [(50, "a b <|endoftext|> c")]
+    rows = pack(make_docs(*docs), window=64).collect()
+    assert all(r.length == len(r.ids) and r.ids_crc32 == zlib.crc32(np.array(r.ids, "<u4")) for r in rows)
+    for doc_id, text in docs:
+        pieces = sorted((r.start, r.ids) for r in rows if r.doc_id == doc_id)
+        ids = [i for _, piece in pieces for i in piece]
+        assert ids == [*library.encode(text or "", add_special_tokens=False).ids, 1]
+
+
 def test_empty_table(make_docs):
     assert pack(make_docs((1, "x")).where("false")).count() == 0
 
