@@ -32,9 +32,14 @@ def _neighbours(array: str, pair) -> Column:
     return F.zip_with(F.slice(array, 1, steps), F.slice(array, 2, steps), pair)
 
 
+def plain(line: Column) -> Column:
+    """A line as it is counted: white space normalised."""
+    return F.trim(F.regexp_replace(line, BLANKS + "+", " "))
+
+
 def measured(docs: DataFrame) -> DataFrame:
     """Adds n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words and lines to rows
-    with a text; drops the text. Every array is a column of its own before it is used in a
+    with a text. Every array is a column of its own before it is used in a
     function over elements, so nothing is computed once per element."""
     words = docs.select(
         "*",
@@ -81,7 +86,6 @@ def measured(docs: DataFrame) -> DataFrame:
             lambda total, step: total + step,
         )
     )
-    plain = lambda line: F.trim(F.regexp_replace(line, BLANKS + "+", " "))
     lines = F.array_distinct(
         F.transform(
             "full_lines",
@@ -90,9 +94,8 @@ def measured(docs: DataFrame) -> DataFrame:
             ),
         )
     )
-    kept = [c for c in docs.columns if c != "text"]
     return repeated.select(
-        *kept,
+        *docs.columns,
         _long(F.col("n")).alias("n_words"),
         _long(F.length(F.regexp_replace("text", BLANKS + "+", ""))).alias("word_chars"),
         _long(F.length(F.regexp_replace("text", "[^#*$%&|<>]+", ""))).alias("n_symbols"),
@@ -102,7 +105,13 @@ def measured(docs: DataFrame) -> DataFrame:
     )
 
 
-def quality_rules(
+COUNTED = (
+    "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
+    "line_words", "removed_words",
+)
+
+
+def cleaned(
     docs: DataFrame,
     doc_id: str = "doc_id",
     text: str = "text",
@@ -112,8 +121,10 @@ def quality_rules(
     remain: float = 0.5,
 ) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_words, word_chars, n_symbols, n_dup_lines,
-    n_repeat_words, base_failed, kept, line_words, removed_words.
+    n_repeat_words, base_failed, kept, line_words, removed_words, text.
 
+    ``text`` is the text without its lines over the limit, wherever in it they stand; its
+    other lines, blank ones too, are as they were. A null text comes back empty.
     ``base_failed``: fewer than ten words, or over 20 of 100 words lie in five-word windows
     that the text repeats. ``line_words`` are the words of the distinct lines,
     ``removed_words`` those of lines over the limit. A null text counts as empty and fails,
@@ -141,7 +152,12 @@ def quality_rules(
         .select("host", "line")
     )
     removed = (
-        lines.join(common, ["host", "line"]).groupBy("row").agg(F.sum("n").alias("removed_words"))
+        lines.join(common, ["host", "line"])
+        .groupBy("row")
+        .agg(F.sum("n").alias("removed_words"), F.collect_list("line").alias("removed"))
+    )
+    own = F.filter(
+        F.split("text", "\n"), lambda line: ~F.array_contains(F.col("removed"), F.xxhash64(plain(line)))
     )
     line_words = F.aggregate("lines", F.lit(0).cast("bigint"), lambda t, x: t + x["n"])
     failed = (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
@@ -156,10 +172,16 @@ def quality_rules(
                 & (F.col("line_words") - F.col("removed_words") >= F.col("line_words") * remain)
             ).alias("kept"),
             "line_words", "removed_words",
+            F.when(F.col("removed").isNull(), F.col("text")).otherwise(F.array_join(own, "\n")).alias("text"),
         )
     )
 
 
+def quality_rules(docs: DataFrame, *columns: str, **limits: float) -> DataFrame:
+    """The counted columns of ``cleaned``, which takes the same arguments."""
+    return cleaned(docs, *columns, **limits).select(*COUNTED)
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A document's source plays its host."""
     return quality_rules(table(spark, sf_dir, "documents"))

@@ -2,7 +2,7 @@ import duckdb
 import pytest
 
 from compare import difference
-from marquee.llm.quality_rules import ORACLE, quality_rules
+from marquee.llm.quality_rules import ORACLE, cleaned, quality_rules
 
 
 def check(docs, tmp_path):
@@ -36,6 +36,17 @@ def test_depleted_document_goes(make_docs):
     assert not any(kept[i][0] for i in range(20)) and all(kept[50 + i] == (True, 14) for i in range(5))
 
 
+def test_common_lines_leave_the_text(make_docs):
+    shared = "menu  home about\tthis page"
+    own = "\n".join(f"own words of one document number {k}" for k in range(4))
+    rows = [(i, f" {shared}\n\n{own} {i}\n{shared} \nend {i}\n", "h") for i in range(20)]
+    rows += [(100, f"{shared}\n{own}", "other"), (101, None, "h"), (102, f"\n{own} x\n", "h")]
+    text = {r.doc_id: r.text for r in cleaned(make_docs(*rows)).collect()}
+    rest = own.split("\n")[3]  # with the number of the document behind it
+    assert all(text[i] == f"\n{rest} {i}\nend {i}\n" for i in range(20))
+    assert text[100] == rows[20][1] and text[101] == "" and text[102] == f"\n{rest} x\n"
+
+
 def test_empty_table(make_docs):
     assert quality_rules(make_docs((1, "x")).where("false")).count() == 0
 
