@@ -59,7 +59,7 @@ def _word(verdict: str, *tokens: str) -> list[PatternRule]:
 # visitors of one shop or session, files without text.
 PATTERN_RULES = (
     *_word("block", "adserver", "doubleclick", "banner", "casino", "poker", "viagra", "porn", "xxx"),
-    PatternRule("block", rf"{EDGE}wp-(?:login|admin|cron)\.php", ("wp", "php")),
+    PatternRule("block", rf"{EDGE}wp-(?:login|admin|cron)\.php", ("wp",)),  # php5 may stand there
     PatternRule("block", r"/(?:cart|checkout|basket)/(?:add|remove|update)", ()),
     PatternRule("block", rf"[?&](?:phpsessid|jsessionid|sid)=[a-z0-9]{{8,}}{END}", ()),
     PatternRule("block", r"[?&]utm_campaign=[^&#]+&utm_content=", ("utm", "campaign", "content")),

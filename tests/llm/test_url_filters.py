@@ -48,5 +48,14 @@ def test_rules_lie_under_their_rarest_token():
     assert number in index["campaign"] and len(always) == sum(not r.tokens for r in PATTERN_RULES)
 
 
+def test_tokens_are_whole_tokens_of_every_match(spark):
+    urls = ["http://x.net/wp-login.php5", "http://x.net/wp-cron.phps", "http://x.net/?utm_campaign=a1&utm_content=b", "http://x.net/tag/a/page/2", "http://x.net/?page=2&ref=de2"]
+    for url in urls:
+        fits = [r for r in PATTERN_RULES if re.search(r.regex, url)]
+        assert fits and all(set(r.tokens) <= set(re.findall("[a-z0-9]+", url)) for r in fits)
+    rows = filter_urls(spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")).collect()
+    assert all(r.verdict == "block" for r in rows)
+
+
 def test_empty_table(spark):
     assert filter_urls(pages(spark).where("false")).count() == 0
