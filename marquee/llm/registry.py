@@ -13,6 +13,7 @@ from marquee.llm import (
     substring_dedup,
     token_shards,
     url_filters,
+    warc,
 )
 
 QUERIES = {
@@ -26,6 +27,7 @@ QUERIES = {
     "op8_packing": packing.op8_packing,
     "op9_quality_classifier": quality_classifier.op9_quality_classifier,
     "op10_url_filters": url_filters.op10_url_filters,
+    "op11_warc": warc.op11_warc,
 }
 
 SQL = {
@@ -33,4 +35,5 @@ SQL = {
     "op4_quality_rules": quality_rules.ORACLE,
     "op5_ngram_join": ngram_join.ORACLE,
     "op10_url_filters": url_filters.ORACLE,
+    "op11_warc": warc.ORACLE,
 }
