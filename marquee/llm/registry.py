@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from marquee.llm import (
+    conversation_repair,
     exact_dedup,
     ngram_join,
     packing,
@@ -28,6 +29,7 @@ QUERIES = {
     "op9_quality_classifier": quality_classifier.op9_quality_classifier,
     "op10_url_filters": url_filters.op10_url_filters,
     "op11_warc": warc.op11_warc,
+    "op12_conversation_repair": conversation_repair.op12_conversation_repair,
 }
 
 SQL = {
