@@ -5,6 +5,7 @@ from __future__ import annotations
 from marquee.llm import (
     conversation_repair,
     exact_dedup,
+    lexical_search,
     ngram_join,
     packing,
     piece_transducer,
@@ -30,6 +31,7 @@ QUERIES = {
     "op10_url_filters": url_filters.op10_url_filters,
     "op11_warc": warc.op11_warc,
     "op12_conversation_repair": conversation_repair.op12_conversation_repair,
+    "op13_lexical_search": lexical_search.op13_lexical_search,
 }
 
 SQL = {
@@ -38,4 +40,5 @@ SQL = {
     "op5_ngram_join": ngram_join.ORACLE,
     "op10_url_filters": url_filters.ORACLE,
     "op11_warc": warc.ORACLE,
+    "op13_lexical_search": lexical_search.ORACLE,
 }
