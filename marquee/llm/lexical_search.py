@@ -15,9 +15,8 @@ length means, follows from numbers of the whole corpus, which a pass over the in
 for the terms of a batch alone; the index itself holds nothing of the queries or the corpus.
 
 A batch is a bounded number of queries and is sent to every task. Each task keeps the k best
-documents of every query, and starts from a floor that all tasks share: the k-th best score
-of every query among the documents with the highest bounds. The rows that tasks give out
-are counted in queries, not in documents.
+documents of every query over all it has read; their worst score is the floor a bound has to
+reach. The rows that tasks give out are counted in queries, not in documents.
 """
 
 from __future__ import annotations
@@ -177,10 +176,10 @@ class Best:
     """The k best rows of every query so far: score, then smallest identifier (a missing one
     last), then row."""
 
-    def __init__(self, queries: Queries, k: int, floors: np.ndarray):
+    def __init__(self, queries: Queries, k: int):
         self.queries, self.k = queries, k
         self.heaps = [[] for _ in queries.numbers]
-        self.floors = floors.copy()  # a score below it can not be among the k best
+        self.floors = np.ones(len(self.heaps), np.int64)  # a score below it is not among the best
 
     def add(self, query: int, score: int, order: tuple, entry: tuple) -> None:
         heap = self.heaps[query]
@@ -190,12 +189,12 @@ class Best:
         else:
             heapq.heappushpop(heap, item)
         if len(heap) == self.k:
-            self.floors[query] = max(self.floors[query], heap[0][0])
+            self.floors[query] = heap[0][0]
 
     def take(self, docs: list[tuple], bounds: np.ndarray) -> None:
         """Scores documents (row, doc_id, Document) from the highest bound down, for each
         query until a bound is below its floor."""
-        reach = (bounds >= self.floors) & (bounds > 0)
+        reach = bounds >= self.floors
         for query in np.flatnonzero(reach.any(axis=0)):
             own = np.flatnonzero(reach[:, query])
             for at in own[np.argsort(-bounds[own, query], kind="stable")]:
@@ -203,7 +202,7 @@ class Best:
                     break
                 row, doc_id, document = docs[at]
                 score = document.score(self.queries, query)
-                if score > 0 and score >= self.floors[query]:
+                if score >= self.floors[query]:
                     self.add(query, score, (doc_id is None, 0 if doc_id is None else doc_id, row), (row, doc_id))
 
     def rows(self) -> Iterator[tuple]:
@@ -240,12 +239,12 @@ def _frequencies(index: DataFrame, queries: Queries) -> dict[int, int]:
     return {r.term: r.n for r in counts.collect()}
 
 
-def _best(index: DataFrame, queries: Queries, k: int, floors: np.ndarray) -> DataFrame:
+def _best(index: DataFrame, queries: Queries, k: int) -> DataFrame:
     """Every task's k best: query, row, doc_id, score."""
     kind = index.schema["doc_id"].dataType.simpleString()
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        best, schema = Best(queries, k, floors), None
+        best, schema = Best(queries, k), None
         for batch in batches:
             schema = schema or pa.schema([("query", pa.int64()), ("row", pa.int64()), ("doc_id", batch.schema.field("doc_id").type), ("score", pa.int64())])
             for start in range(0, batch.num_rows, _DOCS):
@@ -265,7 +264,7 @@ def _top(scored: DataFrame, k: int) -> DataFrame:
     return scored.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
 
-def _batches(queries: DataFrame, text: str, batch: int) -> tuple[DataFrame, int]:
+def _batches(queries: DataFrame, batch: int) -> tuple[DataFrame, int]:
     """``queries`` with a number for every row and the batch it is in, written; batches hold
     ``batch`` rows on average."""
     numbered = written(
@@ -287,7 +286,7 @@ def search(index: DataFrame, queries: DataFrame, item_id: str = "item_id", text:
     spark = index.sparkSession
     kinds = queries.schema[item_id].dataType.simpleString(), index.schema["doc_id"].dataType.simpleString()
     corpus = index.where("n > 0").agg(F.count("*").alias("docs"), F.sum("n").alias("tokens")).first()
-    numbered, n = _batches(queries.select(queries[item_id].alias("item_id"), queries[text].cast("string").alias("text")), text, batch)
+    numbered, n = _batches(queries.select(queries[item_id].alias("item_id"), queries[text].cast("string").alias("text")), batch)
     found = spark.createDataFrame([], f"query bigint, row bigint, doc_id {kinds[1]}, score bigint, rank int")
     for number in range(n if corpus.docs else 0):
         items = numbered.where(F.col("__batch") == number).select("__query", "text").collect()
@@ -295,8 +294,7 @@ def search(index: DataFrame, queries: DataFrame, item_id: str = "item_id", text:
         if not asked.numbers:
             continue
         asked.weigh(corpus.docs, corpus.tokens, _frequencies(index, asked))
-        none = np.zeros(len(asked.numbers), np.int64)
-        found = found.unionByName(written(_top(_best(index, asked, k, none), k), "ranked"))
+        found = found.unionByName(written(_top(_best(index, asked, k), k), "ranked"))
     named = numbered.select(F.col("__query").alias("query"), "item_id")
     return found.join(named, "query").select("item_id", "rank", "doc_id", "score")
 
