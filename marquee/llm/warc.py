@@ -41,7 +41,7 @@ RECORD, NO_IDENTIFIER = "urn:x-page:", "urn:x-page-without-identifier"
 LEAST_BYTES = 100
 FILE_RECORDS = 20_000
 DATE = "1970-01-01T00:00:00Z"
-LEVEL = 6
+LEVEL = 4
 _ROWS = 500  # in a batch a task gives out
 _STEP = 1 << 16  # compressed bytes inflated at once
 
