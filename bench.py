@@ -68,7 +68,7 @@ def main() -> None:
             )
         )
 
-    work_items = {"pages_to_staging": lambda: stage_pages(spark, landed, staged, multi_line=False)}
+    work_items = {"pages_to_staging": lambda: stage_pages(spark, landed, staged, multi_line=False, refresh=True)}
     for contract in TITLE_TABLES:
         work_items[contract.name] = lambda name=contract.name: run_jobs(
             spark, staged, root, only=(name,)

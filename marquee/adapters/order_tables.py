@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marquee.constants import PAGE_SIZE, SHOW
-from marquee.operators.filters import PART, assign_year_range
+from marquee.operators.filters import PART, YEAR, assign_year_range
 from marquee.operators.flatten import seasons_of_shows
 from marquee.operators.ranking import POPULARITY, RANGE, number_pages
 from marquee.schemas import STAGING
@@ -221,6 +221,9 @@ def landed_pages(
     fields: Collection[str] = ALL,
     size: int = PAGE_SIZE,
     by: Column | None = None,
+    asked: tuple[Column, Column] | None = None,
+    no_year: Column | None = None,
+    where: Column | None = None,
 ) -> DataFrame:
     """The titles as response pages per year range, most popular first.
 
@@ -228,10 +231,20 @@ def landed_pages(
     here: a title's record is the set of its line items, which has as many elements as one
     API answer would. Links between pages come from the ranking too: the title at the end of
     page n is the cursor sent for n + 1. ``by`` is the year a title is requested under, by
-    default its own.
+    default its own; ``asked`` gives the first and last year of the request itself, from the
+    order number ``key``. Titles for which ``no_year`` holds have none. ``where`` restricts
+    the titles.
     """
     records = _records(spark, sf_dir, fields, None).drop(PART)
-    if by is None:
+    if where is not None:
+        records = records.where(where)
+    keyed = records.withColumn("key", F.substring("id", 3, 20).cast("bigint"))
+    if no_year is not None:
+        keyed = keyed.withColumn(YEAR, F.when(~no_year, F.col(YEAR)))
+        records = keyed.drop("key")
+    if asked is not None:
+        records = keyed.select("*", *[c.alias(n) for c, n in zip(asked, RANGE)]).drop("key")
+    elif by is None:
         records = assign_year_range(records)
     else:
         records = assign_year_range(records.withColumn("_by", by), "_by").drop("_by")

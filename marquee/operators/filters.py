@@ -8,13 +8,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass, fields
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marquee.constants import SELECTED_SERVICES
-from marquee.functions import range_bounds, year_ranges
-from marquee.functions.years import YearRange
+from marquee.functions import intervals, range_bounds, year_ranges
+from marquee.functions.years import YearRange, range_ends, range_number
 from marquee.session import written
 
 YEAR = "content_originalReleaseYear"
@@ -23,6 +25,8 @@ COUNTRIES = "content_productionCountries"
 SERVICE_NAMES = "offers.package.clearName"
 # Number of a record among those of one title, from 0; only where titles are spread.
 PART = "part"
+# Names of services that are looked up inside a row; a longer list is joined.
+MOST_NAMES = 10_000
 _ROW, _HIT, _PLACE, _KEPT, _NAME = "_row", "_hit", "_place", "_kept", "_service"
 
 
@@ -64,13 +68,7 @@ def _none_of(array: str, values: Sequence[str]) -> Column:
     return ~F.coalesce(_any_of(array, values), F.lit(False))
 
 
-def filter_titles(df: DataFrame, wanted: TitleFilter) -> DataFrame:
-    """Staging titles that satisfy every restriction.
-
-    All predicates look at one row, so nothing is shuffled. The year restriction is on the
-    title's own year: a title may be staged under another range than its year, so partitions
-    are only skipped by ``of_staging_ranges``.
-    """
+def _tests(wanted: TitleFilter) -> list[Column]:
     tests: list[Column] = []
     if wanted.years:
         low, high = wanted.years
@@ -89,7 +87,22 @@ def filter_titles(df: DataFrame, wanted: TitleFilter) -> DataFrame:
         tests.append(_any_of(COUNTRIES, wanted.countries))
     if wanted.exclude_countries:
         tests.append(_none_of(COUNTRIES, wanted.exclude_countries))
-    for test in tests:
+    return tests
+
+
+def title_test(wanted: TitleFilter) -> Column:
+    """Whether a staging title satisfies every restriction; never null."""
+    return F.coalesce(reduce(and_, _tests(wanted), F.lit(True)), F.lit(False))
+
+
+def filter_titles(df: DataFrame, wanted: TitleFilter) -> DataFrame:
+    """Staging titles that satisfy every restriction.
+
+    All predicates look at one row, so nothing is shuffled. The year restriction is on the
+    title's own year: a title may be staged under another range than its year, so partitions
+    are only skipped by ``of_staging_ranges``.
+    """
+    for test in _tests(wanted):
         df = df.where(test)
     return df
 
@@ -103,35 +116,86 @@ def of_staging_ranges(df: DataFrame, ranges: Sequence[YearRange]) -> DataFrame:
     return df.where(wanted)
 
 
-def titles_on_services(df: DataFrame, services: DataFrame) -> DataFrame:
-    """Titles with an offer of a service in ``services(clear_name)``, a table of any size.
+def service_dictionary(
+    services: DataFrame, titles: DataFrame | None = None, most: int = MOST_NAMES
+) -> tuple[str, ...] | None:
+    """The distinct clear names of ``services(clear_name)`` if they are ``most`` at most.
+
+    Of a longer table only the names that offers of ``titles`` carry matter: those are looked
+    up, in one pass over that leaf alone. If they too are more, there is no dictionary. At
+    most ``most`` + 1 names reach the driver.
+    """
+    names = services.select(F.col("clear_name").alias(_NAME)).where(F.col(_NAME).isNotNull()).distinct()
+    rows = names.limit(most + 1).collect()
+    if len(rows) > most and titles is not None:
+        carried = titles.select(F.explode(SERVICE_NAMES).alias(_NAME)).distinct()
+        rows = names.join(carried, _NAME, "left_semi").limit(most + 1).collect()
+    return tuple(sorted(r[0] for r in rows)) if len(rows) <= most else None
 
-    Spark broadcasts the service table when its measured size allows and shuffles it
-    otherwise. The ids that hit are made distinct before they meet the titles again, so a
-    title that arrives in several records is kept whole if any of them hits.
+
+def on_dictionary(names: Sequence[str]) -> Column:
+    """Whether a title has an offer of one of the named services; never null. The names are
+    hashed once, and each offer's name is looked up."""
+    if not names:
+        return F.lit(False)
+    return F.coalesce(F.exists(SERVICE_NAMES, lambda name: name.isin(*names)), F.lit(False))
+
+
+def mark_on_services(df: DataFrame, services: DataFrame, mark: str, most: int = MOST_NAMES) -> DataFrame:
+    """Adds ``mark``: whether a record has an offer of a service in the table.
+
+    With a dictionary of its names the test is made in the row: one scan, no join. Without,
+    rows are numbered and written once, their names travel to the services, and the numbers
+    that hit are joined back; Spark broadcasts them if their size allows.
     """
+    names = service_dictionary(services, df, most)
+    if names is not None:
+        return df.withColumn(mark, on_dictionary(names))
+    numbered = written(df.withColumn(_ROW, F.monotonically_increasing_id()), "numbered")
     hits = (
-        df.select("id", F.explode(SERVICE_NAMES).alias("clear_name"))
+        numbered.select(F.col(_ROW).alias(_HIT), F.explode(SERVICE_NAMES).alias("clear_name"))
         .join(services.select("clear_name"), "clear_name", "left_semi")
-        .select("id")
+        .select(_HIT)
         .distinct()
     )
-    return df.join(hits, "id", "left_semi")
+    joined = numbered.join(hits, F.col(_ROW) == F.col(_HIT), "left")
+    return joined.withColumn(mark, F.col(_HIT).isNotNull()).select(*df.columns, mark)
 
 
-def filter_offers(df: DataFrame, services: Sequence[str] | DataFrame) -> DataFrame:
+def titles_on_services(df: DataFrame, services: DataFrame, whole: bool = False, most: int = MOST_NAMES) -> DataFrame:
+    """Titles with an offer of a service in ``services(clear_name)``, a table of any size.
+
+    Like the restriction to a list of services this looks at one record at a time. With
+    ``whole`` a title that is spread over several records is kept whole if any of them hits;
+    that joins the ids that hit back to the titles.
+    """
+    marked = mark_on_services(df, services, _KEPT, most)
+    if not whole:
+        return marked.where(_KEPT).drop(_KEPT)
+    return df.join(marked.where(_KEPT).select("id").distinct(), "id", "left_semi")
+
+
+def filter_offers(df: DataFrame, services: Sequence[str] | DataFrame, most: int = MOST_NAMES) -> DataFrame:
     """Keep only offers of the given services inside each title; the title itself stays.
 
-    A short list is tested inside the row. A table ``services(clear_name)`` of any size is
-    joined: rows are numbered and written once, only offers travel to the services and back
-    to the number of their row, and an array keeps its order. A null array stays null.
+    Names are tested inside the row, those of a table ``services(clear_name)`` too if there
+    is a dictionary of them. Beyond that the table is joined: rows are numbered and written
+    once, only offers travel to the services and back to the number of their row, and an
+    array keeps its order. A null array stays null.
     """
-    if isinstance(services, DataFrame):
+    names = service_dictionary(services, df, most) if isinstance(services, DataFrame) else services
+    if names is None:
         return _offers_on_service_table(df, services)
-    if not services:
+    if not names and not isinstance(services, DataFrame):
         return df
-    kept = F.filter("offers", lambda offer: offer["package"]["clearName"].isin(*services))
-    return df.withColumn("offers", kept)
+    return df.withColumn("offers", offers_of(names))
+
+
+def offers_of(names: Sequence[str]) -> Column:
+    """The offers of the named services; a null array stays null."""
+    if not names:
+        return F.slice("offers", 1, 0)
+    return F.filter("offers", lambda offer: offer["package"]["clearName"].isin(*names))
 
 
 def _offers_on_service_table(df: DataFrame, services: DataFrame) -> DataFrame:
@@ -151,27 +215,27 @@ def _offers_on_service_table(df: DataFrame, services: DataFrame) -> DataFrame:
     return joined.select(*df.columns)
 
 
-def _clipped(year: Column) -> Column:
-    """A title's year, moved into the range it was requested for; null years to its start."""
-    return F.coalesce(F.least(F.greatest(year, F.col("min")), F.col("max")), F.col("min"))
+def requested_year(year: str = YEAR) -> Column:
+    """The year by which a title that was requested for ``min`` to ``max`` is staged.
+
+    A title belongs where it was asked for, whatever its own year says. Only a request that
+    spans several ranges needs the year to tell them apart: it counts as moved into the
+    request, a null year as the request's first. Null without a possible request.
+    """
+    moved = f"coalesce(least(greatest(`{year}`, `min`), `max`), `min`)"
+    return F.expr(f"CASE WHEN `min` <= `max` THEN {moved} END")
 
 
 def assign_requested_range(
     df: DataFrame, year: str = YEAR, ranges: Sequence[YearRange] | None = None
 ) -> DataFrame:
-    """Replace the requested ``min`` and ``max`` by the staging range they belong to.
-
-    A title belongs where it was asked for, whatever its own year says. Only a request that
-    spans several staging ranges needs the year to tell them apart. Titles of ranges that
-    are not in ``ranges`` are not part of the run.
-    """
-    ranges = year_ranges() if ranges is None else tuple(ranges)
-    low, high = range_bounds(_clipped(F.col(year)), ranges)
-    return (
-        df.select("*", low.alias("year_min"), high.alias("year_max"))
-        .where(F.col("year_min").isNotNull())
-        .drop("min", "max")
-    )
+    """Replace the requested ``min`` and ``max`` by the staging range they belong to, among
+    ``ranges``, by default all years cut at the fixed boundaries. A title that belongs to
+    none of them gets null: nothing is left out here."""
+    ranges = intervals() if ranges is None else ranges
+    placed = df.withColumn(_PLACE, requested_year(year)).withColumn(_PLACE, range_number(_PLACE, ranges))
+    low, high = range_ends(_PLACE, ranges)
+    return placed.select(*df.columns, low.alias("year_min"), high.alias("year_max")).drop("min", "max")
 
 
 def per_title(df: DataFrame) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Collection
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -9,8 +11,9 @@ from pyspark.sql import types as T
 from marquee.constants import SHOW
 
 
-def flatten(df: DataFrame, sep: str = "_", max_level: int = 5) -> DataFrame:
-    """Replace nested structs by columns named after their path; arrays stay whole.
+def flatten(df: DataFrame, sep: str = "_", max_level: int = 5, whole: Collection[str] = ()) -> DataFrame:
+    """Replace nested structs by columns named after their path; arrays stay whole, and so
+    do the columns named in ``whole``.
 
     The walk goes over the schema on the driver and yields one ``select``, so column
     pruning reaches the scan through it. ``max_level`` counts the struct levels that are
@@ -21,7 +24,7 @@ def flatten(df: DataFrame, sep: str = "_", max_level: int = 5) -> DataFrame:
     def walk(schema: T.StructType, path: list[str]) -> None:
         for field in schema:
             here = [*path, field.name]
-            if isinstance(field.dataType, T.StructType) and len(path) < max_level:
+            if isinstance(field.dataType, T.StructType) and len(path) < max_level and (path or field.name not in whole):
                 walk(field.dataType, here)
             else:
                 quoted = ".".join("`" + part.replace("`", "``") + "`" for part in here)

@@ -14,28 +14,47 @@ REQUESTED = ("min", "max")
 NO_ERROR_LISTED = "failed without a listed error"
 
 
-def _answered() -> Column:
+def answered() -> Column:
     """A page answered if its status is 200 and its body holds a result."""
     return F.col("status").eqNullSafe(OK) & F.col("data.popularTitles").isNotNull()
 
 
 def ok_pages(pages: DataFrame) -> DataFrame:
-    return pages.where(_answered())
+    return pages.where(answered())
 
 
 def failed_pages(pages: DataFrame) -> DataFrame:
     """Pages that did not answer: a status other than 200, none at all, or no result."""
-    return pages.where(~_answered())
+    return pages.where(~answered())
+
+
+def page_facts(pages: DataFrame) -> list[Column]:
+    """What the audit and the error log need of a page, without its titles."""
+    popular = "data.popularTitles"
+    return [
+        *[F.col(c) for c in (*REQUESTED, "page_no", "cursor_sent", "status")],
+        answered().alias("answered"),
+        F.col(f"{popular}.pageInfo.endCursor").alias("end_cursor"),
+        F.coalesce(F.col(f"{popular}.pageInfo.hasNextPage"), F.lit(True)).alias("has_next"),
+        F.col(f"{popular}.totalCount").alias("total"),
+        F.coalesce(F.size(F.col(f"{popular}.edges")), F.lit(0)).alias("edges"),
+        *[F.col(c) for c in ("errors",) if c in pages.columns],
+    ]
 
 
 def page_errors(pages: DataFrame) -> DataFrame:
     """One row per listed error of any page, and one with a fixed text for a failed page
-    that lists none. ``answered`` tells errors beside a result from errors instead of one."""
+    that lists none. ``answered`` tells errors beside a result from errors instead of one.
+    ``pages`` are whole or facts."""
     carried = [c for c in ("min", "max", "page_no", "status") if c in pages.columns]
+    if "answered" in pages.columns:
+        good = F.col("answered")
+    else:
+        good = answered() if "data" in pages.columns else F.col("status").eqNullSafe(OK)
     return (
         pages.select(
             *carried,
-            (_answered() if "data" in pages.columns else F.col("status").eqNullSafe(OK)).alias("answered"),
+            good.alias("answered"),
             F.explode_outer("errors").alias("error"),
         )
         .where("error IS NOT NULL OR NOT answered")
@@ -85,32 +104,38 @@ def audit_pages(pages: DataFrame) -> DataFrame:
     A page states two facts: what it was asked with (slot ``page_no``) and what the next
     page must be asked with (slot ``page_no + 1``). Grouping the facts by slot links
     neighbours in one shuffle with map-side partial aggregation: no self join that copies
-    of a page could blow up, no window that would put a whole range into one task.
+    of a page could blow up, no window that would put a whole range into one task. The slots
+    can be kept and merged with those of pages that come later.
     """
-    popular = "data.popularTitles"
-    asked = F.coalesce(F.col("cursor_sent"), F.lit(""))
+    return audit_slots(page_slots(pages.select(*page_facts(pages))))
+
+
+def page_slots(facts: DataFrame) -> DataFrame:
+    """One row per requested range and slot: what the pages of that number were asked with,
+    and what the pages before promised. Sums and extremes only, so slots of several sets of
+    pages are merged by ``merged_slots``."""
     arrival = _struct(
         slot=F.col("page_no"),
-        asked=asked,
+        asked=F.coalesce(F.col("cursor_sent"), F.lit("")),
         promised=F.lit(None).cast("string"),
         here=F.lit(1),
-        failed=F.when(_answered(), 0).otherwise(1),
-        is_last=~F.coalesce(F.col(f"{popular}.pageInfo.hasNextPage"), F.lit(True)),
-        edges=F.coalesce(F.size(F.col(f"{popular}.edges")), F.lit(0)),
-        total=F.col(f"{popular}.totalCount"),
+        failed=F.when(F.col("answered"), 0).otherwise(1),
+        is_last=~F.col("has_next"),
+        edges=F.col("edges"),
+        total=F.col("total"),
     )
     promise = _struct(
         slot=F.col("page_no") + 1,
         asked=F.lit(None).cast("string"),
-        promised=F.col(f"{popular}.pageInfo.endCursor"),
+        promised=F.col("end_cursor"),
         here=F.lit(0),
         failed=F.lit(0),
         is_last=F.lit(None).cast("boolean"),
         edges=F.lit(0),
         total=F.lit(None).cast("bigint"),
     )
-    slots = (
-        pages.select("min", "max", F.explode(F.array(arrival, promise)).alias("fact"))
+    return (
+        facts.select("min", "max", F.explode(F.array(arrival, promise)).alias("fact"))
         .select("min", "max", "fact.*")
         .groupBy("min", "max", "slot")
         .agg(
@@ -125,8 +150,26 @@ def audit_pages(pages: DataFrame) -> DataFrame:
             F.min("total").alias("total"),
             F.max("total").alias("total_high"),
         )
-        .where("copies > 0")
     )
+
+
+def merged_slots(*slots: DataFrame) -> DataFrame:
+    """Slots of pages that were summed up apart, as if they had been summed up together."""
+    return (
+        union_all(list(slots))
+        .groupBy("min", "max", "slot")
+        .agg(
+            *[F.sum(c).alias(c) for c in ("copies", "failed", "edges")],
+            *[F.min(c).alias(c) for c in ("asked", "promised", "total")],
+            *[F.max(c).alias(c) for c in ("asked_high", "promised_high", "total_high")],
+            F.bool_or("is_last").alias("is_last"),
+        )
+    )
+
+
+def audit_slots(slots: DataFrame) -> DataFrame:
+    """The audit of pages that were summed up as slots."""
+    slots = slots.where("copies > 0")
     starts = F.col("asked") == ""
     follows = (
         (F.col("asked") == F.col("promised"))

@@ -3,22 +3,29 @@
 from __future__ import annotations
 
 from marquee.constants import FLAG_PATTERN, PAGE_SIZE
-from marquee.functions import year_ranges
-from marquee.plans.checks import ASKED_FROM, ASKED_YEARS, CODES, COUNTRIES, GENRES, NEEDS, REPLACED, SERVICES
+from marquee.functions import intervals, year_ranges
+from marquee.plans.checks import ASKED_FROM, ASKED_YEARS, BEYOND_FROM, BEYOND_SPAN, BEYOND_SPANS, CODES, COUNTRIES, GENRES, NEEDS, REPLACED, SERVICES
 
 
 def _in(values) -> str:
     return "(" + ", ".join(f"'{v}'" for v in values) + ")"
 
 
-def _case(end: int, year: str = "year(o_orderdate)") -> str:
+def _case(end: int, year: str = "year(o_orderdate)", ranges=year_ranges()) -> str:
     arms = " ".join(
-        f"WHEN {year} BETWEEN {r[0]} AND {r[1]} THEN {r[end]}" for r in year_ranges()
+        f"WHEN {year} BETWEEN {r[0]} AND {r[1]} THEN {r[end]}" for r in ranges
     )
     return f"CAST(CASE {arms} END AS INTEGER)"
 
 
 ASKED = f"(o_orderkey % {ASKED_YEARS} + {ASKED_FROM})"
+# The span a title was requested for, its own year if it has one, and that moved into the span.
+BEYOND = f"(o_orderkey % {BEYOND_SPANS} * {BEYOND_SPAN} + {BEYOND_FROM})"
+NO_YEAR = "(o_orderkey % 7 = 0)"
+MOVED = (
+    f"(CASE WHEN {NO_YEAR} THEN {BEYOND} ELSE "
+    f"least(greatest(year(o_orderdate), {BEYOND}), {BEYOND} + {BEYOND_SPAN - 1}) END)"
+)
 YEAR_MIN, YEAR_MAX = _case(0), _case(1)
 COVERED = f"year(o_orderdate) BETWEEN {year_ranges()[0][0]} AND {year_ranges()[-1][1]}"
 OBJECT_TYPE = "CASE WHEN o_orderstatus = 'O' THEN 'SHOW' ELSE 'MOVIE' END"
@@ -180,6 +187,13 @@ FROM orders WHERE {COVERED} AND (o_orderstatus = 'O'
     "staging_table_scan": f"{TABLES['dim_titles_genres']} WHERE {COVERED}",
     "requested_range_kept": f"""
 SELECT {TITLE}, {_case(0, ASKED)} AS year_min, {_case(1, ASKED)} AS year_max FROM orders""",
+    "requested_beyond_ranges": f"""
+SELECT * EXCLUDE (o_orderkey) REPLACE (CASE WHEN NOT {NO_YEAR} THEN "content_originalReleaseYear" END AS "content_originalReleaseYear")
+FROM (SELECT {WHOLE}, {_case(0, MOVED, intervals())} AS year_min, {_case(1, MOVED, intervals())} AS year_max, o_orderkey
+    FROM {WHOLE_ORDERS})""",
+    "staged_again": f"""
+SELECT {SCALARS}, {YEAR_MIN} AS year_min, {YEAR_MAX} AS year_max FROM {ORDERS}
+WHERE {COVERED} AND (o_orderstatus = 'O' OR year(o_orderdate) NOT BETWEEN {REPLACED[0]} AND {REPLACED[1]})""",
     "republished_at_new_root": TABLES["dim_titles_genres"],
     "offers_on_service_table": f"{OFFERS} WHERE s_nationkey < 10",
     "pages_to_staging": f"{OFFERS} WHERE s_name IN {_in(SERVICES)} AND {COVERED}",
@@ -187,6 +201,11 @@ SELECT {TITLE}, {_case(0, ASKED)} AS year_min, {_case(1, ASKED)} AS year_max FRO
 SELECT {YEAR_MIN} AS min, {YEAR_MAX} AS max,
     CAST(ceil(count(*) / {PAGE_SIZE}.0) AS BIGINT) AS pages, CAST(0 AS BIGINT) AS failed,
     count(*) AS titles, count(*) AS total_count, true AS complete
+FROM orders WHERE {COVERED} GROUP BY 1, 2""",
+    "late_pages_audited": f"""
+SELECT {YEAR_MIN} AS min, {YEAR_MAX} AS max,
+    CAST(ceil(count(*) / {PAGE_SIZE}.0) AS BIGINT) AS pages, CAST(0 AS BIGINT) AS failed,
+    count(*) AS titles, count(*) AS total_count, true AS complete
 FROM orders WHERE {COVERED} GROUP BY 1, 2""",
     "page_chain_broken": f"""
 SELECT {YEAR_MIN} AS min, {YEAR_MAX} AS max,
@@ -203,6 +222,19 @@ SELECT o_orderkey, {_STATUS}, o_orderstatus = 'O',
 UNION ALL
 SELECT o_orderkey, CAST(200 AS INTEGER), false, 'failed without a listed error'
 FROM orders WHERE o_orderstatus = 'F' AND o_orderkey % 3 = 0""",
+    "errors_of_two_runs": f"""
+SELECT CAST(low AS INTEGER) AS min, CAST(low + 9 AS INTEGER) AS max, CAST(o_orderkey AS INTEGER) AS page_no, status, answered, error_text
+FROM (SELECT o_orderkey, {_STATUS} AS status, o_orderstatus = 'O' AS answered,
+    CASE WHEN o_orderkey % 2 = 0 THEN 1991 ELSE 2001 END AS low,
+    '{{"code":"' || o_orderstatus || '"}} : [{{"line":' || (o_custkey % 100) || ',"column":'
+    || (o_orderkey % 10) || '}}] : ' || o_orderpriority AS error_text {_LISTED}
+UNION ALL
+SELECT o_orderkey, {_STATUS}, o_orderstatus = 'O', CASE WHEN o_orderkey % 2 = 0 THEN 1991 ELSE 2001 END,
+    '{{"code":"' || o_orderstatus || '"}} : [{{"line":1,"column":2}}] : order ' || o_orderkey {_LISTED}
+UNION ALL
+SELECT o_orderkey, CAST(200 AS INTEGER), false, CASE WHEN o_orderkey % 2 = 0 THEN 1991 ELSE 2001 END,
+    'failed without a listed error'
+FROM orders WHERE o_orderstatus = 'F' AND o_orderkey % 3 = 0)""",
     "service_selection_scan": "SELECT 's' || s_suppkey AS code, s_name AS clear_name FROM supplier",
     "service_catalogue_scan": (
         "SELECT 's' || s_suppkey AS code, s_name AS streaming_name, "

@@ -25,13 +25,15 @@ from marquee.operators.filters import TitleFilter
 from marquee.operators.flatten import flatten, seasons_of_shows
 from marquee.plans import normalize
 from marquee.plans.publish import run_all, run_jobs
-from marquee.plans.stage import stage_pages
-from marquee.schemas import DIM_COUNTRIES, STAGING, STAGING_RANGE, TITLE_TABLES
-from marquee.session import scratch_path
+from marquee.plans.run_log import errors_path, read_errors
+from marquee.plans.stage import PagesRejected, audit_with, stage_pages
+from marquee.schemas import DIM_COUNTRIES, STAGING, TITLE_TABLES
+from marquee.session import scratch_path, written
 from marquee.sinks import (
     create_country_table,
     create_database,
     load_countries,
+    register_staging,
     register_tables,
     write_staging,
     write_table,
@@ -61,6 +63,7 @@ GENRES = ("PROMO", "ECONOMY")
 COUNTRIES = ("NATION_3", "NATION_20")
 REPLACED = (1991, 2000)
 ASKED_FROM, ASKED_YEARS = 1900, 124
+BEYOND_FROM, BEYOND_SPAN, BEYOND_SPANS = 1875, 5, 40
 SCALARS = (
     "id",
     "objectType",
@@ -235,13 +238,7 @@ def _staging_table_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = _stage(spark, sf_dir, ("genres",), "parquet")
     db = scratch_path(spark, "catalogue").rsplit("/", 1)[1].replace("-", "_")
     create_database(spark, db, f"{path}-{db}")
-    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in [*STAGING, *STAGING_RANGE])
-    spark.sql(
-        f"CREATE TABLE {db}.staging ({columns}) USING PARQUET "
-        f"PARTITIONED BY ({', '.join(STAGING_RANGE.names)}) LOCATION '{path}'"
-    )
-    spark.sql(f"MSCK REPAIR TABLE {db}.staging")
-    return normalize.titles_genres(read_staging(spark, f"{db}.staging", "table"))
+    return normalize.titles_genres(read_staging(spark, register_staging(spark, db, path), "table"))
 
 
 def _requested_range_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -254,6 +251,55 @@ def _requested_range_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_staging(spark, staged).select(*TITLE, "year_min", "year_max")
 
 
+def _requested_beyond_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages requested for spans of ``BEYOND_SPAN`` years from the nineteenth century to the
+    middle of the next, across all staging ranges and beyond the last; every seventh title
+    has no year. Whole staging rows: every landed title is in one staging range."""
+    landed, staged = scratch_path(spark, "pages"), scratch_path(spark, "staging")
+    first = (F.col("key") % BEYOND_SPANS * BEYOND_SPAN + BEYOND_FROM).cast("int")
+    no_year = F.col("key") % 7 == 0
+    landed_pages(spark, sf_dir, asked=(first, first + BEYOND_SPAN - 1), no_year=no_year).write.partitionBy("min", "max").json(landed)
+    stage_pages(spark, landed, staged, multi_line=False)
+    return _whole(read_staging(spark, staged), "year_min", "year_max")
+
+
+def _late_pages_audited(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Staged without the second page of every range, then audited with it: the slots kept
+    from the run and those of the late pages, no page read again."""
+    landed, staged = scratch_path(spark, "pages"), scratch_path(spark, "staging")
+    pages = written(landed_pages(spark, sf_dir, ()), "all-pages")
+    pages.where("page_no <> 2").write.partitionBy("min", "max").json(landed)
+    stage_pages(spark, landed, staged, multi_line=False, complete=False)
+    return audit_with(spark, staged, pages.where("page_no = 2"))
+
+
+def _staged_again(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Staged twice, in between one range's pages landed anew with shows only: the second
+    run parses that range alone and leaves the others as they were."""
+    landed, staged = scratch_path(spark, "pages"), scratch_path(spark, "staging")
+    fields = ("seasons",)
+    landed_pages(spark, sf_dir, fields).write.partitionBy("min", "max").json(landed)
+    stage_pages(spark, landed, staged, multi_line=False)
+    low, high = REPLACED
+    shows = landed_pages(spark, sf_dir, fields, where=F.col("objectType") == "SHOW").where(F.col("min") == low)
+    shows.drop("min", "max").write.mode("overwrite").json(f"{landed}/min={low}/max={high}")
+    stage_pages(spark, landed, staged, multi_line=False)
+    return read_staging(spark, staged).select(*SCALARS, "year_min", "year_max")
+
+
+def _errors_of_two_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Failing responses in two ranges, run one after the other: the errors of both runs."""
+    landed, staged = scratch_path(spark, "pages"), scratch_path(spark, "staging")
+    pages = order_responses(spark, sf_dir).withColumn("min", F.when(F.col("page_no") % 2 == 0, 1991).otherwise(2001))
+    pages.withColumn("max", F.col("min") + 9).write.partitionBy("min", "max").json(landed)
+    for years in ((1991, 2000), (2001, 2010)):
+        try:
+            stage_pages(spark, landed, staged, multi_line=False, ranges=[years])
+        except PagesRejected:
+            continue
+    return read_errors(spark, errors_path(staged))
+
+
 def _republished_at_new_root(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Published at one root from shows only, then at another from all titles."""
     titles = staging_titles(spark, sf_dir, ("genres",))
@@ -399,6 +445,10 @@ QUERIES: dict[str, Query] = {
     "legacy_staging_scan": _legacy_staging_scan,
     "staging_table_scan": _staging_table_scan,
     "requested_range_kept": _requested_range_kept,
+    "requested_beyond_ranges": _requested_beyond_ranges,
+    "late_pages_audited": _late_pages_audited,
+    "staged_again": _staged_again,
+    "errors_of_two_runs": _errors_of_two_runs,
     "republished_at_new_root": _republished_at_new_root,
     "pages_to_staging": _pages_to_staging,
     "page_completeness": _page_completeness(()),

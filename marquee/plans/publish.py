@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 import warnings
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
@@ -16,9 +15,10 @@ from marquee.sinks import (
     create_database,
     load_countries,
     register_tables,
+    snapshots,
     write_table,
 )
-from marquee.sinks.files import refuse_overlap, table_path
+from marquee.sinks.files import publish_tables, refuse_overlap, table_path
 from marquee.sources import read_staging
 
 
@@ -32,6 +32,10 @@ def run_jobs(
 ) -> list[str]:
     """Write the published tables (all, or those named in ``only``); returns their names.
 
+    They are written to a generation of their own below ``root``. When all are written, the
+    root's snapshot points at them in one step; a job that fails leaves every table as it
+    was. Older generations are deleted by ``publish``, which moves the registered tables.
+
     Each job is one action over one pruned scan of the staging files, which are listed
     once for all. The jobs do not depend on each other; up to ``at_once`` are submitted
     together, so the small last stages of one leave the cluster to the others.
@@ -44,10 +48,15 @@ def run_jobs(
         for contract, _ in chosen:
             refuse_overlap(staging, table_path(contract, root))
     rows = read_staging(spark, staging, fmt)
+    generation = snapshots.new_run()
+    place = f"{root.rstrip('/')}/{generation}"
     with ThreadPoolExecutor(at_once) as pool:
-        running = [pool.submit(write_table, job(rows), contract, root) for contract, job in chosen]
-    for done in running:
-        done.result()
+        running = [pool.submit(write_table, job(rows), contract, place) for contract, job in chosen]
+    failed = [error for done in running if (error := done.exception()) is not None]
+    if failed:
+        snapshots.delete(spark, place)
+        raise failed[0]
+    publish_tables(spark, root, generation, [contract for contract, _ in chosen])
     return [contract.name for contract, _ in chosen]
 
 
@@ -59,7 +68,8 @@ def publish(
     db_location: str | None = None,
 ) -> None:
     """Make the published tables and the country table readable by name. Countries given
-    replace those there; an empty country table is reported by a warning."""
+    replace those there; an empty country table is reported by a warning. Generations below
+    ``root`` that neither the present snapshot nor the one before names are then deleted."""
     create_database(spark, db, db_location)
     table = create_country_table(spark, db)
     if countries is not None:
@@ -67,6 +77,8 @@ def publish(
     if spark.table(table).isEmpty():
         warnings.warn(f"{table} has no rows: publish was given no countries", stacklevel=2)
     register_tables(spark, db, root)
+    if snapshots.current(spark, root) is not None:
+        snapshots.expire(spark, root)
 
 
 def run_all(
@@ -81,11 +93,9 @@ def run_all(
 ) -> None:
     """Pages, staging, tables, catalogue, in that order.
 
-    The tables of a run go to a folder of their own below ``root``. Only when all six are
-    there are the registered tables pointed at it, so a job that fails leaves readers with
-    the tables of the run before. Folders of earlier runs are left for their readers.
+    Each step is published as a whole or not at all: staging, then the six tables together,
+    then the registered tables, which are pointed at the new generation.
     """
     stage_pages(spark, pages_path, staging_path, **stage_options)
-    run = f"{root.rstrip('/')}/run-{uuid.uuid4().hex}"
-    run_jobs(spark, staging_path, run, stage_options.get("fmt", "parquet"))
-    publish(spark, db, run, countries, db_location)
+    run_jobs(spark, staging_path, root, stage_options.get("fmt", "parquet"))
+    publish(spark, db, root, countries, db_location)

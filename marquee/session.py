@@ -6,6 +6,7 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -47,7 +48,8 @@ def shared_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
-_SCOPES: list[list[str]] = []
+# Of this thread (or task): scopes that run side by side do not see each other's tables.
+_SCOPE: ContextVar[list[str] | None] = ContextVar("scratch", default=None)
 
 
 @contextmanager
@@ -57,12 +59,14 @@ def scratch_scope(spark: SparkSession) -> Iterator[None]:
     Use it around work whose results are written or collected inside. A frame that is only
     read later must be made outside: it may stand on such a table.
     """
-    _SCOPES.append([])
+    made: list[str] = []
+    outer = _SCOPE.set(made)
     try:
         yield
     finally:
+        _SCOPE.reset(outer)
         hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
-        for path in map(hadoop.Path, _SCOPES.pop()):
+        for path in map(hadoop.Path, made):
             path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
@@ -70,8 +74,9 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     """A new path below the shared folder; nothing is created yet. The innermost
     ``scratch_scope`` owns it."""
     path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
-    if _SCOPES:
-        _SCOPES[-1].append(path)
+    made = _SCOPE.get()
+    if made is not None:
+        made.append(path)
     return path
 
 

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from marquee.operators.filters import MOST_NAMES, service_dictionary
 from marquee.schemas import SERVICE_CATALOGUE, SERVICE_SELECTION
 
 
@@ -36,11 +37,13 @@ def services_by_code(catalogue: DataFrame, codes: Sequence[str]) -> DataFrame:
     )
 
 
-def service_names(selection: DataFrame) -> tuple[str, ...]:
+def service_names(selection: DataFrame, most: int = MOST_NAMES) -> tuple[str, ...]:
     """Clear names of a short selection, for use inside filter expressions.
 
-    A long selection is better left a table: ``operators.filters.titles_on_services`` and
-    ``filter_offers`` join one of any size.
+    A selection of more than ``most`` names is refused; it is better left a table:
+    ``operators.filters.titles_on_services`` and ``filter_offers`` take one of any size.
     """
-    rows = selection.select("clear_name").distinct().collect()
-    return tuple(sorted(row["clear_name"] for row in rows if row["clear_name"] is not None))
+    names = service_dictionary(selection, most=most)
+    if names is None:
+        raise ValueError(f"more than {most} services: pass the selection as a table")
+    return names

@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from marquee.schemas import STAGING, STAGING_RANGE
+from marquee.sinks import snapshots
+from marquee.sources.pages import BROKEN, FILE
 
 _WHOLE = (T.ShortType, T.IntegerType, T.LongType)
 
@@ -38,9 +43,26 @@ def _restored(schema: T.StructType, parent: str = "") -> list[Column]:
     return columns
 
 
+def _load(spark: SparkSession, schema: T.StructType, source: str, fmt: str) -> DataFrame:
+    """The folders of the present snapshot; without one, all there is below ``source``."""
+    reader = lambda: spark.read.schema(schema).format(fmt).option("mode", "FAILFAST")
+    found = snapshots.current(spark, source)
+    if found is None:
+        return reader().load(source).select(*schema.names)
+    of_runs = [f for f in found.folders() if f.startswith(f"{snapshots.RUN}=")]
+    plain = [f for f in found.folders() if f not in of_runs]
+    parts = [
+        reader().option("basePath", source).load(snapshots.paths(source, folders)).select(*schema.names)
+        for folders in (of_runs, plain)
+        if folders
+    ]
+    return reduce(DataFrame.union, parts) if parts else spark.createDataFrame([], schema)
+
+
 def read_staging(spark: SparkSession, source: str, fmt: str = "parquet") -> DataFrame:
-    """All files of a staging directory as one table: ``parquet``, ``json`` (one object per
-    line) or ``legacy`` (indented objects). With ``fmt="table"`` a catalogue table.
+    """A staging directory as one table: ``parquet``, ``json`` (one object per line) or
+    ``legacy`` (indented objects, all files there are). With ``fmt="table"`` a catalogue
+    table. What is read is the snapshot that is current when this is called.
 
     Parquet is the format to keep staging in: each job then reads only the columns and
     nested fields it uses.
@@ -51,10 +73,8 @@ def read_staging(spark: SparkSession, source: str, fmt: str = "parquet") -> Data
         return read_concatenated_json(spark, source)
     if fmt == "json":
         schema = T.StructType([*_parsed(STAGING).fields, *STAGING_RANGE.fields])
-        rows = spark.read.schema(schema).option("mode", "FAILFAST").json(source)
-        return rows.select(*_restored(STAGING), *STAGING_RANGE.names)
-    schema = T.StructType([*STAGING.fields, *STAGING_RANGE.fields])
-    return spark.read.schema(schema).format(fmt).load(source)
+        return _load(spark, schema, source, fmt).select(*_restored(STAGING), *STAGING_RANGE.names)
+    return _load(spark, T.StructType([*STAGING.fields, *STAGING_RANGE.fields]), source, fmt)
 
 
 def _year_of_name(place: int) -> Column:
@@ -64,7 +84,7 @@ def _year_of_name(place: int) -> Column:
 
 
 def read_concatenated_json(
-    spark: SparkSession, path: str, schema: T.StructType = STAGING, requested: bool = False
+    spark: SparkSession, path: str, schema: T.StructType = STAGING, requested: bool = False, broken: bool = False
 ) -> DataFrame:
     """Legacy staging files: indented JSON objects one after another.
 
@@ -73,16 +93,33 @@ def read_concatenated_json(
     of the text reader, which splits large files at it. Each record then lacks its closing
     brace, except the last one of a file without a final line break. With ``requested`` the
     year range in the name of the file is added as ``min`` and ``max``.
+
+    A record that can not be read fails. With ``broken`` it does not: its text is in
+    ``_broken``, its columns are null, and every row tells its file as ``_file``.
     """
     # Predicates may be evaluated in any order, so the parser itself must not see blank rows.
     filled = F.trim(F.translate("value", "\r\n\t", "   ")) != ""
     body = F.concat(F.regexp_replace("value", r"\n    \}\s*$", ""), F.lit("}"))
-    record = F.from_json(F.when(filled, body), _parsed(schema), {"mode": "FAILFAST"})
+    kind = _parsed(schema)
+    if broken:
+        kind = T.StructType([*kind.fields, T.StructField(BROKEN, T.StringType())])
+    options = {"mode": "PERMISSIVE" if broken else "FAILFAST", "columnNameOfCorruptRecord": BROKEN}
+    record = F.from_json(F.when(filled, body), kind, options)
     names = [_year_of_name(1).alias("min"), _year_of_name(2).alias("max")] if requested else []
+    added = ["min", "max"] if requested else []
+    rows = spark.read.option("lineSep", "\n    }\n").text(path).where(filled)
+    if not broken:
+        return rows.select(record.alias("r"), *names).select(*_restored(schema, "r."), *added)
+    read = rows.select(record.alias("r"), *names, "value", F.col("_metadata.file_path").alias(FILE))
+    wrong = F.col(f"r.{BROKEN}").isNotNull() | F.coalesce(~_whole_numbers(schema, "r."), F.lit(False))
     return (
-        spark.read.option("lineSep", "\n    }\n")
-        .text(path)
-        .where(filled)
-        .select(record.alias("r"), *names)
-        .select(*_restored(schema, "r."), *(["min", "max"] if requested else []))
+        read.select("*", F.when(wrong, F.col("value")).alias(BROKEN))
+        .withColumn("r", F.when(F.col(BROKEN).isNull(), F.col("r")))
+        .select(*_restored(schema, "r."), *added, FILE, BROKEN)
     )
+
+
+def _whole_numbers(schema: T.StructType, parent: str) -> Column:
+    """Whether every whole-number column holds one, or null."""
+    tests = [F.coalesce(F.col(parent + f.name) % 1 == 0, F.lit(True)) for f in schema if isinstance(f.dataType, _WHOLE)]
+    return reduce(and_, tests, F.lit(True))

@@ -67,7 +67,12 @@ def test_service_table_keeps_all_records_of_a_hit(spark):
         node("b", offers=[offer("3", "Max")]),
     )
     services = spark.createDataFrame([("Hulu",)], "clear_name string")
-    assert ids(titles_on_services(df, services)) == ["a", "a"]
+    assert ids(titles_on_services(df, services, whole=True)) == ["a", "a"]
+    assert [r.offers[0].id for r in titles_on_services(df, services).collect()] == ["1"]
+    for whole, found in ((True, ["a", "a"]), (False, ["a"])):
+        # Beyond the dictionary: looked up in the titles first, then joined.
+        for most in (0, 1):
+            assert ids(titles_on_services(df, services, whole, most)) == found
 
 
 def test_filter_offers(titles):

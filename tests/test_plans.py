@@ -14,6 +14,7 @@ from marquee.plans import normalize, stage
 from marquee.plans.checks import QUERIES
 from marquee.schemas import NODE, STAGING
 from marquee.sinks import write_staging
+from marquee.sinks.files import write_run
 from marquee.sources import read_pages, read_staging
 from rows import bag, node, staging as staging_rows
 
@@ -92,13 +93,13 @@ def test_staging_ranges_prune_partitions(spark, staging):
 
 def test_landed_pages_are_parsed_once(spark, sf_dir, tmp_path, monkeypatch):
     landed_pages(spark, sf_dir, ()).write.partitionBy("min", "max").json(str(tmp_path / "p"))
-    reads = []
+    reads, written = [], []
     monkeypatch.setattr(stage, "read_pages", lambda *a, **k: reads.append(a) or read_pages(*a, **k))
-    scans = []
-    original = stage.parsed_once
-    monkeypatch.setattr(stage, "parsed_once", lambda p: scans.append(plan(out := original(p))) or out)
+    monkeypatch.setattr(stage, "write_run", lambda df, *a: written.append(plan(df)) or write_run(df, *a))
     stage.stage_pages(spark, str(tmp_path / "p"), str(tmp_path / "s"), multi_line=False)
-    assert len(reads) == 1 and "Scan parquet" in scans[0] and "Scan json" not in scans[0]
+    # One pass over the documents, without a shuffle and without a copy in between.
+    assert len(reads) == len(written) == 1 and len(re.findall(r"\+- Scan json", written[0])) == 1
+    assert "Exchange" not in written[0] and "Scan parquet" not in written[0]
 
 
 def test_year_bounds_reach_the_scan(staging):
@@ -120,12 +121,15 @@ def test_offer_filter_keeps_its_shape_without_shuffle(staging):
     assert df.drop("year_min", "year_max").schema.simpleString() == STAGING.simpleString()
 
 
-def test_service_table_join_prunes_the_probe_side(spark, staging):
+def test_service_table_is_looked_up_in_the_row(spark, staging):
     services = spark.createDataFrame([("Hulu",)], "clear_name string")
     df = filters.titles_on_services(staging, services).select("id")
-    schemas = read_schemas(df)
-    assert "struct<id:string,offers:array<struct<package:struct<clearName:string>>>>" in schemas
-    assert "struct<id:string>" in schemas
+    assert read_schemas(df) == ["struct<id:string,offers:array<struct<package:struct<clearName:string>>>>"]
+    assert "Join" not in plan(df) and "Exchange" not in plan(df)
+    for kept in (filters.filter_offers(staging, services), filters.filter_offers(staging, services.where("false"))):
+        assert "Join" not in plan(kept) and "Exchange" not in plan(kept)
+    joined = filters.titles_on_services(staging, services, most=0).select("id")
+    assert "Join" in plan(joined)
 
 
 def test_edges_of_columnar_pages_are_pruned(spark, sf_dir, tmp_path):

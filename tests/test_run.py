@@ -3,11 +3,15 @@ import pathlib
 import pytest
 
 from marquee.__main__ import main
+from marquee.operators import filters
 from marquee.operators.filters import TitleFilter, filter_offers
 from marquee.plans.publish import publish, run_all, run_jobs
-from marquee.plans.stage import PagesRejected, of_ranges, stage_legacy, stage_pages
+from marquee.functions.years import OPEN_HIGH, OPEN_LOW
+from marquee.plans import run_log, stage
+from marquee.plans.stage import PagesRejected, RowsMissing, audit_with, of_ranges, stage_legacy, stage_pages
 from marquee.schemas import TITLE_TABLES
 from marquee.session import scratch_path, scratch_scope, written
+from marquee.sinks import published_path, snapshots
 from marquee.sources import read_pages, read_service_selection, read_staging, service_names
 from rows import bag, error, ids, node, offer, page, staging
 from test_sources import land, legacy
@@ -62,7 +66,7 @@ def test_failed_page_stops_the_run(spark, tmp_path, landed):
     assert "1 failed page" in str(caught.value)
     assert "first" in str(caught.value) and "second" in str(caught.value)
     assert spark.read.parquet(errors).count() == 2
-    assert not staged.exists()
+    assert snapshots.current(spark, str(staged)) is None
     # The other ranges are not affected.
     stage_pages(spark, str(landed), str(staged), ranges=[(2001, 2010)])
     assert ids(read_staging(spark, str(staged))) == ["c"]
@@ -225,7 +229,7 @@ def test_legacy_staging(spark, tmp_path):
     run_jobs(spark, str(tmp_path / "old"), str(tmp_path / "x"), "legacy")
     run_jobs(spark, str(tmp_path / "s"), str(tmp_path / "y"), at_once=1)
     for contract in TITLE_TABLES:
-        read = lambda root: bag(spark.read.parquet(str(tmp_path / root / contract.folder)))  # noqa: E731,B023
+        read = lambda root: bag(spark.read.parquet(published_path(spark, contract, str(tmp_path / root))))  # noqa: E731,B023
         assert read("x") == read("y") != []
 
 
@@ -234,7 +238,8 @@ def test_failing_job_is_reported(spark, tmp_path):
     legacy(tmp_path / "old" / "f.json", [node("a", 40000)])
     with pytest.raises(Exception, match="CAST_OVERFLOW"):
         run_jobs(spark, str(tmp_path / "old"), str(tmp_path / "x"), "legacy")
-    assert spark.read.parquet(str(tmp_path / "x" / "genres")).count() == 1
+    assert snapshots.current(spark, str(tmp_path / "x")) is None
+    assert snapshots.names_below(spark, str(tmp_path / "x"), "run=*") == []
 
 
 def test_command_line(spark, tmp_path, landed):
@@ -277,3 +282,220 @@ def test_offers_by_service_table_keep_order_and_null_arrays(spark):
     titles = staging(spark, node("a", offers=[other, hulu, hulu]), node("b", offers=None), node("c", offers=[]), node("d", offers=[other]))
     found = {r.id: r.offers if r.offers is None else [o.id for o in r.offers] for r in filter_offers(titles, services).collect()}
     assert found == {"a": ["1", "1"], "b": None, "c": [], "d": []}
+
+
+EARLY, LATE = (OPEN_LOW, 1899), (2024, OPEN_HIGH)
+
+
+def staged_ranges(spark, path):
+    return {r.id: (r.year_min, r.year_max) for r in read_staging(spark, path).collect()}
+
+
+def test_no_landed_title_vanishes(spark, tmp_path):
+    """A request that ends behind the fixed boundaries: titles of all years are staged."""
+    root, staged = tmp_path / "pages", str(tmp_path / "s")
+    titles = [node("a", 2022), node("b", 2024), node("c", 2050), node("d", None)]
+    land(root, page(1, titles, low=2021, high=2025))
+    assert stage_pages(spark, str(root), staged) == ((2021, 2023), LATE)
+    assert staged_ranges(spark, staged) == {"a": (2021, 2023), "b": LATE, "c": LATE, "d": (2021, 2023)}
+
+
+def test_requests_outside_the_boundaries(spark, tmp_path):
+    root, staged = tmp_path / "pages", str(tmp_path / "s")
+    land(root, page(1, [node("a", 2024), node("b", 2030)], low=2024, high=2026))
+    land(root, page(1, [node("c", 1880), node("d", 1700)], low=1890, high=1899))
+    assert stage_pages(spark, str(root), staged) == (EARLY, LATE)
+    assert staged_ranges(spark, staged) == {"a": LATE, "b": LATE, "c": EARLY, "d": EARLY}
+    # Less of an open range than is staged would lose the rest of it.
+    land(tmp_path / "less", page(1, [node("e", 2024)], low=2024, high=2025))
+    with pytest.raises(PagesRejected, match="incomplete year range.*2024-$"):
+        stage_pages(spark, str(tmp_path / "less"), staged)
+    land(tmp_path / "gap", page(1, [node("e", 2030)], low=2025, high=2040))
+    with pytest.raises(PagesRejected, match="incomplete year range.*2024-$"):
+        stage_pages(spark, str(tmp_path / "gap"), staged)
+    land(tmp_path / "more", page(1, [node("e", 2024)], low=2024, high=2030))
+    assert stage_pages(spark, str(tmp_path / "more"), staged, ranges=[(2024, OPEN_HIGH)]) == (LATE,)
+    assert staged_ranges(spark, staged) == {"e": LATE, "c": EARLY, "d": EARLY}
+
+
+def test_failed_page_of_a_late_range_stops_the_run(spark, tmp_path):
+    root, staged = tmp_path / "pages", str(tmp_path / "s")
+    land(root, page(1, [node("a", 1995)]))
+    land(root, page(1, [], status=500, errors=[error("late")], low=2024, high=2026))
+    with pytest.raises(PagesRejected, match="1 failed page(.|\n)*late"):
+        stage_pages(spark, str(root), staged)
+    assert [r.min for r in run_log.read_errors(spark, run_log.errors_path(staged)).collect()] == [2024]
+
+
+def test_own_boundaries(spark, tmp_path):
+    root, staged = tmp_path / "pages", str(tmp_path / "s")
+    land(root, page(1, [node("a", 2024), node("b", 2026)], low=2021, high=2030))
+    assert stage_pages(spark, str(root), staged, boundaries=(2020, 2025, 2030)) == ((2021, 2025), (2026, 2030))
+    assert staged_ranges(spark, staged) == {"a": (2021, 2025), "b": (2026, 2030)}
+    with pytest.raises(ValueError, match="overlaps"):
+        stage_pages(spark, str(root), staged)
+    assert staged_ranges(spark, staged) == {"a": (2021, 2025), "b": (2026, 2030)}
+    with pytest.raises(ValueError, match="no staging range"):
+        stage_pages(spark, str(root), staged, ranges=[(1991, 1995)])
+
+
+def test_what_has_no_place_is_refused(spark, tmp_path):
+    root, staged = tmp_path / "pages", str(tmp_path / "s")
+    empty = page(1, [node("a", 1995), node("b", 1996)], total=2)
+    empty["data"]["popularTitles"]["edges"][1]["node"] = None
+    land(root, empty)
+    land(root, page(1, [node("c", 2005)], low=2010, high=2001))
+    assert stage_pages(spark, str(root), staged) == ((1991, 2000),)
+    assert staged_ranges(spark, staged) == {"a": (1991, 2000)}
+    refused = {(r.min, r.max): r for r in run_log.read_refused(spark, staged).collect()}
+    assert refused[1991, 2000].reason == "an edge without a title"
+    assert refused[2010, 2001].reason == "no year range" and '"id":"c"' in refused[2010, 2001].record
+    assert refused[2010, 2001].file.endswith(".json")
+
+
+def test_rows_that_do_not_add_up_fail(spark, tmp_path, monkeypatch):
+    landed, staged = tmp_path / "pages", str(tmp_path / "s")
+    land(landed, page(1, [node("a", 1995), node("b", 1996), node("c", 1997)]))
+    stage_pages(spark, str(landed), staged)
+    monkeypatch.setattr(stage, "_sheet", lambda placed, original=stage._sheet: original(placed.where("id IS NULL OR id <> 'b'")))
+    with pytest.raises(RowsMissing, match="landed"):
+        stage_pages(spark, str(landed), staged, refresh=True)
+    assert ids(read_staging(spark, staged)) == ["a", "b", "c"]
+    assert len(snapshots.names_below(spark, staged, "run=*")) == 1
+
+
+def test_broken_record_is_named(spark, tmp_path, landed):
+    staged = str(tmp_path / "s")
+    bad = landed / "min=2001" / "max=2010" / "cut.json"
+    bad.write_text('{"page_no": 2, "status": 20')
+    with pytest.raises(PagesRejected, match="1 unreadable document(.|\n)*cut.json"):
+        stage_pages(spark, str(landed), staged)
+    assert snapshots.current(spark, staged) is None
+    refused = run_log.read_refused(spark, staged).collect()
+    assert [(r.reason, r.record, r.min) for r in refused] == [("not a page", '{"page_no": 2, "status": 20', 2001)]
+    assert refused[0].file.endswith("/cut.json")
+    stage_pages(spark, str(landed), staged, broken="refuse")
+    assert ids(read_staging(spark, staged)) == ["a", "b", "c"]
+    assert run_log.read_refused(spark, staged).count() == 1
+    bad.unlink()
+    stage_pages(spark, str(landed), staged)
+    assert run_log.read_refused(spark, staged).count() == 0
+    with pytest.raises(ValueError, match="fail or refuse"):
+        stage_pages(spark, str(landed), staged, broken="ignore")
+
+
+def test_errors_of_two_runs_are_kept(spark, tmp_path):
+    root, staged = tmp_path / "pages", str(tmp_path / "s")
+    land(root, page(1, [node("a", 1995)], errors=[error("one")]))
+    land(root, page(1, [node("b", 2005)], errors=[error("two")], low=2001, high=2010))
+    for years in ((1991, 2000), (2001, 2010)):
+        stage_pages(spark, str(root), staged, ranges=[years])
+    errors = lambda: sorted(r.error_text.rsplit(" ", 1)[1] for r in run_log.read_errors(spark, run_log.errors_path(staged)).collect())
+    assert errors() == ["one", "two"]
+    # A later run over a range replaces the errors of that range alone, also by none.
+    land(root, page(1, [node("a", 1995)]))
+    stage_pages(spark, str(root), staged, ranges=[(1991, 2000)])
+    assert errors() == ["two"]
+
+
+def test_unchanged_pages_are_not_parsed_again(spark, tmp_path, landed, monkeypatch):
+    staged = str(tmp_path / "s")
+    every = ((1991, 2000), (2001, 2010), (2011, 2012))
+    assert stage_pages(spark, str(landed), staged) == every
+    parsed = []
+    monkeypatch.setattr(stage, "of_requests", lambda pages, need, original=stage.of_requests: parsed.append(need) or original(pages, need))
+    before = snapshots.current(spark, staged)
+    assert stage_pages(spark, str(landed), staged) == () and parsed == []
+    assert snapshots.current(spark, staged) == before
+    # One range changed: it alone is parsed. Restrictions changed: all are.
+    land(landed, page(1, [node("c", 2001), node("d", 2002)], None, "c", False, 2, 2001, 2010))
+    assert stage_pages(spark, str(landed), staged) == ((2001, 2010),) and set(map(tuple, parsed[0])) == {(2001, 2010)}
+    assert ids(read_staging(spark, staged)) == ["a", "b", "c", "d"]
+    assert stage_pages(spark, str(landed), staged, wanted=TitleFilter(services=SERVICES)) == every
+    assert stage_pages(spark, str(landed), staged, wanted=TitleFilter(services=SERVICES)) == ()
+    assert stage_pages(spark, str(landed), staged, wanted=TitleFilter(services=SERVICES), refresh=True) == every
+    # A file that is gone is a change of its range.
+    next((landed / "min=1991").rglob("*2*.json")).unlink()
+    with pytest.raises(PagesRejected, match="incomplete"):
+        stage_pages(spark, str(landed), staged, wanted=TitleFilter(services=SERVICES))
+
+
+def test_ranges_that_share_a_staging_range_are_parsed_together(spark, tmp_path):
+    root, staged = tmp_path / "pages", str(tmp_path / "s")
+    land(root, page(1, [node("a", 1992)], low=1991, high=1995))
+    land(root, page(1, [node("b", 1999), node("c", 2002)], low=1996, high=2005))
+    land(root, page(1, [node("d", 2008)], low=2006, high=2010))
+    land(root, page(1, [node("e", 2011)], low=2011, high=2012))
+    stage_pages(spark, str(root), staged)
+    land(root, page(1, [node("x", 2007)], low=2006, high=2010))
+    assert stage_pages(spark, str(root), staged) == ((1991, 2000), (2001, 2010))
+    assert ids(read_staging(spark, staged)) == ["a", "b", "c", "e", "x"]
+
+
+def test_late_page_updates_the_audit(spark, tmp_path):
+    root, staged = tmp_path / "pages", str(tmp_path / "s")
+    one = page(1, [node("a", 1995)], None, "a", True, 3)
+    three = page(3, [node("c", 1997)], "b", "c", False, 3)
+    land(root, one), land(root, three)
+    stage_pages(spark, str(root), staged, complete=False)
+    assert [r.complete for r in audit_with(spark, staged).collect()] == [False]
+    land(tmp_path / "late", page(2, [node("b", 1996)], "a", "b", True, 3))
+    late = read_pages(spark, str(tmp_path / "late"))
+    row = audit_with(spark, staged, late).first()
+    assert (row.complete, row.pages, row.titles) == (True, 3, 3)
+
+
+def test_long_service_tables_are_joined(spark, tmp_path, landed, monkeypatch):
+    services = spark.createDataFrame([("Hulu",), ("S1",), ("S2",)], "clear_name string")
+    results = []
+    for most in (10_000, 1, 0):
+        monkeypatch.setattr(stage, "service_dictionary", lambda s, most=most: filters.service_dictionary(s, most=most))
+        for name in ("mark_on_services", "filter_offers"):
+            monkeypatch.setattr(stage, name, lambda *a, most=most, f=getattr(filters, name): f(*a, most=most))
+        stage_pages(spark, str(landed), str(tmp_path / f"s{most}"), services=services, offer_services=services)
+        results.append(bag(read_staging(spark, str(tmp_path / f"s{most}")).selectExpr("id", "offers.id")))
+    assert results[0] == results[1] == results[2] == [("a", ["1"]), ("c", ["1"])]
+
+
+def test_legacy_titles_of_all_years(spark, tmp_path):
+    (tmp_path / "old").mkdir()
+    legacy(tmp_path / "old" / "more.json", [node("a", 1995), node("b", 2024), node("c", 1880), node("d", None)])
+    with open(tmp_path / "old" / "bad_1991_2000.json", "w") as f:
+        f.write("    {\n        \"id\": \"x\n    }\n")
+    with pytest.raises(PagesRejected, match="bad_1991_2000.json"):
+        stage_legacy(spark, str(tmp_path / "old"), str(tmp_path / "s"))
+    stage_legacy(spark, str(tmp_path / "old"), str(tmp_path / "s"), broken="refuse")
+    assert staged_ranges(spark, str(tmp_path / "s")) == {"a": (1991, 2000), "b": LATE, "c": EARLY}
+    refused = {r.reason: r.record for r in run_log.read_refused(spark, str(tmp_path / "s")).collect()}
+    assert set(refused) == {"no year range", "not a title"} and '"id":"d"' in refused["no year range"]
+
+
+def test_command_line_publishes_all_or_nothing(spark, tmp_path, landed):
+    places = ["--pages", str(landed), "--staging", str(tmp_path / "s"), "--root", str(tmp_path / "out"), "--db", "whole_cli"]
+    main(["all", *places], spark)
+    read = lambda: {c.name: bag(spark.table(f"whole_cli.{c.name}")) for c in TITLE_TABLES}
+    before = read()
+    land(landed, page(1, [node("z", 40000, offers=[offer("9", "New", 9)])], None, "z", False, 1, 2001, 2010))
+    with pytest.raises(Exception, match="CAST_OVERFLOW"):
+        main(["all", *places], spark)
+    assert read() == before
+
+
+def test_scratch_scopes_of_two_threads(spark):
+    """A scope deletes what was made inside it, not what another thread makes meanwhile."""
+    import threading
+
+    inside, leave = threading.Event(), threading.Event()
+
+    def other():
+        with scratch_scope(spark):
+            inside.set()
+            leave.wait(60)
+
+    thread = threading.Thread(target=other)
+    thread.start()
+    inside.wait(60)
+    kept = written(spark.range(3).toDF("x"), "kept")
+    leave.set()
+    thread.join()
+    assert kept.count() == 3

@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 
 from marquee.operators.filters import assign_year_range
 from marquee.plans import normalize
@@ -8,11 +9,15 @@ from marquee.sinks import (
     create_country_table,
     create_database,
     load_countries,
+    published_path,
+    register_staging,
     register_tables,
+    snapshots,
     table_path,
     write_staging,
     write_table,
 )
+from marquee.sinks.files import KIND, TITLES, write_run
 from marquee.sources import read_staging
 from rows import bag, genre, ids, node, offer, staging
 
@@ -32,7 +37,7 @@ def test_staging_round_trip(spark, tmp_path, fmt, rebalance):
     write_staging(df, str(tmp_path / "s"), fmt, RANGES, rebalance)
     back = read_staging(spark, str(tmp_path / "s"), fmt)
     assert bag(back.select(df.columns)) == bag(df)
-    assert (tmp_path / "s" / "year_min=1991" / "year_max=2000").is_dir()
+    assert snapshots.current(spark, str(tmp_path / "s")).units["1991_2000"]["folder"].endswith("/year_min=1991/year_max=2000")
 
 
 def test_staging_replaces_only_its_ranges(spark, tmp_path):
@@ -119,7 +124,7 @@ def test_publish_and_read_by_name(spark, tmp_path):
     for contract in TITLE_TABLES:
         table = spark.table(f"shop.{contract.name}")
         assert table.dtypes == [(f.name, f.dataType.simpleString()) for f in contract.schema]
-        assert bag(table) == bag(spark.read.parquet(table_path(contract, root)))
+        assert bag(table) == bag(spark.read.parquet(published_path(spark, contract, root)))
     assert spark.table("shop.dim_countries").count() == 1
     assert {r.genre_id for r in spark.table("shop.dim_genres").collect()} == {"drm", "w"}
 
@@ -128,3 +133,123 @@ def test_publish_and_read_by_name(spark, tmp_path):
     run_jobs(spark, staged, root, only=("dim_genres",))
     register_tables(spark, "shop", root)
     assert {r.genre_id for r in spark.table("shop.dim_genres").collect()} == {"n", "w"}
+
+
+def test_staging_without_year_range_is_refused(spark, tmp_path):
+    path = str(tmp_path / "s")
+    write_staging(ranged(spark, node("a", 1995)), path)
+    bad = staging(spark, node("b")).selectExpr("*", "CAST(NULL AS INT) AS year_min", "2000 AS year_max")
+    with pytest.raises(Exception, match="without year range"):
+        write_staging(bad, path)
+    assert ids(read_staging(spark, path)) == ["a"]
+
+
+def test_a_write_that_ends_early_changes_nothing(spark, tmp_path):
+    """One range is written, the next fails: readers keep what they had, of both."""
+    path = str(tmp_path / "s")
+    write_staging(ranged(spark, node("a", 1995), node("b", 2005)), path)
+    fails = F.when(F.col("id") == "d", F.raise_error(F.lit("lost"))).otherwise(F.col("content_title"))
+    rows = ranged(spark, node("c", 1995), node("d", 2005)).withColumn("content_title", fails.cast("string"))
+    with pytest.raises(Exception, match="lost"):
+        write_staging(rows.repartitionByRange(2, "id"), path, ranges=RANGES)
+    assert ids(read_staging(spark, path)) == ["a", "b"]
+    # A run that was killed before it published is not read either, and goes when it is old.
+    write_run(ranged(spark, node("e", 1995)).withColumn(KIND, F.lit(TITLES)), path)
+    assert ids(read_staging(spark, path)) == ["a", "b"]
+    assert len(snapshots.names_below(spark, path, "run=*")) == 2
+    snapshots.expire(spark, path, abandoned=0)
+    assert len(snapshots.names_below(spark, path, "run=*")) == 1
+    assert ids(read_staging(spark, path)) == ["a", "b"]
+
+
+def test_readers_keep_their_snapshot_for_one_more_run(spark, tmp_path):
+    path = str(tmp_path / "s")
+    write_staging(ranged(spark, node("a", 1995)), path)
+    reader = read_staging(spark, path)
+    write_staging(ranged(spark, node("b", 1995)), path)
+    assert ids(reader) == ["a"] and ids(read_staging(spark, path)) == ["b"]
+    write_staging(ranged(spark, node("c", 1995)), path)
+    assert len(snapshots.names_below(spark, path, "run=*")) == 2 and ids(read_staging(spark, path)) == ["c"]
+
+
+def test_overlapping_ranges_are_refused(spark, tmp_path):
+    path = str(tmp_path / "s")
+    write_staging(ranged(spark, node("a", 1995)), path)
+    other = staging(spark, node("b")).selectExpr("*", "1995 AS year_min", "2005 AS year_max")
+    with pytest.raises(ValueError, match="1995-2005 overlaps 1991-2000"):
+        write_staging(other, path)
+    assert ids(read_staging(spark, path)) == ["a"]
+
+
+def test_plain_folders_are_read_and_taken_over(spark, tmp_path):
+    path = str(tmp_path / "s")
+    ranged(spark, node("a", 1995), node("b", 2005)).write.partitionBy("year_min", "year_max").parquet(path)
+    assert ids(read_staging(spark, path)) == ["a", "b"]
+    write_staging(ranged(spark, node("c", 1996)), path)
+    rows = read_staging(spark, path)
+    assert bag(rows.select("id", "year_min", "year_max")) == [("b", 2001, 2010), ("c", 1991, 2000)]
+
+
+def test_two_commits_at_once(spark, tmp_path):
+    """A run that publishes while another one is about to goes first; nothing is lost."""
+    root = str(tmp_path / "r")
+
+    def change(units):
+        if "second" not in units and "first" not in units:
+            snapshots.commit(spark, root, snapshots.replaced({"second": "run=r-2/x"}))
+        return {**units, "first": {"folder": "run=r-1/x"}}
+
+    done = snapshots.commit(spark, root, change)
+    assert done.number == 2 and set(done.units) == {"first", "second"}
+    assert snapshots.current(spark, root) == done and snapshots.current(spark, str(tmp_path / "none")) is None
+
+
+def test_staging_table_follows_the_snapshot(spark, tmp_path):
+    path = str(tmp_path / "s")
+    write_staging(ranged(spark, node("a", 1995), node("b", 2005)), path)
+    create_database(spark, "followed", str(tmp_path / "db"))
+    for change, found in ((None, ["a", "b"]), (ranged(spark, node("c", 2005)), ["a", "c"])):
+        if change is not None:
+            write_staging(change, path)
+        assert ids(read_staging(spark, register_staging(spark, "followed", path), "table")) == found
+    write_staging(ranged(spark).limit(0), path, ranges=[(2001, 2010)])
+    assert ids(spark.table(register_staging(spark, "followed", path))) == ["a"]
+
+
+def test_failing_job_leaves_all_tables(spark, tmp_path):
+    staged, root = str(tmp_path / "s"), str(tmp_path / "out")
+    write_staging(ranged(spark, node("a", 1995)), staged)
+    run_jobs(spark, staged, root)
+    read = lambda: {c.name: bag(spark.read.parquet(published_path(spark, c, root))) for c in TITLE_TABLES}
+    before = read()
+    bad = staging(spark, node("z", 40000)).selectExpr("*", "1991 AS year_min", "2000 AS year_max")
+    write_staging(bad, staged)
+    with pytest.raises(Exception, match="CAST_OVERFLOW"):
+        run_jobs(spark, staged, root)
+    assert read() == before
+    run_jobs(spark, staged, root, only=("dim_genres", "dim_titles_genres"))
+    now = read()
+    assert now["dim_titles_genres"] == [("z", "drm")] and now["fct_titles"] == before["fct_titles"]
+
+
+def test_old_generations_are_deleted_when_nobody_points_at_them(spark, tmp_path):
+    staged, root = str(tmp_path / "s"), str(tmp_path / "out")
+    write_staging(ranged(spark, node("a", 1995)), staged)
+    for _ in range(4):
+        run_jobs(spark, staged, root)
+    assert len(snapshots.names_below(spark, root, "run=*")) == 4
+    create_database(spark, "old", str(tmp_path / "db"))
+    register_tables(spark, "old", root)
+    for _ in range(3):
+        run_jobs(spark, staged, root, only=("dim_genres",))
+        # The registered tables still stand where they did.
+        assert spark.table("old.fct_titles").count() == 1 and spark.table("old.dim_genres").count() == 1
+    with pytest.warns(UserWarning, match="no countries"):
+        publish(spark, "old", root)
+    # The present one of all tables but one, and that one's, now and before.
+    assert len(snapshots.names_below(spark, root, "run=*")) == 3
+    assert all(spark.table(f"old.{c.name}").count() == 1 for c in TITLE_TABLES)
+    with pytest.raises(FileNotFoundError, match="never published"):
+        write_staging(ranged(spark, node("a", 1995)), staged)
+        run_jobs(spark, staged, str(tmp_path / "other"), only=("dim_genres",))
+        register_tables(spark, "old", str(tmp_path / "other"))
