@@ -16,6 +16,10 @@ remembered.
 
 No piece spans two characters that stand side by side in no piece, so texts are cut there
 and every part is composed once per task.
+
+Many parts are composed at once, as arrays. For a BPE model the finite path to a place is
+what merging the text before it gives, so there is one state at every place, and a place is
+settled by one test of an arc for every piece that ends there (``Composer``).
 """
 
 from __future__ import annotations
@@ -27,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from marquee.llm.tables import id_and_text, table
-from marquee.llm.textbytes import slices
+from marquee.llm.textbytes import mix, slices
 from marquee.llm.tokens import PieceTable, crc32
 
 MODEL = "piece_bpe_32k.model"
@@ -160,6 +164,150 @@ class Transducer:
         return text[1:] if self.prefix and text[:1] == " " else text
 
 
+class Composer:
+    """A BPE transducer as tables of integers, composed with many parts side by side."""
+
+    DENSE = 128  # symbols with a column of their own in the table of arcs between heads
+    MEMORY = 1 << 21  # arcs remembered
+    LONG = 64  # characters; longer parts are composed one by one
+
+    def __init__(self, transducer: Transducer):
+        self.transducer = transducer
+        names = transducer.pieces
+        count: dict[str, int] = {}
+        for piece in names:
+            for c in piece:
+                count[c] = count.get(c, 0) + 1
+        # A character that is in pieces but no piece itself could be reached in two ways.
+        self.able = transducer.bpe and set(count) <= set(names) and len(count) < 1 << 13
+        if not self.able:
+            return
+        alphabet = sorted(count, key=lambda c: (-count[c], c))
+        self.symbol = {c: i for i, c in enumerate(alphabet)}
+        order = np.argsort([ord(c) for c in alphabet])
+        self.codes = np.array([ord(c) for c in alphabet], np.int64)[order]
+        self.symbols = order.astype(np.int32)
+        heads = {"": 0}
+        for piece in names:
+            for n in range(1, len(piece) + 1):
+                heads.setdefault(piece[:n], len(heads))
+        self.dense = np.full((len(heads), self.DENSE), -1, np.int32)
+        rare: dict[int, int] = {}
+        for head, number in heads.items():
+            if head:
+                above, symbol = heads[head[:-1]], self.symbol[head[-1]]
+                if symbol < self.DENSE:
+                    self.dense[above, symbol] = number
+                else:
+                    rare[above << 13 | symbol] = number
+        self.rare_keys = np.array(sorted(rare), np.int64)
+        self.rare = np.array([rare[k] for k in self.rare_keys.tolist()], np.int32)
+        self.piece_of = np.full(len(heads), -1, np.int32)  # the piece a head is, if it is one
+        for piece, number in names.items():
+            self.piece_of[heads[piece]] = number
+        size = transducer.size
+        self.first, self.last = np.zeros(size, np.int32), np.zeros(size, np.int32)
+        for piece, number in names.items():
+            self.first[number], self.last[number] = self.symbol[piece[0]], self.symbol[piece[-1]]
+        self.beside = np.zeros((len(alphabet), len(alphabet)), bool)
+        for a, b in transducer.together:
+            self.beside[self.symbol[a], self.symbol[b]] = True
+        self.alone = np.zeros(size, bool)  # pieces that merging their own characters gives
+        for piece, number in names.items():
+            self.alone[number] = transducer.weight("", piece) < INFINITY
+        self.keys = np.full(self.MEMORY, -1, np.int64)
+        self.known = np.zeros(self.MEMORY, bool)
+
+    def _arcs(self, last: np.ndarray, piece: np.ndarray) -> np.ndarray:
+        """Whether there is an arc from each state to each piece; state -1 is the start."""
+        good = self.alone[piece]
+        ask = np.flatnonzero(good & (last >= 0) & self.beside[self.last[last], self.first[piece]])
+        if not len(ask):
+            return good
+        keys = last[ask].astype(np.int64) << 20 | piece[ask]
+        slots = (mix(keys.astype(np.uint64)) & np.uint64(self.MEMORY - 1)).astype(np.int64)
+        good[ask] = self.known[slots]
+        missed = np.flatnonzero(self.keys[slots] != keys)
+        if len(missed):
+            new, back = np.unique(keys[missed], return_inverse=True)
+            name, weight = self.transducer.names, self.transducer.weight
+            fits = np.array([weight(name[k >> 20], name[k & 0xFFFFF]) < INFINITY for k in new.tolist()])
+            good[ask[missed]] = fits[back]
+            into = slots[missed]
+            self.keys[into], self.known[into] = keys[missed], fits[back]
+            # Two new arcs may want one place; it holds the key and the answer of the last.
+        return good
+
+    def _children(self, heads: np.ndarray, symbols: np.ndarray) -> np.ndarray:
+        found = self.dense[heads, np.minimum(symbols, self.DENSE - 1)]
+        rare = np.flatnonzero(symbols >= self.DENSE)
+        if len(rare):
+            keys = heads[rare].astype(np.int64) << 13 | symbols[rare]
+            at = np.minimum(np.searchsorted(self.rare_keys, keys), max(len(self.rare_keys) - 1, 0))
+            hit = self.rare_keys[at] == keys if len(self.rare_keys) else np.zeros(len(keys), bool)
+            found[rare] = np.where(hit, self.rare[at] if len(self.rare) else -1, -1)
+        return found
+
+    def symbols_of(self, codes: np.ndarray) -> np.ndarray:
+        """Symbols of characters, -1 for those no piece holds."""
+        at = np.minimum(np.searchsorted(self.codes, codes), len(self.codes) - 1)
+        return np.where(self.codes[at] == codes, self.symbols[at], -1)
+
+    def compose(self, symbols: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all parts, one after the other, and how many each part has. ``symbols`` are
+        their characters, ``ends`` the places (from 0) where parts begin and end."""
+        n, sizes = len(symbols), np.diff(ends)
+        owner = np.repeat(np.arange(len(sizes)), sizes)
+        stop = ends[1:][owner]
+        # Every piece that matches somewhere: where it begins and ends, and which it is.
+        at, heads = np.arange(n), np.zeros(n, np.int32)
+        begins, finishes, found = [], [], []
+        for length in range(1, self.transducer.longest + 1):
+            heads = self._children(heads, symbols[at + length - 1])
+            live = heads >= 0
+            at, heads = at[live], heads[live]
+            pieces = self.piece_of[heads]
+            whole = pieces >= 0
+            begins.append(at[whole])
+            finishes.append(at[whole] + length)
+            found.append(pieces[whole])
+            more = at + length < stop[at]
+            at, heads = at[more], heads[more]
+            if not len(at):
+                break
+        begin, finish, piece = (np.concatenate(x) for x in (begins, finishes, found))
+        # Place by place, all parts at once.
+        offset = begin - ends[:-1][owner[begin]]
+        order = np.argsort(offset, kind="stable")
+        begin, finish, piece = begin[order], finish[order], piece[order]
+        borders = np.searchsorted(offset[order], np.arange(int(sizes.max(initial=0)) + 1))
+        state = np.full(n + 1, -1, np.int32)  # of the part that ends there
+        way = np.zeros(n + 1, np.int32)  # how long the last piece before a place is
+        inner = np.full(n + 1, -1, np.int32)  # the same state, for the part that goes on there
+        for i, j in zip(borders[:-1].tolist(), borders[1:].tolist()):
+            b, f, p = begin[i:j], finish[i:j], piece[i:j]
+            good = self._arcs(inner[b], p)
+            b, f, p = b[good], f[good], p[good]
+            state[f], way[f] = p, f - b
+            inside = f < stop[b]
+            inner[f[inside]] = p[inside]
+        # The ways back, all parts at once.
+        now, parts = ends[1:].copy(), np.arange(len(sizes))
+        steps = []
+        while len(parts):
+            if (state[now] < 0).any():
+                raise AssertionError("no path through a part")
+            steps.append((parts, state[now]))
+            now = now - way[now]
+            more = now > ends[:-1][parts]
+            now, parts = now[more], parts[more]
+        who = np.concatenate([p for p, _ in steps]) if steps else np.zeros(0, np.int64)
+        ids = np.concatenate([i for _, i in steps]) if steps else np.zeros(0, np.int32)
+        back = np.concatenate([np.full(len(p), k) for k, (p, _) in enumerate(steps)]) if steps else who
+        order = np.lexsort((-back, who))
+        return ids[order].astype(np.uint32), np.bincount(who, minlength=len(sizes))
+
+
 class PieceEncoder(PieceTable):
     """Composes parts of texts with the transducer; made once per task. Texts come with the
     blank of the model's prefix in front."""
@@ -178,6 +326,7 @@ class PieceEncoder(PieceTable):
         self.letters = np.concatenate(surfaces)
         self.fallback = np.zeros(transducer.size, bool)
         self.fallback[list(transducer.bytes.values())] = True
+        self.composer = Composer(transducer)
         super().__init__(np.uint16 if transducer.size <= 1 << 16 else np.uint32)
 
     def cuts(self, ends: np.ndarray, data: np.ndarray) -> np.ndarray:
@@ -189,9 +338,26 @@ class PieceEncoder(PieceTable):
 
     def _new(self, data: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         firsts, counts = np.zeros(len(starts), np.int32), np.zeros(len(starts), np.int32)
-        raw = data.tobytes()
-        for i, (s, e) in enumerate(zip(starts.tolist(), stops.tolist(), strict=True)):
-            ids = self.transducer.encode(raw[s:e].decode("utf-8").replace(" ", MARK))
+        one_by_one = np.ones(len(starts), bool)
+        if self.composer.able:
+            sizes = stops - starts
+            places = np.cumsum(sizes)
+            raw = data[np.repeat(starts - (places - sizes), sizes) + np.arange(places[-1])]
+            begins = np.concatenate(([0], np.cumsum((raw & 0xC0) != 0x80)))
+            ends = begins[np.concatenate(([0], places))]
+            codes = np.frombuffer(raw.tobytes().decode("utf-8").replace(" ", MARK).encode("utf-32-le"), "<u4")
+            symbols = self.composer.symbols_of(codes.astype(np.int64))
+            strange = np.concatenate(([0], np.cumsum(symbols < 0)))
+            one_by_one = (strange[ends[1:]] > strange[ends[:-1]]) | (np.diff(ends) > self.composer.LONG)
+            at = np.flatnonzero(~one_by_one)
+            if len(at):
+                own = np.repeat(~one_by_one, np.diff(ends))
+                ids, n = self.composer.compose(symbols[own], np.concatenate(([0], np.cumsum(np.diff(ends)[at]))))
+                counts[at] = n
+                firsts[at] = self._store(ids) + np.cumsum(n) - n
+        raw = data.tobytes() if one_by_one.any() else b""
+        for i in np.flatnonzero(one_by_one).tolist():
+            ids = self.transducer.encode(raw[starts[i] : stops[i]].decode("utf-8").replace(" ", MARK))
             counts[i] = len(ids)
             firsts[i] = self._store(np.array(ids, np.uint32))
         return firsts, counts
