@@ -37,7 +37,7 @@ def shingle_sets(ends: np.ndarray, data: np.ndarray, width: int = WIDTH) -> list
     shingle of all their words, texts without words none."""
     low = lowered(data)
     starts, stops, places = words_of(ends, low)
-    words = span_hashes(prefix(low), starts, stops) if len(starts) else np.zeros(0, np.uint64)
+    words = span_hashes(prefix(low), starts, stops, low) if len(starts) else np.zeros(0, np.uint64)
     n = len(words) - width + 1
     grams = np.zeros(max(n, 0), np.uint64)
     for k in range(width if n > 0 else 0):

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 
+LONG = 128  # bytes of a span that a polynomial tells apart
 SLICE = 2 << 20  # bytes of text worked on at once; a longer text is a slice of its own
 
 _BASE = 0x9E3779B97F4A7C15
@@ -59,10 +61,20 @@ def prefix(data: np.ndarray) -> np.ndarray:
     return sums
 
 
-def span_hashes(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hashes of the bytes between ``starts`` and ``ends``."""
+def span_hashes(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray, data: np.ndarray | None = None) -> np.ndarray:
+    """64-bit hashes of the bytes between ``starts`` and ``ends``.
+
+    They are polynomials modulo a power of two, under which some regular strings of many
+    hundred bytes are equal, whatever the base. Given ``data``, spans of more than ``LONG``
+    bytes, which are few among words and pieces, get a cryptographic hash instead.
+    """
     back = _powers(_INVERSE, len(sums))
-    return mix((sums[ends] - sums[starts]) * back[starts] + (ends - starts).astype(np.uint64))
+    hashes = mix((sums[ends] - sums[starts]) * back[starts] + (ends - starts).astype(np.uint64))
+    if data is not None:
+        for i in np.flatnonzero(ends - starts > LONG).tolist():
+            content = np.ascontiguousarray(data[starts[i] : ends[i]])
+            hashes[i] = int.from_bytes(hashlib.blake2b(content, digest_size=8).digest(), "little")
+    return hashes
 
 
 def window_hashes(sums: np.ndarray, width: int) -> np.ndarray:

@@ -94,7 +94,7 @@ class PieceTable:
         cut[ones] = True
         starts = np.flatnonzero(cut)
         stops = np.append(starts[1:], len(data))[: len(starts)]
-        hashes = span_hashes(prefix(data), starts, stops)
+        hashes = span_hashes(prefix(data), starts, stops, data)
         sizes = stops - starts
         slots = (hashes & np.uint64(SLOTS - 1)).astype(np.int64)
         other = (hashes >> np.uint64(40)).astype(np.int64) & (SLOTS - 1)
