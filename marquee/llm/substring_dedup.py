@@ -12,7 +12,9 @@ The strings of the other runs are sent once each, in groups of whole anchors, an
 finds the repeated windows of a group from a Burrows-Wheeler transform (see ``bwt``):
 intervals are expanded backwards, breadth first, and common prefixes come out by increasing
 value until the window width is reached. An anchor with more than ``HOT`` different runs
-is not held by one task: its windows are counted by hash over all tasks instead.
+is not held by one task: its windows are counted by hash over all tasks instead, those that
+repeat within a task once for all of its strings. An anchor with a single string needs no
+comparison: the string occurs twice, and so do all windows in it.
 """
 
 from __future__ import annotations
@@ -285,20 +287,92 @@ def _transform(width: int, batch_bytes: int):
     return run
 
 
-def _windows(width: int):
-    """Every window of the strings of hot anchors, by hash."""
+WINDOW = np.dtype([("w", "<u8"), ("h", "<i8"), ("ctx", "<i8"), ("at", "<u2"), ("cnt", "<u1")])
+_PASSED = ["bucket", "h", "ctx", "ats", "windows"]
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+
+def _by_string(h: np.ndarray, ctx: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+    """The places of every string (h, ctx) together."""
+    order = np.lexsort((at, ctx, h))
+    h, ctx, at = h[order], ctx[order], at[order]
+    cut = np.flatnonzero(np.concatenate(([True], (h[1:] != h[:-1]) | (ctx[1:] != ctx[:-1])))) if len(h) else np.zeros(0, np.int64)
+    return h[cut], ctx[cut], np.split(at.astype(np.int64), cut[1:]) if len(cut) else []
+
+
+def _windows(width: int, buckets: int):
+    """The windows of the strings of hot anchors. One that is repeated among the strings at
+    hand is known, and told to its bucket by a mark; the others go there, many in a row."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for h, ctx, cnt, string in zip(batch["h"], batch["ctx"], batch["cnt"], batch["string"], strict=True):
-                hashes = window_hashes(prefix(np.frombuffer(string, np.uint8)), width)
-                yield pd.DataFrame(
-                    {"window": hashes.astype(np.int64), "h": h, "ctx": ctx, "at": np.arange(len(hashes)), "cnt": cnt}
-                )
+            h, ctx, cnt = (batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("h", "ctx", "cnt"))
+            ends, data = column_bytes(batch.column("string"))
+            data, ends = data[ends[0] : ends[-1]], ends - ends[0]
+            if len(data) < width:
+                continue
+            sizes = np.maximum(np.diff(ends) - width + 1, 0)
+            whose = np.repeat(np.arange(len(sizes)), sizes)
+            at = np.arange(len(whose)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+            hashes = window_hashes(prefix(data), width)[ends[whose] + at]
+            names, one, back = np.unique(hashes, return_index=True, return_inverse=True)
+            repeated = np.bincount(back, cnt[whose]) >= 2
+            hit = repeated[back]
+            known = _by_string(h[whose[hit]], ctx[whose[hit]], at[hit])
+            n = len(known[0])
+            yield pa.RecordBatch.from_arrays(
+                [pa.nulls(n, pa.int32()), pa.array(known[0]), pa.array(known[1]), pa.array(known[2], pa.list_(pa.int64())), pa.nulls(n, pa.binary())],
+                _PASSED,
+            )
+            sent = np.zeros(len(names), WINDOW)
+            sent["w"], sent["cnt"] = names, np.where(repeated, 2, 1)
+            sent["h"], sent["ctx"], sent["at"] = h[whose[one]], ctx[whose[one]], at[one]
+            goal = (names >> np.uint64(7)) % np.uint64(buckets)
+            order = np.argsort(goal, kind="stable")
+            sent, goal = sent[order], goal[order]
+            cut = np.flatnonzero(np.concatenate(([True], goal[1:] != goal[:-1])))
+            n = len(cut)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(goal[cut].astype(np.int32)),
+                    *[pa.nulls(n, pa.int64())] * 2,
+                    pa.nulls(n, pa.list_(pa.int64())),
+                    pa.array([x.tobytes() for x in np.split(sent, cut[1:])], pa.binary()),
+                ],
+                _PASSED,
+            )
 
     return run
 
 
+def _repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of whole buckets the windows that occur twice, by string; what is known passes."""
+    names = ["h", "ctx", "ats"]
+
+    def solved(blobs: list[bytes]) -> pa.RecordBatch:
+        windows = np.frombuffer(b"".join(blobs), WINDOW)
+        _, back = np.unique(windows["w"], return_inverse=True)
+        # A mark is of strings that know about the window already.
+        hit = windows[(np.bincount(back, windows["cnt"])[back] >= 2) & (windows["cnt"] == 1)]
+        h, ctx, ats = _by_string(hit["h"], hit["ctx"], hit["at"])
+        return pa.RecordBatch.from_arrays([pa.array(h), pa.array(ctx), pa.array(ats, pa.list_(pa.int64()))], names)
+
+    now, blobs = None, []
+    for batch in batches:
+        passed = batch.filter(batch.column(0).is_null())
+        if len(passed):
+            yield passed.select(names)
+        for bucket, blob in zip(batch.column(0).to_pylist(), batch.column(4), strict=True):
+            if bucket is None:
+                continue
+            if bucket != now and blobs:
+                yield solved(blobs)
+                blobs = []
+            now = bucket
+            blobs.append(blob.as_py())
+    if blobs:
+        yield solved(blobs)
+
+
 def _hot_ranges(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         yield pd.DataFrame(
@@ -372,10 +446,16 @@ def substring_dedup(
     contexts = runs.groupBy("h", "ctx").agg(
         F.sum("cnt").alias("cnt"), F.min(F.struct("a", "start", "size")).alias("rep")
     )
-    crowded = contexts.groupBy("h").agg(F.count("*").alias("n")).where(F.col("n") > hot)
+    anchors = contexts.groupBy("h").agg(F.count("*").alias("n"))
+    compared = written(contexts.join(anchors, "h"), "contexts")
+    # The one string of an anchor occurs twice, or the anchor would not be shared: all of its
+    # windows are repeated, and there is nothing to compare it with.
+    alone = compared.where("n = 1 AND cnt >= 2").select(
+        "h", "ctx", F.array(F.lit(0).cast("bigint"), F.col("rep.size") - width).alias("ranges")
+    )
     wanted = (
-        contexts.join(crowded, "h", "left")
-        .select("rep.a", F.struct("h", "ctx", "cnt", F.col("n").isNotNull().alias("hot"), "rep.start", "rep.size").alias("w"))
+        compared.where("n > 1")
+        .select("rep.a", F.struct("h", "ctx", "cnt", (F.col("n") > hot).alias("hot"), "rep.start", "rep.size").alias("w"))
         .groupBy("a")
         .agg(F.collect_list("w").alias("wanted"))
     )
@@ -396,15 +476,19 @@ def substring_dedup(
         .sortWithinPartitions("h", "ctx")
         .mapInPandas(_transform(width, BATCH_BYTES), "h bigint, ctx bigint, ranges array<bigint>")
     )
-    windows = strings.where("hot").mapInPandas(_windows(width), "window bigint, h bigint, ctx bigint, at bigint, cnt bigint")
-    repeated = windows.groupBy("window").agg(F.sum("cnt").alias("all")).where("all > 1").select("window")
+    at_home = F.coalesce("bucket", F.pmod(F.xxhash64("h", "ctx"), F.lit(buckets)).cast("int"))
     warm = (
-        windows.join(repeated, "window")
+        strings.where("hot")
+        .select("h", "ctx", "cnt", "string")
+        .mapInArrow(_windows(width, buckets), "bucket int, h bigint, ctx bigint, ats array<bigint>, windows binary")
+        .repartition(buckets, at_home)
+        .sortWithinPartitions("bucket")
+        .mapInArrow(_repeated, "h bigint, ctx bigint, ats array<bigint>")
         .groupBy("h", "ctx")
-        .agg(F.collect_list("at").alias("ats"))
+        .agg(F.flatten(F.collect_list("ats")).alias("ats"))
         .mapInPandas(_hot_ranges, "h bigint, ctx bigint, ranges array<bigint>")
     )
-    results = written(cool.union(warm), "ranges")
+    results = written(cool.union(warm).union(alone), "ranges")
     found = (
         runs.select("h", "ctx", "a", "start").distinct()
         .join(results, ["h", "ctx"])
