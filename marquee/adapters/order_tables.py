@@ -25,6 +25,7 @@ from marquee.operators.filters import PART, YEAR, assign_year_range
 from marquee.operators.flatten import seasons_of_shows
 from marquee.operators.ranking import POPULARITY, RANGE, number_pages
 from marquee.schemas import STAGING
+from marquee.session import written
 
 ALL = ("genres", "countries", "offers", "seasons")
 MAX_OFFERS = 1_000
@@ -109,11 +110,12 @@ def _records(
         frame = frame.withColumn(PART, F.lit(0))
     else:
         lines, on = _lines(spark, sf_dir), ["key"]
-        if max_offers is None:
+        # Counted once, ahead: most tables hold no such order, and then nothing is spread.
+        big = None if max_offers is None else written(_oversize(lines, max_offers), "oversize")
+        if big is None or big.isEmpty():
             frame = frame.withColumn(PART, F.lit(0))
         else:
             on = ["key", PART]
-            big = _oversize(lines, max_offers)
             share = F.pmod(F.xxhash64("l_partkey", "l_suppkey", "l_linenumber"), F.col("parts"))
             lines = lines.join(big, "key", "left").withColumn(
                 PART, F.coalesce(share, F.lit(0)).cast("int")

@@ -14,6 +14,7 @@ from marquee.session import written
 
 POPULARITY = "content_scoring_tmdbPopularity"
 RANGE = ("year_min", "year_max")
+_ROW = "_row"
 _ROW_BITS = 33  # monotonically_increasing_id: block number above, row number below
 
 
@@ -78,14 +79,15 @@ def number_pages(
     """Rank the titles of each group by popularity and cut the ranking into pages.
 
     Returns the group, popularity, tie and ``keep`` columns with ``rank``, ``page_no`` and
-    ``total``, the number of titles of the group. Columns that are kept travel through the
-    sort: joining them back by id would multiply the copies of a title with each other.
+    ``total``, the number of titles of the group. Only the keys travel through the sort.
+    Records that are kept are numbered and written once, and the ranks are joined to them by
+    that number: joining by id would multiply the copies of a title with each other.
 
     A window per year range would sort a whole range, easily a third of all titles, in
     one task. Instead all titles are sorted globally, which range-partitions them evenly,
     and a rank is the row's offset in its sorted block plus the number of rows of its group
     in the blocks before. The ties tell titles apart; copies of one title are told apart by
-    the input partition they come from, so that they too spread over several blocks.
+    the number of their row, so that they too spread over several blocks.
 
     Positions must not move between the pass that counts the blocks and the pass that
     adds the offsets, so the sorted keys are written to a scratch table once. The offset
@@ -93,10 +95,13 @@ def number_pages(
     broadcast is left to Spark, which knows its size.
     """
     df = per_title(df)
-    keys = [*groups, popularity, *ties, *keep]
+    names = [*groups, popularity, *ties]
+    numbered = df.select(*names, *keep, F.monotonically_increasing_id().alias(_ROW))
+    records = written(numbered, "records") if keep else numbered
+    keys = [*names, _ROW]
     placed = written(
-        df.select(*keys, F.spark_partition_id().alias("source"))
-        .orderBy(*groups, *_order(popularity, ties), "source")
+        records.select(*keys)
+        .orderBy(*groups, *_order(popularity, ties), _ROW)
         .select(*keys, F.monotonically_increasing_id().alias("position")),
         "ranked",
     )
@@ -118,10 +123,13 @@ def number_pages(
     )
     same_group = [F.col(g).eqNullSafe(F.col(f"g{i}")) for i, g in enumerate(groups)]
     rank = F.col("position") - F.col("start") + F.col("ahead") + 1
-    return (
+    ranked = (
         placed.withColumn("block", block)
         .join(offsets.withColumnRenamed("block", "at"),
               [F.col("block") == F.col("at"), *same_group])
         .select(*keys, rank.alias("rank"), "total")
         .select("*", F.expr(f"cast((rank - 1) div {int(size)} + 1 as int)").alias("page_no"))
     )
+    if not keep:
+        return ranked.drop(_ROW)
+    return records.join(ranked.select(_ROW, "rank", "total", "page_no"), _ROW).drop(_ROW)
