@@ -111,6 +111,42 @@ COUNTED = (
 )
 
 
+def _judged(
+    docs: DataFrame, doc_id: str, text: str, host: str, share: float, least: int, remain: float, texts: bool
+) -> tuple[DataFrame, DataFrame]:
+    """One row per row of ``docs`` with ``row``, the counted columns and, if asked, the
+    text; and the lines over the limit as (row, line)."""
+    rows = docs.select(
+        docs[doc_id].alias("doc_id"),
+        docs[text].alias("text"),
+        F.coalesce(docs[host].cast("string"), F.lit("")).alias("host"),
+    )
+    counted = measured(id_and_text(rows, "doc_id", "text", "host")).withColumn("row", F.monotonically_increasing_id())
+    base = written(counted if texts else counted.drop("text"), "measured")
+    lines = base.select("row", "host", F.explode("lines").alias("l")).select("row", "host", "l.line", "l.n")
+    hosts = base.groupBy("host").agg(F.count("*").alias("host_docs"))
+    common = (
+        lines.groupBy("host", "line")
+        .agg(F.count("*").alias("line_docs"))
+        .where(F.col("line_docs") >= least)
+        .join(hosts, "host")
+        .where(F.col("line_docs") > F.col("host_docs") * share)
+        .select("host", "line")
+    )
+    over = lines.join(common, ["host", "line"]).select("row", "line", "n")
+    removed = over.groupBy("row").agg(F.sum("n").alias("removed_words"))
+    line_words = F.aggregate("lines", F.lit(0).cast("bigint"), lambda t, x: t + x["n"])
+    failed = (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
+    left = F.col("line_words") - F.col("removed_words")
+    judged = (
+        base.select("*", line_words.alias("line_words"), failed.alias("base_failed"))
+        .join(removed, "row", "left")
+        .withColumn("removed_words", F.coalesce("removed_words", F.lit(0).cast("bigint")))
+        .withColumn("kept", ~F.col("base_failed") & (left >= F.col("line_words") * remain))
+    )
+    return judged.select("row", *COUNTED, *(["text"] if texts else [])), over.select("row", "line")
+
+
 def cleaned(
     docs: DataFrame,
     doc_id: str = "doc_id",
@@ -124,62 +160,45 @@ def cleaned(
     n_repeat_words, base_failed, kept, line_words, removed_words, text.
 
     ``text`` is the text without its lines over the limit, wherever in it they stand; its
-    other lines, blank ones too, are as they were. A null text comes back empty.
+    other lines, blank ones too, are as they were. A null text comes back empty. Only texts
+    with such lines are taken apart, line by line, and put together again; other columns of
+    ``docs``, whatever their names, are left out.
     ``base_failed``: fewer than ten words, or over 20 of 100 words lie in five-word windows
     that the text repeats. ``line_words`` are the words of the distinct lines,
     ``removed_words`` those of lines over the limit. A null text counts as empty and fails,
     a null host is a host of its own. Repeated rows are documents of their own.
     """
-    rows = docs.select(
-        docs[doc_id].alias("doc_id"),
-        docs[text].alias("text"),
-        F.coalesce(docs[host].cast("string"), F.lit("")).alias("host"),
-    )
-    base = written(
-        measured(id_and_text(rows, "doc_id", "text", "host")).withColumn(
-            "row", F.monotonically_increasing_id()
-        ),
-        "measured",
-    )
-    lines = base.select("row", "host", F.explode("lines").alias("l")).select("row", "host", "l.line", "l.n")
-    hosts = base.groupBy("host").agg(F.count("*").alias("host_docs"))
-    common = (
-        lines.groupBy("host", "line")
-        .agg(F.count("*").alias("line_docs"))
-        .where(F.col("line_docs") >= least)
-        .join(hosts, "host")
-        .where(F.col("line_docs") > F.col("host_docs") * share)
-        .select("host", "line")
-    )
-    removed = (
-        lines.join(common, ["host", "line"])
+    judged, over = _judged(docs, doc_id, text, host, share, least, remain, True)
+    judged, over = written(judged, "judged"), written(over, "common-lines")
+    own = (
+        judged.select("row", "text")
+        .join(over.select("row").distinct(), "row", "left_semi")
+        .select("row", F.posexplode(F.split("text", "\n")).alias("place", "own"))
+        .withColumn("line", F.xxhash64(plain(F.col("own"))))
+        .join(over, ["row", "line"], "left_anti")
         .groupBy("row")
-        .agg(F.sum("n").alias("removed_words"), F.collect_list("line").alias("removed"))
+        .agg(F.array_sort(F.collect_list(F.struct("place", "own"))).alias("left"))
     )
-    own = F.filter(
-        F.split("text", "\n"), lambda line: ~F.array_contains(F.col("removed"), F.xxhash64(plain(line)))
-    )
-    line_words = F.aggregate("lines", F.lit(0).cast("bigint"), lambda t, x: t + x["n"])
-    failed = (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
+    touched = over.groupBy("row").agg(F.lit(True).alias("touched"))
+    rest = F.coalesce(F.array_join(F.col("left.own"), "\n"), F.lit(""))
     return (
-        base.select("*", line_words.alias("line_words"), failed.alias("base_failed"))
-        .join(removed, "row", "left")
-        .withColumn("removed_words", F.coalesce("removed_words", F.lit(0).cast("bigint")))
-        .select(
-            "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
-            (
-                ~F.col("base_failed")
-                & (F.col("line_words") - F.col("removed_words") >= F.col("line_words") * remain)
-            ).alias("kept"),
-            "line_words", "removed_words",
-            F.when(F.col("removed").isNull(), F.col("text")).otherwise(F.array_join(own, "\n")).alias("text"),
-        )
-    )
+        judged.join(touched, "row", "left")
+        .join(own, "row", "left")
+        .select(*COUNTED, F.when(F.col("touched"), rest).otherwise(F.col("text")).alias("text"))
+    )
 
 
-def quality_rules(docs: DataFrame, *columns: str, **limits: float) -> DataFrame:
-    """The counted columns of ``cleaned``, which takes the same arguments."""
-    return cleaned(docs, *columns, **limits).select(*COUNTED)
+def quality_rules(
+    docs: DataFrame,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    host: str = "source",
+    share: float = 0.2,
+    least: int = 10,
+    remain: float = 0.5,
+) -> DataFrame:
+    """The counted columns of ``cleaned``; no text is written or taken apart for them."""
+    return _judged(docs, doc_id, text, host, share, least, remain, False)[0].drop("row")
 
 
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -56,3 +56,18 @@ def test_empty_table(make_docs):
 ])
 def test_repeated_words(make_docs, text, covered):
     assert quality_rules(make_docs((1, text))).first().n_repeat_words == covered
+
+
+def test_many_common_lines(make_docs):
+    """Texts of common lines only, of such and own ones, and lines that repeat: every line
+    stays or goes wherever it stands, and the work grows with the number of lines."""
+    common = [f"common line {i}" for i in range(3_000)]
+    rows = [(i, "\n".join([*common, f"own {i}", "", *common, f"own {i}", f"  own   {i} again"])) for i in range(12)]
+    rows += [(100 + i, "\n".join(common)) for i in range(12)] + [(200, "no common line\n\nat all"), (None, "\n".join(common[:2]))]
+    found = {r.doc_id: r for r in cleaned(make_docs(*rows)).collect()}
+    for i in range(12):
+        assert found[i].text == f"own {i}\n\nown {i}\n  own   {i} again" and found[i].removed_words == 9_000
+        assert found[100 + i].text == "" and not found[100 + i].kept
+    assert found[200].text == "no common line\n\nat all" and found[None].text == ""
+    counted = {r.doc_id: r for r in quality_rules(make_docs(*rows)).collect()}
+    assert all(counted[i].removed_words == found[i].removed_words and counted[i].kept == found[i].kept for i in found)
