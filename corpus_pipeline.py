@@ -29,6 +29,9 @@ COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that a classifier, trained on the labels that may be learnt from, predicts
+    to be good. A null text is scored as an empty one; a null identifier has no label but a
+    score like others. Every stage drops columns that documents do not have."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     return keep_good(docs, train(docs, labels)).select(*COLUMNS)
 
@@ -46,20 +49,24 @@ def _without(numbered: DataFrame, dropped: DataFrame) -> DataFrame:
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One row of every group of equal texts, null counting as empty; an empty table stays empty."""
     rows = _numbered(docs)
     return _without(rows, exact_dedup(rows, "key").where("NOT kept").select("doc_id.row"))
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One row of every group of near duplicates. Texts without words are near nothing and stay."""
     rows = _numbered(docs)
     return _without(rows, near_duplicates(rows, "key").where("doc_id <> component_id").select("doc_id.row"))
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All rows, secrets in their texts replaced; a null text comes back empty or null."""
     return redact(docs).select(*COLUMNS)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all rows with their token ids; an empty text is the end id alone."""
     return pack(docs)
 
 
