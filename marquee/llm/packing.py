@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 
 from marquee.llm.tables import id_and_text, table
-from marquee.llm.tokens import Encoder, crc32, default_path, encoded
+from marquee.llm.tokens import crc32, default_path, encoded, encoder_of
 
 WINDOW = 2048
 END_ID = 1
@@ -189,7 +189,7 @@ def pack(
     names = ", ".join(f"{c} {kind if c == 'doc_id' else 'bigint'}" for c in COLUMNS) + ", ids array<int>"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, packer = Encoder(path), _Packer(TaskContext.get().partitionId(), window)
+        encoder, packer = encoder_of(path), _Packer(TaskContext.get().partitionId(), window)
         block, held, key_type = [], 0, None
 
         def rows_so_far() -> Iterator[pa.RecordBatch]:

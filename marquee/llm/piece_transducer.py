@@ -15,7 +15,7 @@ and there is exactly one. Whether two pieces may stand side by side is worked ou
 remembered.
 
 No piece spans two characters that stand side by side in no piece, so texts are cut there
-and every part is composed once per task.
+and every part is composed once per worker.
 
 Many parts are composed at once, as arrays. For a BPE model the finite path to a place is
 what merging the text before it gives, so there is one state at every place, and a place is
@@ -25,6 +25,7 @@ settled by one test of an arc for every piece that ends there (``Composer``).
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -309,7 +310,7 @@ class Composer:
 
 
 class PieceEncoder(PieceTable):
-    """Composes parts of texts with the transducer; made once per task. Texts come with the
+    """Composes parts of texts with the transducer; made once per worker. Texts come with the
     blank of the model's prefix in front."""
 
     def __init__(self, transducer: Transducer):
@@ -369,6 +370,13 @@ class PieceEncoder(PieceTable):
         return self.letters[np.repeat(self.offsets[ids] - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)]
 
 
+@lru_cache(maxsize=1)
+def encoder_of(path: str) -> PieceEncoder:
+    """The compiled transducer of this worker, with the parts and arcs that tasks before have
+    met."""
+    return PieceEncoder(Transducer(path))
+
+
 def default_path() -> str:
     import public_tokenizers
 
@@ -389,7 +397,7 @@ def encode_and_decode(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
     kind = rows.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = PieceEncoder(Transducer(path))
+        encoder = encoder_of(path)
         for batch in batches:
             for first, ends, data in slices(batch.column(1)):
                 rows = len(ends) - 1

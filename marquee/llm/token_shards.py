@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from marquee.llm.tables import id_and_text, table
-from marquee.llm.tokens import Encoder, crc32, default_path, encoded
+from marquee.llm.tokens import crc32, default_path, encoded, encoder_of
 from marquee.session import scratch_path, written
 
 MAGIC = b"wavmat01"
@@ -199,7 +199,7 @@ def write_shards(
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyarrow import fs
 
-        encoder = Encoder(path)
+        encoder = encoder_of(path)
         store, root = fs.FileSystem.from_uri(folder)
         bits = (len(encoder.blank_first) - 1).bit_length()
         part = TaskContext.get().partitionId()

@@ -3,7 +3,7 @@
 Such a tokenizer never joins what stands before a blank with what follows it, if a visible
 character comes next, nor a letter with a full stop after it, nor a line end with what
 stands around it: texts are cut there. The ids of a piece are the same wherever it
-stands, so every piece that is new to a task is encoded once, by the tokenizers library,
+stands, so every piece that is new to a worker is encoded once, by the tokenizers library,
 and remembered in a table of fixed size by its hash; a text's ids are put together from
 there. Added tokens that stand in a text, such as ``<|endoftext|>``, get their own id, as
 the library gives them; no text is cut in them or right before the white space they follow.
@@ -14,6 +14,7 @@ from __future__ import annotations
 import os
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -50,7 +51,7 @@ def default_path() -> str:
 
 class PieceTable:
     """Ids of pieces of text, remembered by hash; subclasses say where texts may be cut and
-    give the ids of pieces not met before. Made once per task."""
+    give the ids of pieces not met before. Made once per worker."""
 
     def __init__(self, kind: type = np.uint16):
         self.kind = kind
@@ -185,6 +186,13 @@ class Encoder(PieceTable):
         return cut
 
 
+@lru_cache(maxsize=1)
+def encoder_of(path: str) -> Encoder:
+    """The encoder of this worker: a task finds the pieces that tasks before it have met.
+    It remembers as much as one of a single task, and gives the same ids."""
+    return Encoder(path)
+
+
 def crc32(ids: np.ndarray) -> int:
     """Of the ids as little-endian unsigned 32-bit integers."""
     return zlib.crc32(np.ascontiguousarray(ids, "<u4"))
