@@ -6,30 +6,31 @@ file: a document table, then one bit plane per bit of an id, each with the numbe
 zeros and a rank directory, all compressed. The matrix answers access, rank (counting) and
 select (occurrence lookup) without the plain ids being stored.
 
-A file appears under its final name in one rename and holds the same bytes whichever
-attempt of the task wrote it, so a task that runs again after an executor is lost replaces
-its own files and nothing else.
+Spark's own writer puts the files down, a record each, so any file system of Spark will do,
+and a task that runs again after an executor is lost replaces its own files and nothing else.
+The writer closes a record with one byte, which the head of a file does not count.
 """
 
 from __future__ import annotations
 
 import struct
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from marquee.llm.tables import id_and_text, table
 from marquee.llm.tokens import crc32, default_path, encoded, encoder_of
-from marquee.session import scratch_path, written
+from marquee.session import scratch_path
 
-MAGIC = b"wavmat01"
+MAGIC = b"wavmat02"
+HEAD = ">qqqqqqq"  # part, ids of the part before, ids, documents, planes, bytes plain and packed
 BLOCK = 512  # bits between two entries of a rank directory
 SHARD_IDS = 1 << 21
+BEGINNING = 256  # characters of a text by which rows of one identifier are dealt
 END_ID = 0
 
 
@@ -152,8 +153,9 @@ def pack_shard(
     for plane, ranks in zip(matrix.planes, matrix.ranks, strict=True):
         body += [plane.tobytes(), ranks.astype("<u4").tobytes()]
     plain = b"".join(body)
-    head = MAGIC + struct.pack("<qqqqqq", part, before, len(ids), len(doc_ids), len(matrix.planes), len(plain))
-    return head + pa.compress(plain, codec="zstd", asbytes=True)
+    packed = pa.compress(plain, codec="zstd", asbytes=True)
+    sizes = (len(ids), len(doc_ids), len(matrix.planes), len(plain), len(packed))
+    return MAGIC + struct.pack(HEAD, part, before, *sizes) + packed
 
 
 def unpack_shard(
@@ -162,9 +164,9 @@ def unpack_shard(
     """Part, ids before, document identifiers, their numbers of ids, and the matrix."""
     if content[: len(MAGIC)] != MAGIC:
         raise ValueError("not a shard file")
-    at = len(MAGIC) + 48
-    part, before, length, docs, bits, size = struct.unpack("<qqqqqq", content[len(MAGIC) : at])
-    plain = pa.decompress(content[at:], decompressed_size=size, codec="zstd", asbytes=True)
+    at = len(MAGIC) + struct.calcsize(HEAD)
+    part, before, length, docs, bits, size, packed = struct.unpack(HEAD, content[len(MAGIC) : at])
+    plain = pa.decompress(content[at : at + packed], decompressed_size=size, codec="zstd", asbytes=True)
     place = 0
 
     def take(kind: str, n: int) -> np.ndarray:
@@ -192,37 +194,29 @@ def write_shards(
     tokenizer: str | None = None,
     end_id: int = END_ID,
     shard_ids: int = SHARD_IDS,
-) -> DataFrame:
-    """Writes the shard files below ``folder`` and returns part, shard, n_ids of each."""
-    path = tokenizer or default_path()
+) -> None:
+    """Writes the shard files of all texts to ``folder``, in place of what is there.
 
-    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyarrow import fs
+    Documents are dealt by ranges of identifier and beginning of the text, so rows without
+    an identifier, or with the same one, lie in several tasks too.
+    """
+    path = tokenizer or default_path()
 
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = encoder_of(path)
-        store, root = fs.FileSystem.from_uri(folder)
         bits = (len(encoder.blank_first) - 1).bit_length()
         part = TaskContext.get().partitionId()
         held, doc_ids, counts = [], [], []
-        before = shard = 0
+        before = full = 0
 
         def close() -> pa.RecordBatch:
-            nonlocal before, shard
+            nonlocal before, full
             ids = np.concatenate(held)
             content = pack_shard(ids, doc_ids, counts, part, before, bits)
-            final = f"{root}/shard-{part:06d}-{shard:06d}"
-            draft = f"{root}/.{uuid.uuid4().hex}"
-            with store.open_output_stream(draft) as out:
-                out.write(content)
-            store.move(draft, final)
-            row = pa.RecordBatch.from_pydict(
-                {"part": [part], "shard": [shard], "n_ids": [len(ids)]}, schema=reported
-            )
-            before, shard = before + len(ids), shard + 1
+            before, full = before + len(ids), 0
             held.clear(), doc_ids.clear(), counts.clear()
-            return row
+            return pa.RecordBatch.from_pydict({"content": pa.array([content], pa.binary())})
 
-        full = 0
         for batch in batches:
             keys = batch.column(0).to_pylist()
             for first, ids, places in encoded(batch.column(1), encoder):
@@ -233,26 +227,37 @@ def write_shards(
                     full += counts[-1]
                     if full >= shard_ids:
                         yield close()
-                        full = 0
         if doc_ids:
             yield close()
 
     end = np.array([end_id], np.uint32)
-    reported = pa.schema([("part", pa.int64()), ("shard", pa.int64()), ("n_ids", pa.int64())])
     rows = id_and_text(docs, doc_id, text)
     ordered = (
         rows.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-        .repartitionByRange("doc_id")
+        .repartitionByRange("doc_id", F.substring("text", 1, BEGINNING))
         .sortWithinPartitions("doc_id", "text")
     )
-    return written(ordered.mapInArrow(write, "part bigint, shard bigint, n_ids bigint"), "shards")
+    (
+        ordered.mapInArrow(pack, "content binary")
+        .select(F.col("content").cast("string").alias("value"))
+        .write.mode("overwrite")
+        .option("lineSep", "\n")
+        .option("compression", "none")
+        .option("maxRecordsPerFile", 1)
+        .text(folder)
+    )
+
 
+def _head(place: int) -> Column:
+    """A number of the head of a file."""
+    return F.conv(F.hex(F.substring("content", len(MAGIC) + 8 * place + 1, 8)), 16, 10).cast("bigint")
 
-def read_shards(spark: SparkSession, folder: str, shards: DataFrame) -> DataFrame:
-    """One row per document of the files below ``folder``: doc_id, start, n_tokens, ids_crc32.
 
-    ``shards`` is what ``write_shards`` returned. The table of the parts' sums has one row
-    per partition of the write, whatever the number of documents.
+def read_shards(spark: SparkSession, folder: str) -> DataFrame:
+    """One row per document of the files in ``folder``: doc_id, start, n_tokens, ids_crc32.
+
+    Where a part begins follows from the heads of the files: the table of the parts' sums has
+    one row per partition of the write, whatever the number of documents.
     """
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -273,11 +278,12 @@ def read_shards(spark: SparkSession, folder: str, shards: DataFrame) -> DataFram
                 )
 
     out = pa.schema([(n, pa.int64()) for n in ("part", "doc_id", "local", "n_tokens", "ids_crc32")])
-    files = spark.read.format("binaryFile").load(folder).select("content")
+    # An empty table leaves at most a file without a record.
+    files = spark.read.format("binaryFile").load(folder).where("length > 0").select("content")
     docs = files.mapInArrow(
         read, "part bigint, doc_id bigint, local bigint, n_tokens bigint, ids_crc32 bigint"
     )
-    sums = shards.groupBy("part").agg(F.sum("n_ids").alias("n"))
+    sums = files.select(_head(0).alias("part"), _head(2).alias("n")).groupBy("part").agg(F.sum("n").alias("n"))
     bases = sums.select(
         "part", (F.sum("n").over(Window.orderBy("part")) - F.col("n")).alias("base")
     )
@@ -298,18 +304,14 @@ def token_shards(
     """Write all texts as shards and describe every document as read back from them.
 
     Documents are in ascending order of their identifier (null first), rows with the same
-    identifier in the order of their text. A null text counts as empty: its document is the
-    end id alone. An empty table writes no file and gives no rows.
+    identifier in the order of their text. Identifiers are whole numbers; others fail the
+    cast. A null text counts as empty: its document is the end id alone. An empty table
+    leaves no shard and gives no rows. Other columns are left out.
     """
-    from pyarrow import fs
-
     spark = docs.sparkSession
     folder = folder or scratch_path(spark, "token-shards")
-    store, root = fs.FileSystem.from_uri(folder if "://" in folder or ":/" in folder else f"file://{folder}")
-    store.create_dir(root, recursive=True)
-    folder = folder if ":/" in folder else f"file://{folder}"
-    shards = write_shards(docs, folder, doc_id, text, tokenizer, end_id, shard_ids)
-    return read_shards(spark, folder, shards)
+    write_shards(docs, folder, doc_id, text, tokenizer, end_id, shard_ids)
+    return read_shards(spark, folder)
 
 
 def op3_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -65,6 +65,29 @@ def test_odd_rows(make_docs, odd_rows, encoder, shard_ids):
     assert sorted(map(tuple, found), key=repr) == expected(encoder, odd_rows)
 
 
+def test_many_rows_without_identifier(make_docs, encoder):
+    """They lie in several tasks, in the order of their texts."""
+    rows = [(None, f"text {i % 300} of many {i % 7}") for i in range(900)] + [(5, f"five {i}") for i in range(300)]
+    docs = make_docs(*rows)
+    docs.sparkSession.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        found = token_shards(docs).collect()
+    finally:
+        docs.sparkSession.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert sorted(map(tuple, found), key=repr) == expected(encoder, rows)
+
+
+@pytest.mark.parametrize("scheme", ["", "file://"])
+def test_folder_of_any_spark_file_system(make_docs, odd_rows, encoder, tmp_path, scheme):
+    folder = f"{scheme}{tmp_path}/shards"
+    for rows in (odd_rows[:3], odd_rows):  # a second write takes the place of the first
+        found = token_shards(make_docs(*rows), folder=folder).collect()
+        assert sorted(map(tuple, found), key=repr) == expected(encoder, rows)
+    files = [f.read_bytes() for f in (tmp_path / "shards").glob("part-*") if f.stat().st_size]
+    assert files and all(f.startswith(b"wavmat02") for f in files)
+    assert sum(len(unpack_shard(f)[2]) for f in files) == len(odd_rows)
+
+
 def test_empty_table(make_docs):
     assert token_shards(make_docs((1, "x")).where("false")).count() == 0
 
