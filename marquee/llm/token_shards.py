@@ -30,7 +30,7 @@ MAGIC = b"wavmat02"
 HEAD = ">qqqqqqq"  # part, ids of the part before, ids, documents, planes, bytes plain and packed
 BLOCK = 512  # bits between two entries of a rank directory
 SHARD_IDS = 1 << 21
-BEGINNING = 256  # characters of a text by which rows of one identifier are dealt
+BEGINNING = 32  # characters of a text by which rows of one identifier are dealt
 END_ID = 0
 
 
