@@ -74,10 +74,11 @@ def range_number(year: str, ranges: Sequence[YearRange]) -> Column:
 
 
 def range_ends(number: str, ranges: Sequence[YearRange]) -> tuple[Column, Column]:
-    """Lower and upper end of the range with that place."""
-    ends = zip(*ranges, strict=True) if ranges else ((0,), (0,))
-    low, high = [f"element_at(array({', '.join(map(str, e))}), {number} + 1)" for e in ends]
-    return F.expr(low), F.expr(high)
+    """Lower and upper end of the range with that place; null if there is none."""
+    if not ranges:
+        return F.lit(None).cast("int"), F.lit(None).cast("int")
+    arms = [" ".join(f"WHEN {i} THEN {years[end]}" for i, years in enumerate(ranges)) for end in (0, 1)]
+    return F.expr(f"CASE {number} {arms[0]} END"), F.expr(f"CASE {number} {arms[1]} END")
 
 
 def range_bounds(year: Column, ranges: Sequence[YearRange]) -> tuple[Column, Column]:
