@@ -173,20 +173,20 @@ FROM (SELECT 'tt' || o_orderkey AS id, {YEAR_MIN} AS year_min, {YEAR_MAX} AS yea
     row_number() OVER (PARTITION BY {YEAR_MIN} {POPULAR_ORDER}) AS rank
     FROM orders WHERE {COVERED})""",
     "union_ranges": f"""
-SELECT {TITLE}, {YEAR_MIN} AS year_min, {YEAR_MAX} AS year_max FROM orders WHERE {COVERED}""",
+SELECT {SCALARS}, {YEAR_MIN} AS year_min, {YEAR_MAX} AS year_max FROM {ORDERS} WHERE {COVERED}""",
     **{
         f"staging_{fmt}_round_trip": f"""
 SELECT {WHOLE}, {YEAR_MIN} AS year_min, {YEAR_MAX} AS year_max FROM {WHOLE_ORDERS} WHERE {COVERED}"""
         for fmt in ("parquet", "json")
     },
     "staging_range_replaced": f"""
-SELECT {TITLE}, {OBJECT_TYPE} AS "objectType", {YEAR_MIN} AS year_min, {YEAR_MAX} AS year_max
-FROM orders WHERE {COVERED} AND (o_orderstatus = 'O'
+SELECT {SCALARS}, {YEAR_MIN} AS year_min, {YEAR_MAX} AS year_max
+FROM {ORDERS} WHERE {COVERED} AND (o_orderstatus = 'O'
     OR year(o_orderdate) NOT BETWEEN {REPLACED[0]} AND {REPLACED[1]})""",
     "legacy_staging_scan": f"SELECT {WHOLE} FROM {WHOLE_ORDERS}",
     "staging_table_scan": f"{TABLES['dim_titles_genres']} WHERE {COVERED}",
     "requested_range_kept": f"""
-SELECT {TITLE}, {_case(0, ASKED)} AS year_min, {_case(1, ASKED)} AS year_max FROM orders""",
+SELECT {WHOLE}, {_case(0, ASKED)} AS year_min, {_case(1, ASKED)} AS year_max FROM {WHOLE_ORDERS}""",
     "requested_beyond_ranges": f"""
 SELECT * EXCLUDE (o_orderkey) REPLACE (CASE WHEN NOT {NO_YEAR} THEN "content_originalReleaseYear" END AS "content_originalReleaseYear")
 FROM (SELECT {WHOLE}, {_case(0, MOVED, intervals())} AS year_min, {_case(1, MOVED, intervals())} AS year_max, o_orderkey
@@ -209,8 +209,8 @@ SELECT {YEAR_MIN} AS min, {YEAR_MAX} AS max,
 FROM orders WHERE {COVERED} GROUP BY 1, 2""",
     "page_chain_broken": f"""
 SELECT {YEAR_MIN} AS min, {YEAR_MAX} AS max,
-    CAST(ceil(count(*) / {PAGE_SIZE}.0) AS BIGINT) AS pages, count(*) AS titles,
-    count(*) <= {PAGE_SIZE} AS complete
+    CAST(ceil(count(*) / {PAGE_SIZE}.0) AS BIGINT) AS pages, CAST(0 AS BIGINT) AS failed,
+    count(*) AS titles, count(*) AS total_count, count(*) <= {PAGE_SIZE} AS complete
 FROM orders WHERE {COVERED} GROUP BY 1, 2""",
     "page_error_rows": f"""
 SELECT o_orderkey AS page_no, {_STATUS} AS status, o_orderstatus = 'O' AS answered,

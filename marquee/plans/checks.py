@@ -198,9 +198,9 @@ def _stage(spark: SparkSession, sf_dir: str, needs: tuple[str, ...], fmt: str) -
 
 def _union_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ranges read one by one from the staging table; each reads its own directory only."""
-    staging = read_staging(spark, _stage(spark, sf_dir, (), "parquet"))
+    staging = read_staging(spark, _stage(spark, sf_dir, ("seasons",), "parquet"))
     parts = [filters.of_staging_ranges(staging, [years]) for years in year_ranges()]
-    return pages.union_all(parts).select(*TITLE, "year_min", "year_max")
+    return pages.union_all(parts).select(*SCALARS, "year_min", "year_max")
 
 
 def _staging_round_trip(fmt: str) -> Query:
@@ -215,11 +215,11 @@ def _staging_round_trip(fmt: str) -> Query:
 
 def _staging_range_replaced(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Staged once whole, then one year range again with shows only."""
-    path = _stage(spark, sf_dir, (), "parquet")
-    titles = filters.assign_year_range(staging_titles(spark, sf_dir, ()), ranges=[REPLACED])
+    path = _stage(spark, sf_dir, ("seasons",), "parquet")
+    titles = filters.assign_year_range(staging_titles(spark, sf_dir, ("seasons",)), ranges=[REPLACED])
     shows = filters.filter_titles(titles, TitleFilter(object_types=("SHOW",)))
     write_staging(shows, path, ranges=[REPLACED])
-    return read_staging(spark, path).select(*TITLE, "objectType", "year_min", "year_max")
+    return read_staging(spark, path).select(*SCALARS, "year_min", "year_max")
 
 
 def _legacy_staging_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -246,9 +246,9 @@ def _requested_range_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
     is staged, and under the range it was requested for."""
     landed, staged = scratch_path(spark, "pages"), scratch_path(spark, "staging")
     asked = (F.substring("id", 3, 20).cast("bigint") % ASKED_YEARS + ASKED_FROM).cast("int")
-    landed_pages(spark, sf_dir, (), by=asked).write.partitionBy("min", "max").json(landed)
+    landed_pages(spark, sf_dir, by=asked).write.partitionBy("min", "max").json(landed)
     stage_pages(spark, landed, staged, multi_line=False)
-    return read_staging(spark, staged).select(*TITLE, "year_min", "year_max")
+    return _whole(read_staging(spark, staged), "year_min", "year_max")
 
 
 def _requested_beyond_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -332,8 +332,7 @@ def _page_completeness(fields: tuple[str, ...]) -> Query:
 def _page_chain_broken(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Page 2 of every range was asked for with a wrong cursor."""
     wrong = F.when(F.col("page_no") == 2, F.lit("wrong")).otherwise(F.col("cursor_sent"))
-    audit = pages.audit_pages(landed_pages(spark, sf_dir, ()).withColumn("cursor_sent", wrong))
-    return audit.select("min", "max", "pages", "titles", "complete")
+    return pages.audit_pages(landed_pages(spark, sf_dir, ()).withColumn("cursor_sent", wrong))
 
 
 def _page_error_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
