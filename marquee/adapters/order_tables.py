@@ -15,7 +15,7 @@ titles, and operators that count or rank titles look at the first record of each
 
 from __future__ import annotations
 
-from collections.abc import Collection
+from collections.abc import Callable, Collection
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -48,8 +48,10 @@ def _with_supplier(lines: DataFrame, spark: SparkSession, sf_dir: str) -> DataFr
 
 
 def _title_sets(spark: SparkSession, sf_dir: str, fields: Collection[str]) -> DataFrame:
-    """Per order: number of line items, genre set, country set. ``collect_set`` skips
-    nulls, so a line item without a matching part or supplier adds nothing."""
+    """Per order: number of line items, genre set, country set, offer set, in one pass over
+    the line items. ``collect_set`` skips nulls, so a line item without a matching part or
+    supplier adds nothing. Only what tells offers apart is shuffled; their texts are spelt
+    out afterwards. Sets in order, of which many are alike, take less room in files."""
     lines = _lines(spark, sf_dir)
     found = []
     if "seasons" in fields:
@@ -57,16 +59,33 @@ def _title_sets(spark: SparkSession, sf_dir: str, fields: Collection[str]) -> Da
     if "genres" in fields:
         parts = _read(spark, sf_dir, "part").select("p_partkey", "p_type")
         lines = lines.join(parts, F.col("l_partkey") == F.col("p_partkey"), "left")
-        found.append(F.collect_set("p_type").alias("genres"))
+        found.append(F.sort_array(F.collect_set("p_type")).alias("genres"))
+    if {"countries", "offers"} & set(fields):
+        lines = _with_supplier(lines, spark, sf_dir)
     if "countries" in fields:
         nations = _read(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-        lines = _with_supplier(lines, spark, sf_dir).join(
-            nations, F.col("s_nationkey") == F.col("n_nationkey"), "left"
-        )
-        found.append(F.collect_set("n_name").alias("countries"))
+        lines = lines.join(nations, F.col("s_nationkey") == F.col("n_nationkey"), "left")
+        found.append(F.sort_array(F.collect_set("n_name")).alias("countries"))
+    if "offers" in fields:
+        found.append(_offer_set())
     return lines.groupBy("key").agg(*found)
 
 
+def _offer_set() -> Column:
+    offer = F.struct("l_linenumber", "s_suppkey", "s_name")
+    return F.collect_set(F.when(F.col("s_suppkey").isNotNull(), offer)).alias("offers")
+
+
+def _with_sets(frame: DataFrame, spark: SparkSession, sf_dir: str, fields: Collection[str]) -> DataFrame:
+    """Orders with the sets of their line items. Line items are counted as joined to the
+    tables of the genres and countries, so offers alone are gathered apart from the count."""
+    apart = [{"offers"}] if {"offers", "seasons"} <= set(fields) and "countries" not in fields else []
+    rest = set(fields) & set(ALL) - (apart[0] if apart else set())
+    for wanted in filter(None, (rest, *apart)):
+        frame = frame.join(_title_sets(spark, sf_dir, wanted), "key", "left")
+    return frame
+
+
 def _oversize(lines: DataFrame, max_offers: int) -> DataFrame:
     """Orders that need more than one record, with their number of records."""
     return (
@@ -98,68 +117,67 @@ def _heads(frame: DataFrame, big: DataFrame) -> DataFrame:
     )
 
 
+def _orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a title takes from its order; its texts are spelt out later."""
+    return _read(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("key"), "o_orderstatus", "o_orderpriority", "o_totalprice", "o_custkey",
+        F.year("o_orderdate").alias(YEAR),
+    )
+
+
 def _records(
     spark: SparkSession, sf_dir: str, fields: Collection[str], max_offers: int | None
 ) -> DataFrame:
     """One row per title record: staging columns for the wanted fields, and the part number."""
-    orders = _read(spark, sf_dir, "orders")
-    frame = orders.withColumnRenamed("o_orderkey", "key")
-    if {"genres", "countries", "seasons"} & set(fields):
-        frame = frame.join(_title_sets(spark, sf_dir, fields), "key", "left")
-    if "offers" not in fields:
-        frame = frame.withColumn(PART, F.lit(0))
+    frame = _orders(spark, sf_dir)
+    # Counted once, ahead: most tables hold no such order, and then nothing is spread.
+    big = None
+    if "offers" in fields and max_offers is not None:
+        big = written(_oversize(_lines(spark, sf_dir), max_offers), "oversize")
+    if big is None or big.isEmpty():
+        frame = _with_sets(frame, spark, sf_dir, fields).withColumn(PART, F.lit(0))
     else:
-        lines, on = _lines(spark, sf_dir), ["key"]
-        # Counted once, ahead: most tables hold no such order, and then nothing is spread.
-        big = None if max_offers is None else written(_oversize(lines, max_offers), "oversize")
-        if big is None or big.isEmpty():
-            frame = frame.withColumn(PART, F.lit(0))
-        else:
-            on = ["key", PART]
-            share = F.pmod(F.xxhash64("l_partkey", "l_suppkey", "l_linenumber"), F.col("parts"))
-            lines = lines.join(big, "key", "left").withColumn(
-                PART, F.coalesce(share, F.lit(0)).cast("int")
-            )
-            frame = _heads(frame, big)
-        # Only what tells offers apart is shuffled; their texts are spelt out afterwards.
-        offer = F.struct("l_linenumber", "s_suppkey", "s_name")
-        offers = (
-            _with_supplier(lines, spark, sf_dir)
-            .groupBy(*on)
-            .agg(F.collect_set(F.when(F.col("s_suppkey").isNotNull(), offer)).alias("offers"))
+        frame = _with_sets(frame, spark, sf_dir, set(fields) - {"offers"})
+        share = F.pmod(F.xxhash64("l_partkey", "l_suppkey", "l_linenumber"), F.col("parts"))
+        lines = _lines(spark, sf_dir).join(big, "key", "left").withColumn(
+            PART, F.coalesce(share, F.lit(0)).cast("int")
         )
-        frame = frame.join(offers, on, "left")
+        offers = _with_supplier(lines, spark, sf_dir).groupBy("key", PART).agg(_offer_set())
+        frame = _heads(frame, big).join(offers, ["key", PART], "left")
+    spelt = _spelt(fields, F.col)
+    return frame.select(PART, *[value.alias(name) for name, value in spelt.items()])
+
 
-    status, priority, price = F.col("o_orderstatus"), F.col("o_orderpriority"), F.col("o_totalprice")
-    is_show = status == "O"
+def _spelt(fields: Collection[str], at: Callable[[str], Column]) -> dict[str, Column]:
+    """The staging columns of a title from its order and sets, which ``at`` gives by name."""
+    key, status, priority, price = map(at, ("key", "o_orderstatus", "o_orderpriority", "o_totalprice"))
+    customer = at("o_custkey")
     values = {
-        "id": F.concat(F.lit("tt"), F.col("key")),
-        "objectType": F.when(is_show, F.lit(SHOW)).otherwise(F.lit("MOVIE")),
-        "content_title": F.concat(F.lit("Title "), F.col("key")),
+        "id": F.concat(F.lit("tt"), key),
+        "objectType": F.when(status == "O", F.lit(SHOW)).otherwise(F.lit("MOVIE")),
+        "content_title": F.concat(F.lit("Title "), key),
         "content_shortDescription": priority,
-        "content_originalReleaseYear": F.year("o_orderdate"),
+        YEAR: at(YEAR),
         "content_ageCertification": F.when(status != "P", priority),
-        "content_runtime": F.col("o_custkey") % 180,
-        "content_fullPath": F.concat(F.lit("/title/"), F.col("key")),
+        "content_runtime": customer % 180,
+        "content_fullPath": F.concat(F.lit("/title/"), key),
         "content_scoring_imdbScore": F.when(status != "F", price),
-        "content_scoring_imdbVotes": F.when(
-            F.col("o_custkey") % 2 != 0, F.col("o_custkey").cast("double")
-        ),
+        "content_scoring_imdbVotes": F.when(customer % 2 != 0, customer.cast("double")),
         "content_scoring_tmdbPopularity": price,
         "content_scoring_tmdbScore": F.when(priority != "5-LOW", price / 100000),
     }
     if "countries" in fields:
-        values["content_productionCountries"] = F.col("countries")
+        values["content_productionCountries"] = at("countries")
     if "genres" in fields:
         values["content_genres"] = F.transform(
-            "genres", lambda g: F.struct(g.alias("id"), F.lower(g).alias("translation"))
+            at("genres"), lambda g: F.struct(g.alias("id"), F.lower(g).alias("translation"))
         )
     if "offers" in fields:
-        values["offers"] = F.transform("offers", lambda offer: _offer(F.col("key"), offer))
+        values["offers"] = F.transform(at("offers"), lambda offer: _offer(key, offer))
     if "seasons" in fields:
         # Of movies too: staging keeps the count of shows only.
-        values["totalSeasonCount"] = F.coalesce(F.col("line_count"), F.lit(0.0))
-    return frame.select(PART, *[values[n].alias(n) for n in STAGING.names if n in values])
+        values["totalSeasonCount"] = F.coalesce(at("line_count"), F.lit(0.0))
+    return {name: values[name] for name in STAGING.names if name in values}
 
 
 def _offer(key: Column, offer: Column) -> Column:
@@ -177,18 +195,18 @@ def _offer(key: Column, offer: Column) -> Column:
     )
 
 
-def _node(columns: Collection[str]) -> list[Column]:
+def _node(spelt: dict[str, Column]) -> list[Column]:
     """The flat columns as the fields of a title record."""
 
     def gather(prefix: str) -> list[Column]:
         depth = prefix.count("_")
-        names = [c for c in columns if c.startswith(prefix) and c.count("_") == depth]
-        return [F.col(c).alias(c[len(prefix) :]) for c in names]
+        names = [c for c in spelt if c.startswith(prefix) and c.count("_") == depth]
+        return [spelt[c].alias(c[len(prefix) :]) for c in names]
 
     scoring = F.struct(*gather("content_scoring_")).alias("scoring")
     content = F.struct(*gather("content_"), scoring).alias("content")
-    last = [c for c in ("offers", "totalSeasonCount") if c in columns]
-    return [F.col("id"), F.col("objectType"), content, *[F.col(c) for c in last]]
+    whole = {c: spelt[c].alias(c) for c in ("id", "objectType", "offers", "totalSeasonCount") if c in spelt}
+    return [whole.pop("id"), whole.pop("objectType"), content, *whole.values()]
 
 
 def staging_titles(
@@ -214,7 +232,7 @@ def nested_titles(
 ) -> DataFrame:
     """The same titles as nested records, by default one per title."""
     flat = _records(spark, sf_dir, fields, max_offers)
-    return flat.select(_node(flat.columns))
+    return flat.select(_node({c: F.col(c) for c in flat.columns if c != PART}))
 
 
 def landed_pages(
@@ -237,37 +255,42 @@ def landed_pages(
     order number ``key``. Titles for which ``no_year`` holds have none. ``where`` restricts
     the titles.
     """
-    records = _records(spark, sf_dir, fields, None).drop(PART)
+    # Orders are ranked before their line items are gathered, and titles are spelt out when
+    # they are on their page: what is sorted, written and shuffled are short rows.
+    orders = _orders(spark, sf_dir)
+    short = orders.columns
+    plain = _spelt((), F.col)
+    titles = orders.select("*", *[value.alias(name) for name, value in plain.items() if name not in short])
     if where is not None:
-        records = records.where(where)
-    keyed = records.withColumn("key", F.substring("id", 3, 20).cast("bigint"))
+        titles = titles.where(where)
     if no_year is not None:
-        keyed = keyed.withColumn(YEAR, F.when(~no_year, F.col(YEAR)))
-        records = keyed.drop("key")
+        titles = titles.withColumn(YEAR, F.when(~no_year, F.col(YEAR)))
     if asked is not None:
-        records = keyed.select("*", *[c.alias(n) for c, n in zip(asked, RANGE)]).drop("key")
+        titles = titles.select("*", *[c.alias(n) for c, n in zip(asked, RANGE)])
     elif by is None:
-        records = assign_year_range(records)
+        titles = assign_year_range(titles)
     else:
-        records = assign_year_range(records.withColumn("_by", by), "_by").drop("_by")
-    titles = records.select(
-        *RANGE,
-        "id",
-        F.col(POPULARITY).alias("popularity"),
-        F.struct(*_node(records.columns)).alias("node"),
-    )
-    ranked = number_pages(titles, size, "popularity", ("id",), keep=("node",))
+        titles = assign_year_range(titles.withColumn("_by", by), "_by")
+    rows = titles.select(*RANGE, "id", F.col(POPULARITY).alias("popularity"), *short)
+    ranked = number_pages(rows, size, "popularity", ("id",), keep=short)
     # Copies of a title have the same id; the rank tells their cursors apart.
     cursor = F.concat_ws("/", "id", "rank")
     sent = ranked.where(F.col("rank") % size == 0).select(
         *RANGE, (F.col("page_no") + 1).alias("page_no"), cursor.alias("cursor_sent")
     )
-    edge = F.struct("rank", cursor.alias("cursor"), "node")
+    whole = _with_sets(ranked, spark, sf_dir, fields)
+    edge = F.struct("rank", *[c for c in whole.columns if c not in (*RANGE, "id", "popularity", "rank", "page_no", "total")])
     pages = (
-        ranked.groupBy(*RANGE, "page_no")
-        .agg(F.array_sort(F.collect_list(edge)).alias("ranked"), F.max("total").alias("total"))
+        whole.repartition(*RANGE, "page_no")
+        .groupBy(*RANGE, "page_no")
+        .agg(F.sort_array(F.collect_list(edge)).alias("ranked"), F.max("total").alias("total"))
         .join(sent, [*RANGE, "page_no"], "left")
     )
+
+    def spelt_edge(e: Column) -> Column:
+        spelt = _spelt(fields, lambda name: e[name])
+        return F.struct(F.concat_ws("/", spelt["id"], e["rank"]).alias("cursor"), F.struct(*_node(spelt)).alias("node"))
+
     last = F.element_at("ranked", -1)
     return pages.select(
         "page_no",
@@ -277,12 +300,10 @@ def landed_pages(
             F.struct(
                 F.col("total").alias("totalCount"),
                 F.struct(
-                    last["cursor"].alias("endCursor"),
+                    spelt_edge(last)["cursor"].alias("endCursor"),
                     (last["rank"] < F.col("total")).alias("hasNextPage"),
                 ).alias("pageInfo"),
-                F.transform(
-                    "ranked", lambda e: F.struct(e["cursor"].alias("cursor"), e["node"].alias("node"))
-                ).alias("edges"),
+                F.transform("ranked", spelt_edge).alias("edges"),
             ).alias("popularTitles")
         ).alias("data"),
         F.col("year_min").alias("min"),

@@ -2,6 +2,7 @@
 
 import contextlib
 import io
+import pathlib
 import re
 
 import pytest
@@ -13,6 +14,7 @@ from marquee.operators.flatten import flatten, seasons_of_shows
 from marquee.plans import normalize, stage
 from marquee.plans.checks import QUERIES
 from marquee.schemas import NODE, STAGING
+from marquee.session import shared_dir
 from marquee.sinks import write_staging
 from marquee.sinks.files import write_run
 from marquee.sources import read_pages, read_staging
@@ -156,3 +158,18 @@ def test_adapter_reads_only_what_a_query_uses(spark, sf_dir):
     schemas = read_schemas(QUERIES["titles_country_none"](spark, sf_dir))
     assert "struct<o_orderkey:bigint,o_orderdate:timestamp_ntz>" in schemas
     assert "struct<l_orderkey:bigint,l_suppkey:bigint>" in schemas
+
+
+def _made(spark, label, work):
+    """Scratch tables of a label that ``work`` leaves."""
+    root = pathlib.Path(shared_dir(spark).removeprefix("file:"))
+    before = set(root.glob(f"{label}-*"))
+    work()
+    return sorted(set(root.glob(f"{label}-*")) - before)
+
+
+def test_pages_are_ranked_by_short_rows(spark, sf_dir):
+    """What is written for the ranking and joined to it holds no title texts and no line items."""
+    (records,) = _made(spark, "records", lambda: landed_pages(spark, sf_dir))
+    columns = set(spark.read.parquet(str(records)).columns)
+    assert not columns & {"node", "genres", "countries", "offers", *STAGING.names} - {"id", filters.YEAR}
