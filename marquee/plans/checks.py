@@ -79,6 +79,8 @@ SCALARS = (
     "content_scoring_tmdbScore",
     "totalSeasonCount",
 )
+# Landed text repeats its field names in every record: packed it is a tenth.
+LANDED = "gzip"
 TITLE = ("id", "content_title", "content_originalReleaseYear")
 
 
@@ -229,7 +231,7 @@ def _legacy_staging_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     body = F.concat(F.lit("    {\n        "), F.regexp_replace(fields, r"\}$", "\n    }\n"))
     path = scratch_path(spark, "legacy")
     titles = staging_titles(spark, sf_dir, max_offers=None)
-    titles.select(body.alias("value")).write.text(path)
+    titles.select(body.alias("value")).write.text(path, compression=LANDED)
     return _whole(read_concatenated_json(spark, path))
 
 
@@ -241,12 +243,18 @@ def _staging_table_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return normalize.titles_genres(read_staging(spark, register_staging(spark, db, path), "table"))
 
 
+def _land(pages: DataFrame, path: str) -> None:
+    """Pages as a crawler lands them, a document per line. Every task writes a file for each
+    requested range, so that no packed file outgrows the task that wrote it."""
+    pages.write.partitionBy("min", "max").json(path, compression=LANDED)
+
+
 def _requested_range_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages requested for years that have nothing to do with the titles' own: every title
     is staged, and under the range it was requested for."""
     landed, staged = scratch_path(spark, "pages"), scratch_path(spark, "staging")
     asked = (F.substring("id", 3, 20).cast("bigint") % ASKED_YEARS + ASKED_FROM).cast("int")
-    landed_pages(spark, sf_dir, by=asked).write.partitionBy("min", "max").json(landed)
+    _land(landed_pages(spark, sf_dir, by=asked), landed)
     stage_pages(spark, landed, staged, multi_line=False)
     return _whole(read_staging(spark, staged), "year_min", "year_max")
 
@@ -258,7 +266,7 @@ def _requested_beyond_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
     landed, staged = scratch_path(spark, "pages"), scratch_path(spark, "staging")
     first = (F.col("key") % BEYOND_SPANS * BEYOND_SPAN + BEYOND_FROM).cast("int")
     no_year = F.col("key") % 7 == 0
-    landed_pages(spark, sf_dir, asked=(first, first + BEYOND_SPAN - 1), no_year=no_year).write.partitionBy("min", "max").json(landed)
+    _land(landed_pages(spark, sf_dir, asked=(first, first + BEYOND_SPAN - 1), no_year=no_year), landed)
     stage_pages(spark, landed, staged, multi_line=False)
     return _whole(read_staging(spark, staged), "year_min", "year_max")
 
@@ -268,7 +276,7 @@ def _late_pages_audited(spark: SparkSession, sf_dir: str) -> DataFrame:
     from the run and those of the late pages, no page read again."""
     landed, staged = scratch_path(spark, "pages"), scratch_path(spark, "staging")
     pages = written(landed_pages(spark, sf_dir, ()), "all-pages")
-    pages.where("page_no <> 2").write.partitionBy("min", "max").json(landed)
+    _land(pages.where("page_no <> 2"), landed)
     stage_pages(spark, landed, staged, multi_line=False, complete=False)
     return audit_with(spark, staged, pages.where("page_no = 2"))
 
@@ -278,11 +286,11 @@ def _staged_again(spark: SparkSession, sf_dir: str) -> DataFrame:
     run parses that range alone and leaves the others as they were."""
     landed, staged = scratch_path(spark, "pages"), scratch_path(spark, "staging")
     fields = ("seasons",)
-    landed_pages(spark, sf_dir, fields).write.partitionBy("min", "max").json(landed)
+    _land(landed_pages(spark, sf_dir, fields), landed)
     stage_pages(spark, landed, staged, multi_line=False)
     low, high = REPLACED
     shows = landed_pages(spark, sf_dir, fields, where=F.col("objectType") == "SHOW").where(F.col("min") == low)
-    shows.drop("min", "max").write.mode("overwrite").json(f"{landed}/min={low}/max={high}")
+    shows.drop("min", "max").write.mode("overwrite").json(f"{landed}/min={low}/max={high}", compression=LANDED)
     stage_pages(spark, landed, staged, multi_line=False)
     return read_staging(spark, staged).select(*SCALARS, "year_min", "year_max")
 
@@ -291,7 +299,7 @@ def _errors_of_two_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Failing responses in two ranges, run one after the other: the errors of both runs."""
     landed, staged = scratch_path(spark, "pages"), scratch_path(spark, "staging")
     pages = order_responses(spark, sf_dir).withColumn("min", F.when(F.col("page_no") % 2 == 0, 1991).otherwise(2001))
-    pages.withColumn("max", F.col("min") + 9).write.partitionBy("min", "max").json(landed)
+    _land(pages.withColumn("max", F.col("min") + 9), landed)
     for years in ((1991, 2000), (2001, 2010)):
         try:
             stage_pages(spark, landed, staged, multi_line=False, ranges=[years])
@@ -317,7 +325,7 @@ def _republished_at_new_root(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _pages_to_staging(spark: SparkSession, sf_dir: str) -> DataFrame:
     landed, staged = scratch_path(spark, "pages"), scratch_path(spark, "staging")
-    landed_pages(spark, sf_dir).write.partitionBy("min", "max").json(landed)
+    _land(landed_pages(spark, sf_dir), landed)
     stage_pages(
         spark, landed, staged, offer_services=SERVICES, multi_line=False,
         wanted=TitleFilter(services=SERVICES),
@@ -407,7 +415,7 @@ def _run_database(spark: SparkSession, sf_dir: str) -> str:
     landed, staged = scratch_path(spark, "pages"), scratch_path(spark, "staging")
     root = scratch_path(spark, "run")
     db = root.rsplit("/", 1)[1].replace("-", "_")
-    landed_pages(spark, sf_dir).write.partitionBy("min", "max").json(landed)
+    _land(landed_pages(spark, sf_dir), landed)
     countries = _countries(spark, sf_dir)
     run_all(spark, landed, staged, root, db, countries, f"{root}/{db}", multi_line=False)
     return db

@@ -173,3 +173,10 @@ def test_pages_are_ranked_by_short_rows(spark, sf_dir):
     (records,) = _made(spark, "records", lambda: landed_pages(spark, sf_dir))
     columns = set(spark.read.parquet(str(records)).columns)
     assert not columns & {"node", "genres", "countries", "offers", *STAGING.names} - {"id", filters.YEAR}
+
+
+def test_landed_text_is_packed(spark, sf_dir):
+    for query, label in (("pages_to_staging", "pages"), ("legacy_staging_scan", "legacy")):
+        (landed,) = _made(spark, label, lambda: QUERIES[query](spark, sf_dir).count())
+        files = [f.name for f in landed.rglob("part-*")]
+        assert files and all(f.endswith(".gz") for f in files)
