@@ -7,6 +7,10 @@ reads just the nested fields that are projected.
 
 Because every output is a set of full rows, the result does not depend on how a title's
 arrays are spread over staging records.
+
+Rows of the four tables with a title id can only repeat if a title has several records, or one
+of its offers comes twice. ``without_repeats`` looks for that in the ids alone; where there is
+none, ``once`` leaves out the exchange of all rows.
 """
 
 from __future__ import annotations
@@ -38,11 +42,12 @@ FACTS = {
 }
 
 
-def titles(staging: DataFrame) -> DataFrame:
+def titles(staging: DataFrame, once: bool = False) -> DataFrame:
     """Title facts. Missing numbers become 0 before the distinct, so titles that differ
     only in null against 0 are one row."""
     facts = staging.select([F.col(source).alias(name) for name, source in FACTS.items()])
-    return schemas.FCT_TITLES.conform(facts).na.fill(0).dropDuplicates()
+    rows = schemas.FCT_TITLES.conform(facts).na.fill(0)
+    return rows if once else rows.dropDuplicates()
 
 
 def genres(staging: DataFrame) -> DataFrame:
@@ -63,22 +68,24 @@ def streaming_services(staging: DataFrame) -> DataFrame:
     return schemas.DIM_STREAMING_SERVICES.conform(rows).dropDuplicates()
 
 
-def titles_genres(staging: DataFrame) -> DataFrame:
+def titles_genres(staging: DataFrame, once: bool = False) -> DataFrame:
     rows = staging.select(
-        F.col("id").alias("title_id"), F.explode("content_genres").alias("genre")
-    ).select("title_id", F.col("genre.id").alias("genre_id"))
-    return schemas.DIM_TITLES_GENRES.conform(rows).dropDuplicates()
+        F.col("id").alias("title_id"), F.explode(F.array_distinct("content_genres.id")).alias("genre_id")
+    )
+    rows = schemas.DIM_TITLES_GENRES.conform(rows)
+    return rows if once else rows.dropDuplicates()
 
 
-def titles_production_countries(staging: DataFrame) -> DataFrame:
+def titles_production_countries(staging: DataFrame, once: bool = False) -> DataFrame:
     rows = staging.select(
         F.col("id").alias("title_id"),
-        F.explode("content_productionCountries").alias("country_code"),
+        F.explode(F.array_distinct("content_productionCountries")).alias("country_code"),
     )
-    return schemas.DIM_TITLES_PRODUCTION_COUNTRIES.conform(rows).dropDuplicates()
+    rows = schemas.DIM_TITLES_PRODUCTION_COUNTRIES.conform(rows)
+    return rows if once else rows.dropDuplicates()
 
 
-def titles_streaming_services(staging: DataFrame) -> DataFrame:
+def titles_streaming_services(staging: DataFrame, once: bool = False) -> DataFrame:
     # Spark prunes an exploded struct array to one field at most. Zipping the three leaves
     # that are needed keeps the other fields of the package out of the scan.
     leaves = F.arrays_zip("offers.id", "offers.standardWebURL", "offers.package.packageId")
@@ -88,9 +95,27 @@ def titles_streaming_services(staging: DataFrame) -> DataFrame:
         "title_id",
         F.col("offer.packageId").alias("streaming_service_id"),
     )
-    return schemas.DIM_TITLES_STREAMING_SERVICES.conform(rows).dropDuplicates()
-
-
+    rows = schemas.DIM_TITLES_STREAMING_SERVICES.conform(rows)
+    return rows if once else rows.dropDuplicates()
+
+
+# Jobs whose rows hold the title's id.
+OF_TITLES = (titles, titles_genres, titles_production_countries, titles_streaming_services)
+
+
+def without_repeats(staging: DataFrame) -> list[Callable[..., DataFrame]]:
+    """The jobs of ``OF_TITLES`` whose rows can not repeat: all if every title has one record,
+    but that of the offers only if those of no title are alike. Offers with one hash count as
+    alike; then there is an exchange too many, nothing else."""
+    offers = F.arrays_zip("offers.id", "offers.standardWebURL", "offers.package.packageId")
+    hashes = F.transform(offers, lambda o: F.xxhash64(o["id"], o["standardWebURL"], o["packageId"]))
+    alike = F.coalesce(F.size(F.array_distinct(hashes)) < F.size(hashes), F.lit(False))
+    titles_found = staging.select("id", alike.alias("alike")).groupBy("id")
+    counted = titles_found.agg(F.count("*").alias("records"), F.bool_or("alike").alias("alike"))
+    several, twice = counted.agg(F.bool_or(F.col("records") > 1), F.bool_or("alike")).first()
+    if several:
+        return []
+    return [job for job in OF_TITLES if not (twice and job is titles_streaming_services)]
 JOBS: tuple[tuple[TableContract, Callable[[DataFrame], DataFrame]], ...] = (
     (schemas.FCT_TITLES, titles),
     (schemas.DIM_GENRES, genres),

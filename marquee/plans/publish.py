@@ -8,7 +8,7 @@ from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
-from marquee.plans.normalize import JOBS
+from marquee.plans.normalize import JOBS, OF_TITLES, without_repeats
 from marquee.plans.stage import stage_pages
 from marquee.sinks import (
     create_country_table,
@@ -37,7 +37,7 @@ def run_jobs(
     was. Older generations are deleted by ``publish``, which moves the registered tables.
 
     Each job is one action over one pruned scan of the staging files, which are listed
-    once for all. The jobs do not depend on each other; up to ``at_once`` are submitted
+    once for all; a pass over the ids ahead tells whether rows of titles can repeat. The jobs do not depend on each other; up to ``at_once`` are submitted
     together, so the small last stages of one leave the cluster to the others.
     """
     unknown = set(only) - {contract.name for contract, _ in JOBS}
@@ -50,8 +50,10 @@ def run_jobs(
     rows = read_staging(spark, staging, fmt)
     generation = snapshots.new_run()
     place = f"{root.rstrip('/')}/{generation}"
+    once = without_repeats(rows) if any(job in OF_TITLES for _, job in chosen) else []
+    made = [(contract, job(rows, once=True) if job in once else job(rows)) for contract, job in chosen]
     with ThreadPoolExecutor(at_once) as pool:
-        running = [pool.submit(write_table, job(rows), contract, place) for contract, job in chosen]
+        running = [pool.submit(write_table, table, contract, place) for contract, table in made]
     failed = [error for done in running if (error := done.exception()) is not None]
     if failed:
         snapshots.delete(spark, place)

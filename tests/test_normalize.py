@@ -85,3 +85,20 @@ def test_arrays_spread_over_records_give_the_same_tables(spark):
     split = staging(spark, *[node("a", offers=offers[i::4]) for i in range(4)])
     for _, job in JOBS:
         assert bag(job(whole)) == bag(job(split))
+
+
+def test_rows_that_can_not_repeat(spark):
+    twice = [offer("1", "S", 1), offer("1", "S", 1)]
+    alike = [offer("1", "S", 1), offer("1", "T", 2), None]
+    drama = [genre("d"), genre("d", "Drame"), None, None]
+    plain = staging(spark, node("a", offers=alike, genres=drama, countries=["US", "US", None]), node(None, offers=None))
+    found = normalize.without_repeats(plain)
+    assert found == list(normalize.OF_TITLES)
+    offers_twice = staging(spark, node("a", offers=twice, genres=drama), node("b", offers=None))
+    assert normalize.without_repeats(offers_twice) == [j for j in found if j is not normalize.titles_streaming_services]
+    for several in (("a", "b", "a"), (None, None)):
+        assert normalize.without_repeats(staging(spark, *[node(i) for i in several])) == []
+    assert normalize.without_repeats(plain.where("false")) == found
+    for df in (plain, offers_twice):
+        for job in normalize.without_repeats(df):
+            assert bag(job(df, once=True)) == bag(job(df))

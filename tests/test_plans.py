@@ -180,3 +180,9 @@ def test_landed_text_is_packed(spark, sf_dir):
         (landed,) = _made(spark, label, lambda: QUERIES[query](spark, sf_dir).count())
         files = [f.name for f in landed.rglob("part-*")]
         assert files and all(f.endswith(".gz") for f in files)
+
+
+def test_table_jobs_shuffle_ids_only_where_no_title_repeats(spark):
+    df = staging_rows(spark, node("a"), node("b"))
+    for job in normalize.without_repeats(df):
+        assert "Exchange" in plan(job(df)) and "Exchange" not in plan(job(df, once=True))
