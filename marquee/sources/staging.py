@@ -98,7 +98,8 @@ def read_concatenated_json(
     ``_broken``, its columns are null, and every row tells its file as ``_file``.
     """
     # Predicates may be evaluated in any order, so the parser itself must not see blank rows.
-    filled = F.trim(F.translate("value", "\r\n\t", "   ")) != ""
+    # The search ends at the first character that is not blank.
+    filled = F.col("value").rlike(r"[^ \r\n\t]")
     body = F.concat(F.regexp_replace("value", r"\n    \}\s*$", ""), F.lit("}"))
     kind = _parsed(schema)
     if broken:

@@ -17,7 +17,7 @@ from marquee.schemas import NODE, STAGING
 from marquee.session import shared_dir
 from marquee.sinks import write_staging
 from marquee.sinks.files import write_run
-from marquee.sources import read_pages, read_staging
+from marquee.sources import read_concatenated_json, read_pages, read_staging
 from rows import bag, node, staging as staging_rows
 
 
@@ -186,3 +186,8 @@ def test_table_jobs_shuffle_ids_only_where_no_title_repeats(spark):
     df = staging_rows(spark, node("a"), node("b"))
     for job in normalize.without_repeats(df):
         assert "Exchange" in plan(job(df)) and "Exchange" not in plan(job(df, once=True))
+
+
+def test_blank_legacy_records_are_found_by_a_search(spark, tmp_path):
+    (tmp_path / "f.json").write_text("")
+    assert "translate(" not in plan(read_concatenated_json(spark, str(tmp_path)))
