@@ -141,6 +141,11 @@ def on_dictionary(names: Sequence[str]) -> Column:
     return F.coalesce(F.exists(SERVICE_NAMES, lambda name: name.isin(*names)), F.lit(False))
 
 
+def _numbered(df: DataFrame) -> DataFrame:
+    """The rows with their number, written once: whatever made them is not run again."""
+    return written(df.withColumn(_ROW, F.monotonically_increasing_id()), "numbered")
+
+
 def mark_on_services(df: DataFrame, services: DataFrame, mark: str, most: int = MOST_NAMES) -> DataFrame:
     """Adds ``mark``: whether a record has an offer of a service in the table.
 
@@ -148,10 +153,13 @@ def mark_on_services(df: DataFrame, services: DataFrame, mark: str, most: int =
     rows are numbered and written once, their names travel to the services, and the numbers
     that hit are joined back; Spark broadcasts them if their size allows.
     """
-    names = service_dictionary(services, df, most)
+    names = service_dictionary(services, most=most)
     if names is not None:
         return df.withColumn(mark, on_dictionary(names))
-    numbered = written(df.withColumn(_ROW, F.monotonically_increasing_id()), "numbered")
+    numbered = _numbered(df)
+    names = service_dictionary(services, numbered, most)
+    if names is not None:
+        return numbered.withColumn(mark, on_dictionary(names)).select(*df.columns, mark)
     hits = (
         numbered.select(F.col(_ROW).alias(_HIT), F.explode(SERVICE_NAMES).alias("clear_name"))
         .join(services.select("clear_name"), "clear_name", "left_semi")
@@ -180,15 +188,19 @@ def filter_offers(df: DataFrame, services: Sequence[str] | DataFrame, most: int
 
     Names are tested inside the row, those of a table ``services(clear_name)`` too if there
     is a dictionary of them. Beyond that the table is joined: rows are numbered and written
-    once, only offers travel to the services and back to the number of their row, and an
-    array keeps its order. A null array stays null.
+    once, only names travel to the services, and the places that hit back to the number of
+    their row, and an array keeps its order. A null array stays null.
     """
-    names = service_dictionary(services, df, most) if isinstance(services, DataFrame) else services
-    if names is None:
-        return _offers_on_service_table(df, services)
-    if not names and not isinstance(services, DataFrame):
-        return df
-    return df.withColumn("offers", offers_of(names))
+    if not isinstance(services, DataFrame):
+        return df.withColumn("offers", offers_of(services)) if services else df
+    names = service_dictionary(services, most=most)
+    if names is not None:
+        return df.withColumn("offers", offers_of(names))
+    numbered = _numbered(df)
+    names = service_dictionary(services, numbered, most)
+    if names is not None:
+        return numbered.withColumn("offers", offers_of(names)).select(*df.columns)
+    return _offers_on_service_table(numbered, services).select(*df.columns)
 
 
 def offers_of(names: Sequence[str]) -> Column:
@@ -198,21 +210,17 @@ def offers_of(names: Sequence[str]) -> Column:
     return F.filter("offers", lambda offer: offer["package"]["clearName"].isin(*names))
 
 
-def _offers_on_service_table(df: DataFrame, services: DataFrame) -> DataFrame:
-    numbered = written(df.withColumn(_ROW, F.monotonically_increasing_id()), "numbered")
+def _offers_on_service_table(numbered: DataFrame, services: DataFrame) -> DataFrame:
     names = services.select(F.col("clear_name").alias(_NAME)).where(F.col(_NAME).isNotNull()).distinct()
     kept = (
-        numbered.select(_ROW, F.posexplode("offers").alias(_PLACE, "offer"))
-        .join(names, F.col("offer.package.clearName") == F.col(_NAME), "left_semi")
+        numbered.select(_ROW, F.posexplode(SERVICE_NAMES).alias(_PLACE, _NAME))
+        .join(names, _NAME, "left_semi")
         .groupBy(F.col(_ROW).alias(_HIT))
-        .agg(F.sort_array(F.collect_list(F.struct(_PLACE, "offer"))).alias(_KEPT))
-    )
-    offers = F.when(
-        F.col("offers").isNotNull(),
-        F.coalesce(F.col(f"{_KEPT}.offer"), F.slice("offers", 1, 0)),
+        .agg(F.sort_array(F.collect_list(_PLACE)).alias(_KEPT))
     )
-    joined = numbered.join(kept, F.col(_ROW) == F.col(_HIT), "left").withColumn("offers", offers)
-    return joined.select(*df.columns)
+    hits = F.transform(_KEPT, lambda place: F.get("offers", place))
+    offers = F.when(F.col("offers").isNotNull(), F.coalesce(hits, F.slice("offers", 1, 0)))
+    return numbered.join(kept, F.col(_ROW) == F.col(_HIT), "left").withColumn("offers", offers)
 
 
 def requested_year(year: str = YEAR) -> Column:

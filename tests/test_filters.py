@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 
 from marquee.functions import year_ranges
 from marquee.operators.filters import (
@@ -113,3 +114,20 @@ def test_ranges_with_a_gap(spark):
     df = staging(spark, *[node(str(y), y) for y in (2000, 2005, 2010)])
     out = assign_year_range(df, ranges=[(2000, 2001), (2010, 2011)])
     assert ids(out) == ["2000", "2010"]
+
+
+def test_long_service_table_reads_the_titles_once(spark, titles):
+    """What makes the titles runs once, whether or not the names they carry are few."""
+    for most, kept in ((0, filter_offers), (0, titles_on_services), (3, filter_offers), (3, titles_on_services)):
+        seen = spark.sparkContext.accumulator(0)
+
+        @F.udf("string")
+        def passing(id, seen=seen):
+            seen.add(1)
+            return id
+
+        df = titles.repartition(1).withColumn("id", passing.asNondeterministic()("id"))
+        names = [("Max",), ("X",), ("Y",), ("Z",)]
+        services = spark.createDataFrame(names, "clear_name string")
+        assert ids(kept(df, services, most=most).where("size(offers) > 0")) == ["a", "d"]
+        assert seen.value == 4
