@@ -253,3 +253,23 @@ def test_old_generations_are_deleted_when_nobody_points_at_them(spark, tmp_path)
         write_staging(ranged(spark, node("a", 1995)), staged)
         run_jobs(spark, staged, str(tmp_path / "other"), only=("dim_genres",))
         register_tables(spark, "old", str(tmp_path / "other"))
+
+
+def test_json_staging_is_packed(spark, tmp_path):
+    path = str(tmp_path / "s")
+    write_staging(ranged(spark, node("a", 1995), node("b", 2005)), path, "json", RANGES)
+    files = list((tmp_path / "s").rglob("part-*"))
+    assert files and all(f.name.endswith(".json.gz") for f in files)
+    assert ids(read_staging(spark, path, "json")) == ["a", "b"]
+
+
+def test_published_tables_hold_repeated_titles_once(spark, tmp_path):
+    records = [node("a", 1995), node("a", 1995), node("b", 1995, offers=[offer("1", "S"), offer("1", "S")])]
+    for name, rows in (("several", records), ("one", records[1:])):
+        path, root = str(tmp_path / name), str(tmp_path / f"{name}-tables")
+        write_staging(ranged(spark, *rows), path, ranges=RANGES)
+        run_jobs(spark, path, root)
+        for contract, job in normalize.JOBS:
+            table = spark.read.parquet(published_path(spark, contract, root))
+            assert bag(table) == bag(job(read_staging(spark, path)))
+            assert table.count() == table.distinct().count() > 0
