@@ -30,6 +30,9 @@ from marquee.session import written
 ALL = ("genres", "countries", "offers", "seasons")
 MAX_OFFERS = 1_000
 CHUNK = 1_000
+# Rows that a task gathers to sets, and to pages: sorted, they take some 100 MB.
+LINES_A_TASK = 500_000
+TITLES_A_TASK = 250_000
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -47,12 +50,37 @@ def _with_supplier(lines: DataFrame, spark: SparkSession, sf_dir: str) -> DataFr
     return lines.join(suppliers, F.col("l_suppkey") == F.col("s_suppkey"), "left")
 
 
-def _title_sets(spark: SparkSession, sf_dir: str, fields: Collection[str]) -> DataFrame:
+def _dealt(rows: DataFrame, count: int, most: int, *keys: str) -> DataFrame:
+    """The ``count`` rows shuffled by ``keys``. There are as many tasks as keep them to some
+    ``most`` rows: AQE merges partitions by their packed bytes, which tell little of what
+    sets and pages take in memory."""
+    parts = -(-count // most)
+    if parts <= 1:
+        return rows.repartition(*keys)
+    return rows.repartition(max(parts, rows.sparkSession.sparkContext.defaultParallelism), *keys)
+
+
+def _line_counts(lines: DataFrame) -> tuple[int, int]:
+    """Number of line items, and that of the order with the most."""
+    counts = lines.groupBy("key").agg(F.count("*").alias("n"))
+    found = counts.agg(F.sum("n"), F.max("n")).first()
+    return found[0] or 0, found[1] or 0
+
+
+def _title_sets(
+    spark: SparkSession, sf_dir: str, fields: Collection[str], counts: tuple[int, int] | None = None
+) -> DataFrame:
     """Per order: number of line items, genre set, country set, offer set, in one pass over
     the line items. ``collect_set`` skips nulls, so a line item without a matching part or
     supplier adds nothing. Only what tells offers apart is shuffled; their texts are spelt
-    out afterwards. Sets in order, of which many are alike, take less room in files."""
+    out afterwards. Sets in order, of which many are alike, take less room in files.
+
+    Offers hardly ever collapse, so with them short line items are shuffled, and sets are
+    made behind that, in tasks of bounded size. Only where an order has very many are sets
+    made ahead of the shuffle as well, by which its copies collapse. ``counts`` are the
+    ``_line_counts``, if known."""
     lines = _lines(spark, sf_dir)
+    count, largest = counts or (_line_counts(lines) if "offers" in fields else (0, 0))
     found = []
     if "seasons" in fields:
         found.append(F.count("*").cast("double").alias("line_count"))
@@ -60,6 +88,9 @@ def _title_sets(spark: SparkSession, sf_dir: str, fields: Collection[str]) -> Da
         parts = _read(spark, sf_dir, "part").select("p_partkey", "p_type")
         lines = lines.join(parts, F.col("l_partkey") == F.col("p_partkey"), "left")
         found.append(F.sort_array(F.collect_set("p_type")).alias("genres"))
+    if "offers" in fields and largest <= MAX_OFFERS:
+        used = [c for c in ("key", "p_type", "l_suppkey", "l_linenumber") if c in lines.columns]
+        lines = _dealt(lines.select(*used), count, LINES_A_TASK, "key")
     if {"countries", "offers"} & set(fields):
         lines = _with_supplier(lines, spark, sf_dir)
     if "countries" in fields:
@@ -76,13 +107,15 @@ def _offer_set() -> Column:
     return F.collect_set(F.when(F.col("s_suppkey").isNotNull(), offer)).alias("offers")
 
 
-def _with_sets(frame: DataFrame, spark: SparkSession, sf_dir: str, fields: Collection[str]) -> DataFrame:
+def _with_sets(
+    frame: DataFrame, spark: SparkSession, sf_dir: str, fields: Collection[str], counts: tuple[int, int] | None = None
+) -> DataFrame:
     """Orders with the sets of their line items. Line items are counted as joined to the
     tables of the genres and countries, so offers alone are gathered apart from the count."""
     apart = [{"offers"}] if {"offers", "seasons"} <= set(fields) and "countries" not in fields else []
     rest = set(fields) & set(ALL) - (apart[0] if apart else set())
     for wanted in filter(None, (rest, *apart)):
-        frame = frame.join(_title_sets(spark, sf_dir, wanted), "key", "left")
+        frame = frame.join(_title_sets(spark, sf_dir, wanted, counts), "key", "left")
     return frame
 
 
@@ -131,12 +164,11 @@ def _records(
     """One row per title record: staging columns for the wanted fields, and the part number."""
     frame = _orders(spark, sf_dir)
     # Counted once, ahead: most tables hold no such order, and then nothing is spread.
-    big = None
-    if "offers" in fields and max_offers is not None:
-        big = written(_oversize(_lines(spark, sf_dir), max_offers), "oversize")
-    if big is None or big.isEmpty():
-        frame = _with_sets(frame, spark, sf_dir, fields).withColumn(PART, F.lit(0))
+    counts = _line_counts(_lines(spark, sf_dir)) if "offers" in fields else None
+    if counts is None or max_offers is None or counts[1] <= max_offers:
+        frame = _with_sets(frame, spark, sf_dir, fields, counts).withColumn(PART, F.lit(0))
     else:
+        big = written(_oversize(_lines(spark, sf_dir), max_offers), "oversize")
         frame = _with_sets(frame, spark, sf_dir, set(fields) - {"offers"})
         share = F.pmod(F.xxhash64("l_partkey", "l_suppkey", "l_linenumber"), F.col("parts"))
         lines = _lines(spark, sf_dir).join(big, "key", "left").withColumn(
@@ -281,7 +313,7 @@ def landed_pages(
     whole = _with_sets(ranked, spark, sf_dir, fields)
     edge = F.struct("rank", *[c for c in whole.columns if c not in (*RANGE, "id", "popularity", "rank", "page_no", "total")])
     pages = (
-        whole.repartition(*RANGE, "page_no")
+        _dealt(whole, orders.count(), TITLES_A_TASK, *RANGE, "page_no")
         .groupBy(*RANGE, "page_no")
         .agg(F.sort_array(F.collect_list(edge)).alias("ranked"), F.max("total").alias("total"))
         .join(sent, [*RANGE, "page_no"], "left")

@@ -28,7 +28,7 @@ from marquee.plans.publish import run_all, run_jobs
 from marquee.plans.run_log import errors_path, read_errors
 from marquee.plans.stage import PagesRejected, audit_with, stage_pages
 from marquee.schemas import DIM_COUNTRIES, STAGING, TITLE_TABLES
-from marquee.session import scratch_path, written
+from marquee.session import scratch_path, unsorted_writes, written
 from marquee.sinks import (
     create_country_table,
     create_database,
@@ -246,7 +246,8 @@ def _staging_table_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _land(pages: DataFrame, path: str) -> None:
     """Pages as a crawler lands them, a document per line. Every task writes a file for each
     requested range, so that no packed file outgrows the task that wrote it."""
-    pages.write.partitionBy("min", "max").json(path, compression=LANDED)
+    with unsorted_writes(pages.sparkSession):
+        pages.write.partitionBy("min", "max").json(path, compression=LANDED)
 
 
 def _requested_range_kept(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -89,3 +90,34 @@ def written(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+# A write by folder sorts its rows by folder, unless a task may keep the files of several
+# open. With more folders in a task than this, it sorts the rest.
+WRITERS = "spark.sql.maxConcurrentOutputFileWriters"
+FILES_OPEN = 64
+
+_writes_lock = threading.Lock()
+_writes: dict[object, list] = {}
+
+
+@contextmanager
+def unsorted_writes(spark: SparkSession) -> Iterator[None]:
+    """Writes by folder made inside it sort nothing: for wide rows that fall into few folders.
+    The setting is as before when the last of the writes that run side by side has ended."""
+    key = spark._jsparkSession.hashCode()
+    with _writes_lock:
+        before = _writes.setdefault(key, [0, spark.conf.get(WRITERS, None)])
+        before[0] += 1
+        spark.conf.set(WRITERS, FILES_OPEN)
+    try:
+        yield
+    finally:
+        with _writes_lock:
+            before[0] -= 1
+            if not before[0]:
+                del _writes[key]
+                if before[1] is None:
+                    spark.conf.unset(WRITERS)
+                else:
+                    spark.conf.set(WRITERS, before[1])

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from marquee.functions.years import YearRange, show
 from marquee.schemas import TableContract
+from marquee.session import unsorted_writes
 from marquee.sinks import snapshots
 from marquee.sinks.snapshots import Units
 
@@ -65,11 +66,13 @@ def _years_of(folder: str) -> YearRange:
 
 def write_run(df: DataFrame, path: str, fmt: str = "parquet", rebalance: bool = False) -> tuple[str, dict[YearRange, str]]:
     """Writes rows by kind and year range to a run folder below ``path`` that nobody reads
-    yet: its name, and the folder of each year range that has titles. JSON is packed."""
+    yet: its name, and the folder of each year range that has titles. JSON is packed. Titles
+    are wide and a task can have many, so they are not sorted for it."""
     run = snapshots.new_run()
     out = df.hint("rebalance", *[F.col(k) for k in UNIT]) if rebalance else df
     packed = {"compression": "gzip"} if fmt == "json" else {}
-    out.write.partitionBy(KIND, *UNIT).format(fmt).options(**packed).save(f"{path.rstrip('/')}/{run}")
+    with unsorted_writes(df.sparkSession):
+        out.write.partitionBy(KIND, *UNIT).format(fmt).options(**packed).save(f"{path.rstrip('/')}/{run}")
     folders = snapshots.names_below(df.sparkSession, f"{path.rstrip('/')}/{run}/{KIND}={TITLES}", "year_min=*/year_max=*")
     return run, {_years_of(f): f"{run}/{KIND}={TITLES}/{f}" for f in folders}
 

@@ -7,6 +7,7 @@ import re
 
 import pytest
 
+from marquee.adapters import order_tables
 from marquee.adapters.order_tables import landed_pages, nested_titles, staging_titles
 from marquee.operators import filters, pages, ranking
 from marquee.operators.filters import TitleFilter
@@ -191,3 +192,25 @@ def test_table_jobs_shuffle_ids_only_where_no_title_repeats(spark):
 def test_blank_legacy_records_are_found_by_a_search(spark, tmp_path):
     (tmp_path / "f.json").write_text("")
     assert "translate(" not in plan(read_concatenated_json(spark, str(tmp_path)))
+
+
+def test_sets_with_offers_are_made_behind_the_shuffle(spark, sf_dir, monkeypatch):
+    def shuffled_first():
+        text = plan(order_tables._title_sets(spark, sf_dir, order_tables.ALL))
+        return text.index("hashpartitioning(key") < text.index("partial_collect_set")
+
+    assert shuffled_first()
+    monkeypatch.setattr(order_tables, "MAX_OFFERS", 1)
+    assert not shuffled_first()  # copies of an order's many line items collapse ahead
+
+
+def test_lines_and_titles_are_dealt_to_tasks_of_bounded_size(spark, sf_dir, monkeypatch):
+    usual = bag(landed_pages(spark, sf_dir))
+    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet").count()
+    monkeypatch.setattr(order_tables, "LINES_A_TASK", 50)
+    monkeypatch.setattr(order_tables, "TITLES_A_TASK", 50)
+    tasks = order_tables._title_sets(spark, sf_dir, order_tables.ALL).rdd.getNumPartitions()
+    assert tasks == -(-lines // 50)
+    assert bag(landed_pages(spark, sf_dir)) == usual
+    monkeypatch.setattr(order_tables, "MAX_OFFERS", 1)
+    assert bag(landed_pages(spark, sf_dir)) == usual

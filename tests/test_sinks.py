@@ -1,10 +1,12 @@
 import pytest
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
 from marquee.operators.filters import assign_year_range
 from marquee.plans import normalize
 from marquee.plans.publish import publish, run_jobs
 from marquee.schemas import DIM_GENRES, FCT_TITLES, TITLE_TABLES
+from marquee.session import FILES_OPEN, WRITERS, unsorted_writes
 from marquee.sinks import (
     create_country_table,
     create_database,
@@ -273,3 +275,31 @@ def test_published_tables_hold_repeated_titles_once(spark, tmp_path):
             table = spark.read.parquet(published_path(spark, contract, root))
             assert bag(table) == bag(job(read_staging(spark, path)))
             assert table.count() == table.distinct().count() > 0
+
+
+def test_staging_is_written_unsorted(spark, tmp_path, monkeypatch):
+    seen, save = [], DataFrameWriter.save
+
+    def noted(self, *args, **kwargs):
+        seen.append(spark.conf.get(WRITERS, None))
+        return save(self, *args, **kwargs)
+
+    monkeypatch.setattr(DataFrameWriter, "save", noted)
+    write_run(ranged(spark, node("a", 1995), node("b", 2005)).withColumn(KIND, F.lit(TITLES)), str(tmp_path / "s"))
+    assert seen == [str(FILES_OPEN)] and spark.conf.get(WRITERS, None) is None
+
+
+def test_unsorted_writes_leave_the_setting_as_it_was(spark, tmp_path):
+    folders = FILES_OPEN + 36
+    df = spark.range(5 * folders).withColumn("folder", F.col("id") % folders).repartition(2)
+    spark.conf.set(WRITERS, "3")
+    try:
+        with unsorted_writes(spark):
+            with unsorted_writes(spark):
+                df.write.partitionBy("folder").parquet(str(tmp_path / "many"))
+            assert spark.conf.get(WRITERS) == str(FILES_OPEN)
+        assert spark.conf.get(WRITERS) == "3"
+    finally:
+        spark.conf.unset(WRITERS)
+    back = spark.read.parquet(str(tmp_path / "many")).select(df.columns)
+    assert bag(back.withColumn("folder", F.col("folder").cast("long"))) == bag(df)
