@@ -3,25 +3,26 @@
 A document is the set of its word shingles. Two sets link when their Jaccard similarity
 reaches ``similarity``. The join is exact and runs in three steps.
 
-1. Who can have a partner at all. Shingles are ordered by hash. If two sets overlap in t
-   shingles, the first n - t + l shingles of each share at least l (prefix principle). Every
-   set sends that prefix, with l a tenth of its size, and counts how many of its shingles
-   another set sends too; a set with fewer than its least possible l has no partner. That
-   removes documents which share a passage only. A shingle that many texts of a slice
-   carry is counted in the slice and sent on as one entry, so it makes no hot group.
-2. Families. Texts of the sets left are read again for their whole sets. These send their
-   plain prefixes, now with the shingles that step 1 found in many sets put last (any order
-   will do, as long as it is the same for all), so that a passage ties only those together
-   that hold little else. All sets with a prefix shingle in common are tied to one of them,
-   slice by slice and then over all, and connected components over these ties hold every
-   pair that can link.
+1. Who can have a partner at all. Every set sends all its shingles, slice by slice, and
+   counts how many of them another set sends too; a set with fewer than the least overlap
+   has no partner. That removes documents which share a passage, or by chance some phrases,
+   however large the corpus. A shingle that many texts of a slice carry is counted in the
+   slice and sent on as one entry, so it makes no hot group.
+2. Families. Texts of the sets left are read again for their whole sets, and the holders of
+   their shingles are counted once more. If two sets overlap in t shingles, the first
+   n - t + 1 shingles of each, in any common order, share at least one (prefix principle).
+   The order is by number of holders, so a prefix holds the rarest shingles of its set, and
+   what chance or passages spread over many sets comes last. A set whose prefix is held by
+   no other set has no partner. All other sets with a prefix shingle in common are tied to
+   one of them, slice by slice and then over all, and connected components over these ties
+   hold every pair that can link.
 3. R-tree. In a family every set becomes a point: its shingles hashed into ``GROUPS`` groups
    and counted. Points are packed into leaves of an R-tree by size and position. For a query
    set the sum of coordinate minima with a node's maxima bounds the overlap with all sets
    below it, and with a point the overlap with its set; only pairs whose bound reaches the
    needed overlap are verified on the sets themselves. A family too large for one task is
-   dealt into blocks, by size first (sets of distant sizes cannot link), and every pair of
-   blocks that can hold links is a task of its own. Tasks give spanning links, not all pairs.
+   dealt into blocks, by size first (sets of distant sizes cannot link), as many of a size as
+   its sets need, and every pair of blocks that can hold links is a task of its own. Tasks give spanning links, not all pairs.
 
 Equal sets travel once; their documents are brought back by the digest of the set.
 """
@@ -30,27 +31,29 @@ from __future__ import annotations
 
 import hashlib
 import math
-from collections.abc import Iterator
+import os
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marquee.llm.components import connected
 from marquee.llm.shingles import WIDTH, set_key, sets_of
 from marquee.llm.tables import id_and_text, table
-from marquee.session import written
+from marquee.session import scratch_path, scratch_scope, shuffles_freed, written
 
 SIMILARITY = (75, 100)  # numerator and denominator, so that comparisons stay whole numbers
 GROUPS = 64
 LEAF = 16
 BLOCK_SHINGLES = 2_000_000  # shingles of the sets of a block
-COMMON = 16  # texts of a slice with a shingle, from which it is counted there
-FREQUENT = 4  # sets with a shingle, from which it is put last
-MOST_FREQUENT = 200_000  # shingles put last at most, the most frequent ones: 1.6 MB
-DOCUMENT, SUPPORT, OFTEN = 0, 1, 2  # kinds of rows between the passes
+DOCUMENT, SETS, SUPPORT = 0, 1, 2  # kinds of rows between the passes
+SEVERAL = 0xFFFF  # stands for the sets of a slice that hold a shingle, where they are several
+PIECE = np.dtype([("key", "<u4"), ("set", "<u2")])
+SHARE = np.dtype([("set", "<u2"), ("shared", "<u4")])
+HELD = np.dtype([("key", "<u4"), ("times", "<u2")])
 ENTRY = np.dtype([("key", "<u8"), ("owner", "<i8")])
 
 
@@ -60,14 +63,36 @@ def least_overlap(n: int, similarity: tuple[int, int]) -> int:
     return -(-n * top // bottom)
 
 
-def support(n: int) -> int:
-    return max(1, n // 10)
+def bucket_of(keys: np.ndarray, buckets: int) -> np.ndarray:
+    return ((keys >> np.uint64(11)) % np.uint64(buckets)).astype(np.int64)
 
 
-def _prefixes(docs: DataFrame, similarity: tuple[int, int], width: int, buckets: int) -> DataFrame:
-    """Rows of documents (bucket null, doc_id, n, a, b, text_key) and of packed prefix entries."""
+def slice_number() -> int:
+    """Of a slice of sets: another one for every slice of every task."""
+    return int.from_bytes(os.urandom(7), "little")
+
+
+def _pieces(docs: DataFrame, width: int, buckets: int) -> DataFrame:
+    """Rows of documents (slice null, doc_id, n, a, b, text_key), of the sets of a slice
+    (bucket null, packed digests, sizes and numbers of shingles shared inside the slice), and
+    of packed shingles by bucket."""
     kind = docs.schema["doc_id"].dataType.simpleString()
 
+    def row(number, bucket, blobs: list[list[bytes]], keys: pa.DataType) -> pa.RecordBatch:
+        rows = len(bucket)
+        blobs = [pa.array(b, pa.binary()) for b in blobs]
+        return pa.RecordBatch.from_arrays(
+            [
+                pa.array(np.full(rows, number)),
+                pa.array(bucket, pa.int32()),
+                pa.nulls(rows, keys),
+                *[pa.nulls(rows, pa.int64())] * 4,
+                *blobs,
+                *[pa.nulls(rows, pa.binary())] * (4 - len(blobs)),
+            ],
+            names,
+        )
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keys = batch.column(0)
@@ -76,69 +101,43 @@ def _prefixes(docs: DataFrame, similarity: tuple[int, int], width: int, buckets:
                 rows = len(sets)
                 yield pa.RecordBatch.from_arrays(
                     [
+                        pa.nulls(rows, pa.int64()),
                         pa.nulls(rows, pa.int32()),
                         keys.slice(first, rows),
                         pa.array([len(s) for s in sets], pa.int64()),
                         pa.array([d[0] for d in digests], pa.int64()),
                         pa.array([d[1] for d in digests], pa.int64()),
-                        pa.nulls(rows, pa.binary()),
-                        pa.nulls(rows, pa.binary()),
                         batch.column(2).slice(first, rows),
+                        *[pa.nulls(rows, pa.binary())] * 4,
                     ],
                     names,
                 )
-                fresh = {}
-                for own, digest in zip(sets, digests, strict=True):
-                    if len(own):
-                        fresh.setdefault(digest[0], own)
-                if not fresh:
-                    continue
-                heads = [
-                    own[: len(own) - least_overlap(len(own), similarity) + support(len(own))]
-                    for own in fresh.values()
-                ]
-                entries = np.empty(sum(map(len, heads)), ENTRY)
-                entries["key"] = np.concatenate(heads)
-                entries["owner"] = np.repeat(np.array(list(fresh), np.int64), [len(h) for h in heads])
-                entries = entries[np.argsort(entries["key"], kind="stable")]
-                _, start, count = np.unique(entries["key"], return_index=True, return_counts=True)
-                common = np.repeat(count >= COMMON, count)
-                common[start] = False  # one entry of each stands for the slice
-                # Certainly shared: told to the owner's own bucket, as key 0.
-                told = entries[common]
-                told["key"] = 0
-                marks = np.empty((count >= COMMON).sum(), ENTRY)
-                marks["key"], marks["owner"] = entries["key"][start[count >= COMMON]], count[count >= COMMON]
-                goal = np.concatenate(
-                    (
-                        (entries["key"][~common] >> np.uint64(11)) % np.uint64(buckets),
-                        told["owner"].astype(np.uint64) % np.uint64(buckets),
-                    )
-                ).astype(np.int64)
-                entries = np.concatenate((entries[~common], told))
-                for column, packed, spot in (
-                    (0, entries, goal),
-                    (1, marks, ((marks["key"] >> np.uint64(11)) % np.uint64(buckets)).astype(np.int64)),
-                ):
-                    at, blobs = by_bucket(packed, spot)
-                    rows = len(blobs)
-                    blobs = [pa.array(blobs, pa.binary()), pa.nulls(rows, pa.binary())]
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array(at, pa.int32()),
-                            pa.nulls(rows, keys.type),
-                            *[pa.nulls(rows, pa.int64())] * 3,
-                            blobs[column],
-                            blobs[1 - column],
-                            pa.nulls(rows, pa.int64()),
-                        ],
-                        names,
-                    )
-
-    names = ["bucket", "doc_id", "n", "a", "b", "entries", "marks", "text_key"]
+                fresh = {digest: own for own, digest in zip(sets, digests, strict=True) if len(own)}
+                every = list(fresh)
+                for at in range(0, len(every), SEVERAL):
+                    part = every[at : at + SEVERAL]
+                    sizes = np.array([len(fresh[d]) for d in part])
+                    flat = np.concatenate([fresh[d] for d in part])
+                    order = np.argsort(flat, kind="stable")
+                    flat, owner = flat[order], np.repeat(np.arange(len(part)), sizes)[order]
+                    start = np.flatnonzero(np.concatenate(([True], flat[1:] != flat[:-1])))
+                    several = np.diff(np.append(start, len(flat))) > 1
+                    # What several sets of the slice hold is shared, whatever others send.
+                    inside = np.bincount(owner[np.repeat(several, np.diff(np.append(start, len(flat))))], minlength=len(part))
+                    number = slice_number()
+                    yield row(number, [None], [[np.array([d[i] for d in part], np.int64).tobytes()] for i in range(2)] + [[sizes.astype(np.int64).tobytes()], [inside.astype(np.int64).tobytes()]], keys.type)
+                    flat = flat[start]
+                    entries = np.empty(len(flat), PIECE)
+                    entries["key"] = flat.astype(np.uint32)
+                    entries["set"] = np.where(several, SEVERAL, owner[start])
+                    spots, blobs = by_bucket(entries, bucket_of(flat, buckets))
+                    yield row(number, spots, [blobs], keys.type)
+
+    names = ["slice", "bucket", "doc_id", "n", "a", "b", "text_key", "first", "second", "sizes", "inside"]
     return docs.mapInArrow(
         run,
-        f"bucket int, doc_id {kind}, n bigint, a bigint, b bigint, entries binary, marks binary, text_key bigint",
+        f"slice bigint, bucket int, doc_id {kind}, n bigint, a bigint, b bigint, text_key bigint, "
+        "first binary, second binary, sizes binary, inside binary",
     )
 
 
@@ -151,59 +150,95 @@ def by_bucket(entries: np.ndarray, goal: np.ndarray) -> tuple[np.ndarray, list[b
 
 
 def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Entries of whole buckets, bucket after bucket, to rows of owners with the number of
-    their shared shingles and of frequent shingles; rows of documents pass through."""
-
-    def count(blobs: list[bytes], marked: list[bytes]) -> pa.RecordBatch:
-        entries = np.frombuffer(b"".join(blobs), ENTRY)
-        told = entries["owner"][entries["key"] == 0]
-        entries = np.unique(entries[entries["key"] != 0])
-        keys, back, times = np.unique(entries["key"], return_inverse=True, return_counts=True)
-        # A mark tells that the other holders of a shingle lie in the slice of its one entry:
-        # it comes before owners are picked, so that the owner of that entry counts too.
-        marks = np.frombuffer(b"".join(marked), ENTRY)
-        np.add.at(times, np.searchsorted(keys, marks["key"]), marks["owner"])
-        owners, counts = np.unique(
-            np.concatenate((entries["owner"][times[back] > 1], told)), return_counts=True
-        )
-        often = times >= FREQUENT
-        rows = len(owners) + int(often.sum())
+    """Shingles of whole buckets, bucket after bucket, to the numbers of shingles that sets of
+    a slice share with others; rows of documents and of slices pass through."""
+
+    def count(numbers: list[int], blobs: list[bytes]) -> pa.RecordBatch:
+        entries = np.frombuffer(b"".join(blobs), PIECE)
+        keys = np.sort(entries["key"])
+        twice = np.unique(keys[1:][keys[1:] == keys[:-1]])
+        own = np.flatnonzero(entries["set"] != SEVERAL)
+        if len(twice):
+            found = np.minimum(np.searchsorted(twice, entries["key"][own]), len(twice) - 1)
+            own = own[twice[found] == entries["key"][own]]
+        else:
+            own = own[:0]
+        # The number of the blob, then the set.
+        blob = np.repeat(np.arange(len(blobs)), [len(b) // PIECE.itemsize for b in blobs])[own]
+        code, times = np.unique(blob << 16 | entries["set"][own], return_counts=True)
+        shares = np.empty(len(code), SHARE)
+        shares["set"], shares["shared"] = code & 0xFFFF, times
+        at, packed = by_bucket(shares, code >> 16)
+        rows = len(packed)
         return pa.RecordBatch.from_arrays(
             [
+                pa.array(np.full(rows, SUPPORT), pa.int32()),
+                pa.array([numbers[i] for i in at], pa.int64()),
                 pa.nulls(rows, kind),
-                pa.array(np.concatenate((counts, times[often]))),
-                pa.array(np.concatenate((owners, keys[often].view(np.int64)))),
-                pa.nulls(rows, pa.int64()),
-                pa.array(np.repeat([SUPPORT, OFTEN], [len(owners), rows - len(owners)]), pa.int32()),
-                pa.nulls(rows, pa.int64()),
+                *[pa.nulls(rows, pa.int64())] * 4,
+                pa.array(packed, pa.binary()),
+                *[pa.nulls(rows, pa.binary())] * 3,
             ],
             names,
         )
 
-    names = ["doc_id", "n", "a", "b", "kind", "text_key"]
-    now, blobs, marked, kind = None, [], [], None
+    names = ["kind", "slice", "doc_id", "n", "a", "b", "text_key", "first", "second", "sizes", "inside"]
+    now, numbers, blobs, kind = None, [], [], None
     for batch in batches:
-        kind = batch.schema.field(1).type
-        docs = batch.filter(batch.column(0).is_null())
-        if len(docs):
-            yield pa.RecordBatch.from_arrays(
-                [*docs.columns[1:5], pa.array(np.full(len(docs), DOCUMENT), pa.int32()), docs.column(7)], names
-            )
-        for bucket, blob, mark in zip(batch.column(0).to_pylist(), batch.column(5), batch.column(6), strict=True):
+        kind = batch.schema.field(2).type
+        whole = batch.filter(batch.column(1).is_null())
+        if len(whole):
+            kinds = np.where(whole.column(0).is_null().to_numpy(zero_copy_only=False), DOCUMENT, SETS)
+            yield pa.RecordBatch.from_arrays([pa.array(kinds, pa.int32()), whole.column(0), *whole.columns[2:]], names)
+        for number, bucket, blob in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(7), strict=True):
             if bucket is None:
                 continue
             if bucket != now and blobs:
-                yield count(blobs, marked)
-                blobs, marked = [], []
+                yield count(numbers, blobs)
+                numbers, blobs = [], []
             now = bucket
-            blobs.append(blob.as_py() or b"")
-            marked.append(mark.as_py() or b"")
+            numbers.append(number)
+            blobs.append(blob.as_py())
     if blobs:
-        yield count(blobs, marked)
+        yield count(numbers, blobs)
+
+
+def _supported(shared: DataFrame, similarity: tuple[int, int], buckets: int) -> DataFrame:
+    """a, b, n of the sets that share their least overlap with others."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, digests, sizes, total = None, [], None, None
+
+        def left() -> pa.RecordBatch:
+            good = total >= [least_overlap(int(n), similarity) for n in sizes]
+            return pa.RecordBatch.from_arrays([pa.array(x[good]) for x in (*digests, sizes)], ["a", "b", "n"])
+
+        for batch in batches:
+            for number, kind, *blobs in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if kind == SETS:
+                    if now is not None:
+                        yield left()
+                    first, second, sizes, total = (np.frombuffer(x, np.int64) for x in blobs)
+                    now, digests, total = number, (first, second), total.copy()
+                elif number == now:
+                    shares = np.frombuffer(blobs[0], SHARE)
+                    total[shares["set"]] += shares["shared"]
+        if now is not None:
+            yield left()
+
+    return (
+        shared.where(F.col("kind") != DOCUMENT)
+        .select("slice", "kind", "first", "second", "sizes", "inside")
+        .repartition(buckets, "slice")
+        .sortWithinPartitions("slice", "kind")
+        .mapInArrow(run, "a bigint, b bigint, n bigint")
+        .distinct()
+    )
 
 
 def _whole_sets(docs: DataFrame, width: int) -> DataFrame:
-    """a, b, n and the packed set of each row with a zstd-compressed ``body``."""
+    """A row per slice of the rows with a zstd-compressed ``body``: a, b and n of its sets,
+    each packed, and the sets one after another."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = pa.Codec("zstd")
@@ -213,17 +248,119 @@ def _whole_sets(docs: DataFrame, width: int) -> DataFrame:
                 pa.binary(),
             )
             for _, sets in sets_of(texts, width):
-                digests = [set_key(s) for s in sets]
-                yield pa.RecordBatch.from_pydict(
-                    {
-                        "a": pa.array([d[0] for d in digests], pa.int64()),
-                        "b": pa.array([d[1] for d in digests], pa.int64()),
-                        "n": pa.array([len(s) for s in sets], pa.int64()),
-                        "own": pa.array([s.tobytes() for s in sets], pa.binary()),
-                    }
+                fresh = {set_key(s): s for s in sets if len(s)}
+                if not fresh:
+                    continue
+                digests = np.array(list(fresh), np.int64)
+                packed = [digests[:, 0], digests[:, 1], np.array([len(s) for s in fresh.values()], np.int64), np.concatenate(list(fresh.values()))]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([slice_number()]), *[pa.array([p.tobytes()], pa.binary()) for p in packed]],
+                    ["slice", "a", "b", "n", "own"],
+                )
+
+    return docs.select("body", "size").mapInArrow(run, "slice bigint, a binary, b binary, n binary, own binary")
+
+
+def _holders(slices: DataFrame, buckets: int) -> DataFrame:
+    """slice, bucket, times: how many sets hold each distinct shingle of the slice that falls
+    into the bucket, packed in the order of the shingles. Up to 127 sets are counted, more
+    are told by size. Shingles that agree in 32 bits of their bucket count as one, for all
+    their holders alike."""
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for number, own in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                keys, times = np.unique(np.frombuffer(own.as_buffer(), np.uint64), return_counts=True)
+                entries = np.empty(len(keys), HELD)
+                entries["key"], entries["times"] = keys.astype(np.uint32), np.minimum(times, 0xFFFF)
+                at, blobs = by_bucket(entries, bucket_of(keys, buckets))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(at), number)), pa.array(at, pa.int32()), pa.array(blobs, pa.binary())], names
+                )
+
+    def count(numbers: list[int], bucket: int, blobs: list[bytes]) -> pa.RecordBatch:
+        entries = np.frombuffer(b"".join(blobs), HELD)
+        _, back = np.unique(entries["key"], return_inverse=True)
+        total = np.bincount(back, entries["times"])
+        told = np.minimum(np.where(total < 128, total, 100 + 4 * np.log2(total)), 255).astype(np.uint8)[back]
+        ends = np.cumsum([len(b) // HELD.itemsize for b in blobs])
+        return pa.RecordBatch.from_arrays(
+            [
+                pa.array(numbers, pa.int64()),
+                pa.array(np.full(len(blobs), bucket), pa.int32()),
+                pa.array([t.tobytes() for t in np.split(told, ends[:-1])], pa.binary()),
+            ],
+            names,
+        )
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, numbers, blobs = None, [], []
+        for batch in batches:
+            for number, bucket, blob in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if bucket != now and blobs:
+                    yield count(numbers, now, blobs)
+                    numbers, blobs = [], []
+                now = bucket
+                numbers.append(number)
+                blobs.append(blob)
+        if blobs:
+            yield count(numbers, now, blobs)
+
+    names = ["slice", "bucket", "times"]
+    schema = "slice bigint, bucket int, times binary"
+    return (
+        slices.select("slice", "own")
+        .mapInArrow(send, schema)
+        .repartition(buckets, "bucket")
+        .sortWithinPartitions("bucket")
+        .mapInArrow(meet, schema)
+    )
+
+
+def rarest(own: np.ndarray, times: np.ndarray, similarity: tuple[int, int]) -> np.ndarray:
+    """Of the prefix of a set, by number of holders, the shingles that others hold too."""
+    reach = len(own) - least_overlap(len(own), similarity) + 1
+    order = np.argsort(times, kind="stable")[:reach]  # sets are sorted: ties go by shingle
+    return own[order[times[order] > 1]]
+
+
+def _with_prefixes(slices: DataFrame, similarity: tuple[int, int], buckets: int) -> DataFrame:
+    """a, b, n, own and the packed prefix ``head`` of the sets of which others hold a part."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, told = None, []
+        for batch in batches:
+            for number, bucket, times, *blobs in zip(*batch.columns, strict=True):
+                if bucket.is_valid:
+                    if number != now:
+                        now, told = number, []
+                    told.append(times.as_py())
+                    continue
+                # The sets of a slice come behind all that is told about their shingles.
+                a, b, n, own = (np.frombuffer(x.as_buffer(), t) for x, t in zip(blobs, (np.int64, np.int64, np.int64, np.uint64), strict=True))
+                keys, back = np.unique(own, return_inverse=True)
+                held = np.empty(len(keys), np.uint8)
+                held[np.argsort(bucket_of(keys, buckets), kind="stable")] = np.frombuffer(b"".join(told), np.uint8)
+                ends = np.cumsum(n)[:-1]
+                sets = np.split(own, ends)
+                heads = [rarest(s, t, similarity) for s, t in zip(sets, np.split(held[back], ends), strict=True)]
+                keep = [i for i, head in enumerate(heads) if len(head)]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        *[pa.array(x[keep]) for x in (a, b, n)],
+                        *[pa.array([x[i].tobytes() for i in keep], pa.binary()) for x in (sets, heads)],
+                    ],
+                    ["a", "b", "n", "own", "head"],
                 )
+                told = []
 
-    return docs.select("body", "size").mapInArrow(run, "a bigint, b bigint, n bigint, own binary")
+    sets = slices.select("slice", F.lit(None).cast("int").alias("bucket"), F.lit(None).cast("binary").alias("times"), "a", "b", "n", "own")
+    return (
+        sets.unionByName(_holders(slices, buckets), allowMissingColumns=True)
+        .repartition(buckets, "slice")
+        .sortWithinPartitions("slice", F.col("bucket").asc_nulls_last())
+        .mapInArrow(run, "a bigint, b bigint, n bigint, own binary, head binary")
+    )
 
 
 def _compressed(docs: DataFrame) -> DataFrame:
@@ -364,50 +501,48 @@ def near_duplicates(
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
     buckets = max(64, 4 * tasks)
     kind = rows.schema["doc_id"].dataType.simpleString()
-    sent = _prefixes(rows, similarity, width, buckets)
-    spot = F.coalesce("bucket", F.pmod(F.xxhash64("a", "b"), F.lit(buckets)).cast("int"))
-    counted = written(
-        sent.repartition(buckets, spot)
-        .sortWithinPartitions("bucket")
-        .mapInArrow(_shared, f"doc_id {kind}, n bigint, a bigint, b bigint, kind int, text_key bigint"),
-        "shared",
-    )
-    members = counted.where(F.col("kind") == DOCUMENT).select("doc_id", "n", "a", "b", "text_key")
-    groups = written(
-        members.where("n > 0")
-        .groupBy("a", "b", "n")
-        .agg(F.min("doc_id").alias("first"), F.min("text_key").alias("text_key"), F.count("*").alias("copies")),
-        "sets",
-    )
-    top, bottom = similarity
-    # The least support of a set and its smallest possible partner.
-    partner = F.expr(f"cast(ceil(n * {top} / {bottom}) AS bigint)")
-    least = F.greatest(F.lit(1), F.floor(partner / 10)).cast("bigint")
-    shared = counted.where(F.col("kind") == SUPPORT).groupBy("a").agg(F.sum("n").alias("shared"))
-    eligible = groups.join(shared, "a").where(F.col("shared") >= least).select(
-        F.col("first").alias("wanted"), F.when(F.col("first").isNull(), F.col("text_key")).alias("wanted_key")
-    )
-    bodies = _compressed(rows).join(
-        eligible.distinct(),
-        F.col("doc_id").eqNullSafe(F.col("wanted")) & F.col("text_key").eqNullSafe(F.col("wanted_key")),
-        "left_semi",
-    )
-    whole = _whole_sets(bodies, width).where("n > 0")
-    # A row that repeats the identifier (or the hash) with another text brings a set nobody
-    # asked for; it does no harm. Equal sets are left once.
-    sets = written(whole.dropDuplicates(["a", "b"]), "whole-sets")
-
-    # A bounded list, whatever the corpus holds: the most frequent shingles.
-    often = (
-        counted.where(F.col("kind") == OFTEN).orderBy(F.desc("n"), "a").limit(MOST_FREQUENT).select("a").toArrow()
-    )
-    last = np.sort(np.array(often.column(0), np.int64).view(np.uint64))
-    families = connected(_ties(sets, similarity, last, buckets))
-    placed = sets.join(families, sets["a"] == families["node"]).select(
-        F.col("root").alias("family"), "a", "n", "own"
-    )
-    links = _links(placed, similarity)
-    roots = connected(links)
+    with shuffles_freed(spark):
+        spot = F.coalesce(
+            "bucket", F.pmod(F.coalesce("slice", F.xxhash64("a", "b")), F.lit(buckets)).cast("int")
+        )
+        shared = written(
+            _pieces(rows, width, buckets)
+            .repartition(buckets, spot)
+            .sortWithinPartitions("bucket")
+            .mapInArrow(
+                _shared,
+                f"kind int, slice bigint, doc_id {kind}, n bigint, a bigint, b bigint, text_key bigint, "
+                "first binary, second binary, sizes binary, inside binary",
+            ),
+            "shared",
+        )
+        members = shared.where(F.col("kind") == DOCUMENT).select("doc_id", "n", "a", "b", "text_key")
+        groups = written(
+            members.where("n > 0")
+            .groupBy("a", "b", "n")
+            .agg(F.min("doc_id").alias("first"), F.min("text_key").alias("text_key"), F.count("*").alias("copies")),
+            "sets",
+        )
+        roots = scratch_path(spark, "roots")
+        with scratch_scope(spark):  # the sets go as soon as their links are known
+            eligible = groups.join(_supported(shared, similarity, buckets), ["a", "b", "n"]).select(
+                F.col("first").alias("wanted"), F.when(F.col("first").isNull(), F.col("text_key")).alias("wanted_key")
+            )
+            bodies = _compressed(rows).join(
+                eligible.distinct(),
+                F.col("doc_id").eqNullSafe(F.col("wanted")) & F.col("text_key").eqNullSafe(F.col("wanted_key")),
+                "left_semi",
+            )
+            # A row that repeats the identifier (or the hash) with another text brings a set
+            # nobody asked for; it does no harm. Equal sets are left once.
+            slices = written(_whole_sets(bodies, width), "whole-sets")
+            sets = written(_with_prefixes(slices, similarity, buckets).dropDuplicates(["a", "b"]), "prefixes")
+            families = connected(_ties(sets, buckets))
+            placed = sets.join(families, sets["a"] == families["node"]).select(
+                F.col("root").alias("family"), "a", "n", "own"
+            )
+            connected(_links(placed, similarity)).write.parquet(roots)
+    roots = spark.read.schema("node bigint, root bigint").parquet(roots)
     labelled = groups.join(roots, groups["a"] == roots["node"], "left").withColumn(
         "root", F.coalesce("root", "a")
     )
@@ -425,20 +560,13 @@ def near_duplicates(
     )
 
 
-def _ties(sets: DataFrame, similarity: tuple[int, int], last: np.ndarray, buckets: int) -> DataFrame:
+def _ties(sets: DataFrame, buckets: int) -> DataFrame:
     """u, v: the smallest set that has a prefix shingle, and every other set that has it.
 
     A task ties the sets of a slice to the smallest of them and sends only that one on, so
     a shingle of very many sets is a few rows by the time they meet.
     """
 
-    def prefix_of(own: np.ndarray) -> np.ndarray:
-        n = len(own) - least_overlap(len(own), similarity) + 1
-        if not len(last):
-            return own[:n]
-        common = last[np.minimum(np.searchsorted(last, own), len(last) - 1)] == own
-        return np.concatenate((own[~common], own[common]))[:n]
-
     def stars(entries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Entries of the smallest owner of each key, and distinct (smallest, other) pairs."""
         entries = np.unique(entries)  # by key, then by owner
@@ -464,13 +592,12 @@ def _ties(sets: DataFrame, similarity: tuple[int, int], last: np.ndarray, bucket
         for batch in batches:
             if not len(batch):
                 continue
-            heads = [prefix_of(np.frombuffer(o.as_buffer(), np.uint64)) for o in batch.column(1)]
+            heads = [np.frombuffer(o.as_buffer(), np.uint64) for o in batch.column(1)]
             entries = np.empty(sum(map(len, heads)), ENTRY)
             entries["key"] = np.concatenate(heads)
             entries["owner"] = np.repeat(np.array(batch.column(0)), [len(h) for h in heads])
             lowest, pairs = stars(entries)
-            goal = ((lowest["key"] >> np.uint64(11)) % np.uint64(buckets)).astype(np.int64)
-            yield rows(pairs, *by_bucket(lowest, goal))
+            yield rows(pairs, *by_bucket(lowest, bucket_of(lowest["key"], buckets)))
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def solve(blobs: list[bytes]) -> pa.RecordBatch:
@@ -494,7 +621,7 @@ def _ties(sets: DataFrame, similarity: tuple[int, int], last: np.ndarray, bucket
 
     spot = F.coalesce("bucket", F.pmod(F.xxhash64("u", "v"), F.lit(buckets)).cast("int"))
     return (
-        sets.select("a", "own")
+        sets.select("a", "head")
         .mapInArrow(send, "u bigint, v bigint, bucket int, entries binary")
         .repartition(buckets, spot)
         .sortWithinPartitions("bucket")
@@ -502,27 +629,48 @@ def _ties(sets: DataFrame, similarity: tuple[int, int], last: np.ndarray, bucket
     )
 
 
-def _links(placed: DataFrame, similarity: tuple[int, int]) -> DataFrame:
-    """u, v: spanning links inside each family, block by block where it is large."""
+def _paired(placed: DataFrame, similarity: tuple[int, int]) -> DataFrame:
+    """family, pair of blocks, block, a and own: every set once for each pair it is tried in."""
     top, bottom = similarity
     band = F.floor(F.log(F.col("n").cast("double")) / math.log(bottom / top)).cast("int")
-    weights = placed.groupBy("family").agg(F.sum("n").alias("weight"))
-    # Families are numbers of sets tied together; small ones are packed in tasks by hash.
-    dealt = placed.join(weights, "family").withColumn(
-        "parts", F.ceil(F.col("weight") / BLOCK_SHINGLES).cast("int")
+    placed = placed.withColumn("band", band)
+    # Families are numbers of sets tied together; small ones are packed in tasks by hash. Of
+    # large ones each band has the blocks it needs.
+    bands = placed.groupBy("family", "band").agg(F.sum("n").alias("weight"))
+    large = bands.groupBy("family").agg(F.sum("weight").alias("all")).where(F.col("all") > BLOCK_SHINGLES)
+    bands = bands.join(large.select("family"), "family").select(
+        "family", "band", F.ceil(F.col("weight") / BLOCK_SHINGLES).cast("int").alias("parts")
     )
-    block = F.when(F.col("parts") > 1, F.concat_ws(":", band, F.pmod(F.xxhash64("a"), F.col("parts")))).otherwise("")
-    # A block meets the blocks of its band with a higher number, those of the next band, and itself.
-    dealt = dealt.select("family", "a", "own", "parts", band.alias("band"), F.pmod(F.xxhash64("a"), "parts").alias("part"), block.alias("block"))
+    for name, step in (("below", 1), ("above", -1)):
+        beside = bands.select("family", (F.col("band") + step).alias("band"), F.col("parts").alias(name))
+        bands = bands.join(beside, ["family", "band"], "left")
+    dealt = placed.join(bands, ["family", "band"], "left").withColumn(
+        "part", F.pmod(F.xxhash64("a"), F.col("parts")).cast("int")
+    )
+
+    def named(step: int, part: Column) -> Column:
+        return F.concat_ws(":", F.col("band") + step, part)
+
+    def met(count: str, pair: Callable[[Column], Column]) -> Column:
+        several = F.transform(F.sequence(F.lit(0), F.col(count) - 1), pair)
+        return F.when(F.col(count) > 0, several).otherwise(F.array().cast("array<string>"))
+
+    # A block meets the other blocks of its band, those of the bands beside it, and itself.
+    part = F.col("part")
     pairs = F.when(
-        F.col("parts") > 1,
+        F.col("parts") > 0,
         F.concat(
-            F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda p: F.concat_ws("|", F.concat_ws(":", F.col("band"), F.least(F.col("part").cast("int"), p)), F.concat_ws(":", F.col("band"), F.greatest(F.col("part").cast("int"), p)))),
-            F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda p: F.concat_ws("|", F.col("block"), F.concat_ws(":", F.col("band") + 1, p))),
-            F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda p: F.concat_ws("|", F.concat_ws(":", F.col("band") - 1, p), F.col("block"))),
+            met("parts", lambda p: F.concat_ws("|", named(0, F.least(part, p)), named(0, F.greatest(part, p)))),
+            met("above", lambda p: F.concat_ws("|", named(0, part), named(1, p))),
+            met("below", lambda p: F.concat_ws("|", named(-1, p), named(0, part))),
         ),
     ).otherwise(F.array(F.lit("")))
-    spread = dealt.select("family", "a", "own", "block", F.explode(F.array_distinct(pairs)).alias("pair"))
+    block = F.when(F.col("parts") > 0, named(0, part)).otherwise("")
+    return dealt.select("family", "a", "own", block.alias("block"), F.explode(pairs).alias("pair"))
+
+
+def _links(placed: DataFrame, similarity: tuple[int, int]) -> DataFrame:
+    """u, v: spanning links inside each family, block by block where it is large."""
 
     def run(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
         sets = [np.frombuffer(o, np.uint64) for o in group["own"]]
@@ -532,7 +680,7 @@ def _links(placed: DataFrame, similarity: tuple[int, int]) -> DataFrame:
         links = spanning_links(sets, similarity, side) if len(sets) > 1 else []
         return pd.DataFrame({"u": [ids[i] for i, _ in links], "v": [ids[j] for _, j in links]}, dtype="int64")
 
-    return spread.groupBy("family", "pair").applyInPandas(run, "u bigint, v bigint")
+    return _paired(placed, similarity).groupBy("family", "pair").applyInPandas(run, "u bigint, v bigint")
 
 
 def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -92,32 +92,45 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+# Of an execution the shuffle files go when it has ended, not when the driver happens to
+# collect its garbage.
+FREED = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 # A write by folder sorts its rows by folder, unless a task may keep the files of several
 # open. With more folders in a task than this, it sorts the rest.
 WRITERS = "spark.sql.maxConcurrentOutputFileWriters"
 FILES_OPEN = 64
 
-_writes_lock = threading.Lock()
-_writes: dict[object, list] = {}
+_set_lock = threading.Lock()
+_set: dict[object, list] = {}
 
 
 @contextmanager
-def unsorted_writes(spark: SparkSession) -> Iterator[None]:
-    """Writes by folder made inside it sort nothing: for wide rows that fall into few folders.
-    The setting is as before when the last of the writes that run side by side has ended."""
-    key = spark._jsparkSession.hashCode()
-    with _writes_lock:
-        before = _writes.setdefault(key, [0, spark.conf.get(WRITERS, None)])
+def _setting(spark: SparkSession, name: str, value) -> Iterator[None]:
+    """The setting is as before when the last of those that run side by side has ended."""
+    key = (spark._jsparkSession.hashCode(), name)
+    with _set_lock:
+        before = _set.setdefault(key, [0, spark.conf.get(name, None)])
         before[0] += 1
-        spark.conf.set(WRITERS, FILES_OPEN)
+        spark.conf.set(name, value)
     try:
         yield
     finally:
-        with _writes_lock:
+        with _set_lock:
             before[0] -= 1
             if not before[0]:
-                del _writes[key]
+                del _set[key]
                 if before[1] is None:
-                    spark.conf.unset(WRITERS)
+                    spark.conf.unset(name)
                 else:
-                    spark.conf.set(WRITERS, before[1])
+                    spark.conf.set(name, before[1])
+
+
+def unsorted_writes(spark: SparkSession):
+    """Writes by folder made inside it sort nothing: for wide rows that fall into few folders."""
+    return _setting(spark, WRITERS, FILES_OPEN)
+
+
+def shuffles_freed(spark: SparkSession):
+    """What executions inside it shuffle goes when they end; frames read later shuffle anew."""
+    return _setting(spark, FREED, "true")

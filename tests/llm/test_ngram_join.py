@@ -103,3 +103,41 @@ def test_null_identifier_is_a_near_copy_and_a_bridge(make_docs):
 
 def test_empty_table(make_docs):
     assert N.near_duplicates(make_docs((1, "x")).where("false")).count() == 0
+
+
+def test_chance_phrases_tie_nothing(make_docs, monkeypatch):
+    """Texts that share a fifth of their shingles, a phrase with each neighbour, come no
+    further: else chance ties the whole of a large corpus into one family."""
+    rows, own = [], iter(range(10**6))
+    for i in range(40):
+        phrases = [f"p{i}x{k}" for k in range(10)] + [f"p{i + 1}x{k}" for k in range(10)]
+        rows.append((i, " ".join([f"own{next(own)}" for _ in range(40)] + phrases)))
+    rows += [(100 + i, rows[i][1] + " end") for i in range(3)]
+    tied = []
+
+    def counted(edges):
+        tied.append(edges.count())
+        return connected(edges)
+
+    connected = N.connected
+    monkeypatch.setattr(N, "connected", counted)
+    assert got(N.near_duplicates(make_docs(*rows))) == expected(rows)
+    assert tied == [3, 3]
+
+
+def test_blocks_of_a_family_are_those_of_its_sizes(spark, monkeypatch):
+    """A set goes to the blocks of its band and of the bands beside it, not to those that the
+    whole family would fill; sets that can link meet."""
+    rows = [(1, size * 100 + i, n, b"") for size, n in enumerate(range(10, 2000, 30)) for i in range(20)]
+    rows += [(2, -n, n, b"") for n in (48, 64, 2000)]
+    placed = spark.createDataFrame(rows, "family bigint, a bigint, n bigint, own binary")
+    monkeypatch.setattr(N, "BLOCK_SHINGLES", 10_000)
+    paired = N._paired(placed, N.SIMILARITY).collect()
+    met = {}
+    for r in paired:
+        met.setdefault((r.family, r.pair), set()).add(r.a)
+    together = {(x, y) for sets in met.values() for x in sets for y in sets}
+    assert all((a, b) in together for f, a, n, _ in rows for g, b, m, _ in rows if f == g and 4 * min(n, m) >= 3 * max(n, m))
+    assert met[2, ""] == {-48, -64, -2000}
+    # The family fills 134 blocks: some 400 pairs for every set.
+    assert len(paired) < 100 * len(rows)
