@@ -459,22 +459,18 @@ def spanning_links(
     sizes = np.array([len(s) for s in sets], np.int64)
     points = np.array([count_vector(s) for s in sets], np.uint32).reshape(len(sets), GROUPS)
     tree = CountTree(points, sizes)
-    parent = np.arange(len(sets))
-
-    def root(i: int) -> int:
-        while parent[i] != i:
-            parent[i] = parent[parent[i]]
-            i = int(parent[i])
-        return i
-
+    label = np.arange(len(sets))  # sets that links connect have the same
     links = []
     for i in range(len(sets)):
-        for j in tree.near(points[i], int(sizes[i]), similarity).tolist():
-            if j == i or (side is not None and side[i] == side[j]):
-                continue
-            a, b = root(i), root(j)
+        near = tree.near(points[i], int(sizes[i]), similarity)
+        # Bounds are the same both ways, so lower numbers have been tried.
+        near = near[(near > i) & (label[near] != label[i])]
+        if side is not None:
+            near = near[side[near] != side[i]]
+        for j in near.tolist():
+            a, b = sorted((int(label[i]), int(label[j])))
             if a != b and linked(sets[i], sets[j], similarity):
-                parent[max(a, b)] = min(a, b)
+                label[label == b] = a
                 links.append((i, j))
     return links
 
@@ -502,8 +498,9 @@ def near_duplicates(
     buckets = max(64, 4 * tasks)
     kind = rows.schema["doc_id"].dataType.simpleString()
     with shuffles_freed(spark):
+        # Documents only pass by: those of equal sets are dealt out too.
         spot = F.coalesce(
-            "bucket", F.pmod(F.coalesce("slice", F.xxhash64("a", "b")), F.lit(buckets)).cast("int")
+            "bucket", F.pmod(F.coalesce("slice", F.xxhash64("doc_id", "a", "b")), F.lit(buckets)).cast("int")
         )
         shared = written(
             _pieces(rows, width, buckets)
